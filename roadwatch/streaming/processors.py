@@ -8,8 +8,10 @@ options, so a hot key's rows of one batch fit a task.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import (
@@ -21,6 +23,9 @@ def _schema(*fields) -> StructType:
     return StructType([StructField(n, t) for n, t in fields])
 
 
+# Workers get the processors themselves, so they need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _L, _S, _D, _I = LongType(), StringType(), DoubleType(), IntegerType()
 
 
