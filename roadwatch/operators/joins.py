@@ -5,33 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType
 
 from ..functions.times import duration_micros, micros
 from .running import bucket_of, latest, running
 from .windows import with_window
 
-MAX_BROADCAST_BYTES = 64 << 20
 
-
-def measured_bytes(df: DataFrame) -> int:
-    """Size of a dimension, from one aggregate over it."""
-    width = F.lit(16 + 8 * len(df.columns))
-    for field in df.schema.fields:
-        if isinstance(field.dataType, StringType):
-            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
-    return df.agg(F.sum(width.cast("long"))).first()[0] or 0
-
-
-def lookup(facts: DataFrame, dimension: DataFrame, keys: Sequence[str], *,
-           max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+def lookup(facts: DataFrame, dimension: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join to a dimension with at most one row per key.
 
-    The dimension is broadcast only after measuring that it is small. A larger
-    one is shuffled, where AQE splits the partitions of hot fact keys.
+    No broadcast is forced. Pass a table or a ``stored`` result as dimension, so
+    that its size on disk decides: a small one is broadcast and the facts are
+    not shuffled; for a large one AQE splits the partitions of hot fact keys.
     """
-    if measured_bytes(dimension) <= max_bytes:
-        dimension = F.broadcast(dimension)
     return facts.join(dimension, list(keys), "left")
 
 

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.times import duration_micros, micros
+from ..sources.stored import stored
 from .running import count_rows, highest, running
 from .windows import with_window
 
@@ -46,6 +47,8 @@ def on_time(marked: DataFrame) -> DataFrame:
 def refires(marked: DataFrame, keys: Sequence[str], order: str, *,
             width: int | None = None) -> DataFrame:
     """The repeated results: the window's count at each row allowed in late."""
-    counted = running(on_time(marked), [*keys, "window_start", "window_end"], order,
+    # Marking is an ordered step over all rows; the second one shall not repeat it.
+    kept = stored(on_time(marked), "on-time")
+    counted = running(kept, [*keys, "window_start", "window_end"], order,
                       {"so_far": count_rows()}, width=width)
     return counted.where("is_refire").drop("is_refire")

@@ -86,12 +86,12 @@ def text_of(column: Column) -> Agg:
 
 
 def bucket_width(df: DataFrame, order: str) -> int:
-    """Square root of the arrival span: as many buckets as rows in a bucket.
+    """A width that makes about as many buckets as a bucket has rows.
 
     One aggregate over one column; pass ``width`` where the size is known.
     """
-    low, high = df.agg(F.min(order), F.max(order)).first()
-    return MIN_WIDTH if low is None else max(MIN_WIDTH, math.isqrt(high - low + 1))
+    low, high, rows = df.agg(F.min(order), F.max(order), F.count(order)).first()
+    return MIN_WIDTH if not rows else max(MIN_WIDTH, (high - low + 1) // math.isqrt(rows))
 
 
 def bucket_of(order: Column, width: int) -> Column:
@@ -104,6 +104,26 @@ def running(df: DataFrame, keys: Sequence[str], order: str, aggs: Mapping[str, A
 
     ``inclusive=False`` leaves the row itself out (the state before the row).
     """
+    before = (Window.unboundedPreceding, -1)
+    return _carried(df, keys, order, aggs, width, before,
+                    (Window.unboundedPreceding, 0 if inclusive else -1))
+
+
+def whole(df: DataFrame, keys: Sequence[str], order: str, aggs: Mapping[str, Agg], *,
+          width: int | None = None) -> DataFrame:
+    """Add to each row the highest or lowest value among all rows of its key.
+
+    Like a window over the key, but a hot key is spread over its buckets. A
+    bucket's own rows are counted in again, so only max and min are taken.
+    """
+    if any(agg.kind not in ("max", "min") for agg in aggs.values()):
+        raise ValueError("only highest() and lowest() can be taken over a whole key")
+    everything = (Window.unboundedPreceding, Window.unboundedFollowing)
+    return _carried(df, keys, order, aggs, width, everything, everything)
+
+
+def _carried(df: DataFrame, keys: Sequence[str], order: str, aggs: Mapping[str, Agg],
+             width: int | None, bucket_frame: tuple, row_frame: tuple) -> DataFrame:
     width = width or bucket_width(df, order)
     keys, names = list(keys), {name: f"__{name}" for name in aggs}
     rows = df.withColumns({
@@ -113,20 +133,18 @@ def running(df: DataFrame, keys: Sequence[str], order: str, aggs: Mapping[str, A
 
     per_bucket = rows.groupBy(*keys, "__bucket").agg(
         *[agg.partial(names[n], order).alias(names[n]) for n, agg in aggs.items()])
-    earlier = (Window.partitionBy(*keys).orderBy("__bucket")
-               .rowsBetween(Window.unboundedPreceding, -1))
+    buckets = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(*bucket_frame)
     carried = per_bucket.select(
         *keys, "__bucket",
-        *[agg.over(names[n], earlier).alias(names[n]) for n, agg in aggs.items()],
+        *[agg.over(names[n], buckets).alias(names[n]) for n, agg in aggs.items()],
     ).where(" or ".join(f"`{c}` is not null" for c in names.values()))
 
     both = (rows.withColumn("__seq", F.lit(1))
             .unionByName(carried.withColumn("__seq", F.lit(0)), allowMissingColumns=True))
     within = (Window.partitionBy(*keys, "__bucket").orderBy("__seq", order)
-              .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
+              .rowsBetween(*row_frame))
     return (
-        both.withColumns({n: agg.result(agg.over(names[n], within))
-                          for n, agg in aggs.items()})
+        both.withColumns({n: agg.result(agg.over(names[n], within)) for n, agg in aggs.items()})
         .where("__seq = 1")
         .drop("__seq", "__bucket", *names.values())
     )

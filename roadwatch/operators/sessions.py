@@ -1,9 +1,9 @@
 """Session windows without sorting raw rows.
 
-Rows of one key whose times fall into the same cell of one gap's width are less than one gap
-apart, so they are always in one session. Cells are therefore aggregated first
-(with map-side combine) and only the cells are put in order. A key has at most
-span / gap cells, however many rows it has.
+Rows of one key whose times fall into the same cell of one gap's width are less
+than one gap apart, so they are always in one session. Cells are therefore
+aggregated first (with map-side combine) and only the cells are put in order. A
+key has at most span / gap cells, however many rows it has.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.times import duration_micros, from_micros, micros
+from ..sources.stored import stored
 from .running import Agg, bucket_of, count_rows, highest, running
 
 # Cells per bucket when the sessions of all rows together are ordered.
@@ -43,6 +44,8 @@ def sessions(df: DataFrame, time: str, gap: str, keys: Sequence[str],
         in_order = Window.partitionBy(*keys).orderBy("__cell")
         seen = cells.withColumn("__before", F.lag("__last").over(in_order))
     else:
+        # The steps below read the cells several times, the raw rows only here.
+        cells = stored(cells, "session-cells")
         seen = running(cells, [], "__cell", {"__before": highest(F.col("__last"))},
                        width=CELLS_PER_BUCKET * gap_us, inclusive=False)
     opens = F.col("__before").isNull() | (F.col("__first") - F.col("__before") > gap_us)

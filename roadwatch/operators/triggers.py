@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.times import duration_micros, micros, millis
-from .running import count_rows, running
+from .running import count_rows, highest, running, whole
 from .windows import with_window
 
 
@@ -33,15 +33,11 @@ def fire_on_marker(df: DataFrame, keys: Sequence[str], time: str, order: str, si
     return early.unionByName(final).withColumn("text", window_text(F.col("count")))
 
 
-def evict_older(df: DataFrame, keys: Sequence[str], time: str, size: str, keep: str) -> DataFrame:
-    """Per key and window keep the rows newer than the window's last time minus ``keep``.
-
-    The last time is aggregated and joined back: a window over the group would
-    put all rows of a hot group into one task.
-    """
-    group = [*keys, "window_start", "window_end"]
+def evict_older(df: DataFrame, keys: Sequence[str], time: str, order: str, size: str, keep: str, *,
+                width: int | None = None) -> DataFrame:
+    """Per key and window keep the rows newer than the window's last time minus ``keep``."""
     rows = with_window(df, time, size).withColumn("__t", micros(F.col(time)))
-    last = rows.groupBy(*group).agg(F.max("__t").alias("__last"))
-    return (rows.join(last, group)
-            .where(F.col("__t") > F.col("__last") - duration_micros(keep))
+    seen = whole(rows, [*keys, "window_start", "window_end"], order,
+                 {"__last": highest(F.col("__t"))}, width=width)
+    return (seen.where(F.col("__t") > F.col("__last") - duration_micros(keep))
             .drop("__t", "__last"))

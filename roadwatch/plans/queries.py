@@ -17,10 +17,16 @@ from ..operators import (
 from ..operators.running import count_rows, highest, total
 from ..sources.files import table
 from ..sources.kafka import as_lines
+from ..sources.stored import stored
 
 
-def _limits(spark: SparkSession, folder: str) -> DataFrame:
-    return views.speed_limits(views.events(spark, folder))
+def speed_limits(spark: SparkSession, folder: str) -> DataFrame:
+    return stored(views.speed_limits(views.events(spark, folder)), "limits")
+
+
+def profiles(spark: SparkSession, folder: str) -> DataFrame:
+    latest = joins.latest_per_key(views.profile_updates(spark, folder), ["id"], "version")
+    return stored(latest.drop("version"), "profiles")
 
 
 def _sightings(spark: SparkSession, folder: str) -> DataFrame:
@@ -273,10 +279,9 @@ FROM events e LEFT JOIN (
          row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn
   FROM orders WHERE o_orderstatus = 'P') p ON p.id = e.user_id AND rn = 1""")
 def broadcast_enrich(spark: SparkSession, folder: str) -> DataFrame:
-    profiles = joins.latest_per_key(views.profile_updates(spark, folder), ["id"], "version")
     events = views.events(spark, folder).select(
         "event_id", F.col("user_id").alias("id"), F.col("event_type").alias("event"))
-    return joins.lookup(events, profiles.drop("version"), ["id"])
+    return joins.lookup(events, profiles(spark, folder), ["id"])
 
 
 @query(f"""WITH {S.BEHAVIOUR}
@@ -547,7 +552,7 @@ def trigger_on_marker(spark: SparkSession, folder: str) -> DataFrame:
 SELECT guid, window_start, count(*) AS n, CAST(sum(act_time) AS BIGINT) AS total
 FROM w JOIN m USING (guid, window_start) WHERE ts > newest - INTERVAL 6 HOUR GROUP BY ALL""")
 def evict_time(spark: SparkSession, folder: str) -> DataFrame:
-    kept = triggers.evict_older(_behaviour(spark, folder), ["guid"], "ts", "1 day", "6 hours")
+    kept = triggers.evict_older(_behaviour(spark, folder), ["guid"], "ts", "arrival", "1 day", "6 hours")
     return kept.groupBy("guid", "window_start").agg(
         F.count(F.lit(1)).alias("n"), F.sum("act_time").alias("total"))
 
@@ -558,7 +563,7 @@ def evict_time(spark: SparkSession, folder: str) -> DataFrame:
 SELECT car, monitor_id, road_id, speed AS real_speed, lim AS limit_speed, action_time, arrival
 FROM speeding""")
 def overspeed(spark: SparkSession, folder: str) -> DataFrame:
-    return traffic.speeding_records(_sightings(spark, folder), _limits(spark, folder), "arrival")
+    return traffic.speeding_records(_sightings(spark, folder), speed_limits(spark, folder), "arrival")
 
 
 @query(f"""WITH {S.SIGHTINGS}, {S.sliding('sightings', 'action_time', '12 HOUR', 2)}, counts AS (
@@ -602,4 +607,4 @@ SELECT car, first_arrival, second_arrival, third_arrival, '涉嫌危险驾驶' A
        || ' third:' || m3 || (epoch_us(t3) // 1000) AS detail
 FROM runs WHERE t3 - t1 < INTERVAL 1 DAY""")
 def danger_driver(spark: SparkSession, folder: str) -> DataFrame:
-    return traffic.danger_drivers(_sightings(spark, folder), _limits(spark, folder), "1 day")
+    return traffic.danger_drivers(_sightings(spark, folder), speed_limits(spark, folder), "1 day")

@@ -9,11 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from . import sql_parts as S
 from . import traffic, views
 from .catalog import query
-from .queries import AMOUNTS, CHARACTERS, MARKER, RUN
+from .queries import AMOUNTS, CHARACTERS, MARKER, RUN, profiles, speed_limits
 from ..functions.parse import tokenise
-from ..functions.times import from_micros, millis, time_text
+from ..functions.times import from_micros, time_text
 from ..operators import aggs, joins, route, triggers, windows
-from ..operators.project import composite_key
 from ..sources.files import stream_table
 from ..streaming import jobs
 from ..streaming.processors import StateKinds, keyed
@@ -74,7 +73,7 @@ def stream_session_keyed(spark: SparkSession, folder: str) -> DataFrame:
 SELECT car, monitor_id, road_id, speed AS real_speed, lim AS limit_speed, action_time, arrival
 FROM speeding""")
 def stream_overspeed(spark: SparkSession, folder: str) -> DataFrame:
-    limits = views.speed_limits(views.events(spark, folder))
+    limits = speed_limits(spark, folder)
     fast = traffic.speeding_records(views.sightings(_events(spark, folder)), limits, "arrival")
     return _result(to_table(fast, "overspeed"))
 
@@ -85,10 +84,9 @@ FROM events e LEFT JOIN (
          row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn
   FROM orders WHERE o_orderstatus = 'P') p ON p.id = e.user_id AND rn = 1""")
 def stream_broadcast_enrich(spark: SparkSession, folder: str) -> DataFrame:
-    profiles = joins.latest_per_key(views.profile_updates(spark, folder), ["id"], "version")
     events = _events(spark, folder).select(
         "event_id", F.col("user_id").alias("id"), F.col("event_type").alias("event"))
-    return _result(to_table(joins.lookup(events, profiles.drop("version"), ["id"]), "enrich"))
+    return _result(to_table(joins.lookup(events, profiles(spark, folder), ["id"]), "enrich"))
 
 
 @query(f"""WITH {S.SIGHTINGS}, {S.sliding('sightings', 'action_time', '12 HOUR', 2)}, counts AS (
@@ -200,7 +198,7 @@ SELECT car, first_arrival, second_arrival, third_arrival, '涉嫌危险驾驶' A
        || ' third:' || m3 || (epoch_us(t3) // 1000) AS detail
 FROM runs WHERE t3 - t1 < INTERVAL 1 DAY AND t3 < {PASSED}""")
 def stream_danger_driver(spark: SparkSession, folder: str) -> DataFrame:
-    limits = views.speed_limits(views.events(spark, folder))
+    limits = speed_limits(spark, folder)
     runs = jobs.danger_drivers(views.sightings(_events(spark, folder)), limits, "1 day", DELAY)
     return _result(to_table(runs, "danger"))
 
