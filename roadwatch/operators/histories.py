@@ -23,7 +23,11 @@ def running_concat(df: DataFrame, keys: Sequence[str], order: str, value: str,
 
 def ttl_concat(df: DataFrame, keys: Sequence[str], time: str, order: str, value: str, ttl: str,
                out: str = "joined") -> DataFrame:
-    """The key's values that are younger than ``ttl`` when the row arrives, joined."""
+    """The key's values that are younger than ``ttl`` when the row arrives, joined.
+
+    Each row's text holds all that is alive, so choose ``ttl`` by the hottest
+    key's rate: the work is what the result's size demands.
+    """
     span = duration_micros(ttl)
     spread = overlap_buckets(df.withColumn("__t", micros(F.col(time))), "__t", span, before=span)
     alive = (Window.partitionBy(*keys, "bucket").orderBy("__t")

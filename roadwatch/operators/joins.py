@@ -45,21 +45,24 @@ def as_known(events: DataFrame, updates: DataFrame, keys: Sequence[str], order:
 
 
 def window_join(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str, size: str,
-                slide: str | None = None) -> DataFrame:
+                slide: str | None = None, copies: str = "copies") -> DataFrame:
     """Inner join of rows with the same key in the same window.
 
-    Both inputs carry ``time``; their other columns must differ in name. It is a
-    plain equi-join, so AQE splits a hot key and window on either side.
+    Both inputs carry ``time``; their other columns must differ in name. Equal
+    right rows of a key and window are folded into one, and ``copies`` says how
+    often the pair occurs, so a hot group does not write all its pairs out.
+    Select only the columns that matter on the right.
     """
     group = [*keys, "window_start", "window_end"]
+    values = [c for c in right.columns if c not in (*keys, time)]
     return (with_window(left, time, size, slide).drop(time)
-            .join(with_window(right, time, size, slide).drop(time), group))
+            .join(window_counts(right, keys, values, time, size, copies, slide), group))
 
 
 def window_counts(df: DataFrame, keys: Sequence[str], values: Sequence[str], time: str,
-                  size: str, count: str) -> DataFrame:
+                  size: str, count: str, slide: str | None = None) -> DataFrame:
     """Rows per key, window and distinct value: a hot group shrinks before any join."""
-    return (with_window(df, time, size)
+    return (with_window(df, time, size, slide)
             .groupBy(*keys, "window_start", "window_end", *values)
             .agg(F.count(F.lit(1)).alias(count)))
 
@@ -68,8 +71,7 @@ def cogroup_product(left: DataFrame, right: DataFrame, keys: Sequence[str], left
                     right_value: str, time: str, size: str) -> DataFrame:
     """Every pairing of both sides of a key and window, as distinct pairs with ``copies``.
 
-    Equal rows are counted before the join, so the pairs of a hot group are
-    never written out one by one.
+    Like ``window_join``, with equal rows counted on both sides.
     """
     group = [*keys, "window_start", "window_end"]
     pairs = window_counts(left, keys, [left_value], time, size, "__l").join(

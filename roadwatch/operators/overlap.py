@@ -8,7 +8,7 @@ buckets, with one shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
 def overlap_buckets(df: DataFrame, time_us: str, width: int, *, before: int = 0,
@@ -18,15 +18,7 @@ def overlap_buckets(df: DataFrame, time_us: str, width: int, *, before: int = 0,
         raise ValueError("a bucket must be at least as wide as the look-around")
     time = F.col(time_us)
     own = time - F.pmod(time, F.lit(width))
-
-    def entry(bucket: Column, is_own: bool) -> Column:
-        return F.struct(bucket.alias("bucket"), F.lit(is_own).alias("own"))
-
-    entries = [entry(own, True)]
-    if before:
-        entries.append(F.when(time >= own + width - before, entry(own + width, False)))
-    if after:
-        entries.append(F.when(time <= own + after, entry(own - width, False)))
-    return (df.withColumn("__e", F.explode(F.array_compact(F.array(*entries))))
-            .withColumns({"bucket": F.col("__e.bucket"), "own": F.col("__e.own")})
-            .drop("__e"))
+    first = F.when(time <= own + after, own - width).otherwise(own) if after else own
+    last = F.when(time >= own + width - before, own + width).otherwise(own) if before else own
+    return (df.withColumn("bucket", F.explode(F.sequence(first, last, F.lit(width).cast("long"))))
+            .withColumn("own", F.col("bucket") == own))

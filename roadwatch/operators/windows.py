@@ -7,23 +7,32 @@ so a hot key or a window over all keys sends one row per task and window.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .running import Agg
+
 
 def time_window(time: str, size: str, slide: str | None = None) -> Column:
     return F.window(time, size, slide) if slide else F.window(time, size)
 
 
 def windowed(df: DataFrame, time: str, size: str, slide: str | None, keys: Sequence[str],
-             *aggs: Column) -> DataFrame:
-    """Aggregate per key and window; an empty key list gives windows over all rows."""
-    names = ["window_start", "window_end", *keys]
-    grouped = df.groupBy(time_window(time, size, slide).alias("__w"), *keys).agg(*aggs)
-    return grouped.select(
-        F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"),
-        *keys, *[c for c in grouped.columns if c not in (*names, "__w")])
+             aggs: Mapping[str, Agg]) -> DataFrame:
+    """Aggregate per key and window; an empty key list gives windows over all rows.
+
+    Spark copies a row to its size / slide windows and combines the copies
+    before the shuffle. Folding rows into panes first was measured on 20 million
+    rows: about even at six windows per row, slower at two and three.
+    """
+    values = {name: f"__v_{name}" for name in aggs}
+    rows = df.withColumns({values[n]: agg.column for n, agg in aggs.items()})
+    windows = rows.groupBy(time_window(time, size, slide).alias("__w"), *keys).agg(
+        *[aggs[n].fold(c).alias(c) for n, c in values.items()])
+    return windows.select(
+        F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"), *keys,
+        *[aggs[n].result(F.col(c)).alias(n) for n, c in values.items()])
 
 
 def with_window(df: DataFrame, time: str, size: str, slide: str | None = None) -> DataFrame:

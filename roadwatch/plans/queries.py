@@ -170,13 +170,13 @@ def union_all(spark: SparkSession, folder: str) -> DataFrame:
 def persons_seen(spark: SparkSession, folder: str) -> DataFrame:
     """A person enters the stream at each signup."""
     signups = (views.events(spark, folder).where("event_type = 'signup'")
-               .select(F.col("user_id").alias("id"), "ts", F.col("event_id").alias("person_arrival")))
+               .select(F.col("user_id").alias("id"), "ts"))
     return joins.lookup(signups, views.persons(spark, folder), ["id"]).where("gender is not null")
 
 
 def joined_persons(spark: SparkSession, folder: str) -> DataFrame:
     left = views.counted(views.events(spark, folder))
-    return joins.window_join(left, persons_seen(spark, folder), ["id"], "ts", "1 day").drop("window_end")
+    return joins.window_join(left, persons_seen(spark, folder), ["id"], "ts", "1 hour").drop("window_end")
 
 
 @query(f"""WITH {S.JOINED} SELECT * FROM joined""")
@@ -185,11 +185,11 @@ def event_person_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""WITH {S.JOINED}
-SELECT arrival, person_arrival, cnt, CASE WHEN cnt % 7 = 0 THEN 'by_seven' ELSE 'main' END AS route
+SELECT arrival, copies, cnt, CASE WHEN cnt % 7 = 0 THEN 'by_seven' ELSE 'main' END AS route
 FROM joined""")
 def route_mod7(spark: SparkSession, folder: str) -> DataFrame:
     routed = route.route(joined_persons(spark, folder), route.divisible_by_seven("cnt"))
-    return routed.select("arrival", "person_arrival", "cnt", "route")
+    return routed.select("arrival", "copies", "cnt", "route")
 
 
 @query(f"""WITH {S.COUNTED}
@@ -216,23 +216,24 @@ def running_argmax(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""WITH {S.BEHAVIOUR}, l AS (
-  SELECT guid, time_bucket(INTERVAL 1 DAY, ts) AS window_start, act_time, arrival FROM behaviour
+  SELECT guid, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, act_time FROM behaviour
   WHERE event_id IN ('view', 'click')), r AS (
-  SELECT guid, time_bucket(INTERVAL 1 DAY, ts) AS window_start, act_time, arrival FROM behaviour
+  SELECT guid, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, act_time FROM behaviour
   WHERE event_id = 'click')
 SELECT l.guid || '_' || r.guid || '_join_' AS character, l.act_time + r.act_time AS num,
-       window_start, l.arrival AS left_arrival, r.arrival AS right_arrival
-FROM l JOIN r USING (guid, window_start)""")
+       window_start, count(*) AS copies
+FROM l JOIN r USING (guid, window_start) GROUP BY ALL""")
 def window_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Key texts joined and numbers added; ``copies`` counts equal results."""
     rows = _behaviour(spark, folder)
     left = rows.where("event_id in ('view', 'click')").select(
-        "guid", "ts", F.col("act_time").alias("l_num"), F.col("arrival").alias("left_arrival"))
+        "guid", "ts", F.col("act_time").alias("l_num"))
     right = rows.where("event_id = 'click'").select(
-        "guid", "ts", F.col("act_time").alias("r_num"), F.col("arrival").alias("right_arrival"))
-    pairs = joins.window_join(left, right, ["guid"], "ts", "1 day")
-    return pairs.select(F.concat("guid", F.lit("_"), "guid", F.lit("_join_")).alias("character"),
-                        (F.col("l_num") + F.col("r_num")).alias("num"),
-                        "window_start", "left_arrival", "right_arrival")
+        "guid", "ts", F.col("act_time").alias("r_num"))
+    pairs = joins.cogroup_product(left, right, ["guid"], "l_num", "r_num", "ts", "1 hour")
+    return (pairs.groupBy(F.concat("guid", F.lit("_"), "guid", F.lit("_join_")).alias("character"),
+                          (F.col("l_num") + F.col("r_num")).alias("num"), "window_start")
+            .agg(F.sum("copies").alias("copies")))
 
 
 MONITOR_CNT = f"""WITH {S.COUNTED}, cars AS (
@@ -301,7 +302,7 @@ def asof_enrich(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""WITH {S.BEHAVIOUR}
 SELECT c.guid, c.arrival AS click, p.arrival AS purchase
 FROM behaviour c JOIN behaviour p ON c.guid = p.guid
- AND p.ts BETWEEN c.ts - INTERVAL 2 HOUR AND c.ts + INTERVAL 12 HOUR
+ AND p.ts BETWEEN c.ts - INTERVAL 30 MINUTE AND c.ts + INTERVAL 2 HOUR
 WHERE c.event_id = 'click' AND p.event_id = 'purchase'""")
 def interval_join(spark: SparkSession, folder: str) -> DataFrame:
     rows = _behaviour(spark, folder)
@@ -309,7 +310,7 @@ def interval_join(spark: SparkSession, folder: str) -> DataFrame:
         "guid", F.col("ts").alias("click_ts"), F.col("arrival").alias("click"))
     buys = rows.where("event_id = 'purchase'").select(
         "guid", F.col("ts").alias("buy_ts"), F.col("arrival").alias("purchase"))
-    pairs = joins.interval_join(clicks, buys, ["guid"], "click_ts", "buy_ts", "2 hours", "12 hours")
+    pairs = joins.interval_join(clicks, buys, ["guid"], "click_ts", "buy_ts", "30 minutes", "2 hours")
     return pairs.select("guid", "click", "purchase")
 
 
@@ -347,11 +348,11 @@ def running_concat(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""WITH {S.BEHAVIOUR}
 SELECT a.arrival, a.guid, string_agg(b.event_id, '' ORDER BY b.arrival) AS joined
 FROM behaviour a JOIN behaviour b
-  ON a.guid = b.guid AND b.arrival <= a.arrival AND b.ts > a.ts - INTERVAL 1 DAY
+  ON a.guid = b.guid AND b.arrival <= a.arrival AND b.ts > a.ts - INTERVAL 1 HOUR
 GROUP BY a.arrival, a.guid""")
 def ttl_concat(spark: SparkSession, folder: str) -> DataFrame:
     rows = _behaviour(spark, folder).select("arrival", "guid", "ts", "event_id")
-    return (histories.ttl_concat(rows, ["guid"], "ts", "arrival", "event_id", "1 day")
+    return (histories.ttl_concat(rows, ["guid"], "ts", "arrival", "event_id", "1 hour")
             .select("arrival", "guid", "joined"))
 
 
@@ -384,7 +385,7 @@ def format_window(spark: SparkSession, folder: str) -> DataFrame:
 FROM events GROUP BY ALL""")
 def tumbling_count(spark: SparkSession, folder: str) -> DataFrame:
     return windows.windowed(views.events(spark, folder), "ts", "6 hours", None, ["user_id"],
-                            F.count(F.lit(1)).alias("n"))
+                            {"n": count_rows()})
 
 
 @query("""SELECT time_bucket(INTERVAL 30 MINUTE, ts) AS window_start,
@@ -392,14 +393,14 @@ def tumbling_count(spark: SparkSession, folder: str) -> DataFrame:
 FROM events GROUP BY ALL""")
 def tumbling_all(spark: SparkSession, folder: str) -> DataFrame:
     return windows.windowed(views.events(spark, folder), "ts", "30 minutes", None, [],
-                            F.count(F.lit(1)).alias("n"))
+                            {"n": count_rows()})
 
 
 @query(f"""WITH {S.sliding('events', 'ts', '10 MINUTE', 3)}
 SELECT window_start, window_end, count(*) AS n FROM spread GROUP BY ALL""")
 def sliding_all(spark: SparkSession, folder: str) -> DataFrame:
     return windows.windowed(views.events(spark, folder), "ts", "30 minutes", "10 minutes", [],
-                            F.count(F.lit(1)).alias("n"))
+                            {"n": count_rows()})
 
 
 @query(f"""WITH {S.OUT_OF_ORDER}, {S.sliding('disordered', 'ts', '6 HOUR', 2)}
@@ -407,7 +408,7 @@ SELECT guid, window_start, window_end, count(*) AS n FROM spread GROUP BY ALL"""
 def sliding_count(spark: SparkSession, folder: str) -> DataFrame:
     """Windows by arrival time, whatever the event time says."""
     return windows.windowed(views.out_of_order(views.events(spark, folder)), "ts", "12 hours",
-                            "6 hours", ["guid"], F.count(F.lit(1)).alias("n"))
+                            "6 hours", ["guid"], {"n": count_rows()})
 
 
 @query(f"""WITH {S.OUT_OF_ORDER}, {S.sliding('disordered', 'event_time', '8 HOUR', 3)}
@@ -415,7 +416,9 @@ SELECT guid, window_start, window_end, CAST(sum(act_time) AS DOUBLE) / count(*)
 FROM spread GROUP BY guid, window_start, window_end""")
 def sliding_avg(spark: SparkSession, folder: str) -> DataFrame:
     return windows.windowed(views.out_of_order(views.events(spark, folder)), "event_time",
-                            "24 hours", "8 hours", ["guid"], F.avg("act_time").alias("avg_act_time"))
+                            "24 hours", "8 hours", ["guid"],
+                            {"s": total(F.col("act_time")), "c": count_rows()}).select(
+        "guid", "window_start", "window_end", (F.col("s") / F.col("c")).alias("avg_act_time"))
 
 
 @query(f"""WITH {S.BEHAVIOUR}, {S.sliding('behaviour', 'ts', '12 HOUR', 2)}

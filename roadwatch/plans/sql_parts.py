@@ -34,14 +34,15 @@ COUNTED = """counted AS (
 
 PERSONS_SEEN = """persons_seen AS (
   SELECT user_id AS id, CASE WHEN c_custkey % 2 = 0 THEN 'f' ELSE 'm' END AS gender,
-         c_mktsegment AS city, ts, event_id AS person_arrival
+         c_mktsegment AS city, ts
   FROM events JOIN customer ON user_id = c_custkey WHERE event_type = 'signup')"""
 
 JOINED = COUNTED + ", " + PERSONS_SEEN + """, joined AS (
-  SELECT c.id, c.event_id, c.cnt, p.gender, p.city, c.arrival, p.person_arrival,
-         time_bucket(INTERVAL 1 DAY, c.ts) AS window_start
+  SELECT c.id, c.event_id, c.cnt, p.gender, p.city, c.arrival,
+         time_bucket(INTERVAL 1 HOUR, c.ts) AS window_start, count(*) AS copies
   FROM counted c JOIN persons_seen p
-    ON c.id = p.id AND time_bucket(INTERVAL 1 DAY, c.ts) = time_bucket(INTERVAL 1 DAY, p.ts))"""
+    ON c.id = p.id AND time_bucket(INTERVAL 1 HOUR, c.ts) = time_bucket(INTERVAL 1 HOUR, p.ts)
+  GROUP BY ALL)"""
 
 LATE = OUT_OF_ORDER + """, watermarked AS (
   SELECT *, time_bucket(INTERVAL 1 HOUR, event_time) AS window_start,

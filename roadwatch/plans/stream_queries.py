@@ -13,6 +13,7 @@ from .queries import AMOUNTS, CHARACTERS, MARKER, RUN, profiles, speed_limits
 from ..functions.parse import tokenise
 from ..functions.times import from_micros, time_text
 from ..operators import aggs, joins, route, triggers, windows
+from ..operators.running import count_rows
 from ..sources.files import stream_table
 from ..streaming import jobs
 from ..streaming.processors import StateKinds, keyed
@@ -54,7 +55,7 @@ FROM events GROUP BY ALL""")
 def stream_tumbling_count(spark: SparkSession, folder: str) -> DataFrame:
     """Update mode: every window's newest count, open windows included."""
     counts = windows.windowed(with_event_time(_events(spark, folder), "ts", DELAY), "ts", "6 hours",
-                              None, ["user_id"], F.count(F.lit(1)).alias("n"))
+                              None, ["user_id"], {"n": count_rows()})
     written = to_table(counts, "tumbling", "update")
     return without_zone(final_rows(written, ["user_id", "window_start", "window_end"]))
 
@@ -107,14 +108,14 @@ def stream_top5_monitors(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""WITH {S.BEHAVIOUR}
 SELECT l.guid, l.arrival AS left_arrival, r.arrival AS right_arrival, l.act_time + r.act_time AS num
 FROM behaviour l JOIN behaviour r ON l.guid = r.guid
-  AND time_bucket(INTERVAL 1 DAY, l.ts) = time_bucket(INTERVAL 1 DAY, r.ts)
+  AND time_bucket(INTERVAL 6 HOUR, l.ts) = time_bucket(INTERVAL 6 HOUR, r.ts)
 WHERE l.event_id = 'view' AND r.event_id = 'click'""")
 def stream_window_join(spark: SparkSession, folder: str) -> DataFrame:
     left = views.behaviour(_events(spark, folder)).where("event_id = 'view'").select(
         "guid", "ts", F.col("act_time").alias("l_num"), F.col("arrival").alias("left_arrival"))
     right = views.behaviour(_events(spark, folder)).where("event_id = 'click'").select(
         "guid", "ts", F.col("act_time").alias("r_num"), F.col("arrival").alias("right_arrival"))
-    pairs = jobs.window_join(left, right, ["guid"], "ts", "1 day", DELAY)
+    pairs = jobs.window_join(left, right, ["guid"], "ts", "6 hours", DELAY)
     return _result(to_table(pairs, "window-join")).select(
         "guid", "left_arrival", "right_arrival", (F.col("l_num") + F.col("r_num")).alias("num"))
 

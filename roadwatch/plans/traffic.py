@@ -10,6 +10,7 @@ from ..functions.times import from_micros, time_text
 from ..operators.joins import lookup
 from ..operators.patterns import three_in_a_row, too_close
 from ..operators.project import composite_key
+from ..operators.running import Agg, count_rows, total
 from ..operators.topn import top_n
 from ..operators.windows import windowed
 
@@ -33,8 +34,10 @@ MONITOR = ["area_id", "road_id", "monitor_id"]
 def average_speed(sightings: DataFrame, size: str = WINDOW_SIZE, slide: str = WINDOW_SLIDE,
                   time: str = "action_time") -> DataFrame:
     """Average speed and number of cars per monitor and sliding window."""
-    return windowed(sightings, time, size, slide, MONITOR,
-                    F.avg("speed").alias("avg_speed"), F.count(F.lit(1)).alias("car_count"))
+    sums = windowed(sightings, time, size, slide, MONITOR,
+                    {"speed_sum": total(F.col("speed")), "car_count": count_rows()})
+    return sums.select("window_start", "window_end", *MONITOR,
+                       (F.col("speed_sum") / F.col("car_count")).alias("avg_speed"), "car_count")
 
 
 def with_limit(sightings: DataFrame, limits: DataFrame) -> DataFrame:
@@ -54,11 +57,11 @@ def speeding_records(sightings: DataFrame, limits: DataFrame, *extra: str) -> Da
         F.col("speed_limit").alias("limit_speed"), "action_time", *extra)
 
 
-def speed_bands(speed: Column) -> list[Column]:
+def speed_bands(speed: Column) -> dict[str, Agg]:
     """How many cars per band, highest band first."""
     band = (F.when(speed >= HIGH_SPEED, "high_count").when(speed >= MIDDLE_SPEED, "middle_count")
             .when(speed >= NORMAL_SPEED, "normal_count").otherwise("low_count"))
-    return [F.count_if(band == name).alias(name) for name in BANDS]
+    return {name: count_rows(band == name) for name in BANDS}
 
 
 BANDS = ["high_count", "middle_count", "normal_count", "low_count"]
@@ -66,7 +69,7 @@ BANDS = ["high_count", "middle_count", "normal_count", "low_count"]
 
 def band_counts(sightings: DataFrame, size: str = WINDOW_SIZE, slide: str = WINDOW_SLIDE,
                 time: str = "action_time") -> DataFrame:
-    return windowed(sightings, time, size, slide, MONITOR, *speed_bands(F.col("speed")))
+    return windowed(sightings, time, size, slide, MONITOR, speed_bands(F.col("speed")))
 
 
 def busiest(counts: DataFrame, n: int = TOP_MONITORS) -> DataFrame:

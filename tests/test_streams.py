@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from roadwatch import schemas
 from roadwatch.functions.parse import accepted, parse_delimited
 from roadwatch.operators import late, route, windows
+from roadwatch.operators.running import count_rows
 from roadwatch.plans import traffic
 from roadwatch.session import run_dir
 from roadwatch.sources import console, jdbc
@@ -76,7 +77,7 @@ def test_text_source_parses_and_rejects(spark, tmp_path):
 
 def test_watermarked_windows_keep_rows_within_the_delay(replay):
     stream = with_event_time(replay.add(*BATCHES).stream(), "ts", "0 seconds")
-    counts = windows.windowed(stream, "ts", "10 seconds", None, ["guid"], F.count("*").alias("n"))
+    counts = windows.windowed(stream, "ts", "10 seconds", None, ["guid"], {"n": count_rows()})
     written = to_table(counts, "watermark")
     # Row :06 came one batch after :12 and still counts; :07 came later and is dropped.
     assert sorted((second(r["window_start"]), r["n"]) for r in written.collect()) == [(0, 3), (10, 2)]
@@ -84,7 +85,7 @@ def test_watermarked_windows_keep_rows_within_the_delay(replay):
 
 def test_lateness_as_a_longer_delay_refires_in_update_mode(replay):
     stream = with_event_time(replay.add(*BATCHES).stream(), "ts", "10 seconds")
-    counts = windows.windowed(stream, "ts", "10 seconds", None, ["guid"], F.count("*").alias("n"))
+    counts = windows.windowed(stream, "ts", "10 seconds", None, ["guid"], {"n": count_rows()})
     written = to_table(counts, "lateness", "update")
     first = [r["n"] for r in written.orderBy("batch_id").collect() if second(r["window_start"]) == 0]
     assert first == [2, 3, 4], "the window is reported again for each late row"
@@ -96,7 +97,7 @@ def test_restart_from_the_checkpoint(spark, replay):
     def run(folder):
         stream = with_event_time(replay.stream(), "ts", "0 seconds")
         return to_table(windows.windowed(stream, "ts", "10 seconds", None, ["guid"],
-                                         F.count("*").alias("n")), "restart", folder=folder)
+                                         {"n": count_rows()}), "restart", folder=folder)
 
     folder = run_dir(spark, "restart")
     replay.add([(1, "a", 1), (2, "a", 2)])
