@@ -11,8 +11,8 @@ from .. import schemas
 from ..functions.parse import accepted, parse_delimited, rejected, tokenise
 from ..functions.times import millis, time_text
 from ..operators import (
-    aggs, count_windows, histories, joins, late, project, route, sessions, topn, triggers,
-    windows,
+    aggs, count_windows, histories, joins, late, process, project, route, sessions, topn,
+    triggers, windows,
 )
 from ..operators.running import count_rows, highest, total
 from ..sources.files import table
@@ -100,6 +100,12 @@ def format_lines(spark: SparkSession, folder: str) -> DataFrame:
     return as_lines(views.events(spark, folder), ["event_type", "user_id", "event_id"], ",")
 
 
+@query("""SELECT CAST(user_id AS VARCHAR) AS key, event_type AS value FROM events""")
+def process_pair(spark: SparkSession, folder: str) -> DataFrame:
+    """The split as a process function with set-up, instead of an expression."""
+    return process.pairs(as_lines(views.events(spark, folder), ["user_id", "event_type"], ","))
+
+
 @query(f"""WITH {S.BEHAVIOUR} SELECT arrival, guid, event_id, act_time, 1 AS f1 FROM behaviour""")
 def nested_pair(spark: SparkSession, folder: str) -> DataFrame:
     pairs = project.pair_with_one(_behaviour(spark, folder))

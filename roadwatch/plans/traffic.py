@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.parse import accepted, parse_delimited
 from ..functions.times import from_micros, time_text
 from ..operators.joins import lookup
 from ..operators.patterns import three_in_a_row, too_close
@@ -13,6 +14,7 @@ from ..operators.project import composite_key
 from ..operators.running import Agg, count_rows, total
 from ..operators.topn import top_n
 from ..operators.windows import windowed
+from ..schemas import SIGHTING
 
 # Rules and texts of the jobs.
 DEFAULT_LIMIT = 60.0
@@ -26,11 +28,19 @@ DANGER_WITHIN = "5 minutes"
 WINDOW_SIZE = "5 minutes"
 WINDOW_SLIDE = "1 minute"
 CLONED_PLATE_TEXT = "涉嫌套牌"
+CLONED_PLATE_DETAIL = ["车辆", "通过上一次卡扣时间", "本次通过时间"]
 DANGER_TEXT = "涉嫌危险驾驶"
+DANGER_LABELS = {"first": " first:", "second": " second:", "third": " third:"}
 
 MONITOR = ["area_id", "road_id", "monitor_id"]
 
 
+def sightings_from_lines(lines: DataFrame) -> DataFrame:
+    """TAB lines, as a topic or file holds them, to sightings with a real time."""
+    parsed = parse_delimited(lines, SIGHTING, "\t")
+    return accepted(parsed, "value").withColumn("action_time", F.timestamp_millis("action_time"))
+
+
 def average_speed(sightings: DataFrame, size: str = WINDOW_SIZE, slide: str = WINDOW_SLIDE,
                   time: str = "action_time") -> DataFrame:
     """Average speed and number of cars per monitor and sliding window."""
@@ -85,17 +95,17 @@ def cloned_plates(sightings: DataFrame, within: str = CLONED_PLATE_WITHIN, *,
     """Sightings too close in time to the latest one of the same plate."""
     hits = too_close(sightings, ["car"], "action_time", "arrival", within, width=width)
     previous, now = (time_text(from_micros(F.col(c))) for c in ("previous_us", "time_us"))
-    detail = F.concat(F.lit("车辆"), "car", F.lit("通过上一次卡扣时间"), previous,
-                      F.lit("本次通过时间"), now)
+    of_car, earlier, this_time = map(F.lit, CLONED_PLATE_DETAIL)
+    detail = F.concat(of_car, "car", earlier, previous, this_time, now)
     return hits.select("car", "arrival", F.lit(CLONED_PLATE_TEXT).alias("violation"),
                        detail.alias("detail"))
 
 
-def danger_detail(first: str = "first", second: str = "second", third: str = "third") -> Column:
+def danger_detail() -> Column:
     parts: list = [F.col("car")]
-    for label, name in (("first", first), ("second", second), ("third", third)):
-        parts += [F.lit(f" {label}:"), F.col(f"{name}.monitor_id"),
-                  F.floor(F.col(f"{name}.time_us") / 1000).cast("string")]
+    for place, label in DANGER_LABELS.items():
+        parts += [F.lit(label), F.col(f"{place}.monitor_id"),
+                  F.floor(F.col(f"{place}.time_us") / 1000).cast("string")]
     return F.concat(*parts)
 
 

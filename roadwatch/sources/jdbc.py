@@ -77,3 +77,15 @@ def append_once(batch: DataFrame, batch_id: int, key: list[str],
     written = existing().where(F.col("batch_id") == batch_id).select(*key)
     insert(batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
            .join(written, key, "left_anti"))
+
+
+def writer(options: dict[str, str], key: list[str] | None = None) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``. Without a key a repeated batch is inserted again;
+    with one the table needs a column ``batch_id``."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if key is None:
+            append(batch, options)
+        else:
+            append_once(batch, batch_id, key, lambda: read(batch.sparkSession, options),
+                        lambda rows: append(rows, options))
+    return write

@@ -22,12 +22,17 @@ def source_options(servers: str, topic: str, group: str | None = None, *,
 
 
 def read_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
-    """The record values as text lines."""
-    return only_value(spark.readStream.format("kafka").options(**options).load())
+    return lines(spark.readStream.format("kafka").options(**options).load())
 
 
-def only_value(records: DataFrame) -> DataFrame:
-    return records.select(F.col("value").cast("string").alias("value"))
+def lines(records: DataFrame) -> DataFrame:
+    """The record values as text, with the offset as ``arrival``.
+
+    Records of one key lie in one partition when the producer keys them, so the
+    offset is their order.
+    """
+    return records.select(F.col("value").cast("string").alias("value"),
+                          F.col("offset").alias("arrival"))
 
 
 def sink_options(servers: str, topic: str, batch_bytes: int = 16384,
@@ -44,6 +49,6 @@ def as_lines(df: DataFrame, columns: Sequence[str], sep: str = "\t") -> DataFram
     return df.select(F.concat_ws(sep, *fields).alias("value"))
 
 
-def write_stream(lines: DataFrame, options: dict[str, str], checkpoint: str) -> DataStreamWriter:
-    return (lines.writeStream.format("kafka").options(**options)
+def write_stream(values: DataFrame, options: dict[str, str], checkpoint: str) -> DataStreamWriter:
+    return (values.writeStream.format("kafka").options(**options)
             .option("checkpointLocation", checkpoint))

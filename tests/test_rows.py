@@ -153,8 +153,8 @@ def test_kafka_options(spark):
     with pytest.raises(ValueError):
         kafka.source_options("h:1", "t", start="middle")
     assert kafka.sink_options("h:1", "t")["kafka.batch.size"] == "16384"
-    records = spark.createDataFrame([(bytearray(b"a\tb"),)], "value binary")
-    assert kafka.only_value(records).first()["value"] == "a\tb"
+    records = spark.createDataFrame([(bytearray(b"a\tb"), 7)], "value binary, offset long")
+    assert tuple(kafka.lines(records).first()) == ("a\tb", 7)
     df = spark.createDataFrame([("a", None, 1.5)], "x string, y int, z double")
     assert kafka.as_lines(df, ["x", "y", "z"]).first()["value"] == "a\t\t1.5"
 
@@ -194,6 +194,36 @@ def test_append_once_after_a_half_written_batch(spark, tmp_path):
     assert sorted((r["id"], r["batch_id"]) for r in rows) == [(1, 6), (1, 7), (2, 7)]
 
 
+def test_jdbc_writer(spark, monkeypatch):
+    """The database is replaced by a list: none may be started here."""
+    inserted = []
+    monkeypatch.setattr(jdbc, "append", lambda df, options: inserted.append(sorted(map(tuple, df.collect()))))
+    held = spark.createDataFrame([(1, 5)], "id int, batch_id long")
+    monkeypatch.setattr(jdbc, "read", lambda session, options: held)
+    batch = spark.createDataFrame([(1,), (2,)], "id int")
+    jdbc.writer({})(batch, 5)
+    jdbc.writer({}, ["id"])(batch, 5)
+    jdbc.writer({}, ["id"])(batch, 6)
+    assert inserted == [[(1,), (2,)], [(2, 5)], [(1, 6), (2, 6)]]
+
+
+def test_process_opens_and_closes_around_a_partition(spark, tmp_path):
+    from roadwatch.operators.process import pairs, per_partition
+    found = pairs(lines(spark, "a,1", "b", "c,3,x")).collect()
+    assert sorted((r["key"], r["value"]) for r in found) == [("a", "1"), ("b", None), ("c", "3")]
+    log = str(tmp_path)
+
+    def note(name):
+        import uuid
+        open(f"{log}/{name}-{uuid.uuid4().hex}", "w").close()
+
+    df = spark.range(10).repartition(3)
+    rows = per_partition(df, "id long", lambda: note("open"), lambda r, b: b, lambda r: note("close"))
+    assert rows.count() == 10
+    names = sorted(p.name.split("-")[0] for p in tmp_path.iterdir())
+    assert names.count("open") == names.count("close") >= 1
+
+
 def test_text_lines(spark, tmp_path):
     (tmp_path / "a.txt").write_text("x\ty\nz\n")
     assert [r["value"] for r in files.text_lines(spark, str(tmp_path)).collect()] == ["x\ty", "z"]

@@ -301,6 +301,21 @@ def test_busiest_monitors_per_finished_window(replay):
                   for r in found.collect()) == [(0, 1, 1, 1), (60, 0, 1, 1)]
 
 
+def test_jobs_from_text_lines(spark, tmp_path):
+    """The jobs as they run on a topic's lines; a bad line is left out."""
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    base = 1_704_067_200_000
+    rows = [f"01\tr\t0001\tc\t{base + s * 1000}\tcar\t{v}" for s, v in ((1, 80), (4, 100), (70, 60))]
+    (folder / "a.txt").write_text("\n".join([*rows, "bad line", f"01\tr\t0001\tc\t{base + 900_000}\tz\t1"]))
+    lines = stream_lines(spark, str(folder))
+    averages = to_table(jobs.average_speed(traffic.sightings_from_lines(lines), "5 minutes", "1 minute",
+                                           "5 seconds"), "lines")
+    got = {second(r["window_start"]): (r["avg_speed"], r["car_count"]) for r in averages.collect()}
+    assert got == {-240: (90.0, 2), -180: (80.0, 3), -120: (80.0, 3), -60: (80.0, 3), 0: (80.0, 3),
+                   60: (60.0, 1)}
+
+
 def test_limits_are_read_again_while_the_stream_runs(spark, replay):
     """The limit table is a file here; a database would be read the same way."""
     loads, now = [], [0.0]
