@@ -409,6 +409,18 @@ def sliding_all(spark: SparkSession, folder: str) -> DataFrame:
                             {"n": count_rows()})
 
 
+@query(f"""WITH {S.OUT_OF_ORDER}
+SELECT time_bucket(INTERVAL 30 MINUTE, ts) AS window_start,
+       time_bucket(INTERVAL 30 MINUTE, ts) + INTERVAL 30 MINUTE AS window_end, count(*) AS n,
+       CAST(count(*) FILTER (event_time < ts - INTERVAL 3 HOUR) AS BIGINT) AS stale
+FROM disordered GROUP BY ALL""")
+def tumbling_arrival(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows by arrival time over all rows, and how many rows came three hours late."""
+    stale = F.col("event_time") < F.col("ts") - F.expr("INTERVAL 3 HOURS")
+    return windows.windowed(views.out_of_order(views.events(spark, folder)), "ts", "30 minutes", None,
+                            [], {"n": count_rows(), "stale": count_rows(stale)})
+
+
 @query(f"""WITH {S.OUT_OF_ORDER}, {S.sliding('disordered', 'ts', '6 HOUR', 2)}
 SELECT guid, window_start, window_end, count(*) AS n FROM spread GROUP BY ALL""")
 def sliding_count(spark: SparkSession, folder: str) -> DataFrame:
@@ -464,6 +476,19 @@ def session_keyed(spark: SparkSession, folder: str) -> DataFrame:
     return _sessions(spark, folder, "6 hours", ["user_id"])
 
 
+@query(f"""WITH {S.OUT_OF_ORDER}
+SELECT min(event_time) AS session_start, max(event_time) + INTERVAL 5 MINUTE AS session_end,
+       count(*) AS n, max(act_time) AS most
+FROM (SELECT *, sum(opens) OVER (ORDER BY event_time, arrival ROWS UNBOUNDED PRECEDING) AS session
+      FROM (SELECT *, CASE WHEN event_time - lag(event_time) OVER (ORDER BY event_time, arrival)
+                                <= INTERVAL 5 MINUTE THEN 0 ELSE 1 END AS opens FROM disordered))
+GROUP BY session""")
+def session_disordered(spark: SparkSession, folder: str) -> DataFrame:
+    """Sessions by event time over rows that arrive out of order."""
+    return sessions.sessions(views.out_of_order(views.events(spark, folder)), "event_time", "5 minutes",
+                             [], {"n": count_rows(), "most": highest(F.col("act_time"))})
+
+
 # --- count windows ----------------------------------------------------------
 
 def _amounts(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -61,7 +62,14 @@ def to_table(stream: DataFrame, name: str, mode: str = "append",
     """
     folder = folder or run_dir(stream.sparkSession, name)
     finish(start(stream, batch_writer(f"{folder}/out", per_batch), f"{folder}/checkpoint", mode))
-    return stream.sparkSession.read.parquet(f"{folder}/out")
+    try:
+        return stream.sparkSession.read.parquet(f"{folder}/out")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # The input was empty, so no batch ran.
+        none = stream.sparkSession.createDataFrame([], stream.schema)
+        return (per_batch(none) if per_batch else none).withColumn("batch_id", F.lit(0))
 
 
 def final_rows(written: DataFrame, keys: Sequence[str]) -> DataFrame:

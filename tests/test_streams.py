@@ -75,6 +75,11 @@ def test_text_source_parses_and_rejects(spark, tmp_path):
     assert sorted(r["page"] for r in rows.collect()) == ["p", "q"]
 
 
+def test_empty_input_gives_an_empty_table(replay):
+    counts = to_table(replay.stream(), "empty", per_batch=lambda b: b.groupBy("guid").count())
+    assert counts.columns == ["guid", "count", "batch_id"] and counts.count() == 0
+
+
 def test_watermarked_windows_keep_rows_within_the_delay(replay):
     stream = with_event_time(replay.add(*BATCHES).stream(), "ts", "0 seconds")
     counts = windows.windowed(stream, "ts", "10 seconds", None, ["guid"], {"n": count_rows()})
