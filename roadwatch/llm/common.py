@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import types
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -40,3 +41,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def worker_cache() -> dict:
+    """A dictionary that lives as long as the Python worker, across its tasks."""
+    name = "_roadwatch_worker_cache"
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+
+
+ship(__name__)

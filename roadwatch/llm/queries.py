@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.files import table
-from . import exact_dedup, sharding, url_filters
+from ..session import run_dir
+from . import exact_dedup, packing, sharding, token_ids, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,6 +29,23 @@ URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
 SHARDS = 16
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@_query()
+def op1_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    path = run_dir(spark, "token-ids")
+    token_ids.write_ids(table(spark, folder, "documents"), path, tokenizer_file())
+    return token_ids.read_digests(spark, path)
+
+
+@_query()
+def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), packing.word_tokens())
+
+
 @_query("""WITH cut AS (
   SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
   FROM pages), parts AS (
