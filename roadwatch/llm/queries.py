@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.files import table
 from ..session import run_dir
-from . import exact_dedup, packing, sharding, token_ids, url_filters
+from . import exact_dedup, lang_id, packing, sharding, token_ids, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -80,3 +80,8 @@ SELECT s.doc_id, g.keep_id, g.group_size, s.doc_id = g.keep_id AS kept, sha256(s
 FROM squeezed s JOIN groups g USING (t)""")
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents"))
+
+
+@_query()
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return lang_id.identify(table(spark, folder, "documents"))
