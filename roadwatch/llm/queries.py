@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.files import table
 from ..session import run_dir
-from . import exact_dedup, lang_id, packing, sharding, token_ids, url_filters
+from . import decontaminate, exact_dedup, lang_id, packing, sharding, token_ids, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -85,3 +85,8 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @_query()
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return lang_id.identify(table(spark, folder, "documents"))
+
+
+@_query()
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
