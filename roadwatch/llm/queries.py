@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.files import table
 from ..session import run_dir
-from . import decontaminate, exact_dedup, lang_id, packing, sharding, token_ids, url_filters
+from . import decontaminate, exact_dedup, lang_id, ngram_join, packing, sharding, token_ids, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -90,3 +90,9 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
 @_query()
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@_query()
+def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.classes(table(spark, folder, "documents")).select(
+        "doc_id", "class_id", "n_links", "kept")
