@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.files import table
 from ..session import run_dir
-from . import decontaminate, exact_dedup, lang_id, ngram_join, packing, sharding, token_ids, url_filters
+from . import decontaminate, exact_dedup, lang_id, lm_score, ngram_join, packing, sharding, token_ids, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -96,3 +96,8 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.classes(table(spark, folder, "documents")).select(
         "doc_id", "class_id", "n_links", "kept")
+
+
+@_query()
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_score.score(table(spark, folder, "documents"))
