@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 import sys
 import types
 
@@ -36,6 +38,19 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Rows that the driver has worked out, as a table: a literal in the plan, no Python on executors."""
+    fields = re.findall(r"(?:^|, )(\w+) \w", schema)
+    text = json.dumps([dict(zip(fields, row)) for row in rows])
+    return spark.range(1, numPartitions=1).select(
+        F.inline(F.from_json(F.lit(text), f"array<struct<{_typed(schema)}>>")))
+
+
+def _typed(schema: str) -> str:
+    """``a int, b long`` as fields of a struct: ``a: int, b: long``."""
+    return re.sub(r"(^|, )(\w+) (\w+)", r"\1\2: \3", schema)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table that nothing reads any more."""
     jvm = spark.sparkContext._jvm

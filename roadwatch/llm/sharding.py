@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.stored import stored
+from .common import small_table
 
 RING = 1 << 16  # positions of the ring
 POINTS = 64  # points of a shard on the ring
@@ -97,8 +98,8 @@ def place(docs: DataFrame, shards: int, doc_id: str = "doc_id", text: str = "tex
     """
     spark = docs.sparkSession
     ring = ring_points(spark, shards, points)
-    slots = spark.createDataFrame(
-        [(p, _arc_of(ring, p)) for p in range(RING)], "position int, arc int")
+    slots = small_table(spark, _arcs(ring), "low int, high int, arc int").select(
+        F.explode(F.sequence("low", "high")).alias("position"), "arc")
     bytes_of = F.col(text).cast("binary")
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),
@@ -133,8 +134,9 @@ def place(docs: DataFrame, shards: int, doc_id: str = "doc_id", text: str = "tex
     for run in runs:
         by_arc.setdefault(run.arc, []).append((run.low, run.high, run.shard, run.slot))
     # One row per arc: shards x points rows, whatever the input.
-    routes = spark.createDataFrame(
-        list(by_arc.items()),
+    routes = small_table(
+        spark, [(arc, [dict(zip(("low", "high", "shard", "slot"), r)) for r in of])
+                for arc, of in by_arc.items()],
         "arc int, runs array<struct<low: long, high: long, shard: int, slot: long>>")
     mine = F.filter("runs", lambda r: (r["low"] <= F.col("rank")) & (F.col("rank") < r["high"]))[0]
     return (ranked.join(F.broadcast(routes), "arc").withColumn("run", mine)
@@ -144,8 +146,9 @@ def place(docs: DataFrame, shards: int, doc_id: str = "doc_id", text: str = "tex
                     F.lit(None).cast("int").alias("grown_shard")))
 
 
-def _arc_of(ring: list[tuple[int, int]], position: int) -> int:
-    """The next point at or after the position; behind the last comes the first."""
-    import bisect
-    at = bisect.bisect_left(ring, (position, -1))
-    return at % len(ring)
+def _arcs(ring: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(first position, last position, arc): up to and with each point; behind the last comes the first."""
+    firsts = [0, *[position + 1 for position, _ in ring[:-1]]]
+    arcs = [(low, at, arc) for arc, (low, (at, _)) in enumerate(zip(firsts, ring))]
+    end = ring[-1][0] + 1
+    return arcs + ([(end, RING - 1, 0)] if end < RING else [])
