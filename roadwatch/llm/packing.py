@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.stored import stored
-from .common import whole_text
+from .common import small_table, whole_text
 
 SIZES = {512: 530.0, 1024: 1040.0, 2048: 2060.0, 4096: 4106.0}  # tokens, cost of a sequence
 SLICE_ROWS = 50_000
@@ -179,9 +179,11 @@ def pack(docs: DataFrame, length: Column, costs: Mapping[int, float] = SIZES,
     for of, run in _at_final_bins(placed, bins):
         routes.setdefault(of, []).append(run)
     # One row per length: at most the largest size, whatever the input.
-    table = spark.createDataFrame(list(routes.items()), (
+    names = ("low", "high", "bin", "per_bin", "offset", "size")
+    table = small_table(
+        spark, [(of, [dict(zip(names, r)) for r in runs]) for of, runs in routes.items()],
         "length int, runs array<struct<low: long, high: long, bin: long, per_bin: long, "
-        "offset: long, size: int>>"))
+        "offset: long, size: int>>")
     mine = F.filter("runs", lambda r: (r["low"] <= F.col("rank")) & (F.col("rank") < r["high"]))[0]
     behind = F.col("rank") - F.col("run.low")
     return (ranked.join(F.broadcast(table), "length").withColumn("run", mine).select(

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import free_name
+from .common import free_name, small_table
 
 BROADCAST_RULES = 100_000  # rules up to this number are sent to every executor
 
@@ -46,7 +46,7 @@ def _suffixes(host: Column) -> Column:
 
 def rules_table(spark, rules: list[tuple[str, str, str]]) -> DataFrame:
     """(verdict, host, path) rows as a table."""
-    return spark.createDataFrame(rules, "verdict string, host string, path string")
+    return small_table(spark, rules, "verdict string, host string, path string")
 
 
 def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
