@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.files import table
 from ..session import run_dir
-from . import decontaminate, exact_dedup, lang_id, lm_score, ngram_join, packing, sharding, token_ids, url_filters
+from . import decontaminate, exact_dedup, lang_id, lm_score, ngram_join, packing, secret_scan, sharding, token_ids, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -101,3 +101,12 @@ def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 @_query()
 def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score.score(table(spark, folder, "documents"))
+
+
+@_query()
+def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The findings without their text: its length and checksum tell them apart."""
+    return secret_scan.scan(table(spark, folder, "documents")).select(
+        "doc_id", "no", "start", F.length("secret").alias("length"),
+        F.crc32(F.col("secret").cast("binary")).alias("secret_crc32"), "kind", "held_out",
+        "probability", "is_secret")
