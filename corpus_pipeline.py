@@ -4,26 +4,52 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadwatch.llm import exact_dedup
+from roadwatch.llm import decontaminate, exact_dedup, lang_id, ngram_join, packing
 from roadwatch.session import run_dir
 
 
+def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or whose language is not recognised, go."""
+    return lang_id.keep_known(docs)
+
+
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts one document stays."""
     return exact_dedup.keep_one(docs)
 
 
-STAGES = [("exact dedup", exact_duplicates)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of similar texts one document stays."""
+    return ngram_join.keep_one(docs)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces with their place in the training sequences."""
+    return packing.pack(docs, packing.word_tokens())
+
+
+STAGES = [
+    ("language id", known_languages),
+    ("exact dedup", exact_duplicates),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", benchmark_leaks),
+    ("best-fit packing", packed_sequences),
+]
 
-#: No SQL states a trained classifier.
+#: SQL states neither a trained classifier nor the similarity search.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to documents; each result is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        path = run_dir(spark, f"pipeline-{name.replace(' ', '-')}")
+    for number, (_, stage) in enumerate(STAGES, 1):
+        path = run_dir(spark, f"pipeline-{number}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
