@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -34,14 +34,19 @@ def as_known(events: DataFrame, updates: DataFrame, keys: Sequence[str], order:
 
     ``order`` is one arrival numbering over both inputs.
     """
-    known = F.struct(*payload)
-    tagged = events.withColumn("__is_event", F.lit(True)).unionByName(
-        updates.select(*keys, order, *payload).withColumn("__is_event", F.lit(False)),
+    tagged = events.withColumn("__is_update", F.lit(False)).unionByName(
+        updates.select(*keys, order, *payload).withColumn("__is_update", F.lit(True)),
         allowMissingColumns=True)
-    state = running(tagged, keys, order,
-                    {"__known": latest(F.when(~F.col("__is_event"), known))}, width=width)
-    return (state.where("__is_event").drop("__is_event", *payload)
-            .select("*", "__known.*").drop("__known"))
+    return as_known_tagged(tagged, keys, order, F.col("__is_update"),
+                           {c: F.col(c) for c in payload}, width=width).drop("__is_update")
+
+
+def as_known_tagged(rows: DataFrame, keys: Sequence[str], order: str, is_update: Column,
+                    payload: Mapping[str, Column], *, width: int | None = None) -> DataFrame:
+    """``as_known`` for events and updates that come in one table, which is read as one."""
+    known = F.struct(*[c.alias(name) for name, c in payload.items()])
+    state = running(rows, keys, order, {"__known": latest(F.when(is_update, known))}, width=width)
+    return (state.where(~is_update).drop(*payload).select("*", "__known.*").drop("__known"))
 
 
 def window_join(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str, size: str,

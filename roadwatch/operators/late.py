@@ -36,6 +36,11 @@ def mark_late(df: DataFrame, time: str, order: str, size: str, *, delay: str,
     }).drop("__t", "__max")
 
 
+def without_time(df: DataFrame, time: str) -> DataFrame:
+    """Rows without a time: they are in no window, so ``mark_late`` leaves them out."""
+    return df.where(F.col(time).isNull())
+
+
 def late_side(marked: DataFrame) -> DataFrame:
     return marked.where("is_late").drop("is_late", "is_refire")
 
@@ -47,8 +52,8 @@ def on_time(marked: DataFrame) -> DataFrame:
 def refires(marked: DataFrame, keys: Sequence[str], order: str, *,
             width: int | None = None) -> DataFrame:
     """The repeated results: the window's count at each row allowed in late."""
-    # Marking is an ordered step over all rows; the second one shall not repeat it.
-    kept = stored(on_time(marked), "on-time")
-    counted = running(kept, [*keys, "window_start", "window_end"], order,
-                      {"so_far": count_rows()}, width=width)
+    group = [*keys, "window_start", "window_end"]
+    # Marking is an ordered step over all rows, not to be repeated: its flags are stored.
+    kept = stored(on_time(marked).select(*group, order, "is_refire"), "on-time")
+    counted = running(kept, group, order, {"so_far": count_rows()}, width=width)
     return counted.where("is_refire").drop("is_refire")

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.times import duration_micros, micros
-from .overlap import overlap_buckets
-from .running import highest, running
+from .running import bucket_of, highest, running
 
-# Buckets are this many times as wide as the look-around.
-SPREAD = 4
+HOT_ROWS = 200_000  # rows of a key that one task takes as a whole
+SLICES = 64  # time buckets per ``within`` of a key with more
 
 
 def too_close(df: DataFrame, keys: Sequence[str], time: str, order: str, within: str, *,
@@ -27,20 +27,42 @@ def too_close(df: DataFrame, keys: Sequence[str], time: str, order: str, within:
 
 
 def three_in_a_row(df: DataFrame, keys: Sequence[str], time: str, order: str, within: str,
-                   carry: Sequence[str]) -> DataFrame:
+                   carry: Sequence[str], *, hot_rows: int = HOT_ROWS,
+                   slices: int = SLICES) -> DataFrame:
     """Each row with the next two of its key, the span being below ``within``.
 
     Matches may overlap. ``df`` holds only the rows that satisfy the pattern's
-    condition; the rows between them do not matter.
+    condition; the rows between them do not matter. A key of more than
+    ``hot_rows`` rows is cut into time buckets of ``within / slices``; every
+    bucket gets the first two rows behind it, as ``running`` carries its value.
     """
     span = duration_micros(within)
-    spread = overlap_buckets(df.withColumn("time_us", micros(F.col(time))), "time_us",
-                             SPREAD * span, after=span)
-    in_order = Window.partitionBy(*keys, "bucket").orderBy("time_us", order)
+    timed = df.withColumn("time_us", micros(F.col(time)))
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows)
+           .select(*[F.col(k).alias(f"__{k}") for k in keys], F.lit(True).alias("__hot")))
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    cut = timed.join(hot, reduce(lambda a, b: a & b, same), "left").withColumn(
+        "__bucket", F.when(F.col("__hot"), bucket_of(F.col("time_us"), max(1, span // slices)))
+        .otherwise(F.lit(0).cast("long"))).drop(*[f"__{k}" for k in keys])
+
+    inside = Window.partitionBy(*keys, "__bucket").orderBy("time_us", order)
     sighting = F.struct("time_us", *carry)
+    ranked = cut.withColumns({"__rn": F.row_number().over(inside), "__one": F.lead(sighting, 1).over(inside),
+                              "__two": F.lead(sighting, 2).over(inside)})
+    # At most two rows of each bucket of a hot key: what a bucket before it may need.
+    heads = ranked.where("__hot and __rn <= 2")
+    ahead = Window.partitionBy(*keys).orderBy("__bucket", "__rn")
+    behind = (heads.withColumns({"__next": F.lead(sighting, 1).over(ahead),
+                                 "__after": F.lead(sighting, 2).over(ahead)})
+              .groupBy(*[F.col(k).alias(f"__{k}") for k in keys], F.col("__bucket").alias("__b"))
+              .agg(F.max_by(F.struct("__next", "__after"), "__rn").alias("__behind")))
+    matched = ranked.join(behind, reduce(lambda a, b: a & b, [
+        *same, F.col("__bucket") == F.col("__b")]), "left")
+    second = F.coalesce("__one", "__behind.__next")
+    third = F.coalesce("__two", F.when(F.col("__one").isNotNull(), F.col("__behind.__next"))
+                       .otherwise(F.col("__behind.__after")))
     return (
-        spread.withColumns({"second": F.lead(sighting, 1).over(in_order),
-                            "third": F.lead(sighting, 2).over(in_order)})
-        .where(F.col("own") & (F.col("third.time_us") - F.col("time_us") < span))
+        matched.withColumns({"second": second, "third": third})
+        .where(F.col("third.time_us") - F.col("time_us") < span)
         .select(*keys, sighting.alias("first"), "second", "third")
     )

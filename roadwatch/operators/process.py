@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 # Workers get the functions themselves, so they need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -32,13 +32,25 @@ def per_partition(df: DataFrame, schema: str, open_: Callable[[], object],
     return df.mapInPandas(run, schema)
 
 
-def split_pair(separator: object, batch: pd.DataFrame) -> pd.DataFrame:
-    """Lines to their first two fields."""
-    parts = batch["value"].str.split(separator, expand=True).reindex(columns=[0, 1])
-    parts = parts.astype(object).where(parts.notna(), None)
-    return parts.set_axis(["key", "value"], axis=1)
+def _accents() -> dict[int, str]:
+    """Letters with marks to the bare letters; found once, by Unicode's own decomposition."""
+    import unicodedata
+    table = {}
+    for code in range(0xC0, 0x250):
+        parts = unicodedata.normalize("NFD", chr(code))
+        bare = "".join(p for p in parts if not unicodedata.combining(p))
+        if bare != chr(code):
+            table[code] = bare
+    return table
 
 
-def pairs(lines: DataFrame, separator: str = ",") -> DataFrame:
-    return per_partition(lines.select("value"), "key string, value string",
-                         lambda: separator, split_pair)
+def _strip(table: object, batch: pd.DataFrame) -> pd.DataFrame:
+    batch["plain"] = batch["text"].str.translate(table)
+    return batch
+
+
+def without_accents(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Texts with bare Latin letters. Spark has no function for it, and the letter table is the
+    set-up that a partition shares."""
+    rows = df.select(F.col(key).cast("long").alias(key), F.col(text).alias("text"))
+    return per_partition(rows, f"{key} long, text string, plain string", _accents, _strip).drop("text")

@@ -12,7 +12,8 @@ def expand_rows(df: DataFrame, count: str, out: str, *, key: str, seed: int = 0)
     depends on the row's key, the copy's position and the seed.
     """
     copies = df.select("*", F.posexplode(F.array_repeat(F.lit(True), F.col(count))).alias("__i", "__t"))
-    mixed = F.col(key).cast("long") * 7919 + F.col("__i").cast("long") * 104729 + F.lit(seed)
+    small = F.pmod(F.col(key).cast("long"), F.lit(1 << 31))  # no product of it overflows
+    mixed = small * 7919 + F.col("__i").cast("long") * 104729 + F.lit(seed)
     return copies.withColumn(out, F.pmod(mixed, F.col(count).cast("long"))).drop("__i", "__t")
 
 

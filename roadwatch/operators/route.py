@@ -11,6 +11,9 @@ SIDE_A_TEXT = "coonected_acc"
 SIDE_A_ADD = 18
 SIDE_B_TEXT = "coonected_bcc"
 SIDE_B_ADD = 20
+# What joined and co-grouped keys append.
+JOIN_TEXT = "_join_"
+COGROUP_TEXT = "_cogroup"
 
 
 def route(df: DataFrame, rules: Mapping[str, Column], main: str = "main",

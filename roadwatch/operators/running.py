@@ -10,18 +10,25 @@ buckets of ``width`` positions:
    (key, bucket) finishes inside the bucket.
 
 ``order`` must be a unique whole number, so a bucket holds at most ``width``
-rows whatever the skew. The full data is shuffled once, on (key, bucket).
+rows whatever the skew. With keys a bucket need only fit a task: it is wide, the
+first aggregate folds most rows, and only keys with more rows than that are cut.
+Without a key there are about as many buckets as a bucket has rows.
+
+A stream goes on where the batch before it ended: ``running_from`` takes what
+every key held then and returns what it holds now.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 MIN_WIDTH = 1024
+KEYED_WIDTH = 1 << 20  # positions of the order that one task takes of a key
+BEFORE_ALL = -(1 << 62)  # the bucket of what came before the input
 
 
 @dataclass(frozen=True)
@@ -30,17 +37,21 @@ class Agg:
 
     kind: str
     column: Column
+    function: Callable[[str], Column] | None = None
 
     def fold(self, name: str) -> Column:
         """Combine values of a group in any order."""
+        if self.function:
+            return self.function(name)
         if self.kind in ("sum", "count"):
             return F.sum(name)
         return {"max": F.max, "min": F.min}[self.kind](name)
 
     def partial(self, name: str, order: str) -> Column:
         """Combine the rows of one bucket."""
-        if self.kind == "last":
-            return F.max_by(F.col(name), F.when(F.col(name).isNotNull(), F.col(order)))
+        if self.kind in ("last", "first"):
+            pick = F.max_by if self.kind == "last" else F.min_by
+            return pick(F.col(name), F.when(F.col(name).isNotNull(), F.col(order)))
         if self.kind == "text":
             listed = F.array_sort(F.collect_list(F.struct(F.col(order), F.col(name).alias("v"))))
             return F.array_join(F.transform(listed, lambda e: e["v"]), "")
@@ -50,6 +61,8 @@ class Agg:
         """Combine values along an ordered window."""
         if self.kind == "last":
             return F.last(name, ignorenulls=True).over(window)
+        if self.kind == "first":
+            return F.first(name, ignorenulls=True).over(window)
         if self.kind == "text":
             return F.array_join(F.collect_list(name).over(window), "")
         return self.fold(name).over(window)
@@ -80,6 +93,17 @@ def latest(column: Column) -> Agg:
     return Agg("last", column)
 
 
+def earliest(column: Column) -> Agg:
+    """The first non-null value in arrival order."""
+    return Agg("first", column)
+
+
+def folded(column: Column, function: Callable[[str], Column]) -> Agg:
+    """Any Spark aggregate that may be taken of its own results, such as ``F.bit_or``,
+    ``F.bit_xor``, ``F.bool_and`` or ``F.product``."""
+    return Agg("fold", column, function)
+
+
 def text_of(column: Column) -> Agg:
     """All values so far as one text, in arrival order."""
     return Agg("text", column)
@@ -104,27 +128,26 @@ def running(df: DataFrame, keys: Sequence[str], order: str, aggs: Mapping[str, A
 
     ``inclusive=False`` leaves the row itself out (the state before the row).
     """
-    before = (Window.unboundedPreceding, -1)
-    return _carried(df, keys, order, aggs, width, before,
-                    (Window.unboundedPreceding, 0 if inclusive else -1))
+    return _running(df, keys, order, aggs, width, inclusive, None)[0]
 
 
-def whole(df: DataFrame, keys: Sequence[str], order: str, aggs: Mapping[str, Agg], *,
-          width: int | None = None) -> DataFrame:
-    """Add to each row the highest or lowest value among all rows of its key.
+def running_from(df: DataFrame, keys: Sequence[str], order: str, aggs: Mapping[str, Agg],
+                 before: DataFrame | None, *, width: int | None = None,
+                 inclusive: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``running`` that goes on from ``before``, and what each key holds after it.
 
-    Like a window over the key, but a hot key is spread over its buckets. A
-    bucket's own rows are counted in again, so only max and min are taken.
+    ``before`` is the second result of the call for the earlier rows, None at
+    first. ``text_of`` and ``earliest`` are not carried over.
     """
-    if any(agg.kind not in ("max", "min") for agg in aggs.values()):
-        raise ValueError("only highest() and lowest() can be taken over a whole key")
-    everything = (Window.unboundedPreceding, Window.unboundedFollowing)
-    return _carried(df, keys, order, aggs, width, everything, everything)
+    if any(agg.kind in ("text", "first") for agg in aggs.values()):
+        raise ValueError("text_of() and earliest() cannot go on from a stored state")
+    return _running(df, keys, order, aggs, width, inclusive, before)
 
 
-def _carried(df: DataFrame, keys: Sequence[str], order: str, aggs: Mapping[str, Agg],
-             width: int | None, bucket_frame: tuple, row_frame: tuple) -> DataFrame:
-    width = width or bucket_width(df, order)
+def _running(df: DataFrame, keys: Sequence[str], order: str, aggs: Mapping[str, Agg],
+             width: int | None, inclusive: bool,
+             before: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    width = width or (KEYED_WIDTH if keys else bucket_width(df, order))
     keys, names = list(keys), {name: f"__{name}" for name in aggs}
     rows = df.withColumns({
         "__bucket": bucket_of(F.col(order).cast("long"), width),
@@ -133,18 +156,27 @@ def _carried(df: DataFrame, keys: Sequence[str], order: str, aggs: Mapping[str,
 
     per_bucket = rows.groupBy(*keys, "__bucket").agg(
         *[agg.partial(names[n], order).alias(names[n]) for n, agg in aggs.items()])
-    buckets = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(*bucket_frame)
+    if before is not None:
+        per_bucket = per_bucket.unionByName(before.select(
+            *keys, F.lit(BEFORE_ALL).alias("__bucket"), *[F.col(n).alias(c) for n, c in names.items()]))
+    after = per_bucket.groupBy(*keys).agg(*[
+        (F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("__bucket")))
+         if aggs[n].kind == "last" else aggs[n].fold(c)).alias(n)
+        for n, c in names.items() if aggs[n].kind not in ("text", "first")])
+    earlier = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = per_bucket.select(
         *keys, "__bucket",
-        *[agg.over(names[n], buckets).alias(names[n]) for n, agg in aggs.items()],
-    ).where(" or ".join(f"`{c}` is not null" for c in names.values()))
+        *[agg.over(names[n], earlier).alias(names[n]) for n, agg in aggs.items()],
+    ).where(" or ".join(f"`{c}` is not null" for c in names.values())).where(
+        F.col("__bucket") != BEFORE_ALL)
 
     both = (rows.withColumn("__seq", F.lit(1))
             .unionByName(carried.withColumn("__seq", F.lit(0)), allowMissingColumns=True))
     within = (Window.partitionBy(*keys, "__bucket").orderBy("__seq", order)
-              .rowsBetween(*row_frame))
-    return (
+              .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
+    result = (
         both.withColumns({n: agg.result(agg.over(names[n], within)) for n, agg in aggs.items()})
         .where("__seq = 1")
         .drop("__seq", "__bucket", *names.values())
     )
+    return result, after

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.times import duration_micros, micros, millis
-from .running import count_rows, highest, running, whole
+from .running import count_rows, running
 from .windows import with_window
 
 
@@ -33,11 +34,15 @@ def fire_on_marker(df: DataFrame, keys: Sequence[str], time: str, order: str, si
     return early.unionByName(final).withColumn("text", window_text(F.col("count")))
 
 
-def evict_older(df: DataFrame, keys: Sequence[str], time: str, order: str, size: str, keep: str, *,
-                width: int | None = None) -> DataFrame:
-    """Per key and window keep the rows newer than the window's last time minus ``keep``."""
+def evict_older(df: DataFrame, keys: Sequence[str], time: str, size: str, keep: str) -> DataFrame:
+    """Per key and window keep the rows newer than the window's last time minus ``keep``.
+
+    The last times are taken with map-side combine and joined back, so that the
+    rows are shuffled once at most and AQE can split a hot window.
+    """
+    group = [*keys, "window_start", "window_end"]
     rows = with_window(df, time, size).withColumn("__t", micros(F.col(time)))
-    seen = whole(rows, [*keys, "window_start", "window_end"], order,
-                 {"__last": highest(F.col("__t"))}, width=width)
-    return (seen.where(F.col("__t") > F.col("__last") - duration_micros(keep))
-            .drop("__t", "__last"))
+    last = rows.groupBy(*[F.col(c).alias(f"__{c}") for c in group]).agg(F.max("__t").alias("__last"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in group])
+    return (rows.join(last, same).where(F.col("__t") > F.col("__last") - duration_micros(keep))
+            .drop("__t", "__last", *[f"__{c}" for c in group]))

@@ -12,7 +12,8 @@ from roadwatch.operators import (
     aggs, count_windows, histories, joins, late, patterns, sessions, triggers,
 )
 from roadwatch.operators.running import (
-    bucket_width, count_rows, highest, latest, lowest, running, text_of, total, whole,
+    KEYED_WIDTH, bucket_width, count_rows, earliest, folded, highest, latest, lowest, running,
+    running_from, text_of, total,
 )
 
 EPOCH = dt.datetime(2024, 1, 1)
@@ -67,19 +68,37 @@ def test_running_keeps_all_columns_and_sparse_order(spark):
     assert bucket_width(df.limit(0), "arrival") == 1024
 
 
-@FEW
-@given(ROWS, st.integers(1, 9))
-def test_whole(spark, rows, width):
-    found = whole(frame(spark, rows), ["key"], "arrival", {"hi": highest(F.col("n"))}, width=width)
-    groups = by_key(rows)
-    want = {i: max([v for _, _, v in g if v is not None], default=None)
-            for g in groups.values() for i, _, _ in g}
-    assert {r["arrival"]: r["hi"] for r in found.collect()} == want
+def test_keyed_buckets_are_wide_and_need_no_look_at_the_data(spark):
+    df = frame(spark, [("a", 1, 1), ("a", 2, 2)])
+    assert KEYED_WIDTH == 1 << 20
+    found = running(df, ["key"], "arrival", {"first": earliest(F.col("n")),
+                                             "bits": folded(F.col("n"), F.bit_or)})
+    assert sorted((r["first"], r["bits"]) for r in found.collect()) == [(1, 1), (1, 3)]
 
 
-def test_whole_refuses_sums(spark):
+@FEW
+@given(ROWS, st.integers(0, 60), st.integers(1, 9), st.booleans())
+def test_running_goes_on_from_a_stored_state(spark, rows, cut, width, inclusive):
+    aggregates = {"s": total(F.col("n")), "c": count_rows(), "hi": highest(F.col("n")),
+                  "last": latest(F.col("n"))}
+    df = frame(spark, rows)
+    whole = running(df, ["key"], "arrival", aggregates, width=width, inclusive=inclusive)
+    one, state = running_from(df.where(F.col("arrival") < cut), ["key"], "arrival", aggregates, None,
+                              width=width, inclusive=inclusive)
+    two, state = running_from(df.where(F.col("arrival") >= cut), ["key"], "arrival", aggregates, state,
+                              width=width, inclusive=inclusive)
+    order = ["arrival", "s", "c", "hi", "last"]
+    assert sorted(map(str, one.unionByName(two).select(order).collect())) == sorted(
+        map(str, whole.select(order).collect()))
+    ends = {r["key"]: (r["s"], r["c"], r["hi"]) for r in state.collect()}
+    want = {k: (sum(v) if v else None, len(g), max(v, default=None)) for k, g in by_key(rows).items()
+            for v in [[v for _, _, v in g if v is not None]]}
+    assert ends == want
+
+
+def test_texts_do_not_go_on(spark):
     with pytest.raises(ValueError):
-        whole(frame(spark, [("a", 1, 1)]), ["key"], "arrival", {"s": total(F.col("n"))})
+        running_from(frame(spark, [("a", 1, 1)]), ["key"], "arrival", {"t": text_of(F.col("n"))}, None)
 
 
 @FEW
@@ -177,10 +196,10 @@ def test_too_close(spark, rows, within, width):
 
 
 @FEW
-@given(ROWS, st.integers(1, 30))
-def test_three_in_a_row(spark, rows, within):
+@given(ROWS, st.integers(1, 30), st.integers(1, 20), st.integers(1, 9))
+def test_three_in_a_row(spark, rows, within, hot_rows, slices):
     found = patterns.three_in_a_row(frame(spark, rows), ["key"], "ts", "arrival",
-                                    f"{within} seconds", ["arrival"])
+                                    f"{within} seconds", ["arrival"], hot_rows=hot_rows, slices=slices)
     want = set()
     for group in by_key(rows).values():
         order = sorted((s, i) for i, s, _ in group)
@@ -263,10 +282,9 @@ def test_marker_trigger(spark, rows, width):
 
 
 @FEW
-@given(ROWS, st.integers(1, 10), st.integers(1, 7))
-def test_evict(spark, rows, keep, width):
-    kept = triggers.evict_older(frame(spark, rows), ["key"], "ts", "arrival", "10 seconds",
-                                f"{keep} seconds", width=width)
+@given(ROWS, st.integers(1, 10))
+def test_evict(spark, rows, keep):
+    kept = triggers.evict_older(frame(spark, rows), ["key"], "ts", "10 seconds", f"{keep} seconds")
     newest = defaultdict(int)
     for k, s, _ in rows:
         newest[k, s // 10] = max(newest[k, s // 10], s)
