@@ -7,14 +7,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.parse import accepted, parse_delimited
-from ..functions.times import from_micros, time_text
+from ..functions.times import from_micros, millis, time_text
 from ..operators.joins import lookup
 from ..operators.patterns import three_in_a_row, too_close
 from ..operators.project import composite_key
 from ..operators.running import Agg, count_rows, total
 from ..operators.topn import top_n
 from ..operators.windows import windowed
-from ..schemas import SIGHTING
+from ..schemas import SIGHTING, SPEEDING_RECORD
 
 # Rules and texts of the jobs.
 DEFAULT_LIMIT = 60.0
@@ -67,6 +67,16 @@ def speeding_records(sightings: DataFrame, limits: DataFrame, *extra: str) -> Da
         F.col("speed_limit").alias("limit_speed"), "action_time", *extra)
 
 
+def sink_record(records: DataFrame, *extra: str) -> DataFrame:
+    """Speeding records as their table has them: six columns, the time in epoch milliseconds.
+
+    ``extra`` are columns that the caller's table has besides, such as a key.
+    """
+    typed = [F.col(f.name).cast(f.dataType).alias(f.name)
+             for f in SPEEDING_RECORD.fields if f.name != "action_time"]
+    return records.select(*typed, millis(F.col("action_time")).alias("action_time"), *extra)
+
+
 def speed_bands(speed: Column) -> dict[str, Agg]:
     """How many cars per band, highest band first."""
     band = (F.when(speed >= HIGH_SPEED, "high_count").when(speed >= MIDDLE_SPEED, "middle_count")

@@ -25,15 +25,5 @@ SPEEDING_RECORD = _schema(
 BEHAVIOUR_EVENT = _schema(
     ("guid", _L), ("event_id", _S), ("timestamp", _L), ("act_time", _I),
 )
-PAGE_EVENT = _schema(
-    ("guid", _L), ("event_id", _S), ("timestamp", _L), ("page_id", _S),
-)
 CLICK = _schema(("user", _S), ("page", _S), ("seconds", _L))
-AMOUNT = _schema(("a", _S), ("key", _S), ("n", _I))
-COUNTED_EVENT = _schema(("id", _I), ("event_id", _S), ("cnt", _I))
-PERSON = _schema(("id", _I), ("gender", _S), ("city", _S))
 USER_EVENT = _schema(("id", _S), ("event", _S))
-USER_PROFILE = _schema(("id", _S), ("age", _S), ("city", _S))
-VIOLATION = _schema(
-    ("car", _S), ("violation", _S), ("create_time", _S), ("detail", _S),
-)

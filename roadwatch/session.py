@@ -48,6 +48,12 @@ def shared_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="roadwatch-")
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete what a finished run has left and nothing reads any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
-    """A new folder for one run; nothing is ever reused or deleted."""
+    """A new folder for one run; none is ever used twice."""
     return f"{shared_dir(spark)}/roadwatch/{name}-{uuid.uuid4().hex}"

@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from itertools import islice
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 
-def print_stream(df: DataFrame, mode: str = "append", prefix: str | None = None,
-                 rows: int = 20) -> DataStreamWriter:
-    """A writer to the console; ``prefix`` goes before each row."""
-    if prefix is not None:
-        df = df.select(F.concat(F.lit(prefix), F.to_csv(F.struct("*"))).alias("value"))
-    return (df.writeStream.outputMode(mode).format("console")
-            .option("truncate", "false").option("numRows", rows))
+def print_stream(df: DataFrame, mode: str = "append", prefix: str = "", rows: int | None = None,
+                 show: Callable[[str], object] = print) -> DataStreamWriter:
+    """A writer that prints every row as comma-separated text behind ``prefix``.
+
+    The driver takes one partition of a micro-batch at a time. ``rows`` limits
+    what is shown of each micro-batch; by default that is everything.
+    """
+    lines = df.select(F.concat(F.lit(prefix), F.to_csv(F.struct("*"))).alias("line"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        for row in islice(batch.toLocalIterator(), rows):
+            show(row["line"])
+    return lines.writeStream.outputMode(mode).foreachBatch(write)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..session import run_dir
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,3 +39,28 @@ def stream_lines(spark: SparkSession, path: str | None = None, fmt: str = "text"
     """Lines in a column ``value``; pass ``fmt="socket", host=..., port=...`` for a socket."""
     reader = spark.readStream.format(fmt).options(**options)
     return reader.load(path) if path else reader.load()
+
+
+CUT_ROWS = 1_000_000  # positions of the order in one replayed file
+LEAST_CUTS = 6
+
+
+def replayed(spark: SparkSession, rows: DataFrame, order: str, name: str) -> DataFrame:
+    """A table as a stream in the order of a whole-number column, one cut per micro-batch.
+
+    The order is cut into ranges of equal width, at least ``LEAST_CUTS``. All cuts
+    are written by one job; the files' times then say which comes first.
+    """
+    highest = rows.agg(F.max(order)).first()[0] or 0
+    cuts = max(LEAST_CUTS, highest // CUT_ROWS)
+    width = highest // cuts + 1
+    path = run_dir(spark, f"replay-{name}")
+    (rows.withColumn("cut", F.expr(f"`{order}` div {width}")).repartition(cuts, "cut")
+     .write.partitionBy("cut").parquet(path))
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/cut=*/*.parquet")
+    system = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in system.globStatus(at):
+        cut = int(found.getPath().getParent().getName().removeprefix("cut="))
+        system.setTimes(found.getPath(), 1_700_000_000_000 + cut * 1000, -1)
+    return (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+            .parquet(f"{path}/cut=*"))

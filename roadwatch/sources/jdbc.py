@@ -10,6 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.joins import latest_per_key
+
 # Fixed value: the reference table is read again every 30 minutes.
 REFRESH_SECONDS = 30 * 60
 
@@ -49,17 +51,26 @@ class RefreshedTable:
 
     def __init__(self, load: Callable[[], DataFrame], folder: str,
                  max_age_seconds: float = REFRESH_SECONDS,
-                 clock: Callable[[], float] = time.monotonic):
-        self._load, self._folder = load, folder
+                 clock: Callable[[], float] = time.monotonic,
+                 keys: list[str] | None = None, order: str | None = None):
+        """With ``keys`` the last row of each key wins: by ``order``, or as the scan delivers them."""
+        self._load, self._folder, self._keys, self._order = load, folder, keys, order
         self._max_age, self._clock = max_age_seconds, clock
         self._loaded_at: float | None = None
         self._version = 0
         self._snapshot: DataFrame | None = None
 
+    def _last_of_each(self, rows: DataFrame) -> DataFrame:
+        if not self._keys:
+            return rows
+        order = self._order or "__place"
+        placed = rows if self._order else rows.withColumn(order, F.monotonically_increasing_id())
+        return latest_per_key(placed, self._keys, order).select(*rows.columns)
+
     def get(self) -> DataFrame:
         now = self._clock()
         if self._loaded_at is None or now - self._loaded_at >= self._max_age:
-            fresh = self._load()
+            fresh = self._last_of_each(self._load())
             path = f"{self._folder}/snapshot-{self._version}"
             fresh.write.mode("overwrite").parquet(path)
             self._snapshot = fresh.sparkSession.read.schema(fresh.schema).parquet(path)
@@ -72,8 +83,12 @@ def append_once(batch: DataFrame, batch_id: int, key: list[str],
     """Append a micro-batch so that running it again adds nothing twice.
 
     A failed try may have written part of the batch: rows whose key the table
-    already holds for this batch are left out. ``key`` must be unique in a batch.
+    already holds for this batch are left out. ``key`` must be unique in a batch;
+    a batch that repeats one is refused, as its rows could not be told apart.
     """
+    repeated = batch.groupBy(*key).count().where("count > 1").limit(1).collect()
+    if repeated:
+        raise ValueError(f"the key {key} is not unique in batch {batch_id}: {repeated[0]}")
     written = existing().where(F.col("batch_id") == batch_id).select(*key)
     insert(batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
            .join(written, key, "left_anti"))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+PARTITIONS = 1 << 16  # a topic has fewer partitions than this
+
 
 def source_options(servers: str, topic: str, group: str | None = None, *,
                    start: str = "latest", max_offsets_per_trigger: int | None = None) -> dict[str, str]:
@@ -26,13 +28,15 @@ def read_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
 
 
 def lines(records: DataFrame) -> DataFrame:
-    """The record values as text, with the offset as ``arrival``.
+    """The record values as text, with partition, offset and a unique ``arrival``.
 
-    Records of one key lie in one partition when the producer keys them, so the
-    offset is their order.
+    Offsets repeat in every partition, so ``arrival`` holds both. Records of one
+    key lie in one partition when the producer keys them; their order is the
+    offset's. As an order of ``running`` it takes a ``width`` of ``PARTITIONS``
+    times the rows per bucket.
     """
-    return records.select(F.col("value").cast("string").alias("value"),
-                          F.col("offset").alias("arrival"))
+    return records.select(F.col("value").cast("string").alias("value"), "partition", "offset",
+                          (F.col("offset") * PARTITIONS + F.col("partition")).alias("arrival"))
 
 
 def sink_options(servers: str, topic: str, batch_bytes: int = 16384,

@@ -153,8 +153,11 @@ def test_kafka_options(spark):
     with pytest.raises(ValueError):
         kafka.source_options("h:1", "t", start="middle")
     assert kafka.sink_options("h:1", "t")["kafka.batch.size"] == "16384"
-    records = spark.createDataFrame([(bytearray(b"a\tb"), 7)], "value binary, offset long")
-    assert tuple(kafka.lines(records).first()) == ("a\tb", 7)
+    records = spark.createDataFrame([(bytearray(b"a\tb"), 0, 7), (bytearray(b"c"), 1, 7)],
+                                    "value binary, partition int, offset long")
+    found = kafka.lines(records).collect()
+    assert [tuple(r)[:3] for r in found] == [("a\tb", 0, 7), ("c", 1, 7)]
+    assert found[0]["arrival"] != found[1]["arrival"], "offsets repeat in every partition"
     df = spark.createDataFrame([("a", None, 1.5)], "x string, y int, z double")
     assert kafka.as_lines(df, ["x", "y", "z"]).first()["value"] == "a\t\t1.5"
 
@@ -194,6 +197,43 @@ def test_append_once_after_a_half_written_batch(spark, tmp_path):
     assert sorted((r["id"], r["batch_id"]) for r in rows) == [(1, 6), (1, 7), (2, 7)]
 
 
+def test_append_once_keeps_every_row_of_a_repeated_batch(spark, tmp_path):
+    """Two partitions with the same offset; one row was written before the first try failed."""
+    sink, schema = str(tmp_path / "sink"), "offset long, partition int, batch_id long"
+    spark.createDataFrame([(7, 0, 3)], schema).write.parquet(sink)
+    batch = spark.createDataFrame([(7, 0), (7, 1), (8, 0)], "offset long, partition int")
+
+    def append(key):
+        jdbc.append_once(batch, 3, key, lambda: spark.read.schema(schema).parquet(sink),
+                         lambda rows: rows.write.mode("append").parquet(sink))
+
+    with pytest.raises(ValueError, match="not unique"):
+        append(["offset"])
+    append(["partition", "offset"])
+    append(["partition", "offset"])
+    rows = spark.read.parquet(sink).collect()
+    assert sorted((r["offset"], r["partition"]) for r in rows) == [(7, 0), (7, 1), (8, 0)]
+
+
+def test_last_limit_of_a_monitor_wins(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 50.0, 1), ("a", 70.0, 2), ("b", 60.0, 1)], "m string, lim double, v int")
+    by_version = jdbc.RefreshedTable(lambda: rows, str(tmp_path / "v"), keys=["m"], order="v")
+    by_place = jdbc.RefreshedTable(lambda: rows.coalesce(1).drop("v"), str(tmp_path / "p"), keys=["m"])
+    assert sorted(map(tuple, by_version.get().collect())) == [("a", 70.0, 2), ("b", 60.0, 1)]
+    assert sorted(map(tuple, by_place.get().collect())) == [("a", 70.0), ("b", 60.0)]
+
+
+def test_sink_record_fits_its_table(spark):
+    row = ("c", "0001", "r", 90.0, 60.0, dt.datetime(2024, 1, 1, 0, 0, 1), 5)
+    records = spark.createDataFrame([row], "car string, monitor_id string, road_id string, "
+                                    "real_speed double, limit_speed double, action_time timestamp_ntz, arrival long")
+    record = traffic.sink_record(records)
+    assert [(f.name, f.dataType) for f in record.schema] == [
+        (f.name, f.dataType) for f in schemas.SPEEDING_RECORD]
+    assert record.first()["action_time"] == 1_704_067_201_000
+    assert traffic.sink_record(records, "arrival").columns[-1] == "arrival"
+
+
 def test_jdbc_writer(spark, monkeypatch):
     """The database is replaced by a list: none may be started here."""
     inserted = []
@@ -208,9 +248,10 @@ def test_jdbc_writer(spark, monkeypatch):
 
 
 def test_process_opens_and_closes_around_a_partition(spark, tmp_path):
-    from roadwatch.operators.process import pairs, per_partition
-    found = pairs(lines(spark, "a,1", "b", "c,3,x")).collect()
-    assert sorted((r["key"], r["value"]) for r in found) == [("a", "1"), ("b", None), ("c", "3")]
+    from roadwatch.operators.process import per_partition, without_accents
+    df = spark.createDataFrame([(1, "éà ß Ñü"), (2, None), (3, "")], "id long, t string")
+    assert sorted((r["id"], r["plain"]) for r in without_accents(df, "id", "t").collect()) == [
+        (1, "ea ß Nu"), (2, None), (3, "")]
     log = str(tmp_path)
 
     def note(name):
