@@ -20,6 +20,8 @@ class Query:
     sql: str | None
 
 
+UTC = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+
 REGISTRY: dict[str, Query] = {}
 
 
@@ -27,7 +29,8 @@ def query(sql: str | None = None) -> Callable[[Build], Build]:
     """Register the function under its own name."""
     def add(build: Build) -> Build:
         def in_utc(spark: SparkSession, folder: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            if spark.conf.get("spark.sql.session.timeZone") not in UTC:  # build_session sets it
+                spark.conf.set("spark.sql.session.timeZone", "UTC")
             return build(spark, folder)
         REGISTRY[build.__name__] = Query(in_utc, sql)
         return build

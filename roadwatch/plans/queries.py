@@ -102,8 +102,24 @@ def format_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""SELECT CAST(user_id AS VARCHAR) AS key, event_type AS value FROM events""")
 def process_pair(spark: SparkSession, folder: str) -> DataFrame:
-    """The split as a process function with set-up, instead of an expression."""
-    return process.pairs(as_lines(views.events(spark, folder), ["user_id", "event_type"], ","))
+    """Lines split into a pair."""
+    lines = as_lines(views.events(spark, folder), ["user_id", "event_type"], ",")
+    parts = F.split("value", ",")
+    return lines.select(F.try_element_at(parts, F.lit(1)).alias("key"),
+                        F.try_element_at(parts, F.lit(2)).alias("value"))
+
+
+@query("""SELECT doc_id, strip_accents(text) AS plain FROM documents""")
+def process_plain_text(spark: SparkSession, folder: str) -> DataFrame:
+    """A process function with set-up: every partition opens the letter table once."""
+    return process.without_accents(table(spark, folder, "documents"), "doc_id", "text")
+
+
+@query("""SELECT CAST(user_id AS VARCHAR) AS id, event_type AS event FROM events""")
+def parse_user_event(spark: SparkSession, folder: str) -> DataFrame:
+    rows = views.events(spark, folder).select(F.col("user_id").alias("id"), F.col("event_type").alias("event"))
+    lines = as_lines(rows, schemas.USER_EVENT.fieldNames(), ",")
+    return accepted(parse_delimited(lines, schemas.USER_EVENT, ","), "value")
 
 
 @query(f"""WITH {S.BEHAVIOUR} SELECT arrival, guid, event_id, act_time, 1 AS f1 FROM behaviour""")
@@ -121,7 +137,7 @@ def word_count(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""WITH {S.COUNTED}
-SELECT id, event_id, arrival, CAST((id * 7919 + i * 104729 + 11) % cnt AS BIGINT) AS cnt
+SELECT id, event_id, arrival, CAST((id % 2147483648 * 7919 + i * 104729 + 11) % cnt AS BIGINT) AS cnt
 FROM (SELECT *, unnest(generate_series(0, cnt - 1)) AS i FROM counted WHERE cnt > 0)""")
 def expand_rows(spark: SparkSession, folder: str) -> DataFrame:
     rows = views.counted(views.events(spark, folder))
@@ -153,9 +169,10 @@ def route_side_output(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""WITH {CHARACTERS}
-SELECT key, character || 'coonected_acc' AS character, num + 18 AS num FROM characters WHERE route = 'a'
+SELECT key, character || '{route.SIDE_A_TEXT}' AS character, num + {route.SIDE_A_ADD} AS num
+FROM characters WHERE route = 'a'
 UNION ALL
-SELECT key, character || 'coonected_bcc', num + 20 FROM characters WHERE route = 'b'""")
+SELECT key, character || '{route.SIDE_B_TEXT}', num + {route.SIDE_B_ADD} FROM characters WHERE route = 'b'""")
 def co_map(spark: SparkSession, folder: str) -> DataFrame:
     routed = _routed(spark, folder)
     return route.co_map(route.output(routed, "a"), route.output(routed, "b"))
@@ -226,7 +243,7 @@ def running_argmax(spark: SparkSession, folder: str) -> DataFrame:
   WHERE event_id IN ('view', 'click')), r AS (
   SELECT guid, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, act_time FROM behaviour
   WHERE event_id = 'click')
-SELECT l.guid || '_' || r.guid || '_join_' AS character, l.act_time + r.act_time AS num,
+SELECT l.guid || CAST(r.guid AS VARCHAR) || '{route.JOIN_TEXT}' AS character, l.act_time + r.act_time AS num,
        window_start, count(*) AS copies
 FROM l JOIN r USING (guid, window_start) GROUP BY ALL""")
 def window_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -237,7 +254,7 @@ def window_join(spark: SparkSession, folder: str) -> DataFrame:
     right = rows.where("event_id = 'click'").select(
         "guid", "ts", F.col("act_time").alias("r_num"))
     pairs = joins.cogroup_product(left, right, ["guid"], "l_num", "r_num", "ts", "1 hour")
-    return (pairs.groupBy(F.concat("guid", F.lit("_"), "guid", F.lit("_join_")).alias("character"),
+    return (pairs.groupBy(F.concat("guid", "guid", F.lit(route.JOIN_TEXT)).alias("character"),
                           (F.col("l_num") + F.col("r_num")).alias("num"), "window_start")
             .agg(F.sum("copies").alias("copies")))
 
@@ -255,7 +272,7 @@ def _monitor_counts(spark: SparkSession, folder: str, kinds: list[str], name: st
 
 
 @query(f"""{MONITOR_CNT}
-SELECT monitor || '_cogroup' AS character, window_start, l.cnt + r.cnt AS num, count(*) AS copies
+SELECT monitor || monitor || '{route.COGROUP_TEXT}' AS character, window_start, l.cnt + r.cnt AS num, count(*) AS copies
 FROM (SELECT * FROM cars WHERE event_id IN ('view', 'error')) l
 JOIN (SELECT * FROM cars WHERE event_id = 'error') r USING (monitor, window_start)
 GROUP BY ALL""")
@@ -264,7 +281,7 @@ def cogroup_product(spark: SparkSession, folder: str) -> DataFrame:
     left = _monitor_counts(spark, folder, ["view", "error"], "l_cnt")
     right = _monitor_counts(spark, folder, ["error"], "r_cnt")
     pairs = joins.cogroup_product(left, right, ["monitor"], "l_cnt", "r_cnt", "ts", "1 day")
-    return (pairs.groupBy(F.concat("monitor", F.lit("_cogroup")).alias("character"), "window_start",
+    return (pairs.groupBy(F.concat("monitor", "monitor", F.lit(route.COGROUP_TEXT)).alias("character"), "window_start",
                           (F.col("l_cnt") + F.col("r_cnt")).alias("num"))
             .agg(F.sum("copies").alias("copies")))
 
@@ -298,11 +315,11 @@ FROM behaviour e ASOF LEFT JOIN (SELECT * FROM behaviour WHERE event_id = 'signu
 WHERE e.event_id <> 'signup'""")
 def asof_enrich(spark: SparkSession, folder: str) -> DataFrame:
     rows = _behaviour(spark, folder)
-    updates = rows.where("event_id = 'signup'").select(
-        "guid", "arrival", F.col("arrival").alias("known_since"),
-        F.col("act_time").alias("known_act_time"))
-    events = rows.where("event_id <> 'signup'").select("guid", "arrival")
-    return joins.as_known(events, updates, ["guid"], "arrival", ["known_since", "known_act_time"])
+    known = joins.as_known_tagged(
+        rows.select("guid", "arrival", "event_id", "act_time"), ["guid"], "arrival",
+        F.col("event_id") == "signup",
+        {"known_since": F.col("arrival"), "known_act_time": F.col("act_time")})
+    return known.drop("event_id", "act_time")
 
 
 @query(f"""WITH {S.BEHAVIOUR}
@@ -354,11 +371,11 @@ def running_concat(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""WITH {S.BEHAVIOUR}
 SELECT a.arrival, a.guid, string_agg(b.event_id, '' ORDER BY b.arrival) AS joined
 FROM behaviour a JOIN behaviour b
-  ON a.guid = b.guid AND b.arrival <= a.arrival AND b.ts > a.ts - INTERVAL 1 HOUR
+  ON a.guid = b.guid AND b.arrival <= a.arrival AND b.ts > a.ts - INTERVAL 1 DAY
 GROUP BY a.arrival, a.guid""")
 def ttl_concat(spark: SparkSession, folder: str) -> DataFrame:
     rows = _behaviour(spark, folder).select("arrival", "guid", "ts", "event_id")
-    return (histories.ttl_concat(rows, ["guid"], "ts", "arrival", "event_id", "1 hour")
+    return (histories.ttl_concat(rows, ["guid"], "ts", "arrival", "event_id", "1 day")
             .select("arrival", "guid", "joined"))
 
 
@@ -586,7 +603,7 @@ def trigger_on_marker(spark: SparkSession, folder: str) -> DataFrame:
 SELECT guid, window_start, count(*) AS n, CAST(sum(act_time) AS BIGINT) AS total
 FROM w JOIN m USING (guid, window_start) WHERE ts > newest - INTERVAL 6 HOUR GROUP BY ALL""")
 def evict_time(spark: SparkSession, folder: str) -> DataFrame:
-    kept = triggers.evict_older(_behaviour(spark, folder), ["guid"], "ts", "arrival", "1 day", "6 hours")
+    kept = triggers.evict_older(_behaviour(spark, folder), ["guid"], "ts", "1 day", "6 hours")
     return kept.groupBy("guid", "window_start").agg(
         F.count(F.lit(1)).alias("n"), F.sum("act_time").alias("total"))
 
@@ -619,9 +636,9 @@ def top5_monitors(spark: SparkSession, folder: str) -> DataFrame:
          max(event_time) OVER (PARTITION BY guid ORDER BY arrival
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous
   FROM disordered)
-SELECT car, arrival, '涉嫌套牌' AS violation,
-       '车辆' || car || '通过上一次卡扣时间' || strftime(previous, '%Y-%m-%d %H:%M:%S')
-       || '本次通过时间' || strftime(event_time, '%Y-%m-%d %H:%M:%S') AS detail
+SELECT car, arrival, '{traffic.CLONED_PLATE_TEXT}' AS violation,
+       '{traffic.CLONED_PLATE_DETAIL[0]}' || car || '{traffic.CLONED_PLATE_DETAIL[1]}'
+       || strftime(previous, '%Y-%m-%d %H:%M:%S') || '{traffic.CLONED_PLATE_DETAIL[2]}' || strftime(event_time, '%Y-%m-%d %H:%M:%S') AS detail
 FROM seen WHERE abs(epoch_us(event_time) - epoch_us(previous)) < 3600000000""")
 def cloned_plate(spark: SparkSession, folder: str) -> DataFrame:
     shifted = views.out_of_order(views.events(spark, folder)).select(
@@ -636,9 +653,10 @@ def cloned_plate(spark: SparkSession, folder: str) -> DataFrame:
          lead(arrival, 2) OVER w AS third_arrival, lead(action_time, 2) OVER w AS t3,
          lead(monitor_id, 2) OVER w AS m3
   FROM speeding WINDOW w AS (PARTITION BY car ORDER BY action_time, arrival))
-SELECT car, first_arrival, second_arrival, third_arrival, '涉嫌危险驾驶' AS violation,
-       car || ' first:' || m1 || (epoch_us(t1) // 1000) || ' second:' || m2 || (epoch_us(t2) // 1000)
-       || ' third:' || m3 || (epoch_us(t3) // 1000) AS detail
+SELECT car, first_arrival, second_arrival, third_arrival, '{traffic.DANGER_TEXT}' AS violation,
+       car || '{traffic.DANGER_LABELS['first']}' || m1 || (epoch_us(t1) // 1000)
+       || '{traffic.DANGER_LABELS['second']}' || m2 || (epoch_us(t2) // 1000)
+       || '{traffic.DANGER_LABELS['third']}' || m3 || (epoch_us(t3) // 1000) AS detail
 FROM runs WHERE t3 - t1 < INTERVAL 1 DAY""")
 def danger_driver(spark: SparkSession, folder: str) -> DataFrame:
     return traffic.danger_drivers(_sightings(spark, folder), speed_limits(spark, folder), "1 day")

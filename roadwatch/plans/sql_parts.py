@@ -27,6 +27,16 @@ BEHAVIOUR = """behaviour AS (
 OUT_OF_ORDER = BEHAVIOUR + """, disordered AS (
   SELECT *, ts - ((arrival * 7919) % 37) * INTERVAL 10 MINUTE AS event_time FROM behaviour)"""
 
+# The cuts of a replayed table, see sources.files.replayed.
+CUTS = """cuts AS (SELECT max(event_id) // greatest(6, max(event_id) // 1000000) + 1 AS width FROM events)"""
+
+# What the earlier cuts' highest time was, per cut.
+SEEN_BEFORE = OUT_OF_ORDER + ", " + CUTS + """, seen_before AS (
+  SELECT cut, max(highest) OVER (ORDER BY cut ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
+  FROM (SELECT arrival // width AS cut, max(event_time) AS highest FROM disordered, cuts GROUP BY ALL)),
+arrived AS (
+  SELECT d.*, s.seen FROM disordered d, cuts JOIN seen_before s ON s.cut = d.arrival // cuts.width)"""
+
 COUNTED = """counted AS (
   SELECT user_id AS id, event_type AS event_id, CAST(floor(value) AS INTEGER) % 10 AS cnt,
          ts, event_id AS arrival

@@ -56,7 +56,7 @@ def counted(source: DataFrame) -> DataFrame:
 
 def out_of_order(source: DataFrame) -> DataFrame:
     """Behaviour events whose event time lags their arrival by up to six hours."""
-    lag = F.pmod(F.col("arrival") * 7919, F.lit(37)) * duration_micros("10 minutes")
+    lag = F.pmod(F.pmod("arrival", F.lit(37)) * 7919, F.lit(37)) * duration_micros("10 minutes")
     return behaviour(source).withColumn("event_time", from_micros(micros(F.col("ts")) - lag))
 
 

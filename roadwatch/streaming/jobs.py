@@ -3,18 +3,19 @@ a writer per micro-batch where one stream feeds several outputs."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructField
 
 from ..functions.times import duration_micros, micros, millis
+from ..operators.running import Agg
 from ..operators.windows import with_window
 from ..plans import traffic
 from ..session import run_dir
 from ..sources.jdbc import RefreshedTable
-from .processors import (
-    CountWindow, MarkerTrigger, TextSoFar, ThreeInARow, TooClose, TopOfWindow, keyed,
-)
+from .carried import Step, close_to_highest
+from .processors import MarkerTrigger, TextSoFar, ThreeInARow, TopOfWindow, keyed
 from .run import Writer, batch_writer, fan_out, with_event_time
 
 
@@ -27,13 +28,17 @@ def band_counts(sightings: DataFrame, size: str, slide: str, delay: str) -> Data
     return traffic.band_counts(with_event_time(sightings, "action_time", delay), size, slide)
 
 
-def session_counts(events: DataFrame, time: str, gap: str, delay: str, keys: Sequence[str]) -> DataFrame:
+def session_windows(events: DataFrame, time: str, gap: str, delay: str, keys: Sequence[str],
+                    aggs: Mapping[str, Agg]) -> DataFrame:
     """Sessions per key in append mode. Streams need a key besides the window."""
-    grouped = (with_event_time(events, time, delay)
-               .groupBy(*keys, F.session_window(time, gap).alias("__s"))
-               .agg(F.count(F.lit(1)).alias("n")))
+    values = {name: f"__v_{name}" for name in aggs}
+    rows = with_event_time(events, time, delay).withColumns(
+        {values[n]: a.column for n, a in aggs.items()})
+    grouped = rows.groupBy(*keys, F.session_window(time, gap).alias("__s")).agg(
+        *[aggs[n].fold(c).alias(c) for n, c in values.items()])
     return grouped.select(*keys, F.col("__s.start").alias("session_start"),
-                          F.col("__s.end").alias("session_end"), "n")
+                          F.col("__s.end").alias("session_end"),
+                          *[aggs[n].result(F.col(c)).alias(n) for n, c in values.items()])
 
 
 def arrival_counts(events: DataFrame, size: str, slide: str | None = None) -> DataFrame:
@@ -61,30 +66,30 @@ def speeding_with_refresh(limits: RefreshedTable, write: Writer) -> Writer:
     return run
 
 
-def count_windows(amounts: DataFrame, size: int) -> DataFrame:
-    return keyed(amounts.select("key", F.col("event_id").alias("arrival"), "n"), ["key"],
-                 CountWindow(size))
+def _field(df: DataFrame, name: str) -> StructField:
+    return StructField(name, df.schema[name].dataType)
 
 
-def text_so_far(rows: DataFrame, key: str, order: str, value: str,
+def text_so_far(rows: DataFrame, key: str, order: str, value: str, out: str = "joined",
                 ttl_ms: int | None = None) -> DataFrame:
     """Texts per key; with ``ttl_ms`` each is forgotten that long after it came."""
-    shaped = rows.select(F.col(key).alias("key"), F.col(order).alias("arrival"),
-                         F.col(value).alias("v"))
-    return keyed(shaped, ["key"], TextSoFar(ttl_ms), "processingTime" if ttl_ms else "none",
-                 "update" if ttl_ms else "append")
+    processor = TextSoFar([_field(rows, key)], _field(rows, order), value, out, ttl_ms)
+    return keyed(rows.select(key, order, value), [key], processor,
+                 "processingTime" if ttl_ms else "none", "update" if ttl_ms else "append")
 
 
-def cloned_plates(sightings: DataFrame, within: str) -> DataFrame:
-    shaped = sightings.select("car", "arrival", micros(F.col("action_time")).alias("time_us"))
-    return keyed(shaped, ["car"], TooClose(duration_micros(within)))
+def cloned_plates(within: str) -> Step:
+    """For ``carried``: sightings too close in time to the latest one of the same plate."""
+    return close_to_highest(["car"], "action_time", "arrival", within)
 
 
 def danger_drivers(sightings: DataFrame, limits: DataFrame, within: str, delay: str) -> DataFrame:
     fast = traffic.speeding(with_event_time(sightings, "action_time", delay), limits)
     shaped = fast.select("car", "action_time", "arrival", "monitor_id",
                          micros(F.col("action_time")).alias("time_us"))
-    flat = keyed(shaped, ["car"], ThreeInARow(duration_micros(within)), "eventTime")
+    carry = [_field(shaped, "arrival"), _field(shaped, "monitor_id")]
+    processor = ThreeInARow([_field(shaped, "car")], "time_us", carry, duration_micros(within))
+    flat = keyed(shaped, ["car"], processor, "eventTime")
     runs = flat.select("car", *[
         F.struct(*[F.col(f"{place}_{c}").alias(c) for c in ("time_us", "arrival", "monitor_id")])
         .alias(place) for place in ("first", "second", "third")])
@@ -96,32 +101,38 @@ def danger_drivers(sightings: DataFrame, limits: DataFrame, within: str, delay:
 
 
 def _window_keyed(events: DataFrame, time: str, size: str, slide: str | None, delay: str) -> DataFrame:
-    rows = with_window(with_event_time(events, time, delay), time, size, slide)
+    """Rows with their windows, behind a watermark that keeps all rows of open windows."""
+    lag = f"{duration_micros(delay) + duration_micros(size)} microseconds"
+    rows = with_window(with_event_time(events, time, lag), time, size, slide)
     return rows.withColumn("window_start_ms", millis(F.col("window_start")))
 
 
-def _window_bounds(df: DataFrame, size_ms: int) -> DataFrame:
+def _window_bounds(df: DataFrame, size: str) -> DataFrame:
+    size_ms = duration_micros(size) // 1000
     return df.withColumns({
         "window_start": F.timestamp_millis("window_start_ms"),
         "window_end": F.timestamp_millis(F.col("window_start_ms") + size_ms),
     }).drop("window_start_ms")
 
 
-def fire_on_marker(events: DataFrame, time: str, size: str, marker, delay: str) -> DataFrame:
-    size_ms = duration_micros(size) // 1000
-    rows = _window_keyed(events, time, size, None, delay).withColumn("marker", marker)
-    fired = keyed(rows.select("guid", "window_start_ms", "arrival", "marker", time),
-                  ["guid", "window_start_ms"], MarkerTrigger(size_ms), "eventTime")
-    return _window_bounds(fired, size_ms)
+def fire_on_marker(events: DataFrame, time: str, size: str, marker: Column, delay: str,
+                   key: str = "guid", order: str = "arrival") -> DataFrame:
+    rows = _window_keyed(events, time, size, None, delay).withColumn("is_marker", marker)
+    processor = MarkerTrigger([_field(rows, key)], _field(rows, order), "is_marker")
+    fired = keyed(rows.select(key, "window_start_ms", order, "is_marker", time),
+                  [key, "window_start_ms"], processor, "eventTime")
+    return _window_bounds(fired, size)
 
 
-def top_per_window(events: DataFrame, time: str, size: str, slide: str, n: int,
-                   delay: str) -> DataFrame:
-    size_ms = duration_micros(size) // 1000
+def top_per_window(events: DataFrame, time: str, size: str, slide: str, n: int, delay: str,
+                   key: str = "guid", measure: str = "act_time", order: str = "arrival",
+                   carry: Sequence[str] = ("event_id",)) -> DataFrame:
     rows = _window_keyed(events, time, size, slide, delay)
-    best = keyed(rows.select("guid", "window_start_ms", "act_time", "arrival", "event_id", time),
-                 ["guid", "window_start_ms"], TopOfWindow(n, size_ms), "eventTime")
-    return _window_bounds(best, size_ms)
+    processor = TopOfWindow([_field(rows, key)], _field(rows, measure), _field(rows, order),
+                            [_field(rows, c) for c in carry], n)
+    best = keyed(rows.select(key, "window_start_ms", measure, order, *carry, time),
+                 [key, "window_start_ms"], processor, "eventTime")
+    return _window_bounds(best, size)
 
 
 def route_writer(rules: Callable[[DataFrame], DataFrame], folder: str, names: Sequence[str],
@@ -134,7 +145,8 @@ def route_writer(rules: Callable[[DataFrame], DataFrame], folder: str, names: Se
 
 
 def late_splitter(time: str, size: str, *, delay: str, lateness: str, folder: str) -> Writer:
-    """Late rows aside, the others to the main output, exactly once each.
+    """Late rows aside, rows without a time to ``no_time``, the others to the main output,
+    exactly once each.
 
     It works on the stream before any watermark, since rows behind Spark's
     watermark are gone. A row is late against the highest time of the earlier
@@ -156,8 +168,10 @@ def late_splitter(time: str, size: str, *, delay: str, lateness: str, folder: st
             limit = None if before is None else before - duration_micros(delay)
             late = F.lit(False) if limit is None else (
                 micros(F.col("window_end")) + duration_micros(lateness) <= F.lit(limit))
-            for name, condition in (("late", late), ("main", ~late)):
-                rows.where(condition).write.mode("overwrite").parquet(
+            parts = {"late": rows.where(late), "main": rows.where(~late),
+                     "no_time": batch.where(F.col(time).isNull())}
+            for name, part in parts.items():
+                part.write.mode("overwrite").parquet(
                     f"{folder}/{name}/batch_id={batch_id}")
             highest = batch.agg(F.max(micros(F.col(time))).alias("highest")).select(
                 F.greatest("highest", F.lit(before).cast("long")).alias("highest"))

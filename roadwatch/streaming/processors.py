@@ -1,166 +1,108 @@
 """Keyed state for what Spark's built-in streaming operators do not have.
 
-All work inside ``transformWithState``: state lives in RocksDB per key, rows of
-a micro-batch are put in arrival order first, and state is read and written once
-per key and batch where it can be. A micro-batch is bounded by the source's rate
-options, so a hot key's rows of one batch fit a task.
+All work inside ``transformWithStateInPandas``: state lives in RocksDB per key,
+rows come and go as pandas frames, and state is read and written once per key
+and batch. Names and types of the columns are the caller's; a null value is
+nothing that came. Where state can live in a table, ``carried`` is the better
+place: it cuts hot keys.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor
-from pyspark.sql.types import (
-    DoubleType, IntegerType, LongType, StringType, StructField, StructType,
-)
-
-
-def _schema(*fields) -> StructType:
-    return StructType([StructField(n, t) for n, t in fields])
-
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 # Workers get the processors themselves, so they need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_L, _S, _D, _I = LongType(), StringType(), DoubleType(), IntegerType()
+
+def _schema(*fields) -> StructType:
+    return StructType([StructField(n, t) for n, t in fields])
 
 
-def _in_order(rows: Iterator[Row], field: str = "arrival") -> list[Row]:
-    return sorted(rows, key=lambda r: r[field])
+_L, _S, _I = LongType(), StringType(), IntegerType()
 
 
 def _value(state, default):
     return state.get() if state.exists() else default
 
 
-class _Processor(StatefulProcessor):
-    output: StructType
+def _listed(state) -> list[tuple]:
+    return [tuple(r) for r in state.get()] if state.exists() else []
 
-    def close(self) -> None:
-        pass
 
+def _plain(value):
+    """A pandas or numpy value as state takes it."""
+    if value is None or value is pd.NA or value is pd.NaT or (isinstance(value, float) and np.isnan(value)):
+        return None
+    return value.item() if hasattr(value, "item") else value
 
-class CountWindow(_Processor):
-    """Fires for every ``size`` rows of a key with the sum of ``n``."""
 
-    output = _schema(("key", _S), ("window_no", _L), ("total", _L))
+def _rows(frame: pd.DataFrame, names: Sequence[str]) -> list[tuple]:
+    return [tuple(map(_plain, r)) for r in frame[list(names)].itertuples(index=False, name=None)]
 
-    def __init__(self, size: int):
-        self.size = size
 
-    def init(self, handle) -> None:
-        self.open = handle.getValueState("open", _schema(("fired", _L), ("rows", _L), ("total", _L)))
+class _Processor(StatefulProcessor):
+    output: StructType
 
-    def handleInputRows(self, key, rows, timerValues):
-        fired, count, total = _value(self.open, (0, 0, 0))
-        for row in _in_order(rows):
-            count, total = count + 1, total + row["n"]
-            if count == self.size:
-                yield Row(key=key[0], window_no=fired, total=total)
-                fired, count, total = fired + 1, 0, 0
-        self.open.update((fired, count, total))
+    def close(self) -> None:
+        pass
 
+    def _frame(self, rows: list[tuple]) -> pd.DataFrame:
+        names = self.output.fieldNames()
+        return pd.DataFrame({n: pd.Series([r[i] for r in rows], dtype=object)
+                             for i, n in enumerate(names)})
 
-class TextSoFar(_Processor):
-    """List state: emits all texts of the key up to each row, joined."""
 
-    output = _schema(("key", _L), ("arrival", _L), ("joined", _S))
+class TextSoFar(_Processor):
+    """List state: all texts of the key up to each row, joined; nulls add nothing."""
 
-    def __init__(self, ttl_ms: int | None = None):
-        self.ttl_ms = ttl_ms
+    def __init__(self, keys: Sequence[StructField], order: StructField, value: str, out: str = "joined",
+                 ttl_ms: int | None = None):
+        self.order, self.value, self.ttl_ms = order.name, value, ttl_ms
+        self.output = StructType([*keys, order, StructField(out, _S)])
 
     def init(self, handle) -> None:
         text = _schema(("v", _S))
         self.texts = (handle.getListState("texts", text, ttlDurationMs=self.ttl_ms) if self.ttl_ms
                       else handle.getListState("texts", text))
 
-    def handleInputRows(self, key, rows, timerValues):
-        joined = "".join(t[0] for t in self.texts.get()) if self.texts.exists() else ""
-        new = _in_order(rows)
-        for row in new:
-            joined += row["v"]
-            yield Row(key=key[0], arrival=row["arrival"], joined=joined)
-        self.texts.appendList([(row["v"],) for row in new])
-
-
-class StateKinds(_Processor):
-    """Value, map, list, reducing and aggregating state over one key's rows.
-
-    Per row: the running sum (reducing), the running average (aggregating), how
-    many rows of its kind came so far (map), whether the kind is new (contains)
-    and the last three numbers (list, replaced as a whole).
-    """
-
-    output = _schema(("key", _L), ("arrival", _L), ("total", _L), ("average", _D),
-                     ("of_kind", _L), ("kinds", _I), ("last_three", _S))
-
-    def init(self, handle) -> None:
-        self.total = handle.getValueState("total", _schema(("v", _L)))
-        self.mean = handle.getValueState("mean", _schema(("n", _L), ("s", _L)))
-        self.kinds = handle.getMapState("kinds", _schema(("k", _S)), _schema(("n", _L)))
-        self.recent = handle.getListState("recent", _schema(("v", _L)))
-
-    def handleInputRows(self, key, rows, timerValues):
-        (total,) = _value(self.total, (0,))
-        count, added = _value(self.mean, (0, 0))
-        kinds = {} if not self.kinds.exists() else {k[0]: v[0] for k, v in self.kinds.iterator()}
-        recent = [v[0] for v in self.recent.get()] if self.recent.exists() else []
-        touched = set()
-        for row in _in_order(rows):
-            total += row["n"]
-            count, added = count + 1, added + row["n"]
-            kinds[row["kind"]] = kinds.get(row["kind"], 0) + 1
-            touched.add(row["kind"])
-            recent = [*recent, row["n"]][-3:]
-            yield Row(key=key[0], arrival=row["arrival"], total=total, average=added / count,
-                      of_kind=kinds[row["kind"]], kinds=len(kinds),
-                      last_three=",".join(map(str, recent)))
-        self.total.update((total,))
-        self.mean.update((count, added))
-        for kind in touched:
-            self.kinds.updateValue((kind,), (kinds[kind],))
-        self.recent.put([(v,) for v in recent])
-
-
-class TooClose(_Processor):
-    """Value state: the highest time so far; emits rows closer to it than ``within_us``."""
-
-    output = _schema(("car", _S), ("arrival", _L), ("previous_us", _L), ("time_us", _L))
-
-    def __init__(self, within_us: int):
-        self.within_us = within_us
-
-    def init(self, handle) -> None:
-        self.highest = handle.getValueState("highest", _schema(("t", _L)))
-
-    def handleInputRows(self, key, rows, timerValues):
-        (highest,) = _value(self.highest, (None,))
-        for row in _in_order(rows):
-            now = row["time_us"]
-            if highest is not None and abs(now - highest) < self.within_us:
-                yield Row(car=key[0], arrival=row["arrival"], previous_us=highest, time_us=now)
-            highest = now if highest is None else max(highest, now)
-        self.highest.update((highest,))
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        joined = "".join(t[0] for t in _listed(self.texts))
+        new, out = [], []
+        frame = pd.concat(list(rows)).sort_values(self.order)
+        for order, value in _rows(frame, [self.order, self.value]):
+            if value is not None:
+                joined += value
+                new.append((value,))
+            out.append((*key, order, joined))
+        if new:
+            self.texts.appendList(new)
+        yield self._frame(out)
 
 
 class ThreeInARow(_Processor):
     """Three rows of a key in event-time order within ``within_us``, overlaps allowed.
 
     Rows wait in list state until the watermark has passed them; one timer per
-    key stands at the earliest waiting row.
+    key stands at the earliest waiting row, or where the last rows can match
+    nothing any more. A key without rows that can still match keeps no state.
     """
 
-    _row = _schema(("time_us", _L), ("arrival", _L), ("monitor_id", _S))
-    output = _schema(("car", _S), *[
-        (f"{place}_{f.name}", f.dataType) for place in ("first", "second", "third")
-        for f in _schema(("time_us", _L), ("arrival", _L), ("monitor_id", _S)).fields])
-
-    def __init__(self, within_us: int):
+    def __init__(self, keys: Sequence[StructField], time_us: str, carry: Sequence[StructField],
+                 within_us: int):
         self.within_us = within_us
+        self._row = StructType([StructField(time_us, _L), *carry])
+        self.output = StructType([*keys, *[
+            StructField(f"{place}_{f.name}", f.dataType) for place in ("first", "second", "third")
+            for f in self._row.fields]])
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -174,114 +116,139 @@ class ThreeInARow(_Processor):
 
     def _wake_at(self, at: int) -> None:
         (current,) = _value(self.timer, (None,))
-        if current is not None and current <= at:
+        if current == at:
             return
         if current is not None:
             self.handle.deleteTimer(current)
         self.handle.registerTimer(at)
         self.timer.update((at,))
 
-    def handleInputRows(self, key, rows, timerValues):
-        new = [(r["time_us"], r["arrival"], r["monitor_id"]) for r in rows]
-        self.waiting.appendList(new)
-        self._wake_at(self._after_ms(min(new)[0]))
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = [r for r in _rows(pd.concat(list(rows)), self._row.fieldNames()) if r[0] is not None]
+        if new:
+            earliest = min(r[0] for r in new + _listed(self.waiting))
+            self.waiting.appendList(new)
+            self._wake_at(max(self._after_ms(earliest), timerValues.getCurrentWatermarkInMs() + 1))
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.timer.clear()
         passed = timerValues.getCurrentWatermarkInMs()
-        waiting = sorted(tuple(r) for r in self.waiting.get()) if self.waiting.exists() else []
+        waiting = sorted(_listed(self.waiting))
         due = [r for r in waiting if self._after_ms(r[0]) <= passed]
-        later = waiting[len(due):]
-        run = [tuple(r) for r in self.last_two.get()] if self.last_two.exists() else []
+        later, run, out = waiting[len(due):], _listed(self.last_two), []
         for row in due:
             run.append(row)
             if len(run) == 3:
                 if row[0] - run[0][0] < self.within_us:
-                    values = [key[0], *run[0], *run[1], *run[2]]
-                    yield Row(**dict(zip(self.output.fieldNames(), values)))
+                    out.append((*key, *run[0], *run[1], *run[2]))
                 run.pop(0)
-        if due:
+        # What comes later has a time behind the watermark.
+        run = [r for r in run if r[0] + self.within_us > passed * 1000]
+        if run:
             self.last_two.put(run)
+        else:
+            self.last_two.clear()
         if later:
             self.waiting.put(later)
             self._wake_at(max(self._after_ms(later[0][0]), passed + 1))
         else:
             self.waiting.clear()
+            if run:
+                self._wake_at(max((run[-1][0] + self.within_us) // 1000 + 1, passed + 1))
+        if out:
+            yield self._frame(out)
 
 
-class MarkerTrigger(_Processor):
-    """Per key and window: fires with the count at each marker row and at the window's end."""
+class _OpenWindow(_Processor):
+    """A key's window that stays open until the watermark of the rows has passed its end.
+
+    The stream's own watermark lags by the window's size besides the delay, so
+    that Spark hands over every row of a window that is still open. It has
+    reached the window's start when the rows' watermark has reached its end.
+    """
+
+    def _closed(self, start_ms: int, timers) -> bool:
+        return timers.getCurrentWatermarkInMs() >= start_ms
 
-    output = _schema(("guid", _L), ("window_start_ms", _L), ("fired_by", _L), ("count", _L))
 
-    def __init__(self, size_ms: int):
-        self.size_ms = size_ms
+class MarkerTrigger(_OpenWindow):
+    """Per key and window: fires with the count at each marker row and at the window's end."""
+
+    def __init__(self, keys: Sequence[StructField], order: StructField, marker: str):
+        self.order, self.marker = order.name, marker
+        self.output = StructType([*keys, StructField("window_start_ms", _L),
+                                  StructField("fired_by", order.dataType), StructField("count", _L)])
 
     def init(self, handle) -> None:
         self.handle = handle
         self.count = handle.getValueState("count", _schema(("n", _L)))
 
-    def handleInputRows(self, key, rows, timerValues):
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if self._closed(key[-1], timerValues):
+            return
         fresh = not self.count.exists()
         (count,) = _value(self.count, (0,))
-        for row in _in_order(rows):
+        out = []
+        frame = pd.concat(list(rows)).sort_values(self.order)
+        for order, marker in _rows(frame, [self.order, self.marker]):
             count += 1
-            if row["marker"]:
-                yield Row(guid=key[0], window_start_ms=key[1], fired_by=row["arrival"], count=count)
+            if marker:
+                out.append((*key, order, count))
         self.count.update((count,))
         if fresh:
-            self.handle.registerTimer(key[1] + self.size_ms)
+            self.handle.registerTimer(int(key[-1]))
+        if out:
+            yield self._frame(out)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         (count,) = _value(self.count, (0,))
         self.count.clear()
-        yield Row(guid=key[0], window_start_ms=key[1], fired_by=None, count=count)
+        yield self._frame([(*key, None, count)])
 
 
-class TopOfWindow(_Processor):
-    """Per key and window the ``n`` rows with the highest ``act_time``, at the window's end.
+class TopOfWindow(_OpenWindow):
+    """Per key and window the ``n`` rows with the highest measure, at the window's end.
 
-    State never holds more than ``n`` rows. Of equal rows the earlier one wins.
+    State never holds more than ``n`` rows. Of equal rows the earlier one wins; a
+    null measure comes last.
     """
 
-    _row = _schema(("act_time", _I), ("arrival", _L), ("event_id", _S))
-    output = _schema(("guid", _L), ("window_start_ms", _L), ("act_time", _I), ("arrival", _L),
-                     ("event_id", _S), ("rank", _I))
-
-    def __init__(self, n: int, size_ms: int):
-        self.n, self.size_ms = n, size_ms
+    def __init__(self, keys: Sequence[StructField], measure: StructField, order: StructField,
+                 carry: Sequence[StructField], n: int):
+        self.n = n
+        self._row = StructType([measure, order, *carry])
+        self.output = StructType([*keys, StructField("window_start_ms", _L), *self._row.fields,
+                                  StructField("rank", _I)])
 
     def init(self, handle) -> None:
         self.handle = handle
         self.best = handle.getListState("best", self._row)
 
-    def handleInputRows(self, key, rows, timerValues):
+    def _top(self, rows: list[tuple]) -> list[tuple]:
+        return sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))[: self.n]
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if self._closed(key[-1], timerValues):
+            return iter(())
         fresh = not self.best.exists()
-        held = [] if fresh else [tuple(r) for r in self.best.get()]
-        for r in rows:
-            held.append((r["act_time"], r["arrival"], r["event_id"]))
-            if len(held) > 4 * self.n:
-                held = self._top(held)
-        self.best.put(self._top(held))
+        held = _listed(self.best)
+        for frame in rows:
+            held = self._top(held + _rows(frame, self._row.fieldNames()))
+        self.best.put(held)
         if fresh:
-            self.handle.registerTimer(key[1] + self.size_ms)
+            self.handle.registerTimer(int(key[-1]))
         return iter(())
 
-    def _top(self, rows: list[tuple]) -> list[tuple]:
-        return sorted(rows, key=lambda r: (-r[0], r[1]))[: self.n]
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        best = [tuple(r) for r in self.best.get()] if self.best.exists() else []
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        best = _listed(self.best)
         self.best.clear()
-        for rank, (act_time, arrival, event_id) in enumerate(best, 1):
-            yield Row(guid=key[0], window_start_ms=key[1], act_time=act_time, arrival=arrival,
-                      event_id=event_id, rank=rank)
+        yield self._frame([(*key, *row, rank) for rank, row in enumerate(best, 1)])
 
 
 def keyed(stream: DataFrame, keys: list[str], processor: _Processor, time_mode: str = "none",
           output_mode: str = "append") -> DataFrame:
     """Apply a processor per key. ``time_mode``: none, processingTime or eventTime."""
-    return stream.groupBy(*keys).transformWithState(
+    return stream.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=processor.output,
         outputMode=output_mode, timeMode=time_mode)

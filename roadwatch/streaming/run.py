@@ -13,10 +13,9 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.joins import latest_per_key
-from ..session import ROCKSDB_PROVIDER, run_dir
+from ..session import ROCKSDB_PROVIDER, remove_folder, run_dir
 
 PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
-PYTHON_STATE_TIMEOUT = 3600
 
 Writer = Callable[[DataFrame, int], None]
 
@@ -45,9 +44,13 @@ def start(stream: DataFrame, writer: Writer, checkpoint: str, mode: str = "appen
             spark.conf.set(PROVIDER_KEY, before)
 
 
-def finish(query: StreamingQuery, seconds: float = PYTHON_STATE_TIMEOUT) -> None:
+def finish(query: StreamingQuery, seconds: float | None = None) -> None:
+    """Wait for the end of the input, however long that takes; ``seconds`` is for streams
+    that have no end."""
     try:
-        if not query.awaitTermination(seconds):
+        if seconds is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(seconds):
             raise TimeoutError(f"stream still runs after {seconds} s")
     finally:
         query.stop()
@@ -58,10 +61,13 @@ def to_table(stream: DataFrame, name: str, mode: str = "append",
              folder: str | None = None) -> DataFrame:
     """Run over all present input; the rows written, with their ``batch_id``.
 
-    Pass the ``folder`` of an earlier run to go on from its checkpoint.
+    Pass the ``folder`` of an earlier run to go on from its checkpoint; without
+    one nobody can, and the checkpoint goes when the run has ended.
     """
-    folder = folder or run_dir(stream.sparkSession, name)
+    own, folder = folder is None, folder or run_dir(stream.sparkSession, name)
     finish(start(stream, batch_writer(f"{folder}/out", per_batch), f"{folder}/checkpoint", mode))
+    if own:
+        remove_folder(stream.sparkSession, f"{folder}/checkpoint")
     try:
         return stream.sparkSession.read.parquet(f"{folder}/out")
     except AnalysisException as error:

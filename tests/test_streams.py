@@ -5,18 +5,20 @@ import os
 import time
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from roadwatch import schemas
 from roadwatch.functions.parse import accepted, parse_delimited
-from roadwatch.operators import late, route, windows
-from roadwatch.operators.running import count_rows
+from roadwatch.operators import late, route, topn, triggers, windows
+from roadwatch.operators.running import count_rows, highest
 from roadwatch.plans import traffic
 from roadwatch.session import run_dir
 from roadwatch.sources import console, jdbc
 from roadwatch.sources.files import stream_folder, stream_lines
-from roadwatch.streaming import jobs
-from roadwatch.streaming.processors import StateKinds, keyed
+from roadwatch.sources.files import replayed
+from roadwatch.streaming import carried, jobs
+from roadwatch.streaming.carried import carried_table, carried_writer
 from roadwatch.streaming.run import (
     batch_writer, fan_out, final_rows, finish, start, to_table, with_event_time,
 )
@@ -168,10 +170,11 @@ def test_fan_out_releases_the_batch_when_a_sink_fails(spark):
 
 def test_sessions(replay):
     replay.add([(1, "a", 0), (2, "a", 0)], [(1, "a", 30)], [(1, "a", 61)], [(2, "z", 300)])
-    found = to_table(jobs.session_counts(replay.stream(), "ts", "30 seconds", "0 seconds", ["guid"]),
-                     "sessions")
-    assert sorted((r["guid"], second(r["session_start"]), r["n"]) for r in found.collect()) == [
-        (1, 0, 2), (1, 61, 1), (2, 0, 1)]
+    found = to_table(jobs.session_windows(
+        replay.stream(), "ts", "30 seconds", "0 seconds", ["guid"],
+        {"n": count_rows(), "most": highest(F.col("arrival"))}), "sessions")
+    assert sorted((r["guid"], second(r["session_start"]), r["n"], r["most"]) for r in found.collect()) == [
+        (1, 0, 2, 2), (1, 61, 1, 3), (2, 0, 1, 1)]
 
 
 def test_window_join(replay, spark, tmp_path):
@@ -196,7 +199,7 @@ def test_count_window_across_batches_and_restart(spark, replay):
     def run(folder):
         amounts = replay.stream().select(F.col("event_id").alias("key"), F.col("arrival").alias("event_id"),
                                          F.col("act_time").cast("long").alias("n"))
-        return to_table(jobs.count_windows(amounts, 3), "count", folder=folder)
+        return carried_table(amounts, "count", carried.count_windows("key", "event_id", "n", 3), folder)
 
     folder = run_dir(spark, "count")
     replay.add([(1, "a", 1), (1, "a", 2)], [(1, "b", 9)])
@@ -216,7 +219,8 @@ def test_state_kinds(replay):
     replay.add([(1, "a", 10), (1, "b", 20)], [(1, "a", 3)], [(1, "a", 4)])
     rows = replay.stream().select(F.col("guid").alias("key"), "arrival", F.col("event_id").alias("kind"),
                                   F.second("ts").cast("long").alias("n"))
-    found = {r["arrival"]: r for r in to_table(keyed(rows, ["key"], StateKinds()), "kinds").collect()}
+    step = carried.state_kinds("key", "arrival", "kind", "n")
+    found = {r["arrival"]: r for r in carried_table(rows, "kinds", step).collect()}
     assert [found[i]["total"] for i in range(4)] == [10, 30, 33, 37]
     assert found[1]["average"] == 15.0, "the average of 10 and 20"
     assert [found[i]["of_kind"] for i in range(4)] == [1, 1, 2, 3]
@@ -234,7 +238,7 @@ def test_texts_expire(spark, replay):
         def wait_for(arrival):
             for _ in range(300):
                 if os.path.isdir(f"{folder}/out"):
-                    rows = spark.read.schema("key long, arrival long, joined string").parquet(f"{folder}/out")
+                    rows = spark.read.schema("guid long, arrival long, joined string").parquet(f"{folder}/out")
                     hit = rows.where(F.col("arrival") == arrival).collect()
                     if hit:
                         return hit[0]["joined"]
@@ -255,7 +259,7 @@ def test_cloned_plates_equal_the_batch_form(replay):
     replay.add([(1, "a", 0), (1, "a", 10), (2, "a", 3)], [(1, "a", 5), (2, "a", 12)], [(1, "a", 19)])
     def shape(df):
         return df.select(F.col("guid").cast("string").alias("car"), "arrival", F.col("ts").alias("action_time"))
-    streamed = to_table(jobs.cloned_plates(shape(replay.stream()), "10 seconds"), "plates")
+    streamed = carried_table(shape(replay.stream()), "plates", jobs.cloned_plates("10 seconds"))
     batch = traffic.cloned_plates(shape(replay.table()), "10 seconds", width=2)
     assert (sorted(r["arrival"] for r in streamed.collect())
             == sorted(r["arrival"] for r in batch.collect()) == [3, 4, 5])
@@ -344,10 +348,135 @@ def test_limits_are_read_again_while_the_stream_runs(spark, replay):
     assert len(loads) == 2 and found == [0, 1], "the third batch sees the new limit"
 
 
-def test_print_sink(replay, spark):
-    replay.add([(1, "a", 1)])
-    writer = console.print_stream(replay.stream(), prefix="row: ")
-    query = (writer.option("checkpointLocation", run_dir(spark, "console"))
-             .trigger(availableNow=True).start())
-    finish(query, 60)
-    assert query.lastProgress["sink"]["description"].startswith("org.apache.spark")
+def test_print_sink_shows_every_row(replay, spark):
+    replay.add([(1, "a", i % 50) for i in range(45)])
+    shown = []
+    writer = console.print_stream(replay.stream(), prefix="row: ", show=shown.append)
+    finish(writer.option("checkpointLocation", run_dir(spark, "console")).trigger(availableNow=True).start())
+    assert len(shown) == 45 and shown[0].startswith("row: 1,a,")
+
+
+def test_a_run_is_waited_for_without_bound():
+    class Query:
+        waited = None
+
+        def awaitTermination(self, seconds="none"):
+            self.waited = seconds
+            return False
+
+        def stop(self):
+            pass
+
+    query = Query()
+    finish(query)
+    assert query.waited == "none"
+    with pytest.raises(TimeoutError):
+        finish(query, 1)
+
+
+def test_replayed_table_comes_in_order_and_in_cuts(spark):
+    rows = spark.range(100).withColumnRenamed("id", "at")
+    written = to_table(replayed(spark, rows, "at", "numbers"), "replayed")
+    cuts = {r["batch_id"]: (r["low"], r["high"]) for r in written.groupBy("batch_id").agg(
+        F.min("at").alias("low"), F.max("at").alias("high")).collect()}
+    assert [cuts[i] for i in sorted(cuts)] == [(0, 16), (17, 33), (34, 50), (51, 67), (68, 84), (85, 99)]
+
+
+# Rows behind the watermark whose window is still open.
+BEHIND = [[(1, "a", 11), (1, "ex", 14)], [(1, "b", 15)], [(1, "c", 13)], [(1, "ex", 12)], [(2, "z", 60)]]
+
+
+def test_open_windows_keep_rows_behind_the_watermark(replay):
+    replay.add(*BEHIND)
+    fired = to_table(jobs.fire_on_marker(replay.stream(), "ts", "10 seconds",
+                                         F.col("event_id") == "ex", "0 seconds"), "marker")
+    assert sorted((-1 if r["fired_by"] is None else r["fired_by"], r["count"]) for r in fired.collect()) == [
+        (-1, 5), (1, 2), (4, 5)]
+    best = to_table(jobs.top_per_window(replay.stream(), "ts", "10 seconds", "10 seconds", 9, "0 seconds"),
+                    "top")
+    assert sorted(r["arrival"] for r in best.collect()) == [0, 1, 2, 3, 4]
+    counted = windows.windowed(with_event_time(replay.stream(), "ts", "0 seconds"), "ts", "10 seconds", None,
+                               ["guid"], {"n": count_rows()})
+    assert [r["n"] for r in to_table(counted, "built-in").collect()] == [5]
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.sampled_from([1, 1, 2]), st.sampled_from(["a", "ex"]),
+                                   st.integers(0, 60)), min_size=1, max_size=4), min_size=2, max_size=4))
+def test_stateful_windows_equal_the_batch_form(spark, tmp_path_factory, batches):
+    """Over any cuts: rows whose window has passed are left out, all others count."""
+    kept, seen = [], -1
+    for batch in batches:
+        kept.append([r for r in batch if r[2] // 10 * 10 + 10 > seen - 5])
+        seen = max([seen, *[r[2] for r in batch]])
+    kept = [b for b in kept if b]
+    replay = Replay(spark, tmp_path_factory.mktemp("any")).add(*kept, [(9, "end", 500)])
+    table = replay.table().where("guid <> 9")
+    marker = F.col("event_id") == "ex"
+    fired = to_table(jobs.fire_on_marker(replay.stream(), "ts", "10 seconds", marker, "5 seconds"), "any")
+    batch = triggers.fire_on_marker(table, ["guid"], "ts", "arrival", "10 seconds", marker)
+    columns = ["guid", "window_start", "fired_by", "count"]
+    assert sorted(map(str, fired.where("guid <> 9").withColumn("window_start", F.col("window_start").cast(
+        "timestamp_ntz")).select(columns).collect())) == sorted(map(str, batch.select(columns).collect()))
+    best = to_table(jobs.top_per_window(replay.stream(), "ts", "10 seconds", "10 seconds", 2, "5 seconds"), "any")
+    rows = windows.with_window(table, "ts", "10 seconds")
+    wanted = topn.top_n(rows, ["guid", "window_start"], [F.desc("act_time"), F.col("arrival")], 2)
+    assert sorted((r["arrival"], r["rank"]) for r in best.where("guid <> 9").collect()) == sorted(
+        (r["arrival"], r["rank"]) for r in wanted.collect())
+
+
+def test_nulls_do_not_end_a_stream(spark, replay):
+    replay.add([(1, "a", 1), (1, "b", 2)], [(1, "c", 3)])
+    value = F.when(F.col("arrival") != 1, F.col("event_id"))
+    number = F.when(F.col("arrival") != 1, F.col("act_time").cast("long"))
+    rows = replay.stream().withColumns({"text": value, "n": number})
+    joined = to_table(jobs.text_so_far(rows, "guid", "arrival", "text"), "null-text")
+    assert {r["arrival"]: r["joined"] for r in joined.collect()} == {0: "a", 1: "a", 2: "ac"}
+    kinds = carried_table(rows, "null-kinds", carried.state_kinds("guid", "arrival", "text", "n")).collect()
+    assert {r["arrival"]: (r["total"], r["average"], r["kinds"], r["last_three"]) for r in kinds} == {
+        0: (1, 1.0, 1, "1"), 1: (1, 1.0, 2, "1"), 2: (4, 2.0, 3, "1,3")}
+    counts = carried_table(rows, "null-count", carried.count_windows("guid", "arrival", "n", 3)).collect()
+    assert [(r["window_no"], r["total"]) for r in counts] == [(0, 4)]
+
+
+def test_a_repeated_batch_gives_the_same(spark, replay):
+    folder = run_dir(spark, "again")
+    step = carried.count_windows("guid", "arrival", "act_time", 2)
+    write = carried_writer(step, folder)
+    replay.add([(1, "a", 1), (1, "a", 2), (1, "a", 3)], [(1, "a", 4)])
+    rows = replay.table()
+    write(rows.where("arrival < 3"), 0)
+    for _ in range(2):
+        write(rows.where("arrival = 3"), 1)
+    found = spark.read.parquet(f"{folder}/out").collect()
+    assert sorted((r["batch_id"], r["window_no"], r["total"]) for r in found) == [(0, 0, 3), (1, 1, 7)]
+
+
+def test_a_dimension_that_changes_while_the_stream_runs(replay):
+    replay.add([(1, "up", 1), (1, "see", 2), (2, "see", 3)], [(1, "see", 4)],
+               [(1, "see", 5), (1, "up", 6), (1, "up", 7)], [(2, "up", 8)], [(2, "see", 9), (1, "see", 9)])
+    step = carried.upserted_dimension(F.col("event_id") == "up", ["guid"], "arrival",
+                                      {"since": F.col("arrival")})
+    rows = carried_table(replay.stream().select("guid", "event_id", "arrival"), "changing", step)
+    # Events of a batch see that batch's last update.
+    assert {r["arrival"]: r["since"] for r in rows.collect()} == {1: 0, 2: None, 3: 0, 4: 6, 8: 7, 9: 6}
+
+
+def test_rows_without_a_time_have_their_own_output(spark, replay):
+    folder = run_dir(spark, "no-time")
+    replay.add([(1, "a", 1), (1, "gone", 2)])
+    rows = replay.stream().withColumn("ts", F.when(F.col("event_id") != "gone", F.col("ts")))
+    writer = jobs.late_splitter("ts", "10 seconds", delay="0 seconds", lateness="3 seconds", folder=folder)
+    finish(start(rows, writer, f"{folder}/checkpoint"))
+    found = {n: spark.read.parquet(f"{folder}/{n}").count() for n in ("main", "late", "no_time")}
+    assert found == {"main": 1, "late": 0, "no_time": 1}
+
+
+def test_dangerous_drivers_leave_no_state_behind(spark, replay):
+    replay.add([(1, "fast", 10), (2, "fast", 11)], [(3, "slow", 400)], [(3, "slow", 500)], [(3, "slow", 600)])
+    none = spark.createDataFrame([], schemas.SPEED_LIMIT)
+    folder = run_dir(spark, "forgets")
+    stream = jobs.danger_drivers(sightings(replay.stream()), none, "10 seconds", "1 second")
+    query = start(stream, batch_writer(f"{folder}/out"), f"{folder}/checkpoint")
+    finish(query)
+    assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 0
