@@ -141,12 +141,15 @@ def running_from(df: DataFrame, keys: Sequence[str], order: str, aggs: Mapping[s
     """
     if any(agg.kind in ("text", "first") for agg in aggs.values()):
         raise ValueError("text_of() and earliest() cannot go on from a stored state")
-    return _running(df, keys, order, aggs, width, inclusive, before)
+    rows, per_bucket = _running(df, keys, order, aggs, width, inclusive, before)
+    return rows, per_bucket.groupBy(*keys).agg(*[
+        agg.partial(f"__{n}", "__bucket").alias(n) for n, agg in aggs.items()])
 
 
 def _running(df: DataFrame, keys: Sequence[str], order: str, aggs: Mapping[str, Agg],
              width: int | None, inclusive: bool,
              before: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """The rows with their aggregates, and the aggregates of each key's buckets."""
     width = width or (KEYED_WIDTH if keys else bucket_width(df, order))
     keys, names = list(keys), {name: f"__{name}" for name in aggs}
     rows = df.withColumns({
@@ -159,10 +162,6 @@ def _running(df: DataFrame, keys: Sequence[str], order: str, aggs: Mapping[str,
     if before is not None:
         per_bucket = per_bucket.unionByName(before.select(
             *keys, F.lit(BEFORE_ALL).alias("__bucket"), *[F.col(n).alias(c) for n, c in names.items()]))
-    after = per_bucket.groupBy(*keys).agg(*[
-        (F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("__bucket")))
-         if aggs[n].kind == "last" else aggs[n].fold(c)).alias(n)
-        for n, c in names.items() if aggs[n].kind not in ("text", "first")])
     earlier = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = per_bucket.select(
         *keys, "__bucket",
@@ -179,4 +178,4 @@ def _running(df: DataFrame, keys: Sequence[str], order: str, aggs: Mapping[str,
         .where("__seq = 1")
         .drop("__seq", "__bucket", *names.values())
     )
-    return result, after
+    return result, per_bucket
