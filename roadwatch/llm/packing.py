@@ -25,7 +25,7 @@ from ..sources.stored import stored
 from .common import small_table, whole_text
 
 SIZES = {512: 530.0, 1024: 1040.0, 2048: 2060.0, 4096: 4106.0}  # tokens, cost of a sequence
-SLICE_ROWS = 50_000
+SLICE_ROWS = 1_000  # pieces of one length that are ranked together, about
 
 
 @dataclass
@@ -164,9 +164,20 @@ def pack(docs: DataFrame, length: Column, costs: Mapping[int, float] = SIZES,
               rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     _, placed, bins = plan(counts, costs) if counts else (0, [], [])
 
+    routes: dict[int, list] = {}
+    for of, run in _at_final_bins(placed, bins):
+        routes.setdefault(of, []).append(run)
+    names = ("low", "high", "bin", "per_bin", "offset", "size")
+    # One row per length: at most the largest size, whatever the input.
+    table = small_table(
+        spark, [(of, 1 + counts[of] // SLICE_ROWS, [dict(zip(names, r)) for r in runs])
+                for of, runs in routes.items()],
+        "length int, slices long, runs array<struct<low: long, high: long, bin: long, per_bin: long, "
+        "offset: long, size: int>>")
+
     # A length's pieces are ranked in slices, so a common length is not one task.
-    slices = 1 + max(counts.values(), default=0) // SLICE_ROWS
-    sliced = rows.withColumn("slice", F.pmod(F.xxhash64("doc_id", "piece", "salt"), F.lit(slices)))
+    sliced = rows.join(F.broadcast(table.select("length", "slices")), "length").withColumn(
+        "slice", F.pmod(F.xxhash64("doc_id", "piece", "salt"), F.col("slices"))).drop("slices")
     before = Window.partitionBy("length").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     firsts = (sliced.groupBy("length", "slice").agg(F.count(F.lit(1)).alias("n"))
               .select("length", "slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")))
@@ -174,16 +185,6 @@ def pack(docs: DataFrame, length: Column, costs: Mapping[int, float] = SIZES,
     ranked = (sliced.withColumn("inside", F.row_number().over(inside))
               .join(firsts, ["length", "slice"])
               .withColumn("rank", F.col("first") + F.col("inside") - 1))
-
-    routes: dict[int, list] = {}
-    for of, run in _at_final_bins(placed, bins):
-        routes.setdefault(of, []).append(run)
-    # One row per length: at most the largest size, whatever the input.
-    names = ("low", "high", "bin", "per_bin", "offset", "size")
-    table = small_table(
-        spark, [(of, [dict(zip(names, r)) for r in runs]) for of, runs in routes.items()],
-        "length int, runs array<struct<low: long, high: long, bin: long, per_bin: long, "
-        "offset: long, size: int>>")
     mine = F.filter("runs", lambda r: (r["low"] <= F.col("rank")) & (F.col("rank") < r["high"]))[0]
     behind = F.col("rank") - F.col("run.low")
     return (ranked.join(F.broadcast(table), "length").withColumn("run", mine).select(
