@@ -164,10 +164,15 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     idf = np.log((1 + total) / (1 + frequency)) + 1
 
     key = F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), "lang")
-    places = Window.partitionBy("lang").orderBy("key", "id")
+    labelled = known.select("id", "lang", key.alias("key"))
+    # Of a common language only keys in a small share of the hash range come into question.
+    common = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # One number per language; the model, which every task gets, holds thousands.
+    near = labelled.join(F.broadcast(common), "lang").where(
+        F.pmod("key", F.lit(1 << 30)).cast("double") * F.col("n") < float(3 * per_language << 30))
+    places = Window.partitionBy("lang").orderBy(F.pmod("key", F.lit(1 << 30)), "id")
     # per_language ids of each language, whatever the input.
-    chosen = (known.select("id", "lang", key.alias("key"))
-              .withColumn("place", F.row_number().over(places)).where(f"place <= {per_language}")
+    chosen = (near.withColumn("place", F.row_number().over(places)).where(f"place <= {per_language}")
               .select("id", "lang").distinct())
     sample = known.join(F.broadcast(chosen), ["id", "lang"], "left_semi").select("lang", "text")
     rows = sample.mapInArrow(_sparse, "lang string, at binary, counts binary").collect()
@@ -188,14 +193,15 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     return Model(languages, idf.astype(np.float32), weights.astype(np.float32), bias, temperature)
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All rows and columns of ``docs`` with lang_pred and score.
+def predict(docs: DataFrame, model: Model, text: str = "text",
+            names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """All rows and columns of ``docs`` with the language and its score, under ``names``.
 
     ``und`` with score 0 where the text is null or has no letter, or no language
     is known; of equally likely languages the first by name. Columns of these
     names are replaced.
     """
-    kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
+    kept = [c for c in docs.columns if c.lower() not in names]
     rows = docs.select(*[F.col(f"`{c}`") for c in kept])
     given = free_name(rows, "__given")
     rows = rows.withColumn(given, F.col(f"`{text}`"))
@@ -215,13 +221,13 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(batches):
         for batch in batches:
             found = [one(t.as_py()) for t in batch.column(batch.num_columns - 1)]
-            names, scores = zip(*found) if found else ((), ())
+            best, scores = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*kept, "lang_pred", "score"])
+                [*batch.columns[:-1], pa.array(best, pa.string()), pa.array(scores, pa.float64())],
+                names=[*kept, *names])
 
     schema = docs.select(*[F.col(f"`{c}`") for c in kept]).withColumns(
-        {"lang_pred": F.lit("").cast("string"), "score": F.lit(0.0)}).schema
+        {names[0]: F.lit("").cast("string"), names[1]: F.lit(0.0)}).schema
     return rows.mapInArrow(run, schema)
 
 
@@ -243,6 +249,6 @@ def keep_known(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
     model = fit(docs)
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    rows = predict(docs.select(*docs.columns, F.struct("*").alias("__row")).select("text", "__row"), model)
-    sure = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)
-    return rows.where(sure).select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
+    names = free_name(docs, "__lang"), free_name(docs, "__score")
+    sure = (F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= least_score)
+    return predict(docs, model, names=names).where(sure).drop(*names)
