@@ -30,7 +30,9 @@ ship(__name__)
 
 FOLDS, HELD_OUT, DELETED = 7, 2, 6
 BATCH_TOKENS = 3_000_000
-PART_BYTES = 48_000_000  # text bytes whose hashes make one range
+PART_BYTES = 12_000_000  # text bytes whose hashes make one range
+CHUNK_TOKENS = 1 << 18  # tokens that are scored together
+PAIR_BITS = 56  # of a pair's hash; a word's has 64
 MOST_PARTS = 20_000
 BINS = 8  # per power of two, of the estimates that weights are fitted on
 ROUNDS = 60
@@ -82,9 +84,9 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _bounds(keys: np.ndarray, parts: int) -> np.ndarray:
+def _bounds(keys: np.ndarray, parts: int, bits: int) -> np.ndarray:
     """Where each hash range begins in sorted keys."""
-    edges = np.array([(p << 64) // parts for p in range(parts)], np.uint64)
+    edges = np.array([(p << bits) // parts for p in range(parts)], np.uint64)
     return np.append(np.searchsorted(keys, edges), len(keys))
 
 
@@ -107,60 +109,72 @@ def _word_hashes(words) -> np.ndarray:
 def _grams(hashes: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """Each token's pair with the token before it; the first follows an end."""
     before = np.concatenate([[END], hashes[tokens[:-1]]])
-    return _mixed(before * np.uint64(0x9E3779B97F4A7C15) + hashes[tokens])
+    mixed = _mixed(before * np.uint64(0x9E3779B97F4A7C15) + hashes[tokens])
+    return mixed >> np.uint64(64 - PAIR_BITS)
+
+
+def _by_frequency(hashes: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words in order of falling powers of two of their counts, then of their hashes: small places
+    for frequent words, small steps between hashes."""
+    power = np.frexp(np.bincount(tokens, minlength=len(hashes)).astype(np.float64))[1]
+    order = np.lexsort((hashes, -power))
+    place = np.empty(len(order), np.uint32)
+    place[order] = np.arange(len(order), dtype=np.uint32)
+    return hashes[order], place[tokens]
 
 
 def _encode(parts: int):
     def blocks(batch, doc_ids, folds, lengths, index, tokens):
         hashes = _word_hashes([w for w in index if w is not None])
         hashes = np.concatenate([[END], hashes])  # the end token has place 0
-        tokens = np.concatenate(tokens)
+        hashes, tokens = _by_frequency(hashes, np.concatenate(tokens))
         lengths, folds = np.array(lengths, np.int32), np.array(folds, np.int32)
         fold = np.repeat(folds, lengths)
         trained, kept = fold != HELD_OUT, (fold != HELD_OUT) & (fold != DELETED)
-        order = np.argsort(hashes)
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        hashes, tokens = hashes[order], place[tokens]
-        for kind, keys, codes in ((WORD, hashes, tokens),
-                                  (PAIR, *np.unique(_grams(hashes, tokens), return_inverse=True))):
+        head = np.array([len(hashes), len(tokens), len(lengths)], np.int64).tobytes()
+        ids = np.array([d or 0 for d in doc_ids], np.int64)
+        nulls = np.array([d is None for d in doc_ids], np.uint8)
+        yield _row(DOCS, batch, -1, len(tokens), head + _packed(_delta(hashes), tokens),
+                   _packed(ids, nulls, folds, lengths))
+        for kind, bits in ((WORD, 64), (PAIR, PAIR_BITS)):
+            grams = hashes[tokens] if kind == WORD else _grams(hashes, tokens)
+            keys, codes = np.unique(grams, return_inverse=True)
+            del grams
             every = np.bincount(codes[trained], minlength=len(keys)).astype(np.uint32)
             some = np.bincount(codes[kept], minlength=len(keys)).astype(np.uint32)
-            bounds = _bounds(keys, parts)
+            bounds = _bounds(keys, parts, bits)
             for p in range(parts):
                 low, high = bounds[p], bounds[p + 1]
                 if high > low:
                     yield _row(kind, batch, p, high - low, _packed(_delta(keys[low:high])),
                                _packed(every[low:high], some[low:high]))
-        head = np.array([len(hashes), len(tokens), len(lengths)], np.int64).tobytes()
-        ids = np.array([d or 0 for d in doc_ids], np.int64)
-        nulls = np.array([d is None for d in doc_ids], np.uint8)
-        yield _row(DOCS, batch, -1, len(tokens), head + _packed(
-            _delta(hashes), tokens.astype(np.uint32)), _packed(ids, nulls, folds, lengths))
 
     def run(batches):
         def fresh():
             index = _Index()
             index[None] = 0
             return [], [], [], index, []
-        state, held = fresh(), 0
-        number = TaskContext.get().partitionId() << 24  # batches are told apart by task and place
+        # Deleted documents have batches of their own, with odd numbers: the weights need only those.
+        states, held, number = [fresh(), fresh()], [0, 0], TaskContext.get().partitionId() << 24
         for batch in batches:
             for doc_id, fold, text in zip(*(c.to_pylist() for c in batch.columns)):
-                doc_ids, folds, lengths, index, tokens = state
+                of = int(fold == DELETED)
+                doc_ids, folds, lengths, index, tokens = states[of]
                 words = text.encode("utf-8", "replace").lower().split()
-                codes = np.zeros(len(words) + 1, np.int64)
-                codes[:-1] = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+                codes = np.zeros(len(words) + 1, np.uint32)
+                codes[:-1] = np.fromiter(map(index.__getitem__, words), np.uint32, len(words))
                 doc_ids.append(doc_id)
                 folds.append(fold)
                 lengths.append(len(codes))
                 tokens.append(codes)
-                held += len(codes)
-                if held >= BATCH_TOKENS:
-                    yield from blocks(number, *state)
-                    state, held, number = fresh(), 0, number + 1
-        if held:
-            yield from blocks(number, *state)
+                held[of] += len(codes)
+                if held[of] >= BATCH_TOKENS:
+                    yield from blocks(2 * number + of, *states[of])
+                    states[of], held[of], number = fresh(), 0, number + 1
+        for of in (0, 1):
+            if held[of]:
+                yield from blocks(2 * number + of, *states[of])
+                number += 1
     return run
 
 
@@ -174,12 +188,14 @@ def _count(batches):
         keys = [_undelta(_unpacked(a, n, np.uint64)[0]) for _, n, a, _ in blocks]
         counts = [_unpacked(b, n, np.uint32, np.uint32) for _, n, _, b in blocks]
         known, place = np.unique(np.concatenate(keys), return_inverse=True)
+        del keys
         every, some = (np.bincount(place, weights=np.concatenate([c[i] for c in counts]).astype(float),
                                    minlength=len(known)).astype(np.uint64) for i in (0, 1))
         at = 0
-        for (batch, n, _, _), _keys in zip(blocks, keys):
+        for batch, n, _, _ in blocks:
             mine = place[at:at + n]
-            yield _row(COUNTS, batch, 2 * part + kind, n, _packed(every[mine], some[mine]))
+            yield _row(COUNTS, batch, 2 * part + kind, n, _packed(every[mine]),
+                       _packed(some[mine]) if batch % 2 else b"")
             at += n
         if kind == WORD:
             sums = [every.sum(), (every > 0).sum(), some.sum(), (some > 0).sum()]
@@ -200,29 +216,45 @@ def _count(batches):
         yield from answers(*now, blocks)
 
 
-def _per_batch(work):
-    """Run ``work(docs, words' counts, pairs' counts, pair of each token)`` once a batch."""
+def _per_batch(work, deleted: bool):
+    """Run ``work`` over the batches' tokens, some documents at a time.
+
+    It gets the documents and, per token, its place and its predecessor's and
+    its pair's place, and the counts by place.
+    """
     def whole(rows):
         head, body, info, answers = None, None, None, {}
         for kind, part, n, a, b in rows:
             if kind == DOCS:
                 head, body, info = np.frombuffer(a[:24], np.int64), a[24:], b
             else:
-                answers[part] = _unpacked(a, n, np.uint64, np.uint64)
+                answers[part] = _unpacked(b if deleted else a, n, np.uint64)[0].astype(np.float64)
         words, n, docs = (int(x) for x in head)
         size = int.from_bytes(body[:8], "little")
         raw = pa.decompress(body[8:], size, "zstd", asbytes=True)
         planes = np.frombuffer(raw, np.uint8, words * 8).reshape(8, words)
         hashes = _undelta(np.ascontiguousarray(planes.T).reshape(-1).view(np.uint64))
         planes = np.frombuffer(raw, np.uint8, n * 4, words * 8).reshape(4, n)
-        tokens = np.ascontiguousarray(planes.T).reshape(-1).view(np.uint32).astype(np.int64)
+        tokens = np.ascontiguousarray(planes.T).reshape(-1).view(np.uint32)
+        del raw, planes
         info = _unpacked(info, docs, np.int64, np.uint8, np.int32, np.int32)
-        of_words = [answers[p] for p in sorted(answers) if p % 2 == WORD]
-        of_pairs = [answers[p] for p in sorted(answers) if p % 2 == PAIR]
-        join = lambda found, i: np.concatenate([f[i] for f in found]).astype(np.float64)
-        pair = np.unique(_grams(hashes, tokens), return_inverse=True)[1]
-        end = int(np.searchsorted(hashes, END))
-        return work(info, tokens, pair, end, lambda i: (join(of_words, i), join(of_pairs, i)))
+        of_pairs = np.concatenate([answers[p] for p in sorted(answers) if p % 2 == PAIR])
+        of_words = np.empty(words)
+        of_words[np.argsort(hashes)] = np.concatenate([answers[p] for p in sorted(answers) if p % 2 == WORD])
+        pair = np.unique(_grams(hashes, tokens), return_inverse=True)[1].astype(np.uint32)
+        end = np.uint32(np.flatnonzero(hashes == END)[0])
+        lengths = info[3]
+        ends = np.cumsum(lengths, dtype=np.int64)
+        first = 0
+        while first < docs:
+            start = ends[first] - lengths[first]
+            last = max(first + 1, int(np.searchsorted(ends, start + CHUNK_TOKENS)))
+            stop = ends[last - 1]
+            mine = tokens[start:stop]
+            before = np.concatenate([[end if start == 0 else tokens[start - 1]], mine[:-1]])
+            yield work([x[first:last] for x in info], of_words[mine], of_words[before],
+                       of_pairs[pair[start:stop]])
+            first = last
 
     def run(batches):
         now, rows = None, []
@@ -230,11 +262,11 @@ def _per_batch(work):
             for kind, number, part, n, a, b in _rows_of(batch):
                 if number != now:
                     if rows:
-                        yield whole(rows)
+                        yield from whole(rows)
                     now, rows = number, []
                 rows.append((kind, part, n, a, b))
         if rows:
-            yield whole(rows)
+            yield from whole(rows)
     return run
 
 
@@ -243,11 +275,8 @@ def bucket(count: np.ndarray) -> np.ndarray:
     return np.frexp(count)[1].astype(np.int64)
 
 
-def _estimates(tokens, pair, end, words, pairs, total):
-    before = np.concatenate([[end], tokens[:-1]])
-    context = words[before]
-    of_pair = np.divide(pairs[pair], context, out=np.zeros(len(tokens)), where=context > 0)
-    return bucket(context), of_pair, words[tokens] / max(total, 1.0)
+def _of_pair(pair: np.ndarray, context: np.ndarray) -> np.ndarray:
+    return np.divide(pair, context, out=np.zeros(len(pair)), where=context > 0)
 
 
 def _bin(p: np.ndarray) -> np.ndarray:
@@ -259,11 +288,10 @@ def _bin(p: np.ndarray) -> np.ndarray:
 
 
 def _deleted_events(total: float):
-    def work(info, tokens, pair, end, counts):
-        chosen = np.repeat(info[2], info[3]) == DELETED
-        of, p2, p1 = _estimates(tokens, pair, end, *counts(1), total)
-        cells, times = np.unique(np.stack([of[chosen], _bin(p2[chosen]), _bin(p1[chosen])]),
-                                 axis=1, return_counts=True)
+    def work(info, word, context, pair):
+        cells, times = np.unique(np.stack([
+            bucket(context), _bin(_of_pair(pair, context)), _bin(word / max(total, 1.0))]),
+            axis=1, return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (*cells, times)],
                                           names=["of", "p2", "p1", "times"])
     return work
@@ -301,19 +329,17 @@ def fit_weights(cells: list[tuple[int, int, int, int]], vocabulary: int) -> Weig
 
 
 def _scores(weights: Weights, total: int, vocabulary: int):
-    def work(info, tokens, pair, end, counts):
+    def work(info, word, context, pair):
         ids, nulls, folds, lengths = info
-        words, pairs = counts(0)
-        of, p2, p1 = _estimates(tokens, pair, end, words, pairs, float(total))
-        shares = weights.table[of]
-        p = shares[:, 0] * p2 + shares[:, 1] * p1 + shares[:, 2] / (vocabulary + 1)
-        seen = words[tokens]
-        base = np.log10((seen + 1) / (total + (vocabulary + 1)))
+        shares = weights.table[bucket(context)]
+        p = (shares[:, 0] * _of_pair(pair, context) + shares[:, 1] * (word / max(total, 1))
+             + shares[:, 2] / (vocabulary + 1))
+        base = np.log10((word + 1) / (total + (vocabulary + 1)))
         firsts = np.cumsum(lengths) - lengths
         total_of = lambda x: np.add.reduceat(x, firsts)
         return pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64(), mask=nulls.astype(bool)), pa.array(folds == HELD_OUT),
-             pa.array(lengths.astype(np.int64)), pa.array(total_of((seen > 0).astype(np.int64))),
+             pa.array(lengths.astype(np.int64)), pa.array(total_of((word > 0).astype(np.int64))),
              pa.array(np.full(len(ids), total, np.int64)),
              pa.array(total_of(base)), pa.array(total_of(np.log10(p)))],
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
@@ -337,22 +363,25 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     parts = min(MOST_PARTS, max(8, -(-size // PART_BYTES)))
     sent = rows.mapInArrow(_encode(parts), BLOCK_SCHEMA)
     spread = F.when(F.col("kind") == DOCS, F.col("batch")).otherwise(F.col("part") * 2 + F.col("kind"))
+    # No more tasks, and files, than hash ranges, whatever the number of shuffle partitions.
     answered = stored(
         sent.withColumn("to", spread).repartition("to").sortWithinPartitions("kind", "part", "batch")
-        .drop("to").mapInArrow(_count, BLOCK_SCHEMA), "lm-answers")
+        .drop("to").mapInArrow(_count, BLOCK_SCHEMA).coalesce(parts), "lm-answers")
     totals = [0, 0, 0, 0]
     for row in answered.where(F.col("kind") == TOTALS).select("a").collect():  # one per hash range
         totals = [x + int(y) for x, y in zip(totals, np.frombuffer(row["a"], np.int64))]
     total, vocabulary, kept_total, kept_vocabulary = totals
 
-    batches = (answered.where(F.col("kind") != TOTALS).repartition("batch")
-               .sortWithinPartitions("batch", "kind", "part"))
-    events = batches.mapInArrow(_per_batch(_deleted_events(float(kept_total))),
-                                "of long, p2 long, p1 long, times long")
+    def batches(rows: DataFrame) -> DataFrame:
+        return rows.repartition("batch").sortWithinPartitions("batch", "kind", "part")
+
+    held = answered.where(F.col("kind") != TOTALS)
+    events = batches(held.where("batch % 2 = 1")).mapInArrow(
+        _per_batch(_deleted_events(float(kept_total)), True), "of long, p2 long, p1 long, times long")
     # Cells of a grid of fixed size.
     cells = [tuple(r) for r in events.groupBy("of", "p2", "p1").agg(
         F.sum("times").alias("times")).collect()]
     weights = fit_weights(sorted(cells), kept_vocabulary)
-    return batches.mapInArrow(_per_batch(_scores(weights, total, vocabulary)), (
+    return batches(held).mapInArrow(_per_batch(_scores(weights, total, vocabulary), False), (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-        "base_score double, score double"))
+        "base_score double, score double")).coalesce(parts)
