@@ -51,13 +51,6 @@ def _typed(schema: str) -> str:
     return re.sub(r"(^|, )(\w+) (\w+)", r"\1\2: \3", schema)
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete an intermediate table that nothing reads any more."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def worker_cache() -> dict:
     """A dictionary that lives as long as the Python worker, across its tasks."""
     name = "_roadwatch_worker_cache"
