@@ -32,7 +32,12 @@ def _fits_all(fits: np.ndarray, count: int) -> np.ndarray:
     return window
 
 
+_SMALL = np.frexp(np.arange(1 << 18).astype(np.float64))[1].astype(np.uint8)
+
+
 def _bit_lengths(values: np.ndarray) -> np.ndarray:
+    if values.max(initial=0) < len(_SMALL):
+        return _SMALL[values.astype(np.uint32)]
     high = (values >> np.uint64(32)).astype(np.float64)
     low = (values & np.uint64(0xFFFFFFFF)).astype(np.float64)
     return np.where(high > 0, np.frexp(high)[1] + 32, np.frexp(low)[1]).astype(np.uint8)
@@ -60,19 +65,26 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if selector > 1 and fits.all() and BITS[selector] > need.max():
             choice[:] = selector
             continue
+        share = np.count_nonzero(fits[:, :BLOCK]) / choice.size
+        if share ** int(COUNTS[selector]) * choice.size < 1:
+            continue  # hardly any word would use it; a selector of fewer numbers does
         good = _fits_all(fits, int(COUNTS[selector]))[:, :BLOCK]
         np.copyto(choice, np.uint8(selector), where=good)
 
-    rows, at, starts, step_rows = np.arange(blocks), np.zeros(blocks, np.int64), [], []
+    # Where words start: step by step, for all blocks that still go on.
+    rows, at, steps = np.arange(blocks), np.zeros(blocks, np.int64), []
+    counts = COUNTS[choice]
     while len(rows):
-        starts.append(at)
-        step_rows.append(rows)
-        at = at + COUNTS[choice[rows, at]]
+        step = np.full(blocks, -1)
+        step[rows] = at
+        steps.append(step)
+        at = at + counts[rows, at]
         going = at < ends[rows]
-        rows, at = rows[going], at[going]
-    word_rows = np.concatenate(step_rows)
-    order = np.argsort(word_rows, kind="stable")
-    word_rows, word_at = word_rows[order], np.concatenate(starts)[order]
+        if not going.all():
+            rows, at = rows[going], at[going]
+    by_block = np.stack(steps, axis=1)
+    word_rows, place = np.nonzero(by_block >= 0)
+    word_at = by_block[word_rows, place]
     selectors = choice[word_rows, word_at]
     words = selectors.astype(np.uint64) << np.uint64(60)
     for selector in np.unique(selectors):

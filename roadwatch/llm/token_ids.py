@@ -9,9 +9,11 @@ them, are in ascending order; null ids come first.
 
 from __future__ import annotations
 
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -45,50 +47,77 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.unsplit = Tokenizer.from_file(path)  # for what the splitting rule leaves whole
+        self.unsplit.encode_special_tokens = True
+        self.unsplit.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.Split("\n", "isolated"),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.pieces: dict[str, bytes | None] = {}
+        self.tails: dict[str, bytes] = {}  # punctuation behind a word
+        self.recurring: set[str] = set()
         self.line_feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _between_line_feeds(self, joined: str) -> list[bytes]:
-        ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, dtype="<u4")
+    def _between_line_feeds(self, tokenizer, joined: str) -> list[bytes]:
+        coded = tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0]
+        ids = np.array(coded.ids, dtype="<u4")
         raw, cuts = ids.tobytes(), np.flatnonzero(ids == self.line_feed[0]) * 4
         return [raw[a + 4:b] for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(raw)])]
 
     def _learn(self, fresh: list[str]) -> None:
-        """Encode new pieces together, with line feeds between them."""
-        self.pieces.update(dict.fromkeys(fresh))  # those that stay None are not safe on their own
-        safe = [p for p in fresh if p and p.strip() == p]
-        after_feed = [p for p in fresh if p[:1] == "\n" and p[1:] and p[1:].strip() == p[1:]]
-        feed = array("I", self.line_feed).tobytes()
+        """Encode new pieces together, with line feeds between them.
+
+        Letters only are one unit of the splitting rule, which they need not pass;
+        ASCII punctuation behind letters is a unit of its own.
+        """
+        pieces = self.pieces
+        cores = [p.rstrip(string.punctuation) for p in fresh]
+        plain = list(map(str.isalpha, cores))
+        letters = [c for c in set(compress(cores, plain)) if c not in pieces]
+        if letters:
+            pieces.update(zip(letters, self._between_line_feeds(
+                self.unsplit, "\n " + "\n ".join(letters))))
+        ended = [(p, c, p[len(c):]) for p, c in compress(zip(fresh, cores), plain) if p not in pieces]
+        tails = list({t for _, _, t in ended} - self.tails.keys())
+        self.tails.update(zip(tails, self.whole(tails)))
+        pieces.update([(p, pieces[c] + self.tails[t]) for p, c, t in ended])
+
+        rest = [p for p in fresh if p not in pieces]
+        pieces.update(dict.fromkeys(rest))  # those that stay None are not safe on their own
+        safe = [p for p in rest if p and p == p.strip()]
         if safe:
-            self.pieces.update(zip(safe, self._between_line_feeds("\n " + "\n ".join(safe))))
+            pieces.update(zip(safe, self._between_line_feeds(self.tokenizer, "\n " + "\n ".join(safe))))
+        after_feed = [p for p in rest if p[:1] == "\n" and p[1:] and p[1:] == p.strip()]
         if after_feed:
-            ids = self._between_line_feeds("".join(after_feed))
-            self.pieces.update(zip(after_feed, [feed + i for i in ids]))
+            feed = array("I", self.line_feed).tobytes()
+            ids = self._between_line_feeds(self.tokenizer, "".join(after_feed))
+            pieces.update(zip(after_feed, [feed + i for i in ids]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " \n").split(" ") for t in texts]
+        # A text's first word has nothing before it: it is encoded behind a line feed, which goes.
+        split = [("\n" + t.replace("\n", " \n")).split(" ") for t in texts]
         new: set[str] = set()
         for words in split:
             new.update(words)
-        if len(self.pieces) > MOST_PIECES:
-            self.pieces = {p: self.pieces[p] for p in new & self.pieces.keys()}
-        fresh = list(new - self.pieces.keys())
+        known = new & self.pieces.keys()
+        self.recurring |= known
+        if len(self.pieces) > MOST_PIECES:  # forget what came only once
+            self.pieces = {p: self.pieces[p] for p in self.recurring}
+            self.recurring = known
+            self.tails.clear()
+        fresh = list(new - known)
         for i in range(0, len(fresh), LEARN_AT_ONCE):
             self._learn(fresh[i:i + LEARN_AT_ONCE])
-        starts = self.whole([words[0] for words in split])
-        out: list[bytes | None] = []
-        for i, words in enumerate(split):
+        skip, out = 4 * len(self.line_feed), []
+        for words in split:
             try:
-                safe = words[0] and words[0].strip() == words[0]
-                out.append(starts[i] + b"".join(map(self.pieces.__getitem__, words[1:]))
-                           if safe else None)
+                out.append(b"".join(map(self.pieces.__getitem__, words))[skip:])
             except TypeError:
                 out.append(None)
         rest = [i for i, ids in enumerate(out) if ids is None]
