@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -37,27 +36,26 @@ def three_in_a_row(df: DataFrame, keys: Sequence[str], time: str, order: str, wi
     bucket gets the first two rows behind it, as ``running`` carries its value.
     """
     span = duration_micros(within)
-    timed = df.withColumn("time_us", micros(F.col(time)))
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows)
-           .select(*[F.col(k).alias(f"__{k}") for k in keys], F.lit(True).alias("__hot")))
-    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    cut = timed.join(hot, reduce(lambda a, b: a & b, same), "left").withColumn(
+    # The keys as one value: null keys are equal in it, and joins keep the windows' partitioning.
+    timed = df.withColumns({"time_us": micros(F.col(time)), "__key": F.struct(*keys)})
+    hot = (timed.groupBy("__key").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows)
+           .select("__key", F.lit(True).alias("__hot")))
+    cut = timed.join(hot, "__key", "left").withColumn(
         "__bucket", F.when(F.col("__hot"), bucket_of(F.col("time_us"), max(1, span // slices)))
-        .otherwise(F.lit(0).cast("long"))).drop(*[f"__{k}" for k in keys])
+        .otherwise(F.lit(0).cast("long")))
 
-    inside = Window.partitionBy(*keys, "__bucket").orderBy("time_us", order)
+    inside = Window.partitionBy("__key", "__bucket").orderBy("time_us", order)
     sighting = F.struct("time_us", *carry)
     ranked = cut.withColumns({"__rn": F.row_number().over(inside), "__one": F.lead(sighting, 1).over(inside),
                               "__two": F.lead(sighting, 2).over(inside)})
     # At most two rows of each bucket of a hot key: what a bucket before it may need.
     heads = ranked.where("__hot and __rn <= 2")
-    ahead = Window.partitionBy(*keys).orderBy("__bucket", "__rn")
+    ahead = Window.partitionBy("__key").orderBy("__bucket", "__rn")
     behind = (heads.withColumns({"__next": F.lead(sighting, 1).over(ahead),
                                  "__after": F.lead(sighting, 2).over(ahead)})
-              .groupBy(*[F.col(k).alias(f"__{k}") for k in keys], F.col("__bucket").alias("__b"))
+              .groupBy("__key", "__bucket")
               .agg(F.max_by(F.struct("__next", "__after"), "__rn").alias("__behind")))
-    matched = ranked.join(behind, reduce(lambda a, b: a & b, [
-        *same, F.col("__bucket") == F.col("__b")]), "left")
+    matched = ranked.join(behind, ["__key", "__bucket"], "left")
     second = F.coalesce("__one", "__behind.__next")
     third = F.coalesce("__two", F.when(F.col("__one").isNotNull(), F.col("__behind.__next"))
                        .otherwise(F.col("__behind.__after")))
