@@ -29,7 +29,7 @@ from .common import remainder, ship
 ship(__name__)
 
 FOLDS, HELD_OUT, DELETED = 7, 2, 6
-BATCH_TOKENS = 3_000_000
+BATCH_TOKENS = 2_000_000
 PART_BYTES = 12_000_000  # text bytes whose hashes make one range
 CHUNK_TOKENS = 1 << 18  # tokens that are scored together
 PAIR_BITS = 56  # of a pair's hash; a word's has 64
