@@ -7,13 +7,14 @@ search, per batch of documents:
 1. Word pairs. k edits change at most 2k of an item's word pairs, so a stretch
    that can match holds many of them close together. Regions where they are
    dense enough, and enough of one item's, are searched; the rest cannot match.
-2. Windows. Every word of a region that occurs in an item starts a window. The
-   CGK random walk embeds windows and items: it copies the word at its place and
-   stays or moves on as a random bit of that word says, so that few edits give a
-   small Hamming distance.
-3. Bit sampling. A few sampled positions of the embedding are a key; windows and
-   items with equal keys are candidates. Walks and samples are repeated until the
-   chance to miss an item at the edit bound is below 1 - ``RECALL``.
+2. Anchors and windows. An item is cut into one piece more than the edits it may
+   have, so wherever the edits lie, some piece has none. Every piece is an anchor
+   of its item; every word of a region that occurs in an item starts a window. The
+   CGK random walk embeds windows and pieces: it copies the word at its place and
+   stays or moves on as a random bit of that word says.
+3. Bit sampling. A few sampled positions of the walks, all within a piece, are a
+   key; windows and pieces with equal keys are candidates. A window at a piece
+   without edits walks as the piece does, so every item at the bound is one.
 4. Each candidate (region, item) is verified by exact edit distance of the item
    to its best stretch of the region.
 """
@@ -34,8 +35,8 @@ ship(__name__)
 
 MOST_EDITS = 0.2  # edits per item word
 LEAST_WORDS = 5  # shorter items are no passage
-RECALL = 0.999
-WALKS, SAMPLED = 4, 2
+WALKS, SAMPLED = 4, 3
+MOST_STEPS = 8  # of a walk
 ITEMS_AT_ONCE = 20_000
 GROUP_CHARS = 1 << 20
 
@@ -51,22 +52,6 @@ def most_edits(words: int, share: float = MOST_EDITS) -> int:
     return int(share * words + 1e-9)
 
 
-def agreement(share: float) -> float:
-    """A lower estimate of the chance that one position of two embeddings agrees at the bound.
-
-    A walk that meets an edit finds the other string's pace again after a random
-    number of steps; with an edit every 1 / share words about half the positions
-    agree at a share of one fifth.
-    """
-    return max(0.05, (1 - share) ** 4)
-
-
-def repeats(share: float, recall: float = RECALL) -> int:
-    """Bit samples per walk, so that all together reach the recall."""
-    hit = agreement(share) ** SAMPLED
-    return math.ceil(math.log(1 - recall) / math.log(1 - hit) / WALKS) + 1
-
-
 def edit_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     """(edits, end) of the stretch of ``text`` nearest to ``item``; of equal ones the first."""
     steps = np.arange(len(text) + 1)
@@ -114,24 +99,24 @@ class Searcher:
         self.dense = min(self._dense(len(x)) for x in self.items)
         self.longest = max(len(x) + most_edits(len(x), share) for x in self.items)
 
-        rng = np.random.default_rng(11)
-        # Items of like length share their sampled positions, all before a walk can end.
-        self.bands: dict[int, list[int]] = {}
+        # Pieces of like length share their sampled positions, all before a walk can leave a piece.
+        self.bands: dict[int, list[tuple[int, int]]] = {}
         for i, x in enumerate(self.items):
-            self.bands.setdefault(int(math.log2(len(x))), []).append(i)
-        self.steps = max(2 ** band for band in self.bands)
+            pieces = most_edits(len(x), share) + 1
+            self.bands.setdefault(min(len(x) // pieces, MOST_STEPS), []).extend(
+                (i, piece * len(x) // pieces) for piece in range(pieces))
+        self.steps = max(self.bands)
+        rng = np.random.default_rng(11)
         self.bits = rng.integers(0, 2, (WALKS, self.steps, size + 1), dtype=np.int8)
-        self.samples, self.keys = {}, {}
-        for band, members in self.bands.items():
-            self.samples[band] = rng.integers(0, 2 ** band, (WALKS, repeats(share), SAMPLED))
-            for walk in range(WALKS):
-                codes = [self.items[i] for i in members]
-                joined, starts = _joined(codes, self.steps)
-                trail = self._walk(joined, starts, walk)
-                for r, at in enumerate(self.samples[band][walk]):
-                    keys = self._key(trail, at)
-                    order = np.argsort(keys, kind="stable")
-                    self.keys[band, walk, r] = keys[order], np.array(members)[order]
+        self.samples = {band: [rng.choice(band, min(SAMPLED, band), replace=False) for _ in range(WALKS)]
+                        for band in self.bands}
+        joined, firsts = _joined(self.items, self.steps)
+        self.keys = {}
+        for band, pieces in self.bands.items():
+            members, offsets = np.array(pieces).T
+            keys = self._keys(joined, firsts[members] + offsets, [band])[band]
+            order = np.argsort(keys, kind="stable")
+            self.keys[band] = keys[order], members[order]
 
     def _dense(self, length: int) -> int:
         edits = most_edits(length, self.share)
@@ -139,20 +124,25 @@ class Searcher:
         return max(1, math.ceil(needed / math.ceil(span / self.span)))
 
     def _walk(self, words: np.ndarray, starts: np.ndarray, walk: int) -> np.ndarray:
-        """The embedding of the windows at ``starts``, one column a step."""
-        at, last = starts.copy(), len(words) - 1
-        trail = np.empty((len(starts), self.steps), np.int64)
+        """The embedding of the windows at ``starts``, one row a step."""
+        at = starts.copy()
+        trail = np.empty((self.steps, len(starts)), np.int64)
         for step in range(self.steps):
-            seen = words[np.minimum(at, last)]
-            trail[:, step] = seen
-            at = at + self.bits[walk, step][seen]
+            trail[step] = words[at]
+            at += self.bits[walk, step][trail[step]]
         return trail
 
-    def _key(self, trail: np.ndarray, at: np.ndarray) -> np.ndarray:
-        key = np.zeros(len(trail), np.int64)
-        for step in at:
-            key = key * (len(self.vocabulary) + 2) + trail[:, step] + 1
-        return key
+    def _keys(self, words: np.ndarray, starts: np.ndarray, bands) -> dict[int, np.ndarray]:
+        """By band, the sampled positions of all walks from ``starts`` as one number."""
+        keys = {band: np.zeros(len(starts), np.int64) for band in bands}
+        for walk in range(WALKS):
+            trail = self._walk(words, starts, walk)
+            for band, key in keys.items():
+                for step in self.samples[band][walk]:
+                    key *= 0x01000193
+                    key += trail[step]
+                    key ^= key >> 29
+        return keys
 
     def search(self, texts: list[str]) -> list[tuple[int, int, int, int]]:
         """(text, item id, first word after the stretch, edits) for each item a text holds."""
@@ -218,7 +208,7 @@ class Searcher:
         return keys[shared >= self.pairs_needed[keys % len(self.items)]]
 
     def _candidates(self, codes: np.ndarray, regions: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-        """region x item, as one number, where a window's key equals an item's."""
+        """region x item, as one number, where a window's key equals that of a piece."""
         other = len(self.vocabulary)  # any word that no item has
         parts = [np.where(codes[low:high] < 0, other, codes[low:high]) for _, low, high in regions]
         joined, firsts = _joined(parts, self.steps, other)
@@ -230,20 +220,16 @@ class Searcher:
         starts, owner = np.concatenate(starts), np.concatenate(owner)
         found = [np.empty(0, np.int64)]
         for low in range(0, len(starts), 20_000):
-            for walk in range(WALKS):
-                trail = self._walk(joined, starts[low:low + 20_000], walk)
-                for band in self.bands:
-                    for r, at in enumerate(self.samples[band][walk]):
-                        keys, members = self.keys[band, walk, r]
-                        mine = self._key(trail, at)
-                        a, b = np.searchsorted(keys, mine, "left"), np.searchsorted(keys, mine, "right")
-                        hit = np.flatnonzero(b > a)
-                        if not len(hit):
-                            continue
-                        counts = b[hit] - a[hit]
-                        items = members[_ranges(a[hit], counts)]
-                        found.append(np.unique(
-                            numbers[np.repeat(owner[low + hit], counts)] * len(self.items) + items))
+            for band, mine in self._keys(joined, starts[low:low + 20_000], self.bands).items():
+                keys, members = self.keys[band]
+                a, b = np.searchsorted(keys, mine, "left"), np.searchsorted(keys, mine, "right")
+                hit = np.flatnonzero(b > a)
+                if not len(hit):
+                    continue
+                counts = b[hit] - a[hit]
+                items = members[_ranges(a[hit], counts)]
+                found.append(np.unique(
+                    numbers[np.repeat(owner[low + hit], counts)] * len(self.items) + items))
         return np.unique(np.concatenate(found))
 
 

@@ -343,6 +343,36 @@ def test_recall_at_the_edit_bound():
     assert hit >= 0.99 * 240 and wrong == 0
 
 
+@pytest.mark.parametrize("where", ["head", "tail", "middle", "random"])
+def test_clustered_edits_at_the_bound(where):
+    """All items within the bound, and no others, against plain edit distance over whole documents."""
+    random.seed(8)
+    words = [f"w{i}" for i in range(300)]
+    items = [(i, " ".join(random.choices(words, k=random.randint(5, 60)))) for i in range(100)]
+    searcher = decontaminate.Searcher(items)
+    lost, wrong = [], []
+    for number, text in items:
+        for kind in "cut", "replaced", "inserted":
+            changed = text.split()
+            edits = decontaminate.most_edits(len(changed))
+            new, last = random.choices(words, k=edits), len(changed) - edits
+            first = {"head": 0, "tail": last, "middle": last // 2}.get(where)
+            if first is None:
+                for place, word in zip(random.sample(range(len(changed)), edits), new):
+                    changed[place] = "" if kind == "cut" else word if kind == "replaced" else f"{word} {changed[place]}"
+            else:
+                changed[first:first + (0 if kind == "inserted" else edits)] = [] if kind == "cut" else new
+            document = " ".join(random.choices(words, k=50) + changed + random.choices(words, k=50)).split()
+            codes = np.array([searcher.vocabulary.get(w.encode(), -1) for w in document])
+            held = {i for i, x in zip(searcher.ids, searcher.items)
+                    if decontaminate.edit_distance(x, codes)[0] <= decontaminate.most_edits(len(x))}
+            found = {h[1] for h in searcher.search([" ".join(document)])}
+            assert number in held
+            lost += held - found
+            wrong += found - held
+    assert not lost and not wrong, f"{len(lost)} lost, {len(wrong)} wrong of 300 documents"
+
+
 @FEW
 @given(st.lists(st.integers(0, 3), min_size=1, max_size=8), st.lists(st.integers(0, 3), max_size=14))
 def test_edit_distance(item, text):
