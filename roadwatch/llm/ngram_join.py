@@ -1,10 +1,11 @@
-"""Similarity join on word shingles with a MinHash LSH forest.
+"""Similarity join on word shingles with MinHash bands.
 
 Texts with equal shingle sets are folded first. A text's signature is cut into
-``TREES`` labels of ``DEPTH`` minima, each the path of the text in a prefix tree.
-Two texts meet where they share a prefix in some tree; the prefix is shortened
-from the full depth until pairs at the similarity bound are found with the target
-recall. Texts that meet, directly or over others, form a candidate set.
+``TREES`` bands of equally many minima, and two texts meet where all minima of a
+band agree. The number is fixed before any row is read: the largest up to
+``DEPTH`` at which pairs at the similarity bound meet with the target recall.
+Longer prefixes are not tried first, since texts that share one share the shorter
+one as well. Texts that meet, directly or over others, form a candidate set.
 
 Candidate sets are verified exactly: every pair of a set, by the sizes of the
 shingle sets and of their intersections. Large sets are cut into blocks and each
@@ -35,7 +36,7 @@ MOST_WORDS = 400_000  # words a worker remembers
 
 def prefix_depth(similarity: float = SIMILARITY, recall: float = RECALL, trees: int = TREES,
                  depth: int = DEPTH) -> int:
-    """The longest prefix under which a pair at the bound meets in some tree with the recall."""
+    """The most minima a band may have for a pair at the bound to meet in some band with the recall."""
     while depth > 1 and 1 - (1 - similarity ** depth) ** trees < recall:
         depth -= 1
     return depth
@@ -105,7 +106,7 @@ def _forest(depth: int, trees: int):
                     prefixes.append(None)
                     continue
                 labels = signature(runs, masks, factors).reshape(trees, depth).astype(np.uint64)
-                path = np.arange(1, trees + 1, dtype=np.uint64)  # tells the trees apart
+                path = np.arange(1, trees + 1, dtype=np.uint64)  # tells the bands apart
                 for level in range(depth):
                     path = _mixed(path * np.uint64(0x9E3779B97F4A7C15) + labels[:, level])
                 keys.append(blake2b(runs.tobytes(), digest_size=16).digest())
