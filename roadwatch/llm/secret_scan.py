@@ -25,6 +25,7 @@ DICTIONARY = 500  # most frequent words of four letters or more
 LABELLED = 20_000  # labelled findings that the forest is fitted on, at most
 TREES, TREE_DEPTH = 30, 6
 BEFORE, AFTER = 80, 40  # characters of context that are kept
+SHORTEST = 8  # characters of a finding
 
 # Shapes of well-known credentials.
 SHAPES = [
@@ -38,7 +39,8 @@ FINDING = "|".join([
     SHAPES[0][1],
     rf"(?<![{_RUN}])(?:" + "|".join(s for _, s in SHAPES[1:]) + ")",
     rf"(?<![{_RUN}])(?=[A-Za-z+/_\-]*+[0-9])[{_RUN}]{{16,}}+={{0,2}}",
-    r"(?<=[=:][\"' ]{0,3})[^\s\"'=:,;]{8,}+",
+    # A value ends before the next name of a query string, not at any other ampersand.
+    r"(?<=[=:][\"' ]{0,3})(?:(?!&(?:amp;)?[\w.\-]+=)[^\s\"'=:,;]){8,}+",
 ])
 NAMED = r"(?i)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|credential|auth)\w*[\"']?\s{0,3}[=:]\s{0,3}[\"']?$"
 HARMLESS = r"(?i)(?:commit|sha\d*|md5|checksum|digest|uuid|guid|version|build|example|sample|dummy|placeholder|order|invoice|phone|card)\W{0,3}$"
@@ -52,29 +54,37 @@ def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
              path: str | None = "source") -> DataFrame:
     """One row per finding: doc_id, path, no, start, secret, before, after.
 
-    ``start`` counts characters from 0. Null and empty texts have none; repeated
+    ``start`` counts characters from 0. ``before`` and ``after`` are the text on
+    both sides, other findings included. Null and empty texts have none; repeated
     rows are scanned each.
     """
     clean = F.translate(whole_text(text), "\x01\x02", "  ")
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),
         (F.col(path) if path else F.lit(None)).cast("string").alias("path"), clean.alias("t"))
-    # Each finding between marks; what lies between two findings is both's context.
+    # Each finding between marks.
     marked = F.regexp_replace("t", F.lit(f"({FINDING})"), F.lit("\x01$1\x02"))
     parts = rows.select("doc_id", "path", F.split(marked, "\x01", -1).alias("parts")).where(
         "size(parts) > 1")
     ends = F.aggregate("parts", F.array().cast("array<long>"), lambda done, part: F.array_append(
         done, F.coalesce(F.element_at(done, F.when(F.size(done) > 0, -1).otherwise(F.lit(None))), F.lit(0))
         + F.length(part) - F.when(F.size(done) > 0, 1).otherwise(0)))
-    each = parts.withColumn("ends", ends).select(
-        "doc_id", "path", "parts", "ends", F.explode(F.sequence(F.lit(2), F.size("parts"))).alias("i"))
-    mine, previous = F.element_at("parts", F.col("i")), F.element_at("parts", F.col("i") - 1)
+    # As each part but the first begins with a finding, few parts make a whole context.
+    tails = F.transform("parts", lambda part: F.substring(F.translate(part, "\x02", ""), -BEFORE, BEFORE))
+    heads = F.transform("parts", lambda part: F.substring(F.translate(part, "\x02", ""), 1, AFTER))
+    each = parts.withColumns({"ends": ends, "tails": tails, "heads": heads}).select(
+        "doc_id", "path", "parts", "ends", "tails", "heads",
+        F.explode(F.sequence(F.lit(2), F.size("parts"))).alias("i"))
+    mine = F.element_at("parts", F.col("i"))
+    first = F.greatest(F.col("i") - -(-BEFORE // SHORTEST), F.lit(1))
+    previous = F.array_join(F.slice("tails", first, F.col("i") - first), "")
+    following = F.array_join(F.slice("heads", F.col("i") + 1, F.lit(-(-AFTER // SHORTEST))), "")
     return each.select(
         "doc_id", "path", (F.col("i") - 2).alias("no"),
         F.element_at("ends", F.col("i") - 1).alias("start"),
         F.substring_index(mine, "\x02", 1).alias("secret"),
-        F.substring(F.substring_index(previous, "\x02", -1), -BEFORE, BEFORE).alias("before"),
-        F.substring(F.substring_index(mine, "\x02", -1), 1, AFTER).alias("after"))
+        F.substring(previous, -BEFORE, BEFORE).alias("before"),
+        F.substring(F.concat(F.substring_index(mine, "\x02", -1), following), 1, AFTER).alias("after"))
 
 
 def dictionary(docs: DataFrame, text: str = "text", words: int = DICTIONARY) -> list[str]:

@@ -414,6 +414,23 @@ def test_findings_and_their_context(spark):
     assert rows[1]["before"].endswith('token = "') and rows[1]["after"].startswith('" x=short')
 
 
+def test_a_finding_keeps_its_name_behind_another_finding(spark):
+    dense = " ".join(f"k{i}=v4lue{i:03}" for i in range(40))
+    texts = ["DB_PASSWORD_2024_PROD=Xk29dkQz81x0", "http://h/?token=abc12345&password=Tr0ub4dor9x&x=1",
+             "password=Tr0&b4dor9x", "a=abcd1234&amp;secret=s3cr3t-v4lue", dense, dense.replace(" ", "&")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn(
+        "source", F.lit("s"))
+    rows = secret_scan.with_numbers(secret_scan.findings(docs), []).collect()
+    for r in rows:
+        text, start, end = texts[r["doc_id"]], r["start"], r["start"] + len(r["secret"])
+        assert text[start:end] == r["secret"]
+        assert r["before"] == text[max(0, start - 80):start] and r["after"] == text[end:end + 40]
+    named = {(r["doc_id"], r["secret"]) for r in rows if r["named"] and r["assigned"]}
+    assert named == {(0, "Xk29dkQz81x0"), (1, "abc12345"), (1, "Tr0ub4dor9x"), (2, "Tr0&b4dor9x"),
+                     (3, "s3cr3t-v4lue")}
+    assert sum(r["doc_id"] == 4 for r in rows) == sum(r["doc_id"] == 5 for r in rows) == 40
+
+
 def test_the_forest_learns_from_labelled_findings(spark):
     """Values behind one name are labelled secrets, those behind another are not."""
     random.seed(6)
