@@ -22,8 +22,9 @@ from ..sources.stored import stored
 from .common import remainder, whole_text
 
 DICTIONARY = 500  # most frequent words of four letters or more
-LABELLED = 20_000  # labelled findings that the forest is fitted on, at most
+LABELLED = 20_000  # different labelled findings that the forest is fitted on, at most
 TREES, TREE_DEPTH = 30, 6
+DRAWS = 4  # rows that copies are dealt to, so that few trees draw none of them
 BEFORE, AFTER = 80, 40  # characters of context that are kept
 SHORTEST = 8  # characters of a finding
 
@@ -141,21 +142,34 @@ def judge(found: DataFrame, labelled: DataFrame) -> DataFrame:
     """Add ``probability`` (of a real secret) to findings with numbers.
 
     ``labelled`` has the same numbers and a ``label`` of 0 or 1. The forest is
-    fitted on at most ``LABELLED`` of them, by hash. Without labels of both
-    kinds nothing can be told apart and nothing is removed: the probability is 1.
+    fitted on at most ``LABELLED`` different ones, by hash, weighted by their
+    copies; a kind has half the places or what the other leaves, and weighs what
+    all of its findings do. Without labels of both kinds nothing can be told
+    apart and nothing is removed: the probability is 1.
     """
-    sample = labelled.where("label IS NOT NULL").select(
-        *NUMBERS, F.col("label").cast("double").alias("label"))
-    sample = sample.withColumn("order", F.xxhash64(*NUMBERS)).orderBy("order", *NUMBERS, "label").limit(
-        LABELLED)
-    sample = stored(sample.coalesce(1), "secret-labelled")
-    kinds = {r["label"] for r in sample.select("label").distinct().collect()}
-    if kinds != {0.0, 1.0}:
+    folded = stored(labelled.where("label IS NOT NULL").groupBy(
+        *NUMBERS, F.col("label").cast("double").alias("label")).agg(
+        F.count(F.lit(1)).alias("copies")), "secret-folded")
+    kinds = {r["label"]: r for r in folded.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("copies").alias("copies")).collect()}
+    if set(kinds) != {0.0, 1.0}:
         return found.withColumn("probability", F.lit(1.0))
+    ordered = folded.withColumn("order", F.xxhash64(*NUMBERS))
+    chosen = [ordered.where(F.col("label") == kind).orderBy("order", *NUMBERS).limit(
+        max(LABELLED // 2, LABELLED - kinds[1 - kind]["n"])) for kind in kinds]
+    sample = stored(reduce(DataFrame.unionByName, chosen).coalesce(1), "secret-labelled")
+    held = {r["label"]: r["copies"] for r in sample.groupBy("label").agg(
+        F.sum("copies").alias("copies")).collect()}
+    share = F.when(F.col("label") == 1, kinds[1.0]["copies"] / held[1.0]).otherwise(
+        kinds[0.0]["copies"] / held[0.0])
+    draws = F.least("copies", F.lit(DRAWS))
+    sample = sample.withColumn("__weight", F.col("copies") * share / draws).withColumn(
+        "__draw", F.explode(F.sequence(F.lit(1), draws.cast("int"))))
     vectors = VectorAssembler(inputCols=NUMBERS, outputCol="__vector", handleInvalid="keep")
     forest = RandomForestClassifier(
-        featuresCol="__vector", labelCol="label", numTrees=TREES, maxDepth=TREE_DEPTH, seed=17,
-        predictionCol="__prediction", rawPredictionCol="__raw", probabilityCol="__chances")
+        featuresCol="__vector", labelCol="label", weightCol="__weight", numTrees=TREES,
+        maxDepth=TREE_DEPTH, seed=17, predictionCol="__prediction", rawPredictionCol="__raw",
+        probabilityCol="__chances")
     model = forest.fit(vectors.transform(sample))
     return model.transform(vectors.transform(found)).withColumn(
         "probability", vector_to_array("__chances")[1]).drop(

@@ -446,3 +446,18 @@ def test_the_forest_learns_from_labelled_findings(spark):
     assert len(rows) == 300 and all(r["is_secret"] == (r["doc_id"] % 2 == 1) for r in rows)
     none = secret_scan.scan(docs, labelled.where("label = 1")).collect()
     assert all(r["is_secret"] for r in none), "one kind of label tells nothing apart"
+
+
+@pytest.mark.parametrize("hot", [0, 1])
+def test_a_hot_finding_leaves_both_labels_in_the_sample(spark, monkeypatch, hot):
+    monkeypatch.setattr(secret_scan, "LABELLED", 20)
+    random.seed(7)
+    value = lambda: "".join(random.choices("0123456789abcdef", k=20))
+    texts = ["the checksum: {} more", "some text password={} more"]
+    same = texts[hot].format(value())
+    rows = [(i, same if i % 2 == hot else texts[1 - hot].format(value()), "s") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    labelled = secret_scan.with_numbers(secret_scan.findings(docs), secret_scan.dictionary(docs)).withColumn(
+        "label", (F.col("doc_id") % 2).cast("double"))
+    found = secret_scan.scan(docs, labelled).collect()
+    assert len(found) == 200 and [r["probability"] for r in found if r["is_secret"] != (r["doc_id"] % 2 == 1)] == []
