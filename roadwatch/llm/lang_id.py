@@ -3,7 +3,7 @@
 Letters are lower-cased, everything else is a blank, and all runs of one to
 three characters are hashed into ``DIMENSIONS`` features. Document frequencies
 count all documents one may learn from. Weights are fitted on a bounded sample
-(``PER_LANGUAGE`` documents of each language, by hash of the id) with
+(``PER_LANGUAGE`` documents of each language, by hash of id and text) with
 follow-the-regularised-leader under an elastic net, which leaves most weights
 zero; a fifth of the sample is kept aside to calibrate the temperature.
 """
@@ -163,18 +163,24 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
             frequency[feature] = number
     idf = np.log((1 + total) / (1 + frequency)) + 1
 
-    key = F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), "lang")
-    labelled = known.select("id", "lang", key.alias("key"))
+    key = F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), "lang", "handle")
+    known = known.withColumn("handle", F.xxhash64("text"))
+    # Rows that repeat id and text take one place, and null ids are ids as any other.
+    labelled = known.select("id", "lang", "handle").distinct().withColumn("key", key)
     # Of a common language only keys in a small share of the hash range come into question.
     common = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     # One number per language; the model, which every task gets, holds thousands.
     near = labelled.join(F.broadcast(common), "lang").where(
         F.pmod("key", F.lit(1 << 30)).cast("double") * F.col("n") < float(3 * per_language << 30))
-    places = Window.partitionBy("lang").orderBy(F.pmod("key", F.lit(1 << 30)), "id")
-    # per_language ids of each language, whatever the input.
+    places = Window.partitionBy("lang").orderBy(F.pmod("key", F.lit(1 << 30)), "id", "handle")
+    # per_language documents of each language, whatever the input.
     chosen = (near.withColumn("place", F.row_number().over(places)).where(f"place <= {per_language}")
-              .select("id", "lang").distinct())
-    sample = known.join(F.broadcast(chosen), ["id", "lang"], "left_semi").select("lang", "text")
+              .select(F.col("id").alias("__id"), F.col("lang").alias("__lang"),
+                      F.col("handle").alias("__handle")))
+    same = F.col("id").eqNullSafe(F.col("__id")) & (F.col("lang") == F.col("__lang")) & (
+        F.col("handle") == F.col("__handle"))
+    sample = (known.join(F.broadcast(chosen), same, "left_semi")
+              .groupBy("id", "lang", "handle").agg(F.min("text").alias("text")).select("lang", "text"))
     rows = sample.mapInArrow(_sparse, "lang string, at binary, counts binary").collect()
     languages = sorted({r["lang"] for r in rows})
     examples = []

@@ -263,6 +263,24 @@ def test_languages_of_a_small_corpus(spark):
     assert lang_id.keep_known(unlabelled).count() == 120
 
 
+@pytest.mark.parametrize("hot", [None, 9])
+def test_repeated_and_null_ids_teach_by_their_texts(spark, hot):
+    rows = [(hot, f"der hund und die katze nummer {i}", "de") for i in range(40)]
+    rows += [(i, f"the dog and the cat number {i}", "en") for i in range(100, 160)]
+    rows += [(hot, "immer wieder derselbe text", "de")] * 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang_id.fit(docs, per_language=20)
+    assert model.languages == ["de", "en"]
+    taken = []
+    collect = lang_id._ftrl
+    try:
+        lang_id._ftrl = lambda examples, classes: taken.append(len(examples)) or collect(examples, classes)
+        lang_id.fit(docs, per_language=20)
+    finally:
+        lang_id._ftrl = collect
+    assert taken == [32], "four fifths of 20 documents of each language"
+
+
 def test_regularisation_leaves_most_weights_zero(spark, sf_dir):
     model = lang_id.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"), per_language=50)
     assert model.languages == ["de", "en", "es", "fr"] and model.temperature > 0
