@@ -33,24 +33,28 @@ def per_partition(df: DataFrame, schema: str, open_: Callable[[], object],
 
 
 def _accents() -> dict[int, str]:
-    """Letters with marks to the bare letters; found once, by Unicode's own decomposition."""
+    """Characters with marks to the bare ones, and marks to nothing; found once, by Unicode's own
+    decomposition."""
     import unicodedata
     table = {}
-    for code in range(0xC0, 0x250):
-        parts = unicodedata.normalize("NFD", chr(code))
-        bare = "".join(p for p in parts if not unicodedata.combining(p))
-        if bare != chr(code):
+    for code in range(0x80, sys.maxunicode + 1):
+        char = chr(code)
+        if not unicodedata.decomposition(char) and not unicodedata.category(char).startswith("M"):
+            continue
+        parts = unicodedata.normalize("NFD", char)
+        bare = "".join(p for p in parts if not unicodedata.category(p).startswith("M"))
+        if bare != char:
             table[code] = bare
     return table
 
 
 def _strip(table: object, batch: pd.DataFrame) -> pd.DataFrame:
-    batch["plain"] = batch["text"].str.translate(table)
+    batch["plain"] = batch["text"].str.translate(table).str.normalize("NFC")
     return batch
 
 
 def without_accents(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Texts with bare Latin letters. Spark has no function for it, and the letter table is the
+    """Texts with bare letters, without marks. Spark has no function for it, and the letter table is the
     set-up that a partition shares."""
     rows = df.select(F.col(key).cast("long").alias(key), F.col(text).alias("text"))
     return per_partition(rows, f"{key} long, text string, plain string", _accents, _strip).drop("text")

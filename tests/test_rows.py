@@ -287,3 +287,16 @@ def test_shared_folder_comes_from_the_session(spark):
     with pytest.raises(ValueError):
         session.shared_dir(Session)
     assert session.run_dir(spark, "x") != session.run_dir(spark, "x")
+
+
+def test_accents_of_all_code_points(spark):
+    import duckdb
+    from roadwatch.operators.process import without_accents
+    texts = ["Tiếng Việt", "Tiếng Việt", "한 한", "plain", None]
+    texts += ["".join(map(chr, range(low, low + 64))) for low in range(0x40, 0x3400, 64)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    con = duckdb.connect()
+    want = [con.execute("SELECT strip_accents(?::VARCHAR)", [t]).fetchone()[0] for t in texts]
+    assert want[0] == want[1] == "Tieng Viet"
+    rows = without_accents(df, "id", "t").orderBy("id").collect()
+    assert [(texts[r["id"]], r["plain"], want[r["id"]]) for r in rows if r["plain"] != want[r["id"]]] == []
