@@ -17,11 +17,15 @@ search, per batch of documents:
    without edits walks as the piece does, so every item at the bound is one.
 4. Each candidate (region, item) is verified by exact edit distance of the item
    to its best stretch of the region.
+
+Items of fewer than ``LEAST_WORDS`` words may have no edit; their copies are found
+by equal word runs.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from functools import reduce
 from itertools import repeat
 
@@ -34,13 +38,16 @@ from .common import ship
 ship(__name__)
 
 MOST_EDITS = 0.2  # edits per item word
-LEAST_WORDS = 5  # shorter items are no passage
+LEAST_WORDS = 5  # shorter items may have no edit
 WALKS, SAMPLED = 4, 3
 MOST_STEPS = 8  # of a walk
 ITEMS_AT_ONCE = 20_000
 GROUP_CHARS = 1 << 20
 
 _TABLE = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
+# Scripts written without blanks: each character is a word.
+_UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff"
+                       "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff])")
 _MARK = b"\x01"  # between documents; no word of a text holds it
 
 
@@ -48,6 +55,13 @@ def words_of(text: str) -> list[bytes]:
     return text.lower().encode("utf-8", "replace").translate(_TABLE).split()
 
 
+def _spaced(text: str) -> bytes:
+    """The text's words between blanks, and its characters in scripts without blanks."""
+    if not text.isascii():
+        text = _UNSPACED.sub(r" \1 ", text)
+    return text.lower().encode("utf-8", "replace").translate(_TABLE)
+
+
 def most_edits(words: int, share: float = MOST_EDITS) -> int:
     return int(share * words + 1e-9)
 
@@ -71,13 +85,27 @@ class Searcher:
 
     def __init__(self, items: list[tuple[int, str]], share: float = MOST_EDITS):
         self.share = share
-        self.ids, texts = [], []
+        self.ids, texts, short = [], [], {}
         for item_id, text in items:
-            words = words_of(text or "")
+            words = _spaced(text or "").split()
             if len(words) >= LEAST_WORDS:
                 self.ids.append(item_id)
                 texts.append(words)
+            elif words:
+                short.setdefault(tuple(words), []).append(item_id)
         self.vocabulary: dict[bytes, int] = {}
+        # By length: the short items' word runs as sorted numbers, and their ids.
+        self.short_words: dict[bytes, int] = {_MARK: -2}
+        runs: dict[int, list] = {}
+        for words, ids in short.items():
+            for word in words:
+                self.short_words.setdefault(word, len(self.short_words) - 1)
+            runs.setdefault(len(words), []).append((words, ids))
+        self.short = {}
+        for length, members in runs.items():
+            keys = self._runs(np.array([self.short_words[w] for words, _ in members for w in words]), length)[::length]
+            order = np.argsort(keys)
+            self.short[length] = keys[order], [members[i] for i in order]
         self.items = [np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words])
                       for words in texts]
         if not self.items:
@@ -123,6 +151,37 @@ class Searcher:
         needed, span = length - 1 - 2 * edits, length + edits - 1
         return max(1, math.ceil(needed / math.ceil(span / self.span)))
 
+    def _runs(self, codes: np.ndarray, length: int) -> np.ndarray:
+        """The run of ``length`` words at each place as one number; equal runs have equal numbers."""
+        places = max(0, len(codes) - length + 1)
+        keys = np.zeros(places, np.int64)
+        for i in range(length):
+            keys = keys * 0x01000193 + codes[i:i + places]
+        return keys
+
+    def _short_hits(self, words: list[bytes]) -> dict[tuple[int, int], tuple[int, int]]:
+        """The first copy of each short item in each document."""
+        if not self.short:
+            return {}
+        codes = np.fromiter(map(self.short_words.get, words, repeat(-1)), np.int64, len(words))
+        limits = np.concatenate([[-1], np.flatnonzero(codes == -2)])
+        found = {}
+        for length, (known, members) in self.short.items():
+            keys = self._runs(codes, length)
+            inside = np.ones(len(keys), bool)
+            for i in range(length):
+                inside &= codes[i:i + len(keys)] >= 0
+            maybe = np.flatnonzero(inside)
+            low = np.searchsorted(known, keys[maybe], "left")
+            high = np.searchsorted(known, keys[maybe], "right")
+            for at, a, b in zip(maybe[high > low].tolist(), low[high > low].tolist(), high[high > low].tolist()):
+                doc = int(np.searchsorted(limits, at)) - 1
+                for wanted, ids in members[a:b]:
+                    if tuple(words[at:at + length]) == wanted:
+                        for item in ids:
+                            found.setdefault((doc, item), (0, at + length - int(limits[doc]) - 1))
+        return found
+
     def _walk(self, words: np.ndarray, starts: np.ndarray, walk: int) -> np.ndarray:
         """The embedding of the windows at ``starts``, one row a step."""
         at = starts.copy()
@@ -146,25 +205,30 @@ class Searcher:
 
     def search(self, texts: list[str]) -> list[tuple[int, int, int, int]]:
         """(text, item id, first word after the stretch, edits) for each item a text holds."""
+        words = b" \x01 ".join(map(_spaced, texts)).split()
+        found = self._short_hits(words)
+        for hit, value in self._long_hits(words).items():
+            found[hit] = min(found.get(hit, value), value)
+        return [(doc, item, end, edits) for (doc, item), (edits, end) in sorted(found.items())]
+
+    def _long_hits(self, words: list[bytes]) -> dict[tuple[int, int], tuple[int, int]]:
         if not self.items:
-            return []
-        joined = b" \x01 ".join(t.lower().encode("utf-8", "replace").translate(_TABLE) for t in texts)
-        words = joined.split()
+            return {}
         size = len(self.vocabulary)
         codes = np.fromiter(map(self.codes.get, words, repeat(-1)), np.int64, len(words))
         if len(codes) < 2:
-            return []
+            return {}
         maybe = np.flatnonzero((codes[:-1] >= 0) & (codes[1:] >= 0))
         pair = codes[maybe] * size + codes[maybe + 1]
         place = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
         hits = maybe[self.pairs[place] == pair]
         if not len(hits):
-            return []
+            return {}
         # Hits with enough hits in the span that begins at them.
         crowd = np.searchsorted(hits, hits + self.span) - np.arange(len(hits))
         dense = hits[crowd >= self.dense]
         if not len(dense):
-            return []
+            return {}
         document = np.concatenate([[0], np.cumsum(codes == -2)])
         limits = np.concatenate([[-1], np.flatnonzero(codes == -2), [len(codes)]])
         regions = []
@@ -179,7 +243,7 @@ class Searcher:
         regions = np.array(regions)
         likely = self._enough_pairs(regions, hits, place[self.pairs[place] == pair])
         if not len(likely):
-            return []
+            return {}
         with_any = np.unique(likely // len(self.items))
         found: dict[tuple[int, int], tuple[int, int]] = {}
         candidates = self._candidates(codes, regions[with_any], with_any)
@@ -191,7 +255,7 @@ class Searcher:
                 hit = (edits, low + end - int(limits[doc]) - 1)
                 key = doc, self.ids[item]
                 found[key] = min(found.get(key, hit), hit)
-        return [(doc, item, end, edits) for (doc, item), (edits, end) in sorted(found.items())]
+        return found
 
     def _enough_pairs(self, regions: np.ndarray, hits: np.ndarray, pairs: np.ndarray) -> np.ndarray:
         """region x item, as one number, where the region has as many of the item's pairs as a match needs."""
@@ -254,8 +318,8 @@ def find(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
 
     ``end_word`` is the number of the document's words up to the end of the
     nearest stretch. Null texts hold nothing and are held by nothing; items of
-    fewer than five words are left out; repeated rows are searched each and
-    repeated items reported each. Empty tables give an empty result.
+    fewer than five words are found as they are; repeated rows are searched each
+    and repeated items reported each. Empty tables give an empty result.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where(
         "text IS NOT NULL")

@@ -412,6 +412,19 @@ def test_leaks_across_case_and_punctuation(spark):
     assert sorted(r["doc_id"] for r in decontaminate.keep_clean(docs, items).collect()) == [1, 2, 3]
 
 
+def test_short_items_and_scripts_without_blanks():
+    items = [(1, "Two words!"), (2, "今天天气很好我们去公园散步吧"), (3, "สวัสดี"), (4, "one"), (5, "two words"),
+             (6, "a longer item of seven words indeed"), (7, "東京")]
+    texts = ["here: two, WORDS; two words", "他说今天天气很好我们去公园走步吧好", "x สวัสดีครับ", "oneself", "two", "words",
+             "so a longer item of seven words, two words", "in 東京 or One"]
+    for given in items, [i for i in items if i[0] not in (2, 3, 6)]:
+        known = {i for i, _ in given}
+        found = {(t, i): (edits, end) for t, i, end, edits in decontaminate.Searcher(given).search(texts)}
+        want = {(0, 1): 0, (0, 5): 0, (1, 2): 1, (2, 3): 0, (6, 1): 0, (6, 5): 0, (6, 6): 1, (7, 7): 0, (7, 4): 0}
+        assert {k: v[0] for k, v in found.items()} == {k: v for k, v in want.items() if k[1] in known}
+        assert found[0, 1][1] == 3 and found[7, 4][1] == 5 and found[6, 5][1] == 9
+
+
 def test_items_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "ITEMS_AT_ONCE", 2)
     items = spark.createDataFrame([(i, f"a{i} b{i} c{i} d{i} e{i} f{i}") for i in range(7)], "item_id long, text string")
