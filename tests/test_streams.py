@@ -356,6 +356,22 @@ def test_print_sink_shows_every_row(replay, spark):
     assert len(shown) == 45 and shown[0].startswith("row: 1,a,")
 
 
+def test_executors_print_every_row(replay, spark, monkeypatch, tmp_path):
+    folder = str(tmp_path)
+
+    def written(rows):
+        import uuid
+        with open(f"{folder}/{uuid.uuid4()}.lines", "w") as file:
+            file.writelines(r["line"] + "\n" for r in rows)
+
+    monkeypatch.setattr(console, "_print_lines", written, raising=False)
+    replay.add([(1, "a", i % 50) for i in range(45)])
+    writer = console.print_stream(replay.stream(), prefix="row: ")
+    finish(writer.option("checkpointLocation", run_dir(spark, "console")).trigger(availableNow=True).start())
+    lines = [line for path in tmp_path.glob("*.lines") for line in path.read_text().splitlines()]
+    assert len(lines) == 45 and lines[0].startswith("row: 1,a,")
+
+
 def test_a_run_is_waited_for_without_bound():
     class Query:
         waited = None
