@@ -1,17 +1,23 @@
 """Every operator on empty tables, nulls, empty and long texts, repeated rows, clashing columns."""
 
+import time
+
 import pytest
+from pyspark.sql import functions as F
 
 from roadwatch.llm import (
-    decontaminate, exact_dedup, lang_id, lm_score, ngram_join, packing, secret_scan, sharding,
-    token_ids, url_filters,
+    audit, decontaminate, exact_dedup, lang_id, lm_score, ngram_join, packing, quality_rules, secret_scan,
+    sharding, token_ids, url_filters,
 )
 from roadwatch.llm.queries import URL_RULES, tokenizer_file
 from roadwatch.session import run_dir
 
 CLASHES = ["score", "lang_pred", "key", "size", "rank", "slot", "shard", "piece", "bin", "length",
            "chars", "recipe", "handle", "kept", "label", "fold", "word", "runs", "n_tokens", "host", "u"]
-SCHEMA = "doc_id long, text string, lang string, source string, " + ", ".join(f"{c} string" for c in CLASHES)
+HELPERS = ["__id", "__handle", "__digest", "__chars", "__sha", "__times", "__row", "__given", "__lang", "__score",
+           "__n", "__url", "row", "text_sha256", "print", "mask", "part", "a.b"]
+SCHEMA = "doc_id long, text string, lang string, source string, " + ", ".join(
+    f"`{c.replace('`', '``')}` string" for c in CLASHES + HELPERS) + ", more map<string,int>"
 LONG = "the quick brown fox jumps over it " * 6000
 ROWS = [
     (1, "the quick brown fox jumps over the lazy dog", "en", "a"), (2, None, None, None),
@@ -23,7 +29,7 @@ ROWS = [
 
 
 def table(spark, rows):
-    return spark.createDataFrame([(*r, *["x"] * len(CLASHES)) for r in rows], SCHEMA)
+    return spark.createDataFrame([(*r, *["x"] * len(CLASHES + HELPERS), {"k": 1}) for r in rows], SCHEMA)
 
 
 def tokens(docs):
@@ -53,6 +59,8 @@ OPERATORS = {
     "leaks": (lambda d: decontaminate.find(d, items(d)), None),
     "leaks, kept": (lambda d: decontaminate.keep_clean(d, items(d)), None),
     "secrets": (secret_scan.scan, None),
+    "quality": (lambda d: quality_rules.judge(quality_rules.ledger(d)), 1),
+    "audit": (audit.interactions, None),
 }
 
 
@@ -66,6 +74,7 @@ def test_edge_rows(spark, name):
         assert sorted(str(r["doc_id"]) for r in found) == sorted(str(r[0]) for r in ROWS)
     if name.endswith("kept"):
         assert found and found[0].__fields__ == docs.columns, "all columns stay"
+        assert {tuple(r[c] for c in CLASHES + HELPERS) for r in found} == {("x",) * len(CLASHES + HELPERS)}
 
 
 @pytest.mark.parametrize("name", OPERATORS)
@@ -88,3 +97,20 @@ def test_url_edges(spark):
     assert found[5]["rule"] == "net/" and found[4]["rule"] is None
     none = url_filters.rules_table(spark, [("block", "", "/")])
     assert {r["verdict"] for r in url_filters.judge(pages, none).collect()} == {"allow"}
+
+
+def test_a_very_long_host_and_a_text_of_many_findings(spark):
+    rules = url_filters.rules_table(spark, [("block", "net", "/"), ("block", "b.a.org", "/x")])
+    hosts = ["a." * 20_000 + "net", "b." * 20_000 + "a.org", "a.org"]
+    pages = spark.createDataFrame([(i, f"http://{h}/x") for i, h in enumerate(hosts)], "page_id long, url string")
+    url_filters.judge(pages.limit(0), rules).collect()
+    start = time.time()
+    assert [r["verdict"] for r in url_filters.judge(pages, rules).orderBy("page_id").collect()] == [
+        "block", "block", "allow"]
+    assert time.time() - start < 20
+    text = " ".join(f"key{i}=Zx81kk22{i:06d}" for i in range(100_000))
+    docs = spark.createDataFrame([(1, text, "a")], "doc_id long, text string, source string")
+    start = time.time()
+    found = secret_scan.findings(docs).agg(F.count(F.lit(1)).alias("n"), F.max("start").alias("last")).first()
+    assert (found["n"], found["last"]) == (100_000, text.rindex("=") + 1)
+    assert time.time() - start < 20

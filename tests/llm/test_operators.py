@@ -165,15 +165,12 @@ def sequential(points, counts, shards):
     """Document by document: first all to their own shard, then what is left on to the next."""
     total = sum(counts)
     room = [total // shards + (s < total % shards) for s in range(shards)]
-    orders = [sharding.clockwise(points, a) for a in range(len(counts))]
+    orders = [list(sharding.clockwise(points, a, shards)) for a in range(len(counts))]
     waiting, got, turn = [a for a, n in enumerate(counts) for _ in range(n)], [], 0
     while waiting:
         rest = []
         for arc in waiting:
-            if turn < len(orders[arc]):
-                shard = orders[arc][turn]
-            else:
-                shard = min(s for s in range(shards) if room[s])
+            shard = orders[arc][turn]
             if room[shard]:
                 room[shard] -= 1
                 got.append((arc, shard))
