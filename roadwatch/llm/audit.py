@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.stored import stored
-from .common import ship, small_table, whole_text
+from .common import named, ship, small_table, whole_text
 from .quality_rules import words_of
 
 ship(__name__)
@@ -193,9 +193,9 @@ def _first_ids(docs: DataFrame, possible: DataFrame) -> DataFrame:
 def flag_counts(docs: DataFrame, labels: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text",
                 part: str = "lang", identify: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """Documents per part, combination of failed filters and label: part, mask, good, toxic, n."""
-    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
-                       F.coalesce(F.col(f"`{part}`").cast("string"), F.lit("")).alias("part"),
-                       whole_text(f"`{text}`").alias("text"))
+    rows = docs.select(named(doc_id).cast("long").alias("doc_id"),
+                       F.coalesce(named(part).cast("string"), F.lit("")).alias("part"),
+                       whole_text(text).alias("text"))
     rows = rows.withColumn("print", identify(F.col("text")))
     light = stored(rows.select("doc_id", "part", "print", failures(F.col("text")).alias("mask")), "audit-flags")
     possible = possible_repeats(light.select("print"), light.count())

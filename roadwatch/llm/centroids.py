@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.stored import stored
-from .common import ship, small_table
+from .common import named, ship, small_table
 
 ship(__name__)
 
@@ -179,7 +179,7 @@ def cluster(rows: DataFrame, k: int = CENTROIDS, rounds: int = ROUNDS, vec_id: s
     result; other columns are ignored.
     """
     spark = rows.sparkSession
-    kept = rows.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").alias("vector"))
+    kept = rows.select(named(vec_id).cast("long").alias("vec_id"), named(vector).alias("vector"))
     points = first_centroids(kept, k, dims, seed, scale)
     if not len(points):
         return spark.createDataFrame([], "vec_id long, cluster int, distance long, cluster_inertia long, "

@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ship
+from .common import map_rows, named, ship
 
 ship(__name__)
 
@@ -321,7 +321,7 @@ def find(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     fewer than five words are found as they are; repeated rows are searched each
     and repeated items reported each. Empty tables give an empty result.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where(
+    rows = docs.select(named(doc_id).cast("long").alias("doc_id"), named(text).alias("text")).where(
         "text IS NOT NULL")
     parts = [rows.mapInArrow(_search(block, share), "doc_id long, item_id long, end_word long, edits int")
              for block in _blocks(items, item_id, item_text)]
@@ -330,7 +330,7 @@ def find(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
 
 def _blocks(items: DataFrame, item_id: str, item_text: str):
     """The query set in blocks of a stated size, each to be searched against all documents."""
-    listed = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).where(
+    listed = items.select(named(item_id).cast("long").alias("i"), named(item_text).alias("t")).where(
         "t IS NOT NULL")
     blocks = -(-max(1, listed.count()) // ITEMS_AT_ONCE)
     for block in range(blocks):
@@ -386,5 +386,5 @@ def keep_clean(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
     Rows with a null text hold none. An empty table of items leaves all rows.
     """
     for block in _blocks(items, item_id, item_text):
-        docs = docs.mapInArrow(_without(block, share, docs.columns, text), docs.schema)
+        docs = map_rows(docs, _without(block, share, docs.columns, text))
     return docs

@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.stored import stored
-from .common import WHITE, whole_text
+from .common import WHITE, free_name, named, whole_text
 
 LEAST, MOST = 256, 2048  # characters of a chunk
 
@@ -58,14 +58,13 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Equal means identical without white space; a null text is an empty one. Of
     a group the row with the most characters in the original text stays, of
-    equals the one with the smallest id; a null id comes last. Rows that repeat
-    id and text are one document given several times: all are marked ``kept``
-    and each counts in ``group_size``. An empty table gives an empty result.
-    Other columns are ignored.
+    equals the one with the smallest id; a null id comes last. Of rows that repeat
+    id and text one is ``kept`` and each counts in ``group_size``. An empty table
+    gives an empty result. Other columns are ignored.
     """
     verified = stored(ambiguous_chunks(docs, text, identify), "dedup-ambiguous")
     squeezed = docs.select(
-        F.col(doc_id).alias("doc_id"), F.length(whole_text(text)).cast("long").alias("chars"),
+        named(doc_id).alias("doc_id"), F.length(whole_text(text)).cast("long").alias("chars"),
         normal(whole_text(text)).alias("squeezed"))
     rows = squeezed.select(
         "doc_id", "chars", F.sha2("squeezed", 256).alias("text_sha256"),
@@ -75,14 +74,14 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         rows = _with_contents(rows, verified)
     else:
         rows = rows.withColumn("contents", F.lit(None).cast("string"))
-    rows = stored(rows, "dedup-recipes")
+    # The stored rows have a number each, which tells repeated ones apart.
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "dedup-recipes")
     best = F.min(F.struct((-F.col("chars")).alias("less"), F.col("doc_id").isNull().alias("no_id"),
-                          F.col("doc_id").alias("id")))
+                          F.col("doc_id").alias("id"), "row"))
     key = ["recipe", "contents"]
     groups = (rows.groupBy(*key).agg(F.count(F.lit(1)).alias("group_size"), best.alias("best"))
               .where("group_size > 1")
-              .select(*key, "group_size", F.col("best.id").alias("keep"),
-                      (-F.col("best.less")).alias("most")))
+              .select(*key, "group_size", F.col("best.id").alias("keep"), F.col("best.row").alias("kept_row")))
     groups = stored(groups, "dedup-groups")
     same = (rows["recipe"] == groups["recipe"]) & rows["contents"].eqNullSafe(groups["contents"])
     joined = rows.join(groups.withColumn("found", F.lit(True)), same, "left")
@@ -91,8 +90,7 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         rows["doc_id"],
         F.when(found, F.col("keep")).otherwise(rows["doc_id"]).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        F.when(found, rows["doc_id"].eqNullSafe(F.col("keep")) & (F.col("chars") == F.col("most")))
-        .otherwise(True).alias("kept"),
+        F.when(found, F.col("row") == F.col("kept_row")).otherwise(True).alias("kept"),
         "text_sha256")
 
 
@@ -108,21 +106,24 @@ def _with_contents(rows: DataFrame, verified: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns; repeated rows stay once."""
+    """The documents that stay, with all their columns, whatever their names and types.
+
+    One row of each group of equal texts, as ``exact_groups`` marks them; of rows
+    that repeat the id and text but differ elsewhere, the first by their JSON. Null
+    texts are empty ones. An empty table stays empty.
+    """
     groups = exact_groups(docs, doc_id, text)
-    staying = (groups.where("kept").groupBy("doc_id", "text_sha256")
-               .agg(F.count(F.lit(1)).alias("times"))
-               .select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), "times"))
-    columns = docs.columns
-    marked = docs.withColumns({"__digest": F.sha2(normal(whole_text(text)), 256),
-                               "__chars": F.length(whole_text(text))})
-    joined = marked.join(
-        stored(staying, "dedup-staying").withColumnRenamed("times", "__times"),
-        marked[doc_id].eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__sha")))
-    single = joined.where("__times = 1").select(*columns)
-    if not groups.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1").isEmpty():
-        chosen = F.max(F.struct("__chars", *[F.col(f"`{c}`") for c in columns]))
-        repeated = (joined.where("__times > 1").groupBy("__id", "__sha").agg(chosen.alias("row"))
-                    .select(*[F.col(f"row.`{c}`") for c in columns]))
-        single = single.unionByName(repeated)
-    return single
+    staying = stored(groups.groupBy("doc_id", "text_sha256").agg(
+        F.count(F.lit(1)).alias("times"), F.max("kept").alias("kept")).where("kept").drop("kept"), "dedup-staying")
+    columns = [named(c) for c in docs.columns]
+    own, sha, times, digest, row = (free_name(docs, n) for n in ("__id", "__sha", "__times", "__digest", "__row"))
+    marked = docs.select(*columns, F.sha2(normal(whole_text(text)), 256).alias(digest))
+    known = staying.select(F.col("doc_id").alias(own), F.col("text_sha256").alias(sha), F.col("times").alias(times))
+    joined = marked.join(known, named(doc_id).eqNullSafe(F.col(own)) & (F.col(digest) == F.col(sha)))
+    single = joined.where(F.col(times) == 1).select(*columns)
+    if staying.where("times > 1").isEmpty():
+        return single
+    whole = F.struct(*columns)
+    repeated = (joined.where(F.col(times) > 1).groupBy(own, sha)
+                .agg(F.min_by(whole, F.to_json(whole)).alias(row)).select(f"{row}.*"))
+    return single.unionByName(repeated)

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import free_name, remainder, ship, worker_cache
+from .common import free_name, map_rows, named, remainder, ship, worker_cache
 
 ship(__name__)
 
@@ -149,8 +149,8 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     model knows no language.
     """
     spark = docs.sparkSession
-    known = docs.select(F.col(doc_id).alias("id"), F.col(lang).cast("string").alias("lang"),
-                        F.col(text).alias("text")).where(
+    known = docs.select(named(doc_id).alias("id"), named(lang).cast("string").alias("lang"),
+                        named(text).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder("id", 3) != 1))
     seen = known.select("text").mapInArrow(_frequencies, "feature int, n long")
     # One number per feature, whatever the input.
@@ -208,9 +208,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text",
     names are replaced.
     """
     kept = [c for c in docs.columns if c.lower() not in names]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept])
-    given = free_name(rows, "__given")
-    rows = rows.withColumn(given, F.col(f"`{text}`"))
+    rows = docs.select(*[named(c) for c in kept])
+    at = rows.columns.index(text)
     languages, idf, weights = model.languages, model.idf, model.weights
     bias, temperature = model.bias, model.temperature
 
@@ -226,21 +225,18 @@ def predict(docs: DataFrame, model: Model, text: str = "text",
 
     def run(batches):
         for batch in batches:
-            found = [one(t.as_py()) for t in batch.column(batch.num_columns - 1)]
+            found = [one(t.as_py()) for t in batch.column(at)]
             best, scores = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(best, pa.string()), pa.array(scores, pa.float64())],
-                names=[*kept, *names])
-
-    schema = docs.select(*[F.col(f"`{c}`") for c in kept]).withColumns(
-        {names[0]: F.lit("").cast("string"), names[1]: F.lit(0.0)}).schema
-    return rows.mapInArrow(run, schema)
+                [*batch.columns, pa.array(best, pa.string()), pa.array(scores, pa.float64())],
+                names=[*batch.schema.names, *names])
+    return map_rows(rows, run, f"`{names[0]}` string, `{names[1]}` double")
 
 
 def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score."""
     model = fit(docs, doc_id, text, lang)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(named(doc_id).alias("doc_id"), named(text).alias("text"))
     return (predict(rows, model).withColumn("held_out", remainder("doc_id", 3) == 1)
             .select("doc_id", "held_out", "lang_pred", "score"))
 

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.stored import stored
-from .common import remainder, ship
+from .common import named, remainder, ship
 
 ship(__name__)
 
@@ -356,8 +356,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     training documents every token has the uniform probability 1. Other columns
     are ignored.
     """
-    text_of = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
+    text_of = F.coalesce(named(text), F.lit(""))
+    rows = docs.select(named(doc_id).cast("long").alias("doc_id"),
                        remainder(doc_id, FOLDS).alias("fold"), text_of.alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = min(MOST_PARTS, max(8, -(-size // PART_BYTES)))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.stored import stored
-from .common import ship, worker_cache
+from .common import free_name, named, ship, worker_cache
 from .components import components
 from .decontaminate import words_of
 
@@ -214,8 +214,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     null id never names a class that has another. Empty tables give empty
     results; other columns are ignored. ``handle`` is the text's xxhash64.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
-                       F.xxhash64(text).alias("handle"), F.col(text).alias("text"))
+    rows = docs.select(named(doc_id).cast("long").alias("doc_id"),
+                       F.xxhash64(named(text)).alias("handle"), named(text).alias("text"))
     depth = prefix_depth(similarity)
     signed = stored(rows.mapInArrow(
         _forest(depth, TREES),
@@ -267,10 +267,15 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                   & (F.col("handle") == F.col("class_handle")))).alias("kept"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each class, with all its columns."""
-    dropped = stored(classes(docs).where("NOT kept").select(
-        F.col("doc_id").alias("__id"), F.col("handle").alias("__handle")).distinct(), "join-dropped")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (
-        F.xxhash64("text") == F.col("__handle"))
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each class, with all its columns, whatever their names and types.
+
+    The document with the class's smallest id stays, and rows that repeat its id
+    and text stay with it. Null texts and texts without words all stay. Of tied
+    ids, documents with the smaller text hash stay. An empty table stays empty.
+    """
+    own, handle = free_name(docs, "__id"), free_name(docs, "__handle")
+    dropped = stored(classes(docs, doc_id, text).where("NOT kept").select(
+        F.col("doc_id").alias(own), F.col("handle").alias(handle)).distinct(), "join-dropped")
+    same = named(doc_id).cast("long").eqNullSafe(F.col(own)) & (F.xxhash64(named(text)) == F.col(handle))
     return docs.join(dropped, same, "left_anti")

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.stored import stored
-from .common import small_table, whole_text
+from .common import named, small_table, whole_text
 
 SIZES = {512: 530.0, 1024: 1040.0, 2048: 2060.0, 4096: 4106.0}  # tokens, cost of a sequence
 SLICE_ROWS = 1_000  # pieces of one length that are ranked together, about
@@ -152,7 +152,7 @@ def pack(docs: DataFrame, length: Column, costs: Mapping[int, float] = SIZES,
     """
     spark, largest = docs.sparkSession, max(costs)
     n = F.coalesce(length, F.lit(0)).cast("long")
-    rows = docs.select(F.col(doc_id).alias("doc_id"), n.alias("n_tokens")).where("n_tokens > 0")
+    rows = docs.select(named(doc_id).alias("doc_id"), n.alias("n_tokens")).where("n_tokens > 0")
     rows = rows.withColumn("piece", F.explode(F.sequence(
         F.lit(0), F.expr(f"CAST((n_tokens - 1) div {largest} AS INT)"))))
     rows = stored(rows.select(

@@ -11,12 +11,12 @@ A rule keeps its bit for good; new rules are added at the end.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import free_name, whole_text
+from .common import free_name, let, named, whole_text
 
 BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -33,11 +33,6 @@ STOP_WORDS = {
 }
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` worked out once, however often it is used."""
-    return F.transform(F.array(value), use)[0]
-
-
 def words_of(text: Column) -> Column:
     trimmed = F.trim(text, F.lit(BLANKS))
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, GAP, -1))
@@ -201,7 +196,7 @@ def ledger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     space; lines without a word count nowhere. Repeated rows and null ids have a
     row each. An empty table gives an empty ledger; other columns are ignored.
     """
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), whole_text(f"`{text}`").alias("text"))
+    rows = docs.select(named(doc_id).alias("doc_id"), whole_text(text).alias("text"))
     cut = rows.select("doc_id", "text", words_of(F.col("text")).alias("words"), lines_of(F.col("text")).alias("lines"))
     measured = cut.select("doc_id", *[
         c.alias(name) for name, c in _measures(F.col("text"), F.col("words"), F.col("lines")).items()])
