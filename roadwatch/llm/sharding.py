@@ -6,22 +6,24 @@ next shard clockwise, and so on. The bounds add up to the number of documents,
 so row counts are at most one apart, and a document leaves its own shard only
 when that is full.
 
-Only the number of documents between two points matters for this. The driver
-sees that histogram (one number per position of the ring, whatever the input)
-and returns per arc which ranks go to which shard; ranks come from counts of
-slices of the ring, so no arc is ordered in one task.
+The ring has 2^64 places. Only the number of documents between two points matters
+for the rest. The driver sees that histogram, cut at sectors of the ring (one
+number per point and sector, whatever the input), and returns per arc which ranks
+go to which shard; ranks come from counts of slices of the ring, so no arc is
+ordered in one task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.stored import stored
-from .common import small_table
+from .common import named, small_table
 
-RING = 1 << 16  # positions of the ring
+SECTORS = 1 << 16  # equal parts of the ring, for histograms and look-ups
 POINTS = 64  # points of a shard on the ring
 SLICE_ROWS = 100_000  # documents that are ordered together, about
 SEED = 7
@@ -39,18 +41,25 @@ class Run:
 
 
 def ring_points(spark, shards: int, points: int) -> list[tuple[int, int]]:
-    """(position, shard) in ring order, one shard per position."""
+    """(place on the ring, shard) in ring order; a place that two shards drew belongs to the one with
+    the smaller second hash."""
     made = spark.range(shards * points).select(
-        F.pmod(F.xxhash64(F.lit(SEED), F.expr(f"id div {points}"), F.expr(f"id % {points}")),
-               F.lit(RING)).alias("position"),
-        F.expr(f"CAST(id div {points} AS INT)").alias("shard"))
-    owner = made.groupBy("position").agg(F.min("shard").alias("shard"))
-    return sorted((r["position"], r["shard"]) for r in owner.collect())
+        F.expr(f"CAST(id div {points} AS INT)").alias("shard"), F.expr(f"id % {points}").alias("i"))
+    placed = made.select(F.xxhash64(F.lit(SEED), "shard", "i").alias("place"), "shard",
+                         F.xxhash64("i", "shard").alias("second"))
+    owner = placed.groupBy("place").agg(F.min_by("shard", F.struct("second", "shard")).alias("shard"))
+    return sorted((r["place"], r["shard"]) for r in owner.collect())
 
 
-def clockwise(points: list[tuple[int, int]], arc: int) -> list[int]:
-    """The shards that an arc meets, each once."""
-    return list(dict.fromkeys(points[(arc + i) % len(points)][1] for i in range(len(points))))
+def clockwise(points: list[tuple[int, int]], arc: int, shards: int) -> Iterator[int]:
+    """The shards that an arc meets, each once; those without a point come last, in order."""
+    seen = set()
+    for i in range(len(points)):
+        shard = points[(arc + i) % len(points)][1]
+        if shard not in seen:
+            seen.add(shard)
+            yield shard
+    yield from (s for s in range(shards) if s not in seen)
 
 
 def bounded_runs(points: list[tuple[int, int]], counts: list[int], shards: int) -> list[Run]:
@@ -62,27 +71,25 @@ def bounded_runs(points: list[tuple[int, int]], counts: list[int], shards: int)
     total = sum(counts)
     room = [total // shards + (s < total % shards) for s in range(shards)]
     used, runs = [0] * shards, []
-    waiting = [(arc, 0, n, clockwise(points, arc)) for arc, n in enumerate(counts) if n]
-    turn = 0
+    waiting = [(arc, 0, n, clockwise(points, arc, shards)) for arc, n in enumerate(counts) if n]
     while waiting:
         left = []
         for arc, low, high, order in waiting:
-            shard = order[turn % len(order)] if turn < len(order) else min(
-                s for s in range(shards) if room[s])
+            shard = next(order)
             taken = min(high - low, room[shard])
             if taken:
                 runs.append(Run(arc, low, low + taken, shard, used[shard]))
                 room[shard] -= taken
                 used[shard] += taken
-            if low + taken < high:
+            if low + taken < high:  # only an arc that overflows looks any further
                 left.append((arc, low + taken, high, order))
-        waiting, turn = left, turn + 1
+        waiting = left
     return runs
 
 
 def ring_key(doc_id: str) -> Column:
     """A null id takes its place on the ring like any other value."""
-    return F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")))
+    return F.xxhash64(F.coalesce(named(doc_id).cast("string"), F.lit("null")))
 
 
 def place(docs: DataFrame, shards: int, doc_id: str = "doc_id", text: str = "text",
@@ -98,18 +105,19 @@ def place(docs: DataFrame, shards: int, doc_id: str = "doc_id", text: str = "tex
     """
     spark = docs.sparkSession
     ring = ring_points(spark, shards, points)
-    slots = small_table(spark, _arcs(ring), "low int, high int, arc int").select(
-        F.explode(F.sequence("low", "high")).alias("position"), "arc")
-    bytes_of = F.col(text).cast("binary")
+    # One row per sector, with its points and the arc behind them.
+    sectors = small_table(spark, _sectors(ring), "low int, high int, ends array<struct<at: long, arc: int>>, then int")
+    sectors = sectors.select(F.explode(F.sequence("low", "high")).alias("position"), "ends", "then")
+    bytes_of = named(text).cast("binary")
     rows = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
+        named(doc_id).alias("doc_id"),
+        (F.coalesce(F.octet_length(named(text)), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce(bytes_of, F.lit("").cast("binary"))).alias("text_crc32"),
         ring_key(doc_id).alias("key"))
-    # 65,536 rows of two numbers: the ring's positions, whatever the input.
-    rows = rows.withColumns({
-        "position": F.pmod("key", F.lit(RING)).cast("int"),
-        "salt": F.monotonically_increasing_id()}).join(F.broadcast(slots), "position")
+    rows = rows.withColumns({"position": _sector(F.col("key")), "salt": F.monotonically_increasing_id()})
+    reached = F.filter("ends", lambda end: end["at"] >= F.col("key"))
+    rows = rows.join(F.broadcast(sectors), "position").withColumn(
+        "arc", F.coalesce(F.get(reached, F.lit(0))["arc"], F.col("then"))).drop("ends", "then")
     rows = stored(rows, "shard-rows")
 
     counts, crowded = [0] * len(ring), 0
@@ -118,7 +126,7 @@ def place(docs: DataFrame, shards: int, doc_id: str = "doc_id", text: str = "tex
         crowded = max(crowded, r["n"])
     runs = bounded_runs(ring, counts, shards)
 
-    # One slice per position, or more where equal ids crowd a position.
+    # One slice per sector, or more where equal ids crowd one.
     finer = 1 + crowded // SLICE_ROWS
     rows = rows.withColumn("slice", F.col("position").cast("long") * finer + F.pmod(
         F.xxhash64("doc_id", "size", "text_crc32", "salt"), F.lit(finer)))
@@ -146,9 +154,23 @@ def place(docs: DataFrame, shards: int, doc_id: str = "doc_id", text: str = "tex
                     F.lit(None).cast("int").alias("grown_shard")))
 
 
-def _arcs(ring: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-    """(first position, last position, arc): up to and with each point; behind the last comes the first."""
-    firsts = [0, *[position + 1 for position, _ in ring[:-1]]]
-    arcs = [(low, at, arc) for arc, (low, (at, _)) in enumerate(zip(firsts, ring))]
-    end = ring[-1][0] + 1
-    return arcs + ([(end, RING - 1, 0)] if end < RING else [])
+def _sector(key: Column) -> Column:
+    """The ring's sector of a place, in ring order."""
+    return (F.shiftright(key, 48) + SECTORS // 2).cast("int")
+
+
+def _sectors(ring: list[tuple[int, int]]) -> list[tuple]:
+    """(first sector, last sector, their points as (place, arc), the arc of what lies behind those).
+
+    Arc i ends at point i; sectors without a point come together.
+    """
+    inside: dict[int, list] = {}
+    for arc, (place, _) in enumerate(ring):
+        inside.setdefault((place >> 48) + SECTORS // 2, []).append({"at": place, "arc": arc})
+    rows, then, high = [], 0, SECTORS - 1  # behind the last point comes the first
+    for sector in sorted(inside, reverse=True):
+        if sector < high:
+            rows.append((sector + 1, high, [], then))
+        rows.append((sector, sector, inside[sector], then))
+        then, high = inside[sector][0]["arc"], sector - 1
+    return rows + ([(0, high, [], then)] if high >= 0 else [])
