@@ -10,10 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import free_name, small_table
-
-BROADCAST_RULES = 100_000  # rules up to this number are sent to every executor
-
+from ..sources.stored import stored
+from .common import free_name, named, small_table
 
 def _small(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -37,11 +35,11 @@ def _short(digest: Column) -> Column:
     return F.substring(digest, 1, 8)
 
 
-def _suffixes(host: Column) -> Column:
-    """The host and what follows each of its dots."""
-    labels = F.split(host, r"\.", -1)
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat_ws(
-        ".", F.slice(labels, i, F.size(labels))))
+def _suffixes(host: Column, labels: list[int]) -> Column:
+    """The host's last labels, for each number of labels that rules have."""
+    has = F.regexp_count(host, F.lit(r"\.")) + 1
+    return F.filter(F.array(*[F.when(has >= n, F.substring_index(host, ".", -n)) for n in labels]),
+                    lambda suffix: suffix.isNotNull())
 
 
 def rules_table(spark, rules: list[tuple[str, str, str]]) -> DataFrame:
@@ -64,20 +62,20 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
         F.coalesce("path", F.lit("")).alias("path"))
         .where("host <> ''")
         .groupBy("host", "path").agg(F.max("verdict").alias("verdict")))
-    # Path lengths: distinct small numbers, bounded by the longest rule path.
+    # Lengths of paths and numbers of labels: distinct small numbers, bounded by the longest rule.
     lengths = sorted(r[0] for r in chosen.select(F.length("path")).distinct().collect())
+    labels = sorted(r[0] for r in chosen.select(F.regexp_count("host", F.lit(r"\.")) + 1).distinct().collect())
     keyed = chosen.select(
         "host", "path", "verdict", _digest(F.col("host"), F.col("path")).alias("rule_digest"))
-    keyed = keyed.withColumn("short", _short(F.col("rule_digest")))
-    if keyed.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES:
-        keyed = F.broadcast(keyed)
+    # Stored, so that their size decides whether they are sent to every executor.
+    keyed = stored(keyed.withColumn("short", _short(F.col("rule_digest"))), "url-rules")
 
     link = free_name(pages, "__url")
-    urls = pages.select(F.col(url).alias("u")).where("u IS NOT NULL").distinct()
+    urls = pages.select(named(url).alias("u")).where("u IS NOT NULL").distinct()
     parts = urls.select("u", host_of(F.col("u")).alias("h"), path_of(F.col("u")).alias("p"))
     fitting = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"),
                        lambda n: n <= F.length("p"))
-    expanded = (parts.select("u", "p", F.explode(_suffixes(F.col("h"))).alias("suffix"))
+    expanded = (parts.select("u", "p", F.explode(_suffixes(F.col("h"), labels)).alias("suffix"))
                 .select("u", "suffix", F.explode(F.transform(
                     fitting, lambda n: F.substring(F.col("p"), F.lit(1), n))).alias("prefix"))
                 .select("u", _digest(F.col("suffix"), F.col("prefix")).alias("digest"))
@@ -88,9 +86,17 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
                 "verdict", F.concat("host", "path").alias("rule"))).alias("best"))
             .select(F.col("u").alias(link), F.col("best.rule").alias("rule"),
                     F.col("best.verdict").alias("verdict")))
+    # Distinct urls that a rule fits: their size on disk decides how they meet the rows.
+    hits = stored(hits, "url-hits")
     own = ["host", "path", "rule", "verdict"]
-    kept = [c for c in pages.columns if c.lower() not in own]
-    judged = pages.join(hits, pages[url] == hits[link], "left")
-    return judged.select(
-        *[pages[c] for c in kept], host_of(pages[url]).alias("host"), path_of(pages[url]).alias("path"),
-        hits["rule"].alias("rule"), F.coalesce(hits["verdict"], F.lit(default)).alias("verdict"))
+    kept = [named(c) for c in pages.columns if c.lower() not in own]
+
+    def result(rows: DataFrame, rule: Column, verdict: Column) -> DataFrame:
+        return rows.select(*kept, host_of(named(url)).alias("host"), path_of(named(url)).alias("path"),
+                           rule.alias("rule"), F.coalesce(verdict, F.lit(default)).alias("verdict"))
+    found = hits.select(F.struct(F.col(link).alias("u"), "rule", "verdict").alias(link))
+    judged = pages.where(named(url).isNotNull()).join(found, named(url) == F.col(link)["u"], "left")
+    # Rows without a url meet no rule and take no part in the join.
+    none = F.lit(None).cast("string")
+    return result(judged, F.col(link)["rule"], F.col(link)["verdict"]).unionByName(
+        result(pages.where(named(url).isNull()), none, none))
