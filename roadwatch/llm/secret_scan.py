@@ -19,7 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.stored import stored
-from .common import remainder, whole_text
+from .common import let, named, remainder, whole_text
 
 DICTIONARY = 500  # most frequent words of four letters or more
 LABELLED = 20_000  # different labelled findings that the forest is fitted on, at most
@@ -61,31 +61,46 @@ def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     clean = F.translate(whole_text(text), "\x01\x02", "  ")
     rows = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        (F.col(path) if path else F.lit(None)).cast("string").alias("path"), clean.alias("t"))
+        named(doc_id).alias("doc_id"),
+        (named(path) if path else F.lit(None)).cast("string").alias("path"), clean.alias("t"))
     # Each finding between marks.
     marked = F.regexp_replace("t", F.lit(f"({FINDING})"), F.lit("\x01$1\x02"))
     parts = rows.select("doc_id", "path", F.split(marked, "\x01", -1).alias("parts")).where(
         "size(parts) > 1")
-    ends = F.aggregate("parts", F.array().cast("array<long>"), lambda done, part: F.array_append(
-        done, F.coalesce(F.element_at(done, F.when(F.size(done) > 0, -1).otherwise(F.lit(None))), F.lit(0))
-        + F.length(part) - F.when(F.size(done) > 0, 1).otherwise(0)))
     # As each part but the first begins with a finding, few parts make a whole context.
     tails = F.transform("parts", lambda part: F.substring(F.translate(part, "\x02", ""), -BEFORE, BEFORE))
     heads = F.transform("parts", lambda part: F.substring(F.translate(part, "\x02", ""), 1, AFTER))
-    each = parts.withColumns({"ends": ends, "tails": tails, "heads": heads}).select(
-        "doc_id", "path", "parts", "ends", "tails", "heads",
-        F.explode(F.sequence(F.lit(2), F.size("parts"))).alias("i"))
-    mine = F.element_at("parts", F.col("i"))
-    first = F.greatest(F.col("i") - -(-BEFORE // SHORTEST), F.lit(1))
-    previous = F.array_join(F.slice("tails", first, F.col("i") - first), "")
-    following = F.array_join(F.slice("heads", F.col("i") + 1, F.lit(-(-AFTER // SHORTEST))), "")
-    return each.select(
-        "doc_id", "path", (F.col("i") - 2).alias("no"),
-        F.element_at("ends", F.col("i") - 1).alias("start"),
-        F.substring_index(mine, "\x02", 1).alias("secret"),
-        F.substring(previous, -BEFORE, BEFORE).alias("before"),
-        F.substring(F.concat(F.substring_index(mine, "\x02", -1), following), 1, AFTER).alias("after"))
+    lengths = F.transform("parts", lambda part, i: F.length(part).cast("long") - F.when(i > 0, 1).otherwise(0))
+    laid = parts.withColumns({"lengths": lengths, "tails": tails, "heads": heads}).withColumn(
+        "ends", running_sums(F.col("lengths")))
+
+    def one(i: Column) -> Column:
+        """Part ``i``, counted from 1: the finding at its front and what lies around it."""
+        part = F.element_at("parts", i)
+        first = F.greatest(i - -(-BEFORE // SHORTEST), F.lit(1))
+        previous = F.array_join(F.slice("tails", first, i - first), "")
+        following = F.array_join(F.slice("heads", i + 1, F.lit(-(-AFTER // SHORTEST))), "")
+        return F.struct(
+            (i - 2).alias("no"), F.element_at("ends", i - 1).alias("start"),
+            F.substring_index(part, "\x02", 1).alias("secret"),
+            F.substring(previous, -BEFORE, BEFORE).alias("before"),
+            F.substring(F.concat(F.substring_index(part, "\x02", -1), following), 1, AFTER).alias("after"))
+    return laid.select("doc_id", "path", F.inline(F.transform(F.sequence(F.lit(2), F.size("parts")), one)))
+
+
+def running_sums(numbers: Column, block: int = 256) -> Column:
+    """The sum up to and with each number of an array, by blocks, whose sums are summed up themselves."""
+    def summed(values: Column) -> Column:
+        return F.aggregate(values, F.array().cast("array<long>"), lambda done, x: F.array_append(
+            done, x + F.coalesce(F.get(done, F.size(done) - 1), F.lit(0))))
+
+    def joined(blocks: Column) -> Column:
+        totals = summed(F.transform(blocks, lambda b: F.element_at(b, -1)))
+        shifts = F.concat(F.array(F.lit(0).cast("long")), totals)
+        return F.flatten(F.zip_with(blocks, F.slice(shifts, 1, F.size(blocks)), lambda b, shift: F.transform(
+            b, lambda x: x + shift)))
+    starts = F.sequence(F.lit(1), F.size(numbers), F.lit(block))
+    return let(F.transform(starts, lambda at: summed(F.slice(numbers, at, block))), joined)
 
 
 def dictionary(docs: DataFrame, text: str = "text", words: int = DICTIONARY) -> list[str]:
