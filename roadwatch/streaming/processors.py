@@ -15,9 +15,10 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    BinaryType, BooleanType, IntegerType, LongType, NumericType, StringType, StructField, StructType)
 
 # Workers get the processors themselves, so they need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -246,9 +247,29 @@ class TopOfWindow(_OpenWindow):
         yield self._frame([(*key, *row, rank) for rank, row in enumerate(best, 1)])
 
 
+def _filled(stream: DataFrame, key: str) -> Column:
+    """A stand-in for null that any type has."""
+    kind = stream.schema[key].dataType
+    if isinstance(kind, NumericType):
+        return F.coalesce(key, F.lit(0).cast(kind))
+    if isinstance(kind, BooleanType):
+        return F.coalesce(key, F.lit(False))
+    empty = "" if isinstance(kind, (StringType, BinaryType)) else "1970-01-01 00:00:00"
+    return F.coalesce(key, F.lit(empty).cast(kind))
+
+
 def keyed(stream: DataFrame, keys: list[str], processor: _Processor, time_mode: str = "none",
           output_mode: str = "append") -> DataFrame:
-    """Apply a processor per key. ``time_mode``: none, processingTime or eventTime."""
-    return stream.groupBy(*keys).transformWithStateInPandas(
+    """Apply a processor per key. ``time_mode``: none, processingTime or eventTime.
+
+    Null keys are one key. State behind a null grouping value is not told apart from that of
+    the key before it, so nulls go in under a stand-in and a first key column says which they are.
+    """
+    nulls = F.concat(*[F.when(F.col(k).isNull(), "1").otherwise("0") for k in keys])
+    told = stream.withColumns({**{k: _filled(stream, k) for k in keys}, "nulls": nulls})
+    processor.output = StructType([StructField("nulls", _S), *processor.output.fields])
+    found = told.groupBy("nulls", *keys).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=processor.output,
         outputMode=output_mode, timeMode=time_mode)
+    return found.withColumns({k: F.when(F.substring("nulls", i, 1) == "0", F.col(k))
+                              for i, k in enumerate(keys, 1)}).drop("nulls")

@@ -196,10 +196,10 @@ def test_too_close(spark, rows, within, width):
 
 
 @FEW
-@given(ROWS, st.integers(1, 30), st.integers(1, 20), st.integers(1, 9))
-def test_three_in_a_row(spark, rows, within, hot_rows, slices):
+@given(ROWS, st.integers(1, 30), st.integers(1, 20))
+def test_three_in_a_row(spark, rows, within, hot_rows):
     found = patterns.three_in_a_row(frame(spark, rows), ["key"], "ts", "arrival",
-                                    f"{within} seconds", ["arrival"], hot_rows=hot_rows, slices=slices)
+                                    f"{within} seconds", ["arrival"], hot_rows=hot_rows)
     want = set()
     for group in by_key(rows).values():
         order = sorted((s, i) for i, s, _ in group)
