@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.times import duration_micros, from_micros, micros
 from ..sources.stored import stored
@@ -63,3 +63,27 @@ def sessions(df: DataFrame, time: str, gap: str, keys: Sequence[str],
         *keys, from_micros(F.col("__first")).alias("session_start"),
         from_micros(F.col("__last") + gap_us).alias("session_end"),
         *[aggs[n].result(F.col(c)).alias(n) for n, c in value_names.items()])
+
+
+def intervals(df: DataFrame, time_us: Column, gap_us: int, aggs: Mapping[str, Agg]) -> DataFrame:
+    """Rows folded into cells of one gap: first, last, and a partial ``v_<name>`` per aggregate."""
+    rows = df.select(time_us.cast("long").alias("t"), *[a.column.alias(f"v_{n}") for n, a in aggs.items()])
+    return (rows.where("t IS NOT NULL").groupBy(bucket_of(F.col("t"), gap_us).alias("cell"))
+            .agg(F.min("t").alias("first"), F.max("t").alias("last"),
+                 *[a.fold(f"v_{n}").alias(f"v_{n}") for n, a in aggs.items()]).drop("cell"))
+
+
+def merged_intervals(parts: DataFrame, gap_us: int, aggs: Mapping[str, Agg]) -> DataFrame:
+    """Intervals at most one gap apart, over all rows together, made one."""
+    width = CELLS_PER_BUCKET * gap_us
+    parts = stored(parts, "session-parts")
+    seen = running(parts, [], "first", {"__reach": highest(F.col("last"))}, width=width, inclusive=False)
+    opens = F.col("__reach").isNull() | (F.col("first") - F.col("__reach") > gap_us)
+    # Stored, so that intervals of one beginning keep their order.
+    flagged = stored(seen.withColumn("__opens", opens).drop("__reach"), "session-opens")
+    numbered = running(flagged, [], "first", {"__session": count_rows(F.col("__opens"))}, width=width)
+    # Where two begin at once, the one that opens counts for both.
+    numbered = numbered.withColumn("__session", F.max("__session").over(Window.partitionBy("first")))
+    return stored(numbered.groupBy("__session").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"),
+        *[a.fold(f"v_{n}").alias(f"v_{n}") for n, a in aggs.items()]).drop("__session"), "session-merged")

@@ -54,6 +54,13 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def names_in(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """What a folder holds, by name; nothing if it is not there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}")
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at)
+    return [f.getPath().getName() for f in found or []]
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
     """A new folder for one run; none is ever used twice."""
     return f"{shared_dir(spark)}/roadwatch/{name}-{uuid.uuid4().hex}"

@@ -1,66 +1,152 @@
-"""Keyed state of streams as stored tables, worked on with the batch operators.
+"""State of streams as stored tables, worked on with the batch operators.
 
-Each micro-batch takes what the batch before it left, and leaves its own: tables
-with one row per key, stored under the batch's number. A batch that runs again
-reads the same and writes the same. No key is held by one task or one Python
-list: the operators cut hot keys as they do on tables.
+Each micro-batch takes what the batch before it left, and leaves its own. A state
+table that has the step's key columns is cut into buckets by their hash, and a
+batch reads and writes only the buckets that its own keys fall into: the work
+follows the batch, not the keys ever seen. A small record per batch says which
+batch wrote each bucket last, so a batch that runs again reads the same and writes
+the same; what no later batch can read is deleted. No key is held by one task or
+one Python list: the operators cut hot keys as they do on tables.
+
+``buckets`` is fixed for a stream's life. A batch of m keys reads at most m
+buckets; choose so many that a bucket holds some ten thousand keys.
 """
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from ..functions.times import duration_micros, micros
+from ..functions.times import duration_micros, from_micros, micros
 from ..operators.joins import latest_per_key, lookup
-from ..operators.running import count_rows, highest, running_from, total
-from ..session import remove_folder, run_dir
+from ..operators.running import Agg, count_rows, highest, running_from, total
+from ..operators.sessions import intervals, merged_intervals
+from ..session import names_in, remove_folder, run_dir
 from .run import Writer, finish, start
 
-State = Mapping[str, DataFrame]
-Step = Callable[[DataFrame, State | None], tuple[DataFrame, State]]
+BUCKETS = 64
+WHOLE = -1  # the bucket of a table that is not cut
+
 
+class State:
+    """The tables that the batch before has left."""
 
-class _Left:
-    """The tables a batch has left."""
+    def __init__(self, spark: SparkSession, folder: str, record: dict, touched: set[int]):
+        self._spark, self._folder, self._record, self._touched = spark, folder, record, touched
 
-    def __init__(self, spark, folder: str):
-        self._spark, self._folder = spark, folder
+    def _read(self, name: str, wanted: Callable[[int], bool]) -> DataFrame:
+        table = self._record[name]
+        schema = StructType.fromJson(json.loads(table["schema"]))
+        paths = [_bucket_path(self._folder, name, batch, int(bucket))
+                 for bucket, batch in sorted(table["buckets"].items()) if wanted(int(bucket))]
+        return self._spark.read.schema(schema).parquet(*paths) if paths else self._spark.createDataFrame([], schema)
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{name}")
+        """What the table holds of the batch's buckets; all of a table without the key."""
+        return self._read(name, lambda bucket: bucket == WHOLE or bucket in self._touched)
+
+    def whole(self, name: str) -> DataFrame:
+        """Every key's rows, for the rare batch that concerns keys it does not have."""
+        return self._read(name, lambda bucket: True)
+
+
+Run = Callable[[DataFrame, State | None], tuple[DataFrame, Mapping[str, DataFrame]]]
+
+
+@dataclass(frozen=True)
+class Step:
+    """``run(batch, state before it)`` gives the batch's rows and the state after it.
+
+    For tables that are cut, the state after holds the keys of the batch's buckets and
+    no others. ``close`` gives what is still open when the input has ended for good.
+    """
+
+    run: Run
+    key: Sequence[str] = ()
+    close: Callable[[State], DataFrame] | None = None
 
+    def cuts(self, columns: Sequence[str]) -> bool:
+        return bool(self.key) and set(self.key) <= set(columns)
 
-def carried_writer(step: Step, folder: str) -> Writer:
-    """``step(batch, state before it)`` gives the batch's rows and the state after it."""
-    def at(batch_id: int) -> str:
-        return f"{folder}/state/{batch_id}"
+
+def _bucket_path(folder: str, name: str, batch: int, bucket: int) -> str:
+    return f"{folder}/state/{name}/{batch}/state_bucket={bucket}"
+
+
+def _record_path(folder: str, batch_id: int) -> str:
+    return f"{folder}/state/record-{batch_id}"
+
+
+def _read_record(spark: SparkSession, folder: str, batch_id: int) -> dict:
+    return json.loads(spark.read.text(_record_path(folder, batch_id), wholetext=True).first()[0])
+
+
+def carried_writer(step: Step, folder: str, buckets: int = BUCKETS) -> Writer:
+    """Run ``step`` on every batch; its rows go to ``out``, its state to ``state``."""
+    bucket = F.pmod(F.xxhash64(*step.key), F.lit(buckets)).cast("int") if step.key else F.lit(WHOLE)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist()
         try:
-            rows, after = step(batch, _Left(spark, at(batch_id - 1)) if batch_id else None)
+            # At most as many numbers as there are buckets.
+            touched = {r[0] for r in batch.select(bucket).distinct().collect()} if step.key else set()
+            before = _read_record(spark, folder, batch_id - 1) if batch_id else {}
+            rows, after = step.run(batch, State(spark, folder, before, touched) if batch_id else None)
             rows.write.mode("overwrite").parquet(f"{folder}/out/batch_id={batch_id}")
+            record = {}
             for name, table in after.items():
-                table.write.mode("overwrite").parquet(f"{at(batch_id)}/{name}")
+                cut = step.cuts(table.columns)
+                path = f"{folder}/state/{name}/{batch_id}"
+                (table.withColumn("state_bucket", bucket if cut else F.lit(WHOLE)).repartition("state_bucket")
+                 .write.mode("overwrite").partitionBy("state_bucket").parquet(path))
+                kept = {b: v for b, v in before.get(name, {"buckets": {}})["buckets"].items()
+                        if cut and int(b) not in touched}
+                written = {n.removeprefix("state_bucket="): batch_id for n in names_in(spark, path, "state_bucket=*")}
+                record[name] = {"schema": table.schema.json(), "buckets": kept | written}
+            (spark.range(1, numPartitions=1).select(F.lit(json.dumps(record)).alias("value"))
+             .write.mode("overwrite").text(_record_path(folder, batch_id)))
         finally:
             batch.unpersist()
         if batch_id > 1:  # the batch before this one cannot run again
-            remove_folder(spark, at(batch_id - 2))
+            _forget(spark, folder, batch_id - 2, before)
     return write
 
 
-def carried_table(stream: DataFrame, name: str, step: Step, folder: str | None = None) -> DataFrame:
+def _forget(spark: SparkSession, folder: str, batch_id: int, later: dict) -> None:
+    """Delete what a batch left and the one after it replaced."""
+    try:
+        record = _read_record(spark, folder, batch_id)
+    except AnalysisException:  # an earlier run of this batch has done it
+        return
+    for name, table in record.items():
+        held = later.get(name, {"buckets": {}})["buckets"]
+        for bucket, batch in table["buckets"].items():
+            if held.get(bucket) != batch:
+                remove_folder(spark, _bucket_path(folder, name, batch, int(bucket)))
+    remove_folder(spark, _record_path(folder, batch_id))
+
+
+def carried_table(stream: DataFrame, name: str, step: Step, folder: str | None = None,
+                  buckets: int = BUCKETS, close: bool = False) -> DataFrame:
     """Run over all present input; the rows written, with their ``batch_id``.
 
-    Pass the ``folder`` of an earlier run to go on from where it ended.
+    Pass the ``folder`` of an earlier run to go on from where it ended. ``close`` says
+    that nothing more will come: what is still open is written too.
     """
     spark, own = stream.sparkSession, folder is None
     folder = folder or run_dir(spark, name)
-    finish(start(stream, carried_writer(step, folder), f"{folder}/checkpoint"))
+    finish(start(stream, carried_writer(step, folder, buckets), f"{folder}/checkpoint"))
+    left = [int(n.removeprefix("record-")) for n in names_in(spark, f"{folder}/state", "record-*")]
+    if close and step.close and left:
+        last = State(spark, folder, _read_record(spark, folder, max(left)), set())
+        step.close(last).write.mode("overwrite").parquet(f"{folder}/out/batch_id={max(left) + 1}")
     if own:
         remove_folder(spark, f"{folder}/checkpoint")
         remove_folder(spark, f"{folder}/state")
@@ -70,33 +156,104 @@ def carried_table(stream: DataFrame, name: str, step: Step, folder: str | None =
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         none = spark.createDataFrame([], stream.schema)
-        return step(none, None)[0].withColumn("batch_id", F.lit(0))
+        return step.run(none, None)[0].withColumn("batch_id", F.lit(0))
 
 
-def count_windows(key: str, order: str, value: str, size: int) -> Step:
-    """Every ``size`` rows of a key make a window with the sum of ``value``; nulls count as rows."""
-    def step(batch: DataFrame, before: State | None) -> tuple[DataFrame, State]:
-        rows, counts = running_from(batch, [key], order, {"rows": count_rows()},
-                                    before and before["counts"])
-        windows = rows.select(key, F.floor((F.col("rows") - 1) / size).alias("window_no"),
+def count_windows(key: str | None, order: str, value: str, size: int) -> Step:
+    """Every ``size`` rows of a key, or of all rows, make a window with the sum of ``value``; nulls count as rows."""
+    keys = [key] if key else []
+
+    def step(batch: DataFrame, before: State | None) -> tuple[DataFrame, dict]:
+        rows, counts = running_from(batch, keys, order, {"rows": count_rows()}, before and before["counts"])
+        windows = rows.select(*keys, F.floor((F.col("rows") - 1) / size).alias("window_no"),
                               F.lit(1).cast("long").alias("n"), F.col(value).cast("long").alias("total"))
         if before:
             windows = windows.unionByName(before["open"])
-        windows = windows.groupBy(key, "window_no").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+        windows = windows.groupBy(*keys, "window_no").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
         return (windows.where(F.col("n") == size).drop("n"),
                 {"counts": counts, "open": windows.where(F.col("n") < size)})
-    return step
+    return Step(step, keys)
+
+
+def count_sliding(order: str, size: int, slide: int, aggs: Mapping[str, Agg]) -> Step:
+    """Every ``slide`` rows of the whole stream, a window over the last ``size`` rows or fewer.
+
+    Rows fold into panes of gcd(size, slide); the panes of the last ``size`` rows stay
+    open. ``fired_at`` is the row count at the firing.
+    """
+    pane = math.gcd(size, slide)
+    values = {n: f"v_{n}" for n in aggs}
+
+    def folded() -> list[Column]:
+        return [aggs[n].fold(c).alias(c) for n, c in values.items()]
+
+    def step(batch: DataFrame, before: State | None) -> tuple[DataFrame, dict]:
+        rows, seen = running_from(batch.withColumns({values[n]: a.column for n, a in aggs.items()}), [], order,
+                                  {"rows": count_rows()}, before and before["seen"])
+        # One row: how many rows the stream had before this batch.
+        earlier = (before["seen"].first()["rows"] or 0) if before else 0
+        panes = rows.select(F.floor((F.col("rows") - 1) / pane).alias("pane"), F.lit(1).cast("long").alias("n"),
+                            *values.values())
+        if before:
+            panes = panes.unionByName(before["panes"])
+        panes = panes.groupBy("pane").agg(F.sum("n").alias("n"), *folded())
+        now = earlier + batch.count()
+        first = F.ceil(F.greatest((F.col("pane") + 1) * pane, F.lit(earlier + 1)) / slide) * slide
+        last = F.floor(F.least(F.col("pane") * pane + size, F.lit(now)) / slide) * slide
+        fires = panes.where(first <= last).withColumn(
+            "fired_at", F.explode(F.sequence(first, last, F.lit(slide).cast("long"))))
+        fired = fires.groupBy("fired_at").agg(*folded()).select(
+            "fired_at", *[aggs[n].result(F.col(c)).alias(n) for n, c in values.items()])
+        return fired, {"seen": seen, "panes": panes.where(F.col("pane") * pane + size > now)}
+    return Step(step)
+
+
+def sessions(time: str, gap: str, delay: str, aggs: Mapping[str, Agg],
+             clock: Callable[[], int] | None = None) -> Step:
+    """Sessions of all rows together, closed when the watermark passes their end.
+
+    Open sessions are kept as intervals with their partial aggregates. A batch's rows
+    fold into cells of one gap before they meet them. Rows exactly one gap apart belong
+    together. A row whose session, after merging, has ended before the watermark of the
+    batches before it is late and dropped; rows without a time are in no session. With
+    ``clock`` (microseconds) the time is that of the batch and ``time`` is not read.
+    """
+    gap_us, delay_us = duration_micros(gap), 0 if clock else duration_micros(delay)
+
+    def shown(found: DataFrame) -> DataFrame:
+        return found.select(from_micros(F.col("first")).alias("session_start"),
+                            from_micros(F.col("last") + gap_us).alias("session_end"),
+                            *[a.result(F.col(f"v_{n}")).alias(n) for n, a in aggs.items()])
+
+    def step(batch: DataFrame, before: State | None) -> tuple[DataFrame, dict]:
+        now = F.lit(clock()) if clock else micros(F.col(time))
+        parts = intervals(batch, now, gap_us, aggs)
+        seen = batch.agg(F.max(now).alias("highest"))
+        # One number: the highest time of the batches before.
+        earlier = before["seen"].first()["highest"] if before else None
+        if before:
+            parts = parts.unionByName(before["open"])
+        seen = seen.select(F.greatest("highest", F.lit(earlier).cast("long")).alias("highest"))
+        highest_now = seen.first()["highest"]
+        merged = merged_intervals(parts, gap_us, aggs)
+        ends = F.col("last") + gap_us
+        if earlier is not None:
+            merged = merged.where(ends > earlier - delay_us)
+        passed = ends <= (F.lit(None) if highest_now is None else F.lit(highest_now - delay_us))
+        done = F.coalesce(passed, F.lit(False))
+        return shown(merged.where(done)), {"open": merged.where(~done), "seen": seen}
+    return Step(step, close=lambda state: shown(state["open"]))
 
 
 def close_to_highest(keys: Sequence[str], time: str, order: str, within: str) -> Step:
     """Rows less than ``within`` away from the highest earlier time of their key."""
-    def step(batch: DataFrame, before: State | None) -> tuple[DataFrame, State]:
+    def step(batch: DataFrame, before: State | None) -> tuple[DataFrame, dict]:
         timed = batch.withColumn("time_us", micros(F.col(time)))
         rows, seen = running_from(timed, keys, order, {"previous_us": highest(F.col("time_us"))},
                                   before and before["seen"], inclusive=False)
         near = F.abs(F.col("time_us") - F.col("previous_us")) < duration_micros(within)
         return rows.where(near), {"seen": seen}
-    return step
+    return Step(step, keys)
 
 
 def state_kinds(key: str, order: str, kind: str, value: str) -> Step:
@@ -107,7 +264,7 @@ def state_kinds(key: str, order: str, kind: str, value: str) -> Step:
     last three values (list). A null value is none: it is left out of the sum,
     the average and the list.
     """
-    def step(batch: DataFrame, before: State | None) -> tuple[DataFrame, State]:
+    def step(batch: DataFrame, before: State | None) -> tuple[DataFrame, dict]:
         rows, kinds = running_from(batch, [key, kind], order, {"of_kind": count_rows()},
                                    before and before["kinds"])
         has = F.col(value).isNotNull()
@@ -134,7 +291,7 @@ def state_kinds(key: str, order: str, kind: str, value: str) -> Step:
             F.col("__kinds").cast("int").alias("kinds"),
             F.coalesce("last_three", F.lit("")).alias("last_three"),
         ), {"kinds": kinds, "sums": sums, "recent": recent}
-    return step
+    return Step(step, [key])
 
 
 def upserted_dimension(is_update: Column, keys: Sequence[str], order: str,
@@ -144,11 +301,42 @@ def upserted_dimension(is_update: Column, keys: Sequence[str], order: str,
     The stream carries updates and events. A batch's updates come first: the last
     one of each key replaces what the table held, then the batch's events see it.
     """
-    def step(batch: DataFrame, before: State | None) -> tuple[DataFrame, State]:
+    def step(batch: DataFrame, before: State | None) -> tuple[DataFrame, dict]:
         news = batch.where(is_update).select(
             *keys, F.col(order).alias("__version"), *[c.alias(n) for n, c in payload.items()])
         known = news if before is None else news.unionByName(before["dimension"])
         table = latest_per_key(known, keys, "__version").select(news.columns)
         events = batch.where(~is_update).drop(*[n for n in payload if n in batch.columns])
         return lookup(events, table.drop("__version"), keys), {"dimension": table}
-    return step
+    return Step(step, keys)
+
+
+def changing_rules(is_rule: Column, area: str, key: str, order: str, threshold: str) -> Step:
+    """Counts per key against its area's threshold, which rows of the stream set anew while it runs.
+
+    A batch's rules come first: the last of each area holds from then on, under its
+    order number as version. Then its events are counted. A key is told once when its
+    count reaches the threshold in force (``reached``, with the event that did it), and
+    when a new rule puts its count at or over the threshold that it was below before
+    (``rule``, without an event). Keys of areas without a rule are counted all the same.
+    """
+    def step(batch: DataFrame, before: State | None) -> tuple[DataFrame, dict]:
+        news = batch.where(is_rule).select(area, F.col(threshold).cast("long").alias("threshold"),
+                                           F.col(order).alias("version"))
+        known = news.unionByName(before["rules"]) if before else news
+        rules = latest_per_key(known, [area], "version").select(area, "threshold", "version")
+        events = batch.where(~is_rule).select(area, key, order)
+        rows, counts = running_from(events, [area, key], order, {"count": count_rows()}, before and before["counts"])
+        reached = lookup(rows, rules, [area]).where(F.col("count") == F.col("threshold")).select(
+            F.lit("reached").alias("kind"), area, key, F.col(order).alias("arrival"), "count", "threshold", "version")
+        if before is None or batch.where(is_rule).isEmpty():
+            return reached, {"rules": rules, "counts": counts}
+        # A new rule concerns keys that the batch may not have: this batch reads all counts, of its areas.
+        old = before["rules"].select(area, F.col("threshold").alias("old"))
+        changed = rules.join(news.select(area).distinct(), area, "left_semi").join(old, area, "left")
+        over = before.whole("counts").join(changed, area).where(
+            (F.col("count") >= F.col("threshold")) & ~F.coalesce(F.col("count") >= F.col("old"), F.lit(False)))
+        told = over.select(F.lit("rule").alias("kind"), area, key, F.lit(None).cast("long").alias("arrival"),
+                           "count", "threshold", "version")
+        return reached.unionByName(told), {"rules": rules, "counts": counts}
+    return Step(step, [key])

@@ -15,7 +15,7 @@ from ..plans import traffic
 from ..session import run_dir
 from ..sources.jdbc import RefreshedTable
 from .carried import Step, close_to_highest
-from .processors import MarkerTrigger, TextSoFar, ThreeInARow, TopOfWindow, keyed
+from .processors import EvictingTrigger, MarkerTrigger, TextSoFar, ThreeInARow, TopOfWindow, keyed
 from .run import Writer, batch_writer, fan_out, with_event_time
 
 
@@ -124,6 +124,18 @@ def fire_on_marker(events: DataFrame, time: str, size: str, marker: Column, dela
     return _window_bounds(fired, size)
 
 
+def fire_on_marker_evicting(events: DataFrame, time: str, size: str, keep: str, marker: Column, delay: str,
+                            value: str, key: str = "guid", order: str = "arrival") -> DataFrame:
+    """Like ``fire_on_marker``, over the window's rows newer than its newest so far minus ``keep``."""
+    rows = _window_keyed(events, time, size, None, delay).withColumns(
+        {"is_marker": marker, "time_us": micros(F.col(time)), "evict_value": F.col(value).cast("long")})
+    processor = EvictingTrigger([_field(rows, key)], _field(rows, order), "is_marker", "time_us", "evict_value",
+                                duration_micros(keep))
+    fired = keyed(rows.select(key, "window_start_ms", order, "is_marker", "time_us", "evict_value", time),
+                  [key, "window_start_ms"], processor, "eventTime")
+    return _window_bounds(fired, size)
+
+
 def top_per_window(events: DataFrame, time: str, size: str, slide: str, n: int, delay: str,
                    key: str = "guid", measure: str = "act_time", order: str = "arrival",
                    carry: Sequence[str] = ("event_id",)) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, S
 
 from ..functions.times import micros
 from ..operators.sequences import Line, Pattern
-from .processors import _I, _L, _listed, _Processor, _rows, _schema, _value, keyed
+from .processors import _I, _L, _listed, _Processor, _schema, _unpacked, _value, keyed, packed
 from .run import with_event_time
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -65,7 +65,7 @@ class Sequences(_Processor):
         self.clock.update((number, at))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = _rows(pd.concat(list(rows)), self._row.fieldNames())
+        new = _unpacked(pd.concat(list(rows)), ["time_us", "order_no", "fits"], self.carry)
         self.waiting.appendList(new)
         first = max(min(r[0] for r in new) // 1000 + 1, timerValues.getCurrentWatermarkInMs() + 1)
         _, timer = self._clock()
@@ -168,16 +168,18 @@ def match(events: DataFrame, pattern: Pattern, keys: Sequence[str], time: str, o
     """
     if pattern.span_us is None or pattern.skipping != "none":
         raise ValueError("on a stream a pattern needs within() and takes all matches")
+    if set(carry) & set(keys):
+        raise ValueError("the keys come with every match; carry is for other columns")
     fits = sum((F.when(c, F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(pattern.columns())),
                F.lit(0)).cast("long")
     timed = with_event_time(events, time, delay).where(F.col(time).isNotNull())
     rows = timed.select(*keys, F.col(time), micros(F.col(time)).alias("time_us"), F.col(order).alias("order_no"),
-                        fits.alias("fits"), *[F.col(c) for c in carry if c not in keys])
+                        fits.alias("fits"), *[F.col(c) for c in carry])
     fields = {f.name: f for f in rows.schema.fields}
     steps = [s.name for s in pattern.steps]
     processor = Sequences([StructField(k, fields[k].dataType) for k in keys],
                           [StructField(c, fields[c].dataType) for c in carry], fields["order_no"], steps,
                           pattern.lines(), pattern.span_us)
-    found = keyed(rows, list(keys), processor, "eventTime")
+    found = keyed(packed(rows, carry), list(keys), processor, "eventTime")
     return found.select(*keys, *[(F.col(s.name)[0] if s.single else F.col(s.name)).alias(s.name)
                                  for s in pattern.steps])

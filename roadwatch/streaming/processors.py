@@ -50,6 +50,20 @@ def _rows(frame: pd.DataFrame, names: Sequence[str]) -> list[tuple]:
     return [tuple(map(_plain, r)) for r in frame[list(names)].itertuples(index=False, name=None)]
 
 
+def packed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Stand-ins for nulls, and which they are in a column ``absent``: a frame would turn whole
+    numbers next to nulls into floats."""
+    absent = F.concat(F.lit(""), *[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
+    return df.withColumns({"absent": absent, **{c: _filled(df, c) for c in columns}})
+
+
+def _unpacked(frame: pd.DataFrame, before: Sequence[str], columns: Sequence[str]) -> list[tuple]:
+    """The rows of a packed frame: the columns ``before``, which have no nulls, then the packed ones."""
+    rows = _rows(frame, [*before, *columns, "absent"])
+    n = len(before)
+    return [(*r[:n], *[None if gone == "1" else v for v, gone in zip(r[n:-1], r[-1])]) for r in rows]
+
+
 class _Processor(StatefulProcessor):
     output: StructType
 
@@ -208,6 +222,55 @@ class MarkerTrigger(_OpenWindow):
         yield self._frame([(*key, None, count)])
 
 
+class EvictingTrigger(_OpenWindow):
+    """Per key and window: fires at each marker row and at the window's end over the rows that are
+    newer than the newest one so far minus ``keep_us``: their count and the sum of a value.
+
+    Rows are taken in the order they came. What is evicted before a firing stays evicted,
+    so state holds the rows of ``keep_us`` and no others.
+    """
+
+    def __init__(self, keys: Sequence[StructField], order: StructField, marker: str, time_us: str, value: str,
+                 keep_us: int):
+        self.names, self.keep_us = [order.name, marker, time_us, value], keep_us
+        self.output = StructType([*keys, StructField("window_start_ms", _L), StructField("fired_by", order.dataType),
+                                  StructField("count", _L), StructField("total", _L)])
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.kept = handle.getListState("kept", _schema(("time_us", _L), ("value", _L)))
+
+    def _evicted(self, rows: list[tuple]) -> list[tuple]:
+        newest = max(t for t, _ in rows)
+        return [r for r in rows if r[0] > newest - self.keep_us]
+
+    def _fired(self, key, by, rows: list[tuple]) -> tuple:
+        values = [v for _, v in rows if v is not None]
+        return (*key, by, len(rows), int(sum(values)) if values else None)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if self._closed(key[-1], timerValues):
+            return
+        held = _listed(self.kept)
+        fresh, out = not held, []
+        frame = pd.concat(list(rows)).sort_values(self.names[0])
+        for order, marker, time_us, value in _rows(frame, self.names):
+            held.append((int(time_us), value))
+            if marker:
+                held = self._evicted(held)
+                out.append(self._fired(key, order, held))
+        self.kept.put(self._evicted(held))
+        if fresh:
+            self.handle.registerTimer(int(key[-1]))
+        if out:
+            yield self._frame(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        held = _listed(self.kept)
+        self.kept.clear()
+        yield self._frame([self._fired(key, None, held)])
+
+
 class TopOfWindow(_OpenWindow):
     """Per key and window the ``n`` rows with the highest measure, at the window's end.
 
