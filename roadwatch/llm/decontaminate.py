@@ -4,17 +4,20 @@ Texts are words: lower case, ASCII punctuation gone. A document holds an item if
 some stretch of its words is within ``MOST_EDITS`` word edits per item word. The
 search, per batch of documents:
 
-1. Word pairs. k edits change at most 2k of an item's word pairs, so a stretch
-   that can match holds many of them close together. Regions where they are
-   dense enough, and enough of one item's, are searched; the rest cannot match.
-2. Anchors and windows. An item is cut into one piece more than the edits it may
-   have, so wherever the edits lie, some piece has none. Every piece is an anchor
-   of its item; every word of a region that occurs in an item starts a window. The
-   CGK random walk embeds windows and pieces: it copies the word at its place and
-   stays or moves on as a random bit of that word says.
-3. Bit sampling. A few sampled positions of the walks, all within a piece, are a
-   key; windows and pieces with equal keys are candidates. A window at a piece
-   without edits walks as the piece does, so every item at the bound is one.
+1. Gate. k edits change at most 2k of an item's word pairs, so a stretch that can
+   match holds many of them close together. Only regions where they are dense enough,
+   and enough of one item's, are searched further; the rest cannot match any item.
+2. Embedding. The CGK random walk copies the word at its place and stays or moves on
+   as a random bit of that word says. Walks that read the same text fall into step
+   again behind an edit, so few edits leave walks that agree at many steps: edit
+   distance becomes Hamming distance. Items are walked over their whole length, from
+   several anchors, forwards and backwards, by independent walks; so is the window at
+   every word of a region, as far as an item reaches.
+3. Bit sampling. A key is a few sampled steps of one walk. A window and an item with
+   one equal key, of any walk, direction and repeat, are a candidate. How many repeats
+   of how many steps that takes is measured on the items themselves: edited copies at
+   the bound, with edits at the head, the tail, in the middle and anywhere, have to be
+   found with the target recall; then the repeats are doubled.
 4. Each candidate (region, item) is verified by exact edit distance of the item
    to its best stretch of the region.
 
@@ -26,6 +29,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from functools import reduce
 from itertools import repeat
 
@@ -33,14 +37,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import map_rows, named, ship
+from .common import map_rows, named, ship, worker_cache
 
 ship(__name__)
 
 MOST_EDITS = 0.2  # edits per item word
 LEAST_WORDS = 5  # shorter items may have no edit
-WALKS, SAMPLED = 4, 3
-MOST_STEPS = 8  # of a walk
+WALKS = 4  # in each direction
+SAMPLED = (6, 4, 3, 2, 1)  # steps of a key; fewer if repeats do not reach the recall
+RECALL, MOST_REPEATS = 0.999, 8
+BANDS = (3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256)  # steps that keys are drawn from
+TRIED_ITEMS = 48  # items, of all lengths, whose edited copies are tried
+STARTS_AT_ONCE = 20_000
 ITEMS_AT_ONCE = 20_000
 GROUP_CHARS = 1 << 20
 
@@ -81,9 +89,11 @@ def edit_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 
 
 class Searcher:
-    """Finds a block of items in texts. Built per task from the items' words."""
+    """Finds a block of items in texts. Built from the items' words; ``plan``, the sampled steps, is
+    measured where it is not given."""
 
-    def __init__(self, items: list[tuple[int, str]], share: float = MOST_EDITS):
+    def __init__(self, items: list[tuple[int, str]], share: float = MOST_EDITS,
+                 plan: list[dict[int, np.ndarray]] | None = None):
         self.share = share
         self.ids, texts, short = [], [], {}
         for item_id, text in items:
@@ -120,31 +130,92 @@ class Searcher:
         self.pair_items = both[1]
         self.pairs, first = np.unique(both[0], return_index=True)
         self.pair_bounds = np.append(first, len(self.pair_items))
-        self.pairs_needed = np.array([max(1, len(x) - 1 - 2 * most_edits(len(x), share)) for x in self.items])
+        self.pairs_needed = np.array([max(1, len(x) - 1 - 2 * most_edits(len(x), self.share)) for x in self.items])
         # Pairs are counted over as many words as the shortest item may stretch to.
         shortest = min(map(len, self.items))
         self.span = shortest + most_edits(shortest, share) - 1
         self.dense = min(self._dense(len(x)) for x in self.items)
         self.longest = max(len(x) + most_edits(len(x), share) for x in self.items)
 
-        # Pieces of like length share their sampled positions, all before a walk can leave a piece.
-        self.bands: dict[int, list[tuple[int, int]]] = {}
-        for i, x in enumerate(self.items):
-            pieces = most_edits(len(x), share) + 1
-            self.bands.setdefault(min(len(x) // pieces, MOST_STEPS), []).extend(
-                (i, piece * len(x) // pieces) for piece in range(pieces))
-        self.steps = max(self.bands)
+        # Walks move at most one word a step, and on average half a one.
+        self.steps = 2 * max(map(len, self.items)) + 2
         rng = np.random.default_rng(11)
-        self.bits = rng.integers(0, 2, (WALKS, self.steps, size + 1), dtype=np.int8)
-        self.samples = {band: [rng.choice(band, min(SAMPLED, band), replace=False) for _ in range(WALKS)]
-                        for band in self.bands}
-        joined, firsts = _joined(self.items, self.steps)
-        self.keys = {}
-        for band, pieces in self.bands.items():
-            members, offsets = np.array(pieces).T
-            keys = self._keys(joined, firsts[members] + offsets, [band])[band]
+        self.bits = rng.integers(0, 1 << 63, (2 * WALKS, -(-self.steps // 64), size + 1), dtype=np.uint64) * np.uint64(2) + (
+            rng.integers(0, 2, (2 * WALKS, -(-self.steps // 64), size + 1), dtype=np.uint64))
+        self.plan = self._measured() if plan is None else plan
+        self.keys = self._index(self.items, self.plan)
+
+    def _anchors(self, length: int, forward: bool) -> list[int]:
+        places = sorted({0, length // 4, length // 2})
+        return places if forward else [length - 1 - p for p in places]
+
+    def _index(self, items: list[np.ndarray], plan) -> dict:
+        """By (walk, band, repeat): the items' keys, sorted, and the items they are of."""
+        joined, firsts = _joined(items, self.steps, len(self.vocabulary))
+        found: dict = {}
+        for forward in (True, False):
+            places = [(i, first + anchor, first + len(x) - 1 if forward else first)
+                      for i, (x, first) in enumerate(zip(items, firsts)) for anchor in self._anchors(len(x), forward)]
+            members, starts, ends = np.array(places).T
+            for low in range(0, len(starts), STARTS_AT_ONCE):
+                part = slice(low, low + STARTS_AT_ONCE)
+                for walk in range(WALKS) if forward else range(WALKS, 2 * WALKS):
+                    trail, at = self._walk(joined, starts[part], walk)
+                    inside = (at <= ends[part]) if forward else (at >= ends[part])
+                    valid = inside.sum(axis=0)  # steps before the walk leaves its item
+                    for (band, repeat), key in self._sampled(trail, plan).items():
+                        # The longest band that fits, and one of about half its length.
+                        fits = (valid >= band) & ((valid < band * 1.6) | ((valid >= 2 * band) & (valid < band * 3.2)))
+                        if fits.any():
+                            found.setdefault((walk, band, repeat), []).append((key[fits], members[part][fits]))
+        index = {}
+        for name, parts in found.items():
+            keys, owners = (np.concatenate(x) for x in zip(*parts))
             order = np.argsort(keys, kind="stable")
-            self.keys[band] = keys[order], members[order]
+            index[name] = keys[order], owners[order]
+        return index
+
+    def _measured(self) -> list[dict[int, np.ndarray]]:
+        """Sampled steps per band, one dictionary a repeat: so many that edited copies are found."""
+        by_length = sorted(range(len(self.items)), key=lambda i: len(self.items[i]))
+        tried = [by_length[i] for i in np.linspace(0, len(by_length) - 1, min(TRIED_ITEMS, len(by_length))).astype(int)]
+        copies = [(i, copy) for i in tried for copy in self._copies(self.items[i], i)]
+        regions = [copy for _, copy in copies]
+        wanted = np.arange(len(copies)) * len(self.items) + np.array([i for i, _ in copies])
+        rng, plan, found = np.random.default_rng(17), [], np.empty(0, np.int64)
+
+        def drawn(sampled: int) -> dict[int, np.ndarray]:
+            return {band: np.sort(rng.choice(band, min(sampled, band - 1), replace=False))
+                    for band in BANDS if band <= self.steps}
+        for sampled in SAMPLED:
+            for _ in range(MOST_REPEATS):
+                fresh = drawn(sampled)
+                plan.append(fresh)
+                found = np.union1d(found, self._candidates(regions, self._index(self.items, [fresh]), [fresh]))
+                if np.isin(wanted, found).mean() >= RECALL:
+                    return plan + [drawn(sampled) for _ in plan]
+        return plan
+
+    def _copies(self, item: np.ndarray, seed: int):
+        """The item with as many edits as it may have, clustered and spread, among other words."""
+        rng, edits = np.random.default_rng(seed), most_edits(len(item), self.share)
+        size = len(self.vocabulary)
+
+        def words(n):
+            return rng.integers(0, size + 1, n)
+        last = len(item) - edits
+        for first in (0, last, last // 2, None):
+            for kind in ("cut", "replaced", "inserted"):
+                if first is None:
+                    at, parts, done = np.sort(rng.choice(len(item), edits, replace=False)), [], 0
+                    for place in at:
+                        parts += [item[done:place], words(int(kind != "cut"))]
+                        done = place + (kind != "inserted")
+                    changed = np.concatenate([*parts, item[done:]])
+                else:
+                    behind = item[first + (edits if kind != "inserted" else 0):]
+                    changed = np.concatenate([item[:first], words(edits if kind != "cut" else 0), behind])
+                yield np.concatenate([words(6), changed, words(6)])
 
     def _dense(self, length: int) -> int:
         edits = most_edits(length, self.share)
@@ -182,25 +253,27 @@ class Searcher:
                             found.setdefault((doc, item), (0, at + length - int(limits[doc]) - 1))
         return found
 
-    def _walk(self, words: np.ndarray, starts: np.ndarray, walk: int) -> np.ndarray:
-        """The embedding of the windows at ``starts``, one row a step."""
+    def _walk(self, words: np.ndarray, starts: np.ndarray, walk: int) -> tuple[np.ndarray, np.ndarray]:
+        """The embedding of the windows at ``starts`` and where each step reads, one row a step."""
         at = starts.copy()
-        trail = np.empty((self.steps, len(starts)), np.int64)
+        trail, places = (np.empty((self.steps, len(starts)), np.int64) for _ in range(2))
+        way = 1 if walk < WALKS else -1
         for step in range(self.steps):
+            places[step] = at
             trail[step] = words[at]
-            at += self.bits[walk, step][trail[step]]
-        return trail
-
-    def _keys(self, words: np.ndarray, starts: np.ndarray, bands) -> dict[int, np.ndarray]:
-        """By band, the sampled positions of all walks from ``starts`` as one number."""
-        keys = {band: np.zeros(len(starts), np.int64) for band in bands}
-        for walk in range(WALKS):
-            trail = self._walk(words, starts, walk)
-            for band, key in keys.items():
-                for step in self.samples[band][walk]:
-                    key *= 0x01000193
-                    key += trail[step]
+            at += way * ((self.bits[walk, step // 64][trail[step]] >> np.uint64(step % 64)) & np.uint64(1)).astype(np.int64)
+        return trail, places
+
+    def _sampled(self, trail: np.ndarray, plan) -> dict[tuple[int, int], np.ndarray]:
+        """By band and repeat, the sampled steps as one number."""
+        keys = {}
+        for repeat, bands in enumerate(plan):
+            for band, steps in bands.items():
+                key = np.zeros(trail.shape[1], np.int64)
+                for step in steps:
+                    key = key * 0x01000193 + trail[step]
                     key ^= key >> 29
+                keys[band, repeat] = key
         return keys
 
     def search(self, texts: list[str]) -> list[tuple[int, int, int, int]]:
@@ -241,13 +314,16 @@ class Searcher:
             else:
                 regions.append([doc, low, high])
         regions = np.array(regions)
-        likely = self._enough_pairs(regions, hits, place[self.pairs[place] == pair])
-        if not len(likely):
+        possible = self._enough_pairs(regions, hits, place[self.pairs[place] == pair])
+        kept = np.unique(possible // len(self.items))
+        if not len(kept):
             return {}
-        with_any = np.unique(likely // len(self.items))
+        other = len(self.vocabulary)  # any word that no item has
+        parts = [np.where(codes[low:high] < 0, other, codes[low:high]) for _, low, high in regions[kept]]
+        candidates = self._candidates(parts, self.keys, self.plan)
+        candidates = kept[candidates // len(self.items)] * len(self.items) + candidates % len(self.items)
         found: dict[tuple[int, int], tuple[int, int]] = {}
-        candidates = self._candidates(codes, regions[with_any], with_any)
-        for region, item in zip(*np.divmod(np.intersect1d(candidates, likely), len(self.items))):
+        for region, item in zip(*np.divmod(np.intersect1d(candidates, possible), len(self.items))):
             doc, low, high = regions[region].tolist()
             wanted = self.items[item]
             edits, end = edit_distance(wanted, codes[low:high])
@@ -271,29 +347,29 @@ class Searcher:
         shared = np.bincount(inverse, weights=self.pair_times[at])
         return keys[shared >= self.pairs_needed[keys % len(self.items)]]
 
-    def _candidates(self, codes: np.ndarray, regions: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-        """region x item, as one number, where a window's key equals that of a piece."""
-        other = len(self.vocabulary)  # any word that no item has
-        parts = [np.where(codes[low:high] < 0, other, codes[low:high]) for _, low, high in regions]
-        joined, firsts = _joined(parts, self.steps, other)
-        starts, owner = [], []
-        for i, (part, first) in enumerate(zip(parts, firsts)):
-            mine = np.flatnonzero(part < other)
-            starts.append(first + mine)
-            owner.append(np.full(len(mine), i))
-        starts, owner = np.concatenate(starts), np.concatenate(owner)
+    def _candidates(self, regions: list[np.ndarray], index: dict, plan) -> np.ndarray:
+        """region x item, as one number, where some window's key equals one of the item's."""
+        other = len(self.vocabulary)
         found = [np.empty(0, np.int64)]
-        for low in range(0, len(starts), 20_000):
-            for band, mine in self._keys(joined, starts[low:low + 20_000], self.bands).items():
-                keys, members = self.keys[band]
-                a, b = np.searchsorted(keys, mine, "left"), np.searchsorted(keys, mine, "right")
-                hit = np.flatnonzero(b > a)
-                if not len(hit):
-                    continue
-                counts = b[hit] - a[hit]
-                items = members[_ranges(a[hit], counts)]
-                found.append(np.unique(
-                    numbers[np.repeat(owner[low + hit], counts)] * len(self.items) + items))
+        joined, firsts = _joined(regions, self.steps, other)
+        owner = np.repeat(np.arange(len(regions)), [len(r) for r in regions])
+        starts = _ranges(firsts, np.array([len(r) for r in regions]))
+        known = joined[starts] < other  # an item's walk begins at a word of its own
+        starts, owner = starts[known], owner[known]
+        for low in range(0, len(starts), STARTS_AT_ONCE):
+            part = slice(low, low + STARTS_AT_ONCE)
+            for walk in range(2 * WALKS):
+                trail, _ = self._walk(joined, starts[part], walk)
+                for (band, repeat), mine in self._sampled(trail, plan).items():
+                    if (walk, band, repeat) not in index:
+                        continue
+                    keys, members = index[walk, band, repeat]
+                    a, b = np.searchsorted(keys, mine, "left"), np.searchsorted(keys, mine, "right")
+                    hit = np.flatnonzero(b > a)
+                    if len(hit):
+                        counts = b[hit] - a[hit]
+                        found.append(np.unique(np.repeat(owner[part][hit], counts) * len(self.items)
+                                               + members[_ranges(a[hit], counts)]))
         return np.unique(np.concatenate(found))
 
 
@@ -303,8 +379,8 @@ def _ranges(firsts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _joined(parts: list[np.ndarray], gap: int, filler: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """The parts in one array, ``gap`` fillers behind each, and where each begins."""
-    pieces, firsts, at = [], [], 0
+    """The parts in one array, ``gap`` fillers before and behind each, and where each begins."""
+    pieces, firsts, at = [np.full(gap, filler)], [], gap
     for part in parts:
         firsts.append(at)
         pieces += [part, np.full(gap, filler)]
@@ -348,9 +424,26 @@ def _groups(texts: list[str | None]):
             low, chars = i + 1, 0
 
 
+def _searcher(items: list[tuple[int, str]], share: float):
+    """What gives a task its searcher: measured once, here, and built once in every worker."""
+    plan = getattr(Searcher(items, share), "plan", None)
+    name = "searcher", uuid.uuid4().hex
+
+    def make() -> Searcher:
+        cache = worker_cache()
+        if name not in cache:
+            for old in [k for k in cache if k[0] == "searcher"]:  # one block's at a time
+                del cache[old]
+            cache[name] = Searcher(items, share, plan)
+        return cache[name]
+    return make
+
+
 def _search(items: list[tuple[int, str]], share: float):
+    make = _searcher(items, share)
+
     def run(batches):
-        searcher = Searcher(items, share)
+        searcher = make()
         for batch in batches:
             texts, doc_ids = batch.column(1).to_pylist(), batch.column(0).to_pylist()
             for low, high in _groups(texts):
@@ -366,10 +459,10 @@ def _search(items: list[tuple[int, str]], share: float):
 
 
 def _without(items: list[tuple[int, str]], share: float, names: list[str], text: str):
-    at = names.index(text)
+    at, make = names.index(text), _searcher(items, share)
 
     def run(batches):
-        searcher = Searcher(items, share)
+        searcher = make()
         for batch in batches:
             texts = [t or "" for t in batch.column(at).to_pylist()]
             clean = np.ones(len(texts), bool)
