@@ -302,9 +302,58 @@ def test_prefix_is_shortened_to_the_recall():
     assert found(depth) >= ngram_join.RECALL and (depth == ngram_join.DEPTH or found(depth + 1) < ngram_join.RECALL)
 
 
-def test_a_large_group_in_blocks(spark, monkeypatch):
-    """Hundreds of different texts that are all similar, far more than a block."""
+def test_the_share_found_is_that_of_all_links():
+    """Links of known similarity, found by chance: the estimate from the found ones alone is the true share."""
+    rng = np.random.default_rng(2)
+    how = rng.integers(80, 100, 40_000)
+    for depth in (7, 10, 14):
+        seen = how[rng.random(len(how)) < 1 - (1 - (how / 100) ** depth) ** ngram_join.TREES]
+        percents = dict(zip(*(x.tolist() for x in np.unique(seen, return_counts=True))))
+        assert abs(ngram_join.found_share(percents, depth) - len(seen) / len(how)) < 0.01
+    assert ngram_join.found_share({}, 7) is None
+
+
+@FEW
+@given(st.lists(st.integers(0, 7), min_size=6, max_size=6), st.lists(st.integers(0, 7), min_size=6, max_size=6))
+def test_paths_share_what_labels_share(one, other):
+    a, b = (ngram_join.paths_of(np.array([x], np.uint32)) for x in (one, other))
+    same = next((i for i in range(6) if one[i] != other[i]), 6)
+    assert ngram_join.common_depth(a, b, 6)[0] >= same and (a == b).all() == (ngram_join.common_depth(a, b, 6)[0] == 6)
+
+
+def test_neighbours_meet_at_their_common_prefix(spark, monkeypatch):
+    """At every depth, runs of neighbours are the groups of texts with one prefix; however the list is cut."""
+    rng = random.Random(3)
+    paths = {i: [sum(rng.randint(0, 1) << 6 * k for k in range(4)) for _ in range(3)] for i in range(60)}
+    texts = spark.createDataFrame([(bytearray([i]), p) for i, p in paths.items()], "key binary, paths array<long>").repartition(7)
+    found = [(r["u"][0], r["v"][0], r["depth"]) for r in ngram_join.meetings(texts, 4, 1).collect()]
+    for depth in (1, 2, 3, 4):
+        root = {i: i for i in paths}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+        wanted = {i: i for i in paths}
+        for a in paths:
+            for b in paths:
+                if any(p >> 6 * (4 - depth) == q >> 6 * (4 - depth) for p, q in zip(paths[a], paths[b])):
+                    x, y = sorted((find(a), find(b)))
+                    root[y] = x
+        wanted = {i: find(i) for i in paths}
+        root = {i: i for i in paths}
+        for a, b, d in found:
+            if d >= depth:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+        assert {i: find(i) for i in paths} == wanted
+
+
+@pytest.mark.parametrize("target", [0.5, 2.0], ids=["stops early", "goes down to the bound"])
+def test_a_large_group_in_blocks(spark, monkeypatch, target):
+    """Hundreds of different texts that are all similar, far more than a block; and sets that shorter prefixes join."""
     monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    monkeypatch.setattr(ngram_join, "TARGET", target)
     common = " ".join(f"w{i}" for i in range(80))
     rows = [(i, f"{common} end{i}") for i in range(150)] + [(i, common + " end0") for i in (500, 501)]
     rows += [(1000, "quite another text of seven words")]
@@ -315,6 +364,25 @@ def test_a_large_group_in_blocks(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in ngram_join.keep_one(docs).collect()) == [0, 1000]
 
 
+def test_links_of_every_level_add_up(spark, monkeypatch):
+    """Texts from equal to just similar, in sets that meet level by level: every link once."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    monkeypatch.setattr(ngram_join, "TARGET", 2.0)
+    rng = random.Random(7)
+    rows = []
+    for family in range(6):
+        base = [f"f{family}w{i}" for i in range(200)]
+        for i in range(25):
+            words = list(base)
+            for place in rng.sample(range(200), rng.randint(0, 5)):
+                words[place] = f"x{rng.randint(0, 9)}"
+            rows.append((len(rows), " ".join(words)))
+    sets = [set(ngram_join.shingles(t).tolist()) for _, t in rows]
+    wanted = {i: sum(i != j and 5 * len(a & b) >= 4 * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r["doc_id"]: r["n_links"] for r in ngram_join.classes(docs).collect()} == wanted
+
+
 @IN_SPARK
 @given(st.lists(st.tuples(st.integers(0, 20), st.integers(0, 20)), max_size=25))
 def test_components(spark, pairs):
