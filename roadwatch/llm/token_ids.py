@@ -13,10 +13,11 @@ import string
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import compress
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -26,15 +27,27 @@ from .simple8b import decode, encode
 ship(__name__)
 
 SEGMENT_IDS = 1 << 18
-GROUP_CHARS = 1 << 20  # characters that are tokenised together
-LEARN_AT_ONCE = 5_000
-MOST_PIECES = 400_000  # pieces a worker remembers
+GROUP_CHARS = 1 << 24  # characters that are tokenised together
+MOST_PIECES = 800_000  # pieces a worker remembers, besides those of the group at hand
 
 SEGMENT_SCHEMA = (
     "part int, segment int, part_start long, n_ids long, doc_ids array<long>, "
     "lengths array<long>, block_ends array<int>, words binary, escapes binary")
 
 
+def _byte_characters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it is printable,
+    else the next one from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(0x100) if b not in shown]
+    return [chr(0x100 + hidden.index(b)) if b in hidden else chr(b) for b in range(0x100)]
+
+
+def _letters(word: str) -> bool:
+    """Letters that every version of the splitting rule knows as such."""
+    return word.isalpha() and (word.isascii() or max(word) < "\u0250")
+
+
 class Encoder:
     """Ids of whole texts, each as little-endian unsigned 32-bit bytes.
 
@@ -43,89 +56,135 @@ class Encoder:
     ids are those of its pieces between such places, and pieces repeat: each is
     encoded once and remembered. A piece keeps the white space before it, a
     blank or a line feed. A text with other white space next to a blank or line
-    feed is encoded as a whole.
+    feed is encoded as a whole. Pieces are cut, told apart and put together by
+    Arrow and numpy; Python sees each different piece of a group once. A vocabulary
+    that is not byte-level encodes all texts as a whole.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.unsplit = Tokenizer.from_file(path)  # for what the splitting rule leaves whole
-        self.unsplit.encode_special_tokens = True
-        self.unsplit.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.Split("\n", "isolated"),
-            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.pieces: dict[str, bytes | None] = {}
-        self.tails: dict[str, bytes] = {}  # punctuation behind a word
-        self.recurring: set[str] = set()
+        self.model = self.tokenizer.model
+        self.by_pieces = self.tokenizer.normalizer is None and str(self.tokenizer.pre_tokenizer).startswith(
+            "ByteLevel(add_prefix_space=False")
+        self.bytes = dict(enumerate(_byte_characters()))
         self.line_feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.tails: dict[str, list[int]] = {}  # punctuation behind a word
+        # By number: each known piece, where its ids lie and how many, -1 if it is not safe on its own, and
+        # in how many groups it was.
+        self.pieces = pa.array([], pa.large_string())
+        self.ids = array("I")
+        self.firsts, self.lengths, self.groups = (np.empty(0, np.int32) for _ in range(3))
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _between_line_feeds(self, tokenizer, joined: str) -> list[bytes]:
-        coded = tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0]
+    def _word(self, before: str, letters: str) -> list[int]:
+        """Letters with at most a blank before them are one unit of the splitting rule, which they need not pass."""
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(self.bytes)
+        return [t.id for t in self.model.tokenize(before + letters)]
+
+    def _tail(self, tail: str) -> list[int]:
+        if tail not in self.tails:
+            self.tails[tail] = self.tokenizer.encode(tail, add_special_tokens=False).ids
+        return self.tails[tail]
+
+    def _between_line_feeds(self, joined: str) -> list[np.ndarray]:
+        coded = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0]
         ids = np.array(coded.ids, dtype="<u4")
-        raw, cuts = ids.tobytes(), np.flatnonzero(ids == self.line_feed[0]) * 4
-        return [raw[a + 4:b] for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(raw)])]
-
-    def _learn(self, fresh: list[str]) -> None:
-        """Encode new pieces together, with line feeds between them.
-
-        Letters only are one unit of the splitting rule, which they need not pass;
-        ASCII punctuation behind letters is a unit of its own.
-        """
-        pieces = self.pieces
-        cores = [p.rstrip(string.punctuation) for p in fresh]
-        plain = list(map(str.isalpha, cores))
-        letters = [c for c in set(compress(cores, plain)) if c not in pieces]
-        if letters:
-            pieces.update(zip(letters, self._between_line_feeds(
-                self.unsplit, "\n " + "\n ".join(letters))))
-        ended = [(p, c, p[len(c):]) for p, c in compress(zip(fresh, cores), plain) if p not in pieces]
-        tails = list({t for _, _, t in ended} - self.tails.keys())
-        self.tails.update(zip(tails, self.whole(tails)))
-        pieces.update([(p, pieces[c] + self.tails[t]) for p, c, t in ended])
-
-        rest = [p for p in fresh if p not in pieces]
-        pieces.update(dict.fromkeys(rest))  # those that stay None are not safe on their own
-        safe = [p for p in rest if p and p == p.strip()]
-        if safe:
-            pieces.update(zip(safe, self._between_line_feeds(self.tokenizer, "\n " + "\n ".join(safe))))
-        after_feed = [p for p in rest if p[:1] == "\n" and p[1:] and p[1:] == p.strip()]
-        if after_feed:
-            feed = array("I", self.line_feed).tobytes()
-            ids = self._between_line_feeds(self.tokenizer, "".join(after_feed))
-            pieces.update(zip(after_feed, [feed + i for i in ids]))
+        return np.split(ids, np.flatnonzero(ids == self.line_feed[0]))[1:]
+
+    def _ids_of(self, fresh: list[str]) -> list[list[int] | None]:
+        """The ids of new pieces, None for those that are not safe on their own: words with ASCII punctuation
+        behind them one by one, others together, with line feeds between them."""
+        found: list[list[int] | None] = []
+        rest, blank, tokenize = [], self.bytes[0x20], self.model.tokenize
+        for i, piece in enumerate(fresh):
+            word = piece.rstrip(string.punctuation)
+            if word.isalpha() and word.isascii():
+                ids = [t.id for t in tokenize(blank + word)]
+            elif _letters(word):
+                ids = self._word(blank, word)
+            elif word[:1] == "\n" and _letters(word[1:]):
+                ids = self.line_feed + self._word("", word[1:])
+            else:
+                rest.append(i)
+                ids = word = None
+            found.append(ids if word is None or len(word) == len(piece) else ids + self._tail(piece[len(word):]))
+        behind_blank = [i for i in rest if fresh[i] and fresh[i] == fresh[i].strip()]
+        if behind_blank:
+            coded = self._between_line_feeds("\n " + "\n ".join([fresh[i] for i in behind_blank]))
+            for i, ids in zip(behind_blank, coded):
+                found[i] = ids[1:].tolist()
+        behind_feed = [i for i in rest if fresh[i][:1] == "\n" and fresh[i][1:] and fresh[i][1:] == fresh[i].strip()]
+        if behind_feed:
+            for i, ids in zip(behind_feed, self._between_line_feeds("".join([fresh[i] for i in behind_feed]))):
+                found[i] = ids.tolist()
+        return found
+
+    def _learn(self, fresh: pa.Array) -> None:
+        found = self._ids_of(fresh.to_pylist())
+        lengths = np.array([-1 if ids is None else len(ids) for ids in found], np.int32)
+        held = np.maximum(lengths, 0)
+        first = len(self.ids)
+        self.ids.extend(chain.from_iterable(ids for ids in found if ids))
+        self.pieces = pa.concat_arrays([self.pieces, fresh])
+        self.firsts = np.append(self.firsts, (first + np.cumsum(held) - held).astype(np.int32))
+        self.lengths = np.append(self.lengths, lengths)
+        self.groups = np.append(self.groups, np.zeros(len(found), np.int32))
+
+    def _forget(self) -> None:
+        """Keep the half that came in the most groups."""
+        kept = np.sort(np.argsort(-self.groups, kind="stable")[:MOST_PIECES // 2])
+        self.lengths, firsts = self.lengths[kept], self.firsts[kept]
+        held = np.maximum(self.lengths, 0)
+        starts = (np.cumsum(held) - held).astype(np.int32)
+        self.ids = array("I", np.frombuffer(self.ids, np.uint32)[_ranges(firsts, held)].tobytes())
+        self.firsts, self.groups = starts, self.groups[kept] // 2
+        self.pieces = self.pieces.take(pa.array(kept))
+        self.tails.clear()
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if not texts or not self.by_pieces:
+            return self.whole(texts)
         # A text's first word has nothing before it: it is encoded behind a line feed, which goes.
-        split = [("\n" + t.replace("\n", " \n")).split(" ") for t in texts]
-        new: set[str] = set()
-        for words in split:
-            new.update(words)
-        known = new & self.pieces.keys()
-        self.recurring |= known
-        if len(self.pieces) > MOST_PIECES:  # forget what came only once
-            self.pieces = {p: self.pieces[p] for p in self.recurring}
-            self.recurring = known
-            self.tails.clear()
-        fresh = list(new - known)
-        for i in range(0, len(fresh), LEARN_AT_ONCE):
-            self._learn(fresh[i:i + LEARN_AT_ONCE])
-        skip, out = 4 * len(self.line_feed), []
-        for words in split:
-            try:
-                out.append(b"".join(map(self.pieces.__getitem__, words))[skip:])
-            except TypeError:
-                out.append(None)
-        rest = [i for i, ids in enumerate(out) if ids is None]
-        for i, ids in zip(rest, self.whole([texts[i] for i in rest])):
-            out[i] = ids
+        behind = pc.replace_substring(pa.array(["\n" + t for t in texts], pa.large_string()), "\n", " \n")
+        split = pc.split_pattern(behind, " ")
+        coded = split.values.dictionary_encode()
+        names = coded.dictionary
+        if len(self.pieces) + len(names) > MOST_PIECES:
+            self._forget()
+        numbers = pc.fill_null(pc.index_in(names, self.pieces), -1).to_numpy().astype(np.int32)
+        fresh = np.flatnonzero(numbers < 0)
+        numbers[fresh] = len(self.pieces) + np.arange(len(fresh), dtype=np.int32)
+        self._learn(names.take(pa.array(fresh)))
+        self.groups[numbers] += 1
+        # The blank before the first line feed makes an empty first piece, which counts as none.
+        bounds, at = split.offsets.to_numpy(), coded.indices.to_numpy()
+        lengths = self.lengths[numbers][at]
+        lengths[bounds[:-1]] = 0
+        unsafe = np.minimum.reduceat(lengths, bounds[:-1]) < 0
+        np.maximum(lengths, 0, out=lengths)
+        ids = np.frombuffer(self.ids, np.uint32)[_ranges(self.firsts[numbers][at], lengths)]
+        cuts = np.concatenate([[0], np.cumsum(np.add.reduceat(lengths, bounds[:-1], dtype=np.int64))])
+        skip = len(self.line_feed)
+        out = [ids[a + skip:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        rest = np.flatnonzero(unsafe).tolist()
+        for i, coded in zip(rest, self.whole([texts[i] for i in rest])):
+            out[i] = coded
         return out
 
 
+def _ranges(firsts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... of each range, one after the other."""
+    ends = np.cumsum(counts, dtype=np.int32)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(firsts - ends + counts, counts) + np.arange(total, dtype=np.int32)
+
+
 def encoder(path: str) -> Encoder:
     cache = worker_cache()
     if ("encoder", path) not in cache:
