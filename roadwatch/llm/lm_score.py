@@ -33,7 +33,6 @@ BATCH_TOKENS = 2_000_000
 PART_BYTES = 12_000_000  # text bytes whose hashes make one range
 CHUNK_TOKENS = 1 << 18  # tokens that are scored together
 PAIR_BITS = 56  # of a pair's hash; a word's has 64
-MOST_PARTS = 20_000
 BINS = 8  # per power of two, of the estimates that weights are fitted on
 ROUNDS = 60
 END = np.uint64(0x5BD1E9955BD1E995)  # the end token's hash
@@ -84,10 +83,12 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _bounds(keys: np.ndarray, parts: int, bits: int) -> np.ndarray:
-    """Where each hash range begins in sorted keys."""
-    edges = np.array([(p << bits) // parts for p in range(parts)], np.uint64)
-    return np.append(np.searchsorted(keys, edges), len(keys))
+def _ranges(keys: np.ndarray, parts: int, bits: int) -> list[tuple[int, int, int]]:
+    """(hash range, first, end) of sorted keys, for the ranges that have any: no more than keys."""
+    used = min(bits, 64 - parts.bit_length())  # of a key's bits: as many as multiply without overflow
+    of = ((keys >> np.uint64(bits - used)) * np.uint64(parts)) >> np.uint64(used)
+    found, firsts = np.unique(of, return_index=True)
+    return list(zip(found.tolist(), firsts.tolist(), [*firsts[1:].tolist(), len(keys)]))
 
 
 class _Index(dict):
@@ -142,12 +143,9 @@ def _encode(parts: int):
             del grams
             every = np.bincount(codes[trained], minlength=len(keys)).astype(np.uint32)
             some = np.bincount(codes[kept], minlength=len(keys)).astype(np.uint32)
-            bounds = _bounds(keys, parts, bits)
-            for p in range(parts):
-                low, high = bounds[p], bounds[p + 1]
-                if high > low:
-                    yield _row(kind, batch, p, high - low, _packed(_delta(keys[low:high])),
-                               _packed(every[low:high], some[low:high]))
+            for p, low, high in _ranges(keys, parts, bits):
+                yield _row(kind, batch, p, high - low, _packed(_delta(keys[low:high])),
+                           _packed(every[low:high], some[low:high]))
 
     def run(batches):
         def fresh():
@@ -360,20 +358,20 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     rows = docs.select(named(doc_id).cast("long").alias("doc_id"),
                        remainder(doc_id, FOLDS).alias("fold"), text_of.alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = min(MOST_PARTS, max(8, -(-size // PART_BYTES)))
+    parts = max(8, -(-size // PART_BYTES))
     sent = rows.mapInArrow(_encode(parts), BLOCK_SCHEMA)
     spread = F.when(F.col("kind") == DOCS, F.col("batch")).otherwise(F.col("part") * 2 + F.col("kind"))
-    # No more tasks, and files, than hash ranges, whatever the number of shuffle partitions.
+    # As many tasks, and files, as hash ranges, whatever the number of shuffle partitions.
     answered = stored(
-        sent.withColumn("to", spread).repartition("to").sortWithinPartitions("kind", "part", "batch")
-        .drop("to").mapInArrow(_count, BLOCK_SCHEMA).coalesce(parts), "lm-answers")
+        sent.withColumn("to", spread).repartition(parts, "to").sortWithinPartitions("kind", "part", "batch")
+        .drop("to").mapInArrow(_count, BLOCK_SCHEMA), "lm-answers")
     totals = [0, 0, 0, 0]
     for row in answered.where(F.col("kind") == TOTALS).select("a").collect():  # one per hash range
         totals = [x + int(y) for x, y in zip(totals, np.frombuffer(row["a"], np.int64))]
     total, vocabulary, kept_total, kept_vocabulary = totals
 
     def batches(rows: DataFrame) -> DataFrame:
-        return rows.repartition("batch").sortWithinPartitions("batch", "kind", "part")
+        return rows.repartition(parts, "batch").sortWithinPartitions("batch", "kind", "part")
 
     held = answered.where(F.col("kind") != TOTALS)
     events = batches(held.where("batch % 2 = 1")).mapInArrow(
@@ -384,4 +382,4 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     weights = fit_weights(sorted(cells), kept_vocabulary)
     return batches(held).mapInArrow(_per_batch(_scores(weights, total, vocabulary), False), (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-        "base_score double, score double")).coalesce(parts)
+        "base_score double, score double"))
