@@ -22,6 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.stored import stored
+from . import token_ids
 from .common import named, small_table, whole_text
 
 SIZES = {512: 530.0, 1024: 1040.0, 2048: 2060.0, 4096: 4106.0}  # tokens, cost of a sequence
@@ -141,10 +142,11 @@ def word_tokens(text: str = "text") -> Column:
 
 
 def pack(docs: DataFrame, length: Column, costs: Mapping[int, float] = SIZES,
-         doc_id: str = "doc_id") -> DataFrame:
+         doc_id: str = "doc_id", ids: str | None = None) -> DataFrame:
     """One row per piece: doc_id, n_tokens, piece, start, length, bin, bin_size, bin_offset.
 
-    A document longer than the largest size is cut into pieces of that size and
+    With ``ids``, a column of the documents' ``n_tokens`` ids, each piece has its own
+    in a column ``ids`` as well; ``sequences`` puts a bin's together. A document longer than the largest size is cut into pieces of that size and
     a rest; ``start`` is the piece's first token in its document. A null length
     counts as 0; documents of no tokens have no piece. Repeated rows and null
     ids are packed each. An empty table gives an empty result; other columns are
@@ -152,11 +154,13 @@ def pack(docs: DataFrame, length: Column, costs: Mapping[int, float] = SIZES,
     """
     spark, largest = docs.sparkSession, max(costs)
     n = F.coalesce(length, F.lit(0)).cast("long")
-    rows = docs.select(named(doc_id).alias("doc_id"), n.alias("n_tokens")).where("n_tokens > 0")
+    held = [named(ids).alias("all_ids")] if ids else []
+    rows = docs.select(named(doc_id).alias("doc_id"), n.alias("n_tokens"), *held).where("n_tokens > 0")
     rows = rows.withColumn("piece", F.explode(F.sequence(
         F.lit(0), F.expr(f"CAST((n_tokens - 1) div {largest} AS INT)"))))
+    own = [F.slice("all_ids", F.col("piece") * largest + 1, F.lit(largest)).alias("ids")] if ids else []
     rows = stored(rows.select(
-        "doc_id", "n_tokens", "piece", (F.col("piece").cast("long") * largest).alias("start"),
+        "doc_id", "n_tokens", "piece", *own, (F.col("piece").cast("long") * largest).alias("start"),
         F.least(F.lit(largest), F.expr(f"n_tokens - piece * {largest}L")).cast("int").alias("length"),
         F.monotonically_increasing_id().alias("salt")), "packing-pieces")
     # At most one count per token of the largest size.
@@ -191,4 +195,23 @@ def pack(docs: DataFrame, length: Column, costs: Mapping[int, float] = SIZES,
         "doc_id", "n_tokens", "piece", "start", F.col("length").cast("long").alias("length"),
         (F.col("run.bin") + F.floor(behind / F.col("run.per_bin"))).alias("bin"),
         F.col("run.size").alias("bin_size"),
-        (F.col("run.offset") + F.pmod(behind, F.col("run.per_bin")) * F.col("length")).alias("bin_offset")))
+        (F.col("run.offset") + F.pmod(behind, F.col("run.per_bin")) * F.col("length")).alias("bin_offset"),
+        *(["ids"] if ids else [])))
+
+
+def pack_tokens(docs: DataFrame, tokenizer_path: str, costs: Mapping[int, float] = SIZES,
+                doc_id: str = "doc_id", text: str = "text", with_ids: bool = True) -> DataFrame:
+    """``pack`` of the documents' token ids, an end id behind each: with the ids, or only their places."""
+    coded = token_ids.tokenised(docs, tokenizer_path, doc_id=doc_id, text=text, lengths_only=not with_ids)
+    return pack(coded, F.col("n_tokens"), costs, ids="ids" if with_ids else None)
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """The bins as training sequences: bin, bin_size, ids, and the document and start of each piece, in order.
+
+    A bin holds at most its size, so no group is large.
+    """
+    piece = F.struct("bin_offset", "ids", "doc_id", "start")
+    held = packed.groupBy("bin", "bin_size").agg(F.array_sort(F.collect_list(piece)).alias("p"))
+    return held.select("bin", "bin_size", F.flatten("p.ids").alias("ids"), F.col("p.doc_id").alias("doc_ids"),
+                       F.col("p.start").alias("starts"))

@@ -44,7 +44,7 @@ def op1_token_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query()
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(spark, folder, "documents"), packing.word_tokens())
+    return packing.pack_tokens(table(spark, folder, "documents"), tokenizer_file(), with_ids=False)
 
 
 @_query("""WITH cut AS (

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import ship, whole_text, worker_cache
+from .common import named, ship, whole_text, worker_cache
 from .simple8b import decode, encode
 
 ship(__name__)
@@ -250,7 +250,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0,
     are written each, next to each other, in the order of their texts' hashes.
     An empty table writes no segment. Other columns are ignored.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
+    rows = docs.select(named(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
     ordered = (rows.repartitionByRange(F.col("doc_id"), F.xxhash64("text"))
                .sortWithinPartitions(F.col("doc_id"), F.xxhash64("text")))
     (ordered.mapInArrow(_segments(tokenizer_path, end_id), SEGMENT_SCHEMA)
@@ -310,3 +310,33 @@ def _ids(batches):
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """The documents' ids as lists, the end id included."""
     return read_segments(spark, path).mapInArrow(_ids, "doc_id long, ids array<long>")
+
+
+def _with_ids(tokenizer_path: str, end_id: int, lengths_only: bool):
+    def run(batches):
+        tokens = encoder(tokenizer_path)
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for low, high in groups_of_texts(texts):
+                coded = tokens.encode(texts[low:high])
+                counts = np.array([len(c) // 4 + 1 for c in coded], np.int64)
+                columns = [batch.column(0).slice(low, high - low), pa.array(counts)]
+                if not lengths_only:
+                    end = np.array([end_id], "<u4").tobytes()
+                    ids = np.frombuffer(b"".join(chain.from_iterable((c, end) for c in coded)), "<u4").astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(
+                        pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(ids)))
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids"][:len(columns)])
+    return run
+
+
+def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int = 0, doc_id: str = "doc_id", text: str = "text",
+              lengths_only: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_tokens and, unless only lengths are asked for, ids.
+
+    The end id is counted and comes last; a null text is an empty one. Repeated rows
+    have a row each, an empty table gives an empty result, other columns are ignored.
+    """
+    rows = docs.select(named(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
+    schema = "doc_id long, n_tokens long" + ("" if lengths_only else ", ids array<int>")
+    return rows.mapInArrow(_with_ids(tokenizer_path, end_id, lengths_only), schema)

@@ -11,7 +11,7 @@ import pytest
 
 import corpus_pipeline
 import oracle
-from roadwatch.llm import decontaminate, ngram_join
+from roadwatch.llm import decontaminate, ngram_join, token_ids
 from roadwatch.llm.queries import QUERIES, SHARDS, SQL, tokenizer_file
 
 
@@ -42,12 +42,13 @@ def test_token_ids(spark, sf_dir, docs):
 
 def test_packing(spark, sf_dir, docs):
     rows = QUERIES["op2_best_fit_packing"](spark, sf_dir).collect()
+    lengths = dict(zip(docs, map(len, token_ids.Encoder(tokenizer_file()).whole([r["text"] or "" for r in docs.values()]))))
     pieces, bins = defaultdict(list), defaultdict(list)
     for r in rows:
         pieces[r["doc_id"]].append(r)
         bins[r["bin"]].append(r)
     for doc_id, doc in docs.items():
-        n = len(re.findall(r"[^\x20\x09-\x0D]+", doc["text"] or "")) + 1
+        n = lengths[doc_id] // 4 + 1
         mine = sorted(pieces[doc_id], key=lambda r: r["start"])
         assert mine[0]["start"] == 0 and sum(r["length"] for r in mine) == n
         assert all(a["start"] + a["length"] == b["start"] for a, b in zip(mine, mine[1:]))
@@ -205,5 +206,5 @@ def test_registration():
     import __spark_entry__
     names = set(__spark_entry__.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5 and random.Random(1)

@@ -1,7 +1,9 @@
 """Methods against brute force and small fixtures."""
 
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -104,6 +106,42 @@ def test_long_documents_are_cut(spark):
         (1, 0, 10), (1, 10, 10), (1, 20, 5), (2, 0, 3), (5, 0, 10)]
 
 
+def test_sequences_hold_the_documents_ids(spark, monkeypatch):
+    """Packed pieces with ids, put together and taken apart again, are the tokenised texts."""
+    rng = random.Random(4)
+    docs = [(i, " ".join(rng.choice(["alpha", "beta", "gamma", "\u00e9t\u00e9"]) for _ in range(rng.choice([0, 3, 40, 700])))) for i in range(40)]
+    docs.append((40, None))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    packed = packing.pack_tokens(frame, tokenizer_file(), {64: 64, 128: 120, 256: 230})
+    parts = {}
+    for r in packing.sequences(packed).collect():
+        assert len(r["ids"]) <= r["bin_size"]
+        at = 0
+        for d, start in zip(r["doc_ids"], r["starts"]):
+            length = next(p["length"] for p in pieces(packed)[d] if p["start"] == start)
+            parts.setdefault(d, []).append((start, r["ids"][at:at + length]))
+            at += length
+        assert at == len(r["ids"])
+    whole = token_ids.Encoder(tokenizer_file()).whole([t or "" for _, t in docs])
+    assert {d: [i for _, ids in sorted(p) for i in ids] for d, p in parts.items()} == {
+        d: [*np.frombuffer(w, "<u4").tolist(), 0] for (d, _), w in zip(docs, whole)}
+    light = packing.pack_tokens(frame, tokenizer_file(), {64: 64, 128: 120, 256: 230}, with_ids=False)
+    assert sorted((r["doc_id"], r["start"], r["length"]) for r in light.collect()) == sorted(
+        (d, p["start"], p["length"]) for d, ps in pieces(packed).items() for p in ps)
+
+
+_PIECES = {}
+
+
+def pieces(packed):
+    if id(packed) not in _PIECES:
+        found = {}
+        for r in packed.select("doc_id", "start", "length").collect():
+            found.setdefault(r["doc_id"], []).append(r)
+        _PIECES[id(packed)] = found
+    return _PIECES[id(packed)]
+
+
 # --- url filters ------------------------------------------------------------
 
 def test_url_rules_by_brute_force(spark):
@@ -159,6 +197,50 @@ def test_batches_of_any_size_give_the_same(spark, monkeypatch):
     assert sorted(map(str, lm_score.score(docs).collect())) == one
 
 
+@FEW
+@given(st.integers(1, 5000), st.sampled_from([56, 64]), st.integers(0, 2 ** 32 - 1))
+def test_hash_ranges(parts, bits, seed):
+    keys = np.unique(np.random.default_rng(seed).integers(0, 1 << bits, 300, dtype=np.uint64, endpoint=False)
+                     if bits < 64 else np.random.default_rng(seed).integers(0, 1 << 63, 300, dtype=np.uint64) * np.uint64(2))
+    found = lm_score._ranges(keys, parts, bits)
+    assert [low for _, low, _ in found] == [0, *[high for *_, high in found[:-1]]] and found[-1][2] == len(keys)
+    assert all(0 <= p < parts for p, *_ in found) and [p for p, *_ in found] == sorted({p for p, *_ in found})
+
+
+def test_scores_by_brute_force(spark, monkeypatch):
+    """Counts, contexts and the mixture anew, in plain Python, under the weights that were fitted."""
+    rng = random.Random(11)
+    docs = [(i, " ".join(rng.choice("a bb A ccc d e".split()) for _ in range(rng.randint(0, 12))) or None) for i in range(60)]
+    docs += [(None, "a bb"), (7, "zz a zz"), (7, "zz a zz")]
+    used = []
+    real = lm_score.fit_weights
+    monkeypatch.setattr(lm_score, "fit_weights", lambda *a: used.append(real(*a)) or used[0])
+    monkeypatch.setattr(lm_score, "BATCH_TOKENS", 50)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    rows = lm_score.score(frame).collect()
+    fold = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7
+    pairs, words = Counter(), Counter()
+    for i, text in docs:
+        if fold(i) != 2:
+            tokens = [None, *(text or "").lower().split(), None]
+            words.update(tokens[1:])
+            pairs.update(zip(tokens, tokens[1:]))
+    total, vocabulary = sum(words.values()), len(words)
+    # An end comes before a document's first token, and each document has one end.
+    wanted = []
+    for i, text in docs:
+        tokens, score, base = [None, *(text or "").lower().split(), None], 0.0, 0.0
+        for before, token in zip(tokens, tokens[1:]):
+            shares = used[0].table[int(words[before]).bit_length()]
+            pair = pairs[before, token] / words[before] if words[before] else 0
+            score += math.log10(shares[0] * pair + shares[1] * words[token] / total + shares[2] / (vocabulary + 1))
+            base += math.log10((words[token] + 1) / (total + vocabulary + 1))
+        wanted.append((str(i), len(tokens) - 1, sum(words[t] > 0 for t in tokens[1:]), total, round(base, 6), round(score, 6)))
+    got = [(str(r["doc_id"]), r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6))
+           for r in rows]
+    assert sorted(got) == sorted(wanted)
+
+
 # --- sharding ---------------------------------------------------------------
 
 def sequential(points, counts, shards):
