@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from roadwatch.llm import decontaminate, exact_dedup, lang_id, ngram_join, packing
+from roadwatch.llm.queries import tokenizer_file
 from roadwatch.session import run_dir
 
 
@@ -29,8 +30,9 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' pieces with their place in the training sequences."""
-    return packing.pack(docs, packing.word_tokens())
+    """The documents' token ids in pieces, with their place in the training sequences; ``packing.sequences``
+    puts the pieces of a sequence together."""
+    return packing.pack_tokens(docs, tokenizer_file())
 
 
 STAGES = [
