@@ -173,3 +173,17 @@ def stream_evict_marker(spark: SparkSession, folder: str) -> DataFrame:
     fired = jobs.fire_on_marker_evicting(views.out_of_order(_events(spark, folder)), "event_time", "1 day", "6 hours",
                                          F.col("event_id") == "error", "1 hour", "act_time")
     return _result(to_table(fired, "evict"))
+
+
+@query(f"""WITH {S.SEEN_BEFORE}, w AS (
+  SELECT event_id AS kind, arrival, seen, time_bucket(INTERVAL 10 MINUTE, event_time) AS window_start FROM arrived),
+kept AS (
+  SELECT *, count(*) OVER (PARTITION BY kind, window_start ORDER BY arrival) AS so_far
+  FROM w WHERE seen IS NULL OR window_start + INTERVAL 10 MINUTE + INTERVAL 4 HOUR > seen - INTERVAL 1 MINUTE)
+SELECT kind, arrival, window_start, window_start + INTERVAL 10 MINUTE AS window_end, so_far
+FROM kept WHERE window_start + INTERVAL 10 MINUTE <= seen - INTERVAL 1 MINUTE""")
+def stream_late_refires(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts per kind of event that fire again at each row up to four hours late."""
+    step = carried.late_refires("kind", "event_time", "arrival", "10 minutes", "1 minute", "4 hours")
+    events = views.out_of_order(_events(spark, folder)).withColumnRenamed("event_id", "kind")
+    return _result(carried_table(events, "late-refires", step))

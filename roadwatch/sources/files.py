@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import run_dir
@@ -43,13 +45,15 @@ def stream_lines(spark: SparkSession, path: str | None = None, fmt: str = "text"
 
 CUT_ROWS = 1_000_000  # positions of the order in one replayed file
 LEAST_CUTS = 6
+FIRST_TIME = 1_700_000_000_000  # of a replay's files, in milliseconds
 
 
 def replayed(spark: SparkSession, rows: DataFrame, order: str, name: str) -> DataFrame:
     """A table as a stream in the order of a whole-number column, one cut per micro-batch.
 
     The order is cut into ranges of equal width, at least ``LEAST_CUTS``. All cuts
-    are written by one job; the files' times then say which comes first.
+    are written by one job; the files' times then say which comes first. Where the
+    store keeps its own times, the cuts are written again one after another.
     """
     highest = rows.agg(F.max(order)).first()[0] or 0
     cuts = max(LEAST_CUTS, highest // CUT_ROWS)
@@ -57,10 +61,37 @@ def replayed(spark: SparkSession, rows: DataFrame, order: str, name: str) -> Dat
     path = run_dir(spark, f"replay-{name}")
     (rows.withColumn("cut", F.expr(f"`{order}` div {width}")).repartition(cuts, "cut")
      .write.partitionBy("cut").parquet(path))
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/cut=*/*.parquet")
-    system = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for found in system.globStatus(at):
-        cut = int(found.getPath().getParent().getName().removeprefix("cut="))
-        system.setTimes(found.getPath(), 1_700_000_000_000 + cut * 1000, -1)
+    if not _timed(spark, path):
+        path = _one_by_one(spark, path, rows.schema, run_dir(spark, f"replay-{name}"))
     return (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
             .parquet(f"{path}/cut=*"))
+
+
+def _files(spark: SparkSession, path: str) -> list[tuple[int, object, object]]:
+    """(cut, file system, file) of every file, in the order of the cuts."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/cut=*/*.parquet")
+    system = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [(int(f.getPath().getParent().getName().removeprefix("cut=")), system, f) for f in system.globStatus(at)]
+    return sorted(found, key=lambda f: f[0])
+
+
+def _timed(spark: SparkSession, path: str) -> bool:
+    """Give the files ascending times; False where the store does not take them."""
+    for cut, system, file in _files(spark, path):
+        system.setTimes(file.getPath(), FIRST_TIME + cut * 1000, -1)
+    return all(file.getModificationTime() == FIRST_TIME + cut * 1000 for cut, _, file in _files(spark, path))
+
+
+def _one_by_one(spark: SparkSession, path: str, schema, target: str) -> str:
+    """The cuts again, each written when the store's time has passed that of the one before."""
+    before = 0
+    for cut, system, file in _files(spark, path):
+        part = spark.read.schema(schema).parquet(file.getPath().toString()).coalesce(1)
+        while True:
+            part.write.mode("overwrite").parquet(f"{target}/cut={cut}")
+            written = max(f.getModificationTime() for c, _, f in _files(spark, target) if c == cut)
+            if written > before:
+                break
+            time.sleep(1)  # stores with times in whole seconds
+        before = written
+    return target

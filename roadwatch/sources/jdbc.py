@@ -53,7 +53,8 @@ class RefreshedTable:
                  max_age_seconds: float = REFRESH_SECONDS,
                  clock: Callable[[], float] = time.monotonic,
                  keys: list[str] | None = None, order: str | None = None):
-        """With ``keys`` the last row of each key wins: by ``order``, or as the scan delivers them."""
+        """With ``keys`` the last row of each key wins: by ``order``, or as a scan of one partition delivers
+        them. A scan of several has no order, so one must be named."""
         self._load, self._folder, self._keys, self._order = load, folder, keys, order
         self._max_age, self._clock = max_age_seconds, clock
         self._loaded_at: float | None = None
@@ -63,6 +64,8 @@ class RefreshedTable:
     def _last_of_each(self, rows: DataFrame) -> DataFrame:
         if not self._keys:
             return rows
+        if not self._order and rows.rdd.getNumPartitions() > 1:
+            raise ValueError("the rows of a partitioned scan come in no order: name the column that has it")
         order = self._order or "__place"
         placed = rows if self._order else rows.withColumn(order, F.monotonically_increasing_id())
         return latest_per_key(placed, self._keys, order).select(*rows.columns)

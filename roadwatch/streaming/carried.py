@@ -27,6 +27,7 @@ from ..functions.times import duration_micros, from_micros, micros
 from ..operators.joins import latest_per_key, lookup
 from ..operators.running import Agg, count_rows, highest, running_from, total
 from ..operators.sessions import intervals, merged_intervals
+from ..operators.windows import with_window
 from ..session import names_in, remove_folder, run_dir
 from .run import Writer, finish, start
 
@@ -245,6 +246,33 @@ def sessions(time: str, gap: str, delay: str, aggs: Mapping[str, Agg],
     return Step(step, close=lambda state: shown(state["open"]))
 
 
+def late_refires(key: str, time: str, order: str, size: str, delay: str, lateness: str) -> Step:
+    """Each row that comes when its window has ended, but within ``lateness``, fires the window again: its count.
+
+    A window has ended for a batch when the highest time of the batches before it, minus
+    ``delay``, has reached its end. Rows beyond ``lateness`` are dropped and windows
+    beyond it forgotten; rows without a time are in no window.
+    """
+    lateness_us, delay_us = duration_micros(lateness), duration_micros(delay)
+    window = [key, "window_start", "window_end"]
+
+    def step(batch: DataFrame, before: State | None) -> tuple[DataFrame, dict]:
+        # One number: the highest time of the batches before.
+        earlier = before["seen"].first()["highest"] if before else None
+        limit = None if earlier is None else earlier - delay_us
+        rows = with_window(batch.where(F.col(time).isNotNull()), time, size).select(*window, order)
+        end = micros(F.col("window_end"))
+        if limit is not None:
+            rows = rows.where(end + lateness_us > limit)
+        counted, counts = running_from(rows, window, order, {"so_far": count_rows()}, before and before["counts"])
+        seen = batch.agg(F.max(micros(F.col(time))).alias("highest")).select(
+            F.greatest("highest", F.lit(earlier).cast("long")).alias("highest"))
+        kept = counts if limit is None else counts.where(end + lateness_us > limit)
+        again = F.lit(False) if limit is None else end <= limit
+        return counted.where(again), {"counts": kept, "seen": seen}
+    return Step(step, [key])
+
+
 def close_to_highest(keys: Sequence[str], time: str, order: str, within: str) -> Step:
     """Rows less than ``within`` away from the highest earlier time of their key."""
     def step(batch: DataFrame, before: State | None) -> tuple[DataFrame, dict]:

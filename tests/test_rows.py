@@ -221,6 +221,8 @@ def test_last_limit_of_a_monitor_wins(spark, tmp_path):
     by_place = jdbc.RefreshedTable(lambda: rows.coalesce(1).drop("v"), str(tmp_path / "p"), keys=["m"])
     assert sorted(map(tuple, by_version.get().collect())) == [("a", 70.0, 2), ("b", 60.0, 1)]
     assert sorted(map(tuple, by_place.get().collect())) == [("a", 70.0), ("b", 60.0)]
+    with pytest.raises(ValueError):
+        jdbc.RefreshedTable(lambda: rows.repartition(3), str(tmp_path / "n"), keys=["m"]).get()
 
 
 def test_sink_record_fits_its_table(spark):

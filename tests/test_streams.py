@@ -14,7 +14,7 @@ from roadwatch.operators import late, route, topn, triggers, windows
 from roadwatch.operators.running import count_rows, highest
 from roadwatch.plans import traffic
 from roadwatch.session import run_dir
-from roadwatch.sources import console, jdbc
+from roadwatch.sources import console, files, jdbc
 from roadwatch.sources.files import stream_folder, stream_lines
 from roadwatch.sources.files import replayed
 from roadwatch.streaming import carried, jobs
@@ -398,6 +398,15 @@ def test_replayed_table_comes_in_order_and_in_cuts(spark):
     assert [cuts[i] for i in sorted(cuts)] == [(0, 16), (17, 33), (34, 50), (51, 67), (68, 84), (85, 99)]
 
 
+def test_a_store_that_keeps_its_own_times(spark, monkeypatch):
+    """Then the cuts are written one after another."""
+    monkeypatch.setattr(files, "_timed", lambda spark, path: False)
+    rows = spark.range(40).withColumnRenamed("id", "at")
+    written = to_table(replayed(spark, rows, "at", "numbers"), "replayed")
+    cuts = {r["batch_id"]: r["low"] for r in written.groupBy("batch_id").agg(F.min("at").alias("low")).collect()}
+    assert [cuts[i] for i in sorted(cuts)] == [0, 7, 14, 21, 28, 35] and written.count() == 40
+
+
 # Rows behind the watermark whose window is still open.
 BEHIND = [[(1, "a", 11), (1, "ex", 14)], [(1, "b", 15)], [(1, "c", 13)], [(1, "ex", 12)], [(2, "z", 60)]]
 
