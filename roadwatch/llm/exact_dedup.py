@@ -32,8 +32,19 @@ def normal(text: Column) -> Column:
     return F.regexp_replace(text, WHITE, "")
 
 
+def _wide_rule(least: int, most: int) -> str:
+    """The same for texts as UTF-8 bytes: a chunk ends behind two following letters whose last bytes are
+    of the chosen sixteenth."""
+    chosen = "".join(rf"\x{{{c:X}}}" for c in range(0x80, 0xC0) if c % 16 == 5)
+    return (rf"(?s).{{{least},{most - 4}}}?(?:[{chosen}][\x{{80}}-\x{{FF}}]{{0,2}}[{chosen}]|\z)|.{{1,{most}}}")
+
+
 def chunks(text: Column, least: int = LEAST, most: int = MOST) -> Column:
-    return F.regexp_extract_all(text, F.lit(_cut_rule(least, most)), F.lit(0))
+    """A text's chunks; those of a text with letters from U+0250 on are of its UTF-8 bytes, one character each."""
+    narrow = F.regexp_extract_all(text, F.lit(_cut_rule(least, most)), F.lit(0))
+    as_bytes = F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
+    wide = F.regexp_extract_all(as_bytes, F.lit(_wide_rule(least, most)), F.lit(0))
+    return F.when(text.rlike(r"[^\x{0}-\x{24F}]"), wide).otherwise(narrow)
 
 
 def fingerprint(chunk: Column) -> Column:

@@ -319,6 +319,16 @@ def test_chunks_follow_the_content(spark):
     assert len(set(one) & set(two)) >= len(one) - 2, "chunks behind an insertion are found again"
 
 
+@pytest.mark.parametrize("first", ["\u4e00", "\u0430", "\u0627", "\u3042", "\uac00"], ids=["han", "cyrillic", "arabic", "kana", "hangul"])
+def test_chunks_follow_the_content_in_every_script(spark, first):
+    random.seed(2)
+    body = "".join(chr(ord(first) + random.randrange(32 if first < "\u1000" else 80)) for _ in range(20_000))
+    df = spark.createDataFrame([(body,), (first * 7 + body,)], "t string")
+    one, two = (r[0] for r in df.select(exact_dedup.chunks(F.col("t"))).collect())
+    assert "".join(one).encode("latin-1").decode() == body
+    assert len(set(one) & set(two)) >= len(one) - 4, "chunks behind an insertion are found again"
+
+
 def test_repeated_rows_stay_once(spark):
     docs = spark.createDataFrame([(1, "a b", 5), (1, "a b", 5), (2, "ab", 6), (3, "c", 7)],
                                  "doc_id long, text string, other int")
