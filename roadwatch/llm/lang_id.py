@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..sources.stored import stored
 from .common import free_name, map_rows, named, remainder, ship, worker_cache
 
 ship(__name__)
@@ -169,8 +170,8 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     labelled = known.select("id", "lang", "handle").distinct().withColumn("key", key)
     # Of a common language only keys in a small share of the hash range come into question.
     common = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    # One number per language; the model, which every task gets, holds thousands.
-    near = labelled.join(F.broadcast(common), "lang").where(
+    # Stored, so that their size decides whether they are sent to every executor.
+    near = labelled.join(stored(common, "lang-common"), "lang").where(
         F.pmod("key", F.lit(1 << 30)).cast("double") * F.col("n") < float(3 * per_language << 30))
     places = Window.partitionBy("lang").orderBy(F.pmod("key", F.lit(1 << 30)), "id", "handle")
     # per_language documents of each language, whatever the input.
@@ -179,7 +180,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
                       F.col("handle").alias("__handle")))
     same = F.col("id").eqNullSafe(F.col("__id")) & (F.col("lang") == F.col("__lang")) & (
         F.col("handle") == F.col("__handle"))
-    sample = (known.join(F.broadcast(chosen), same, "left_semi")
+    sample = (known.join(stored(chosen, "lang-chosen"), same, "left_semi")
               .groupBy("id", "lang", "handle").agg(F.min("text").alias("text")).select("lang", "text"))
     rows = sample.mapInArrow(_sparse, "lang string, at binary, counts binary").collect()
     languages = sorted({r["lang"] for r in rows})
