@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -61,6 +63,23 @@ def names_in(spark: SparkSession, path: str, pattern: str) -> list[str]:
     return [f.getPath().getName() for f in found or []]
 
 
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Folders that ``run_dir`` gives in here are deleted at the end: for work whose result lies elsewhere by then."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            remove_folder(spark, path)
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
     """A new folder for one run; none is ever used twice."""
-    return f"{shared_dir(spark)}/roadwatch/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/roadwatch/{name}-{uuid.uuid4().hex}"
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
+    return path

@@ -31,7 +31,7 @@ from ..operators.windows import with_window
 from ..session import names_in, remove_folder, run_dir
 from .run import Writer, finish, start
 
-BUCKETS = 64
+BUCKETS = 16
 WHOLE = -1  # the bucket of a table that is not cut
 
 
