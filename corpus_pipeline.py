@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from roadwatch.llm import decontaminate, exact_dedup, lang_id, ngram_join, packing
 from roadwatch.llm.queries import tokenizer_file
-from roadwatch.session import run_dir
+from roadwatch.session import remove_folder, run_dir, scratch
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,10 +48,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to documents; each result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Apply the stages to documents; each result is written and read again.
+
+    A stage's own tables, and its input if a stage wrote it, are deleted once its result is written. Null texts
+    are rejected by the first stage; repeated rows and ties leave one row, as the stages say; an empty table
+    gives an empty result.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for number, (_, stage) in enumerate(STAGES, 1):
         path = run_dir(spark, f"pipeline-{number}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove_folder(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
