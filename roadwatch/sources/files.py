@@ -6,6 +6,7 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.times import duration_micros, from_micros, micros
 from ..session import run_dir
 
 
@@ -48,6 +49,18 @@ LEAST_CUTS = 6
 FIRST_TIME = 1_700_000_000_000  # of a replay's files, in milliseconds
 
 
+def closing(rows: DataFrame, order: str, time: str, after: str) -> DataFrame:
+    """``rows`` and one more behind them, ``after`` later than all, null in every other column.
+
+    For input that has come to its end: streamed last, it takes the watermark past every open
+    window, so that append-mode streams give their last results as well. Its own window stays open.
+    """
+    ends = rows.agg((F.max(order) + 1).cast(rows.schema[order].dataType).alias(order),
+                    from_micros(F.max(micros(F.col(time))) + duration_micros(after))
+                    .cast(rows.schema[time].dataType).alias(time))
+    return rows.unionByName(ends.where(F.col(order).isNotNull()), allowMissingColumns=True)
+
+
 def replayed(spark: SparkSession, rows: DataFrame, order: str, name: str) -> DataFrame:
     """A table as a stream in the order of a whole-number column, one cut per micro-batch.
 

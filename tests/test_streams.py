@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from roadwatch import schemas
 from roadwatch.functions.parse import accepted, parse_delimited
-from roadwatch.operators import late, route, topn, triggers, windows
+from roadwatch.operators import late, route, sessions, topn, triggers, windows
 from roadwatch.operators.running import count_rows, highest
-from roadwatch.plans import traffic
+from roadwatch.plans import traffic, views
 from roadwatch.session import run_dir
 from roadwatch.sources import console, files, jdbc
 from roadwatch.sources.files import stream_folder, stream_lines
@@ -398,6 +398,20 @@ def test_replayed_table_comes_in_order_and_in_cuts(spark):
     assert [cuts[i] for i in sorted(cuts)] == [(0, 16), (17, 33), (34, 50), (51, 67), (68, 84), (85, 99)]
 
 
+def test_a_closing_row_gives_the_last_results_too(spark):
+    """With it the append-mode streams give what the tables give, open windows and sessions included."""
+    events = views.events(spark, "/root/testdata/sf0.001")
+    stream = replayed(spark, files.closing(events, "event_id", "ts", "2 days"), "event_id", "closed")
+    averages = to_table(jobs.average_speed(views.sightings(stream), "6 hours", "1 hour", "1 hour"), "closed-avg")
+    wanted = traffic.average_speed(views.sightings(events), "6 hours", "1 hour")
+    columns = ["area_id", "road_id", "monitor_id", "car_count"]
+    assert sorted(averages.select(*columns).collect()) == sorted(wanted.select(*columns).collect())
+    found = to_table(jobs.session_windows(stream, "ts", "6 hours", "1 hour", ["user_id"], {"n": count_rows()}), "closed-sessions")
+    known = sessions.sessions(events, "ts", "6 hours", ["user_id"], {"n": count_rows()})
+    assert sorted(found.select("user_id", "n").collect()) == sorted(known.select("user_id", "n").collect())
+    assert files.closing(events.limit(0), "event_id", "ts", "2 days").count() == 0
+
+
 def test_a_store_that_keeps_its_own_times(spark, monkeypatch):
     """Then the cuts are written one after another."""
     monkeypatch.setattr(files, "_timed", lambda spark, path: False)
