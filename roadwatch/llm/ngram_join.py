@@ -36,7 +36,7 @@ from .decontaminate import words_of
 ship(__name__)
 
 WORDS, SIMILARITY = 5, 0.8
-TREES, DEPTH = 32, 10
+TREES, DEPTH = 32, 9
 LABEL_BITS = 6  # of a path; the whole path is one number
 RECALL = 0.999  # of links at the bound, at the shortest prefix
 TARGET = 0.9999  # of all links; as soon as it is reached the prefix is long enough
@@ -144,8 +144,9 @@ _MEETING = "part int, place int, tree int, path long, key binary, other binary,
 
 
 def _neighbours(depth: int, floor: int):
-    """Of a sorted part of the list: each two neighbours that share a prefix of at least ``floor``
-    labels (place 1), and the part's first and last entry (places 0 and 2)."""
+    """Of a sorted part of the list: each entry that shares a prefix of at least ``floor`` labels with the
+    one before it, beside the first entry of the run with that prefix (place 1); and the part's first and
+    last entry (places 0 and 2)."""
     def rows(place, trees, paths, keys, others, depths):
         n = len(keys)
         part = TaskContext.get().partitionId()
@@ -155,22 +156,27 @@ def _neighbours(depth: int, floor: int):
              pa.array(depths, pa.int32())], names=["part", "place", "tree", "path", "key", "other", "depth"])
 
     def run(batches):
-        last = None
+        last, heads = None, [None] * (depth + 1)  # of the run at each depth, its first entry
         for batch in batches:
             if not batch.num_rows:
                 continue
             trees, paths = (batch.column(i).to_numpy() for i in (0, 1))
-            keys = batch.column(2)
+            keys = batch.column(2).cast(pa.binary())
             if last is None:
                 yield rows(0, trees[:1], paths[:1], [keys[0].as_py()], [None], [None])
-            else:
-                trees, paths = np.append(last[0], trees), np.append(last[1], paths)
-                keys = pa.concat_arrays([pa.array([last[2]], pa.binary()), keys.cast(pa.binary())])
-            shared = np.where(trees[1:] == trees[:-1], common_depth(paths[1:], paths[:-1], depth), 0)
-            near = np.flatnonzero(shared >= floor)
-            if len(near):
-                yield rows(1, trees[near], paths[near], keys.take(pa.array(near)), keys.take(pa.array(near + 1)),
-                           shared[near])
+                last = -1, 0, None
+            before = np.append(last[0], trees[:-1]), np.append(last[1], paths[:-1])
+            shared = np.where(trees == before[0], common_depth(paths, before[1], depth), 0)
+            for d in range(floor, depth + 1):
+                # Where the run of this depth begins that each entry is in; 0 stands for one begun earlier.
+                begins = np.maximum.accumulate(np.where(shared < d, np.arange(1, len(keys) + 1), 0))
+                near = np.flatnonzero(shared == d)
+                if len(near):
+                    held = pa.concat_arrays([pa.array([heads[d]], pa.binary()), keys])
+                    yield rows(1, trees[near], paths[near], held.take(pa.array(begins[near])),
+                               keys.take(pa.array(near)), shared[near])
+                if begins[-1]:
+                    heads[d] = keys[int(begins[-1]) - 1].as_py()
             last = trees[-1], paths[-1], keys[len(keys) - 1].as_py()
         if last is not None:
             yield rows(2, [last[0]], [last[1]], [last[2]], [None], [None])
@@ -178,9 +184,9 @@ def _neighbours(depth: int, floor: int):
 
 
 def meetings(texts: DataFrame, depth: int = DEPTH, floor: int = 1) -> DataFrame:
-    """u, v, depth: neighbours in the sorted tries with the depth of their common prefix, ``floor`` at least.
+    """u, v, depth: what meets in the sorted tries and the depth of the common prefix, ``floor`` at least.
 
-    At any depth the texts with one prefix are a run of neighbours. The list is cut by ranges, so a
+    At any depth the texts with one prefix are a run of neighbours, and meet its first. The list is cut by ranges, so a
     prefix that very many texts share is spread over tasks; entries at the cuts are compared afterwards.
     """
     listed = texts.select("key", F.posexplode("paths").alias("tree", "path")).select("tree", "path", "key")
@@ -328,7 +334,7 @@ def _grown(sets: DataFrame | None, pairs: DataFrame) -> tuple[DataFrame | None,
     pairs = stored(pairs.where("u <> v").distinct(), "join-pairs")
     if pairs.isEmpty():
         return None, sets
-    joined = stored(components(pairs, "join-near"), "join-joined")
+    joined = components(pairs, "join-near")
     if sets is None:
         members = joined.select(F.col("node").alias("key"), F.col("node").alias("old"), "root")
         members = stored(members, "join-members")
