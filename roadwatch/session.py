@@ -63,6 +63,33 @@ def names_in(spark: SparkSession, path: str, pattern: str) -> list[str]:
     return [f.getPath().getName() for f in found or []]
 
 
+def _file(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file in the shared folder, in place of one that is there."""
+    at, system = _file(spark, path)
+    out = system.create(at, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, None if there is none."""
+    at, system = _file(spark, path)
+    if not system.exists(at):
+        return None
+    stream = system.open(at)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 _SCRATCH: list[list[str]] = []
 
 

@@ -28,7 +28,7 @@ from ..operators.joins import latest_per_key, lookup
 from ..operators.running import Agg, count_rows, highest, running_from, total
 from ..operators.sessions import intervals, merged_intervals
 from ..operators.windows import with_window
-from ..session import names_in, remove_folder, run_dir
+from ..session import names_in, read_text, remove_folder, run_dir, write_text
 from .run import Writer, finish, start
 
 BUCKETS = 16
@@ -84,8 +84,9 @@ def _record_path(folder: str, batch_id: int) -> str:
     return f"{folder}/state/record-{batch_id}"
 
 
-def _read_record(spark: SparkSession, folder: str, batch_id: int) -> dict:
-    return json.loads(spark.read.text(_record_path(folder, batch_id), wholetext=True).first()[0])
+def _read_record(spark: SparkSession, folder: str, batch_id: int) -> dict | None:
+    text = read_text(spark, _record_path(folder, batch_id))
+    return None if text is None else json.loads(text)
 
 
 def carried_writer(step: Step, folder: str, buckets: int = BUCKETS) -> Writer:
@@ -111,8 +112,7 @@ def carried_writer(step: Step, folder: str, buckets: int = BUCKETS) -> Writer:
                         if cut and int(b) not in touched}
                 written = {n.removeprefix("state_bucket="): batch_id for n in names_in(spark, path, "state_bucket=*")}
                 record[name] = {"schema": table.schema.json(), "buckets": kept | written}
-            (spark.range(1, numPartitions=1).select(F.lit(json.dumps(record)).alias("value"))
-             .write.mode("overwrite").text(_record_path(folder, batch_id)))
+            write_text(spark, _record_path(folder, batch_id), json.dumps(record))
         finally:
             batch.unpersist()
         if batch_id > 1:  # the batch before this one cannot run again
@@ -122,9 +122,8 @@ def carried_writer(step: Step, folder: str, buckets: int = BUCKETS) -> Writer:
 
 def _forget(spark: SparkSession, folder: str, batch_id: int, later: dict) -> None:
     """Delete what a batch left and the one after it replaced."""
-    try:
-        record = _read_record(spark, folder, batch_id)
-    except AnalysisException:  # an earlier run of this batch has done it
+    record = _read_record(spark, folder, batch_id)
+    if record is None:  # an earlier run of the batch after it has done it
         return
     for name, table in record.items():
         held = later.get(name, {"buckets": {}})["buckets"]
