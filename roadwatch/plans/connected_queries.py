@@ -10,6 +10,7 @@ from .catalog import query
 from .queries import AMOUNTS
 
 from ..operators.running import count_rows, highest, total
+from ..sources import files
 from ..sources.files import replayed, table
 from ..streaming import carried, connected, jobs
 from ..streaming.carried import carried_table
@@ -187,3 +188,21 @@ def stream_late_refires(spark: SparkSession, folder: str) -> DataFrame:
     step = carried.late_refires("kind", "event_time", "arrival", "10 minutes", "1 minute", "4 hours")
     events = views.out_of_order(_events(spark, folder)).withColumnRenamed("event_id", "kind")
     return _result(carried_table(events, "late-refires", step))
+
+
+@query(f"""WITH {S.BEHAVIOUR}
+SELECT l.guid, l.arrival, r.act_time, count(*) AS copies,
+       time_bucket(INTERVAL 6 HOUR, l.ts) AS window_start, time_bucket(INTERVAL 6 HOUR, l.ts) + INTERVAL 6 HOUR AS window_end
+FROM behaviour l JOIN behaviour r ON l.guid = r.guid AND l.event_id = 'view' AND r.event_id = 'click'
+  AND time_bucket(INTERVAL 6 HOUR, l.ts) = time_bucket(INTERVAL 6 HOUR, r.ts)
+GROUP BY ALL""")
+def stream_window_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Views with the clicks of the same user and window, equal ones counted; a closing row ends the last windows."""
+    def events(kind: str) -> DataFrame:
+        rows = files.closing(table(spark, folder, "events"), "event_id", "ts", "2 days")
+        closed = views.behaviour(replayed(spark, rows, "event_id", "events"))
+        return closed.where((F.col("event_id") == kind) | F.col("event_id").isNull())
+    left = events("view").select("guid", "ts", "arrival")
+    right = events("click").select("guid", "ts", "act_time")
+    joined = jobs.window_join_counts(left, right, ["guid"], ["act_time"], "ts", "6 hours", "1 hour")
+    return _result(to_table(joined, "window-counts"))

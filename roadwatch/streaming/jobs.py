@@ -59,6 +59,21 @@ def window_join(left: DataFrame, right: DataFrame, keys: Sequence[str], time: st
                                "window_end": F.col("__w.end")}).drop("__w")
 
 
+def window_join_counts(left: DataFrame, right: DataFrame, keys: Sequence[str], values: Sequence[str], time: str,
+                       size: str, delay: str, copies: str = "copies") -> DataFrame:
+    """``window_join`` with equal right rows of a key and window folded into one, and how many they were.
+
+    The right side is counted first and joins when its window has ended, so neither state nor
+    output holds the pairs of a hot group one by one. Columns besides the keys must differ in name.
+    """
+    window = F.window(time, size).alias("__w")
+    rows = with_event_time(left, time, delay).withColumn("__w", F.window(time, size)).drop(time)
+    counted = (with_event_time(right, time, delay).groupBy(window, *keys, *values)
+               .agg(F.count(F.lit(1)).alias(copies)))
+    joined = rows.join(counted, [*keys, "__w"])
+    return joined.withColumns({"window_start": F.col("__w.start"), "window_end": F.col("__w.end")}).drop("__w")
+
+
 def speeding_with_refresh(limits: RefreshedTable, write: Writer) -> Writer:
     """Each micro-batch against the limits that are valid when it runs."""
     def run(batch: DataFrame, batch_id: int) -> None:

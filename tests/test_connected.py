@@ -45,6 +45,16 @@ def test_interval_join_drops_state_that_can_meet_nothing(spark):
     assert max(held) < 250 and held[-1] < 60, "of 600 rows only those near the watermark stay"
 
 
+def test_a_hot_window_is_joined_by_counts(spark):
+    """Fifty equal right rows meet each left row as one."""
+    left = [(i, 1, s) for i, s in enumerate([1, 5, 25, 70])]
+    right = [(i, 1, 2 + i % 5, 7) for i in range(50)] + [(50, 1, 26, 8), (51, 2, 3, 7), (52, 9, 500, 0)]
+    a = timed(cut_stream(spark, left + [(4, 9, 500)], "arrival long, key int, second long", "counts-l")).withColumnRenamed("arrival", "l_no")
+    b = timed(cut_stream(spark, right, "arrival long, key int, second long, v int", "counts-r")).drop("arrival")
+    found = to_table(jobs.window_join_counts(a, b, ["key"], ["v"], "time", "20 seconds", "0 seconds"), "counts")
+    assert sorted((r["l_no"], r["v"], r["copies"]) for r in found.collect()) == [(0, 7, 50), (1, 7, 50), (2, 8, 1)]
+
+
 # --- two inputs -------------------------------------------------------------
 
 def settled_model(orders, payments, order_wait, payment_wait, until):
