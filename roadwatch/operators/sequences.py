@@ -184,7 +184,8 @@ def _cut(df: DataFrame, pattern: Pattern, keys: Sequence[str], time: str, order:
 def _ahead(df: DataFrame, values: Mapping[str, Column], any_hot: bool) -> DataFrame:
     """Add, under each name, the value of the nearest later row of the key that has one."""
     held = df.withColumns({f"{n}__": v for n, v in values.items()})
-    inside = (Window.partitionBy(*_INSIDE).orderBy(F.desc("__at"))
+    # In the order that the rows were numbered in, so that they need not be sorted again.
+    inside = (Window.partitionBy(*_INSIDE).orderBy(F.desc("__time"), F.desc("__order"))
               .rowsBetween(Window.unboundedPreceding, -1))
     found = held.withColumns({n: F.last(f"{n}__", ignorenulls=True).over(inside) for n in values})
     found = found.drop(*[f"{n}__" for n in values])
