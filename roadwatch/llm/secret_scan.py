@@ -3,8 +3,8 @@
 Findings are what looks like a key, a password given to a name, or any long run
 of letters and digits. A forest trained from labelled findings judges each by its
 length, its changes between kinds of characters, how much of it dictionary words
-cover, the path of its document, and the words next to it. The dictionary is the
-corpus's most frequent words, counted over all documents.
+cover, the path of its document, and the words next to it, hashed. The dictionary is
+the corpus's most frequent words, counted over all documents.
 
 Everything is columns and Spark ML; the forest is fitted on a bounded sample.
 """
@@ -14,7 +14,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import HashingTF, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -47,8 +47,10 @@ NAMED = r"(?i)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]
 HARMLESS = r"(?i)(?:commit|sha\d*|md5|checksum|digest|uuid|guid|version|build|example|sample|dummy|placeholder|order|invoice|phone|card)\W{0,3}$"
 PATHS = r"(?i)(?:test|example|sample|fixture|mock|doc)"
 
-NUMBERS = ["length", "changes", "digits", "upper", "symbols", "distinct", "vowels", "hex", "covered",
-           "shape", "named", "harmless", "assigned", "quoted", "in_path", "test_path", "words_before"]
+# What the forest sees, besides the hashed neighbouring words. What ``rule_labels`` goes by is not among them.
+NUMBERS = ["length", "changes", "upper", "symbols", "distinct", "vowels", "covered", "assigned", "quoted",
+           "test_path", "words_before"]
+NEIGHBOURS, BEHIND, NEIGHBOUR_BUCKETS = 3, 2, 128  # words before and after, and what they are hashed into
 
 
 def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -116,7 +118,7 @@ def _share(pattern: str) -> Column:
 
 
 def with_numbers(found: DataFrame, words: list[str]) -> DataFrame:
-    """What the forest sees of each finding."""
+    """What the forest sees of each finding, and what ``rule_labels`` goes by."""
     length = F.greatest(F.length("secret"), F.lit(1))
     known = "|".join(sorted(words, key=len, reverse=True)) or "(?!)"
     changes = (r"(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[0-9])(?=[^0-9])"
@@ -136,9 +138,17 @@ def with_numbers(found: DataFrame, words: list[str]) -> DataFrame:
         "in_path": flag(F.col("before").rlike(r"[/\\.@]$") | F.col("secret").contains("/")),
         "test_path": flag(F.coalesce(F.col("path").rlike(PATHS), F.lit(False))),
         "words_before": F.regexp_count("before", F.lit(r"\p{L}+")).cast("double"),
+        "neighbours": F.concat(
+            F.transform(F.slice(F.reverse(_words("before")), 1, NEIGHBOURS),
+                        lambda w, i: F.concat(F.when(i == 0, "next<").otherwise("<"), w)),
+            F.transform(F.slice(_words("after"), 1, BEHIND), lambda w: F.concat(F.lit(">"), w))),
     })
 
 
+def _words(column: str) -> Column:
+    return F.regexp_extract_all(F.lower(column), F.lit(r"\p{L}+"), F.lit(0))
+
+
 def rule_labels(found: DataFrame) -> DataFrame:
     """Labels for findings that rules can tell, null for the rest.
 
@@ -163,14 +173,14 @@ def judge(found: DataFrame, labelled: DataFrame) -> DataFrame:
     apart and nothing is removed: the probability is 1.
     """
     folded = stored(labelled.where("label IS NOT NULL").groupBy(
-        *NUMBERS, F.col("label").cast("double").alias("label")).agg(
+        *NUMBERS, "neighbours", F.col("label").cast("double").alias("label")).agg(
         F.count(F.lit(1)).alias("copies")), "secret-folded")
     kinds = {r["label"]: r for r in folded.groupBy("label").agg(
         F.count(F.lit(1)).alias("n"), F.sum("copies").alias("copies")).collect()}
     if set(kinds) != {0.0, 1.0}:
         return found.withColumn("probability", F.lit(1.0))
-    ordered = folded.withColumn("order", F.xxhash64(*NUMBERS))
-    chosen = [ordered.where(F.col("label") == kind).orderBy("order", *NUMBERS).limit(
+    ordered = folded.withColumn("order", F.xxhash64(*NUMBERS, "neighbours"))
+    chosen = [ordered.where(F.col("label") == kind).orderBy("order", *NUMBERS, "neighbours").limit(
         max(LABELLED // 2, LABELLED - kinds[1 - kind]["n"])) for kind in kinds]
     sample = stored(reduce(DataFrame.unionByName, chosen).coalesce(1), "secret-labelled")
     held = {r["label"]: r["copies"] for r in sample.groupBy("label").agg(
@@ -180,15 +190,19 @@ def judge(found: DataFrame, labelled: DataFrame) -> DataFrame:
     draws = F.least("copies", F.lit(DRAWS))
     sample = sample.withColumn("__weight", F.col("copies") * share / draws).withColumn(
         "__draw", F.explode(F.sequence(F.lit(1), draws.cast("int"))))
-    vectors = VectorAssembler(inputCols=NUMBERS, outputCol="__vector", handleInvalid="keep")
+    words = HashingTF(inputCol="neighbours", outputCol="__words", numFeatures=NEIGHBOUR_BUCKETS, binary=True)
+    assembled = VectorAssembler(inputCols=[*NUMBERS, "__words"], outputCol="__vector", handleInvalid="keep")
+
+    def vectors(rows: DataFrame) -> DataFrame:
+        return assembled.transform(words.transform(rows))
     forest = RandomForestClassifier(
         featuresCol="__vector", labelCol="label", weightCol="__weight", numTrees=TREES,
-        maxDepth=TREE_DEPTH, seed=17, predictionCol="__prediction", rawPredictionCol="__raw",
-        probabilityCol="__chances")
-    model = forest.fit(vectors.transform(sample))
-    return model.transform(vectors.transform(found)).withColumn(
+        maxDepth=TREE_DEPTH, seed=17, featureSubsetStrategy="onethird", predictionCol="__prediction",
+        rawPredictionCol="__raw", probabilityCol="__chances")
+    model = forest.fit(vectors(sample))
+    return model.transform(vectors(found)).withColumn(
         "probability", vector_to_array("__chances")[1]).drop(
-        "__vector", "__prediction", "__raw", "__chances")
+        "__words", "__vector", "__prediction", "__raw", "__chances")
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, doc_id: str = "doc_id",

@@ -11,7 +11,7 @@ import pytest
 
 import corpus_pipeline
 import oracle
-from roadwatch.llm import decontaminate, ngram_join, token_ids
+from roadwatch.llm import decontaminate, ngram_join, secret_scan, token_ids
 from roadwatch.llm.queries import QUERIES, SHARDS, SQL, tokenizer_file
 
 
@@ -165,6 +165,19 @@ def test_secrets(spark, sf_dir, docs):
     assert any(not r["is_secret"] for r in rows), "false findings go"
 
 
+def test_the_forest_agrees_on_held_out_findings(spark):
+    """It does not see what the labels go by: shape, digits and the names before a value."""
+    assert not {"shape", "digits", "harmless", "named", "in_path"} & set(secret_scan.NUMBERS)
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    found = secret_scan.with_numbers(secret_scan.findings(docs), secret_scan.dictionary(docs)).withColumn(
+        "held_out", secret_scan.remainder("doc_id", 3) == 1)
+    labelled = secret_scan.rule_labels(found.where("NOT held_out"))
+    judged = secret_scan.rule_labels(secret_scan.judge(found.where("held_out"), labelled)).where("label IS NOT NULL")
+    rows = [(r["label"] == 1, r["probability"] >= 0.5) for r in judged.select("label", "probability").collect()]
+    true = sum(a and b for a, b in rows)
+    assert true >= 0.95 * sum(a for a, _ in rows) > 30 and true >= 0.95 * sum(b for _, b in rows)
+
+
 def test_pipeline(spark, sf_dir, docs):
     """Against the same decisions by brute force, stage by stage."""
     frame = spark.read.parquet(f"{sf_dir}/documents.parquet")
