@@ -144,6 +144,26 @@ def test_leaks(spark, sf_dir, docs):
         assert r["edits"] == brute_distance(wanted, words)
 
 
+def test_no_near_match_is_missed(spark):
+    """Every document and item of the smallest tables by plain edit distance."""
+    folder = "/root/testdata/sf0.001"
+    items = {r["item_id"]: decontaminate._spaced(r["text"]).split()
+             for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()}
+    codes = {}
+    number = lambda words: np.array([codes.setdefault(w, len(codes)) for w in words], int)
+    coded = {i: number(w) for i, w in items.items()}
+    wanted = {}
+    for r in spark.read.parquet(f"{folder}/documents.parquet").collect():
+        text = number(decontaminate._spaced(r["text"] or "").split())
+        for i, item in coded.items():
+            if np.isin(item, text).mean() >= 0.7:  # fewer cannot be within a fifth of edits
+                edits, _ = decontaminate.edit_distance(item, text)
+                if edits <= decontaminate.most_edits(len(item)):
+                    wanted[r["doc_id"], i] = edits
+    found = {(r["doc_id"], r["item_id"]): r["edits"] for r in QUERIES["op9_decontamination"](spark, folder).collect()}
+    assert found == wanted and found
+
+
 def brute_distance(item, text):
     row = [0] * (len(text) + 1)
     for i, word in enumerate(item, 1):

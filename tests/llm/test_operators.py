@@ -548,6 +548,23 @@ def test_clustered_edits_at_the_bound(where):
     assert not lost and not wrong, f"{len(lost)} lost, {len(wrong)} wrong of 300 documents"
 
 
+def test_the_walks_make_the_candidates():
+    """Fresh edited copies, not those the plan was measured on; without the walk's random steps others are found."""
+    random.seed(9)
+    words = [f"w{i}" for i in range(500)]
+    items = [(i, " ".join(random.choices(words, k=random.randint(8, 60)))) for i in range(120)]
+    searcher = decontaminate.Searcher(items)
+    copies = [(i, c) for i, item in enumerate(searcher.items) for c in searcher._copies(item, 10_000 + i)]
+    regions = [c for _, c in copies]
+    wanted = np.arange(len(copies)) * len(items) + np.array([i for i, _ in copies])
+    found = searcher._candidates(regions, searcher.keys, searcher.plan)
+    assert np.isin(wanted, found).mean() >= 0.999
+    assert len(found) < 0.05 * len(copies) * len(items), "and few others"
+    searcher.bits = np.full_like(searcher.bits, (1 << 64) - 1)  # every step moves on
+    stiff = searcher._candidates(regions, searcher._index(searcher.items, searcher.plan), searcher.plan)
+    assert np.isin(wanted, stiff).mean() < np.isin(wanted, found).mean() and set(stiff) != set(found)
+
+
 @FEW
 @given(st.lists(st.integers(0, 3), min_size=1, max_size=8), st.lists(st.integers(0, 3), max_size=14))
 def test_edit_distance(item, text):
