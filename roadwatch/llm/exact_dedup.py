@@ -40,11 +40,12 @@ def _wide_rule(least: int, most: int) -> str:
 
 
 def chunks(text: Column, least: int = LEAST, most: int = MOST) -> Column:
-    """A text's chunks; those of a text with letters from U+0250 on are of its UTF-8 bytes, one character each."""
+    """A text's chunks; those of a text mostly in other than Latin letters are of its UTF-8 bytes, one
+    character each. Pass a column: it is used several times."""
     narrow = F.regexp_extract_all(text, F.lit(_cut_rule(least, most)), F.lit(0))
     as_bytes = F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
     wide = F.regexp_extract_all(as_bytes, F.lit(_wide_rule(least, most)), F.lit(0))
-    return F.when(text.rlike(r"[^\x{0}-\x{24F}]"), wide).otherwise(narrow)
+    return F.when(2 * F.octet_length(text) > 3 * F.length(text), wide).otherwise(narrow)
 
 
 def fingerprint(chunk: Column) -> Column:
@@ -57,7 +58,8 @@ def _recipe(pieces: Column, identify: Callable[[Column], Column]) -> Column:
 
 def ambiguous_chunks(docs: DataFrame, text: str, identify: Callable[[Column], Column]) -> DataFrame:
     """The fingerprints that stand for more than one content."""
-    contents = (docs.select(F.explode(chunks(normal(whole_text(text)))).alias("chunk"))
+    squeezed = docs.select(normal(whole_text(text)).alias("squeezed"))
+    contents = (squeezed.select(F.explode(chunks(F.col("squeezed"))).alias("chunk"))
                 .select(identify(F.col("chunk")).alias("fp"), "chunk")
                 .groupBy("fp", "chunk").agg(F.count(F.lit(1)).alias("n")))
     return contents.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp")
