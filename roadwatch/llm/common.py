@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import json
 import re
 import sys
 import types
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -71,10 +74,26 @@ def _typed(schema: str) -> str:
     return re.sub(r"(^|, )(\w+) (\w+)", r"\1\2: \3", schema)
 
 
-def worker_cache() -> dict:
-    """A dictionary that lives as long as the Python worker, across its tasks."""
+def worker_cache(owner: str) -> dict:
+    """A dictionary that lives as long as the Python worker, across the tasks of one operator.
+
+    Another operator's tasks find it empty: what the one before has held is given back first.
+    """
     name = "_roadwatch_worker_cache"
-    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    state = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    if state.get("owner") != owner:
+        state["owner"], state["held"] = owner, {}
+        _give_back()
+    return state["held"]
+
+
+def _give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
 
 
 ship(__name__)

@@ -430,7 +430,7 @@ def _searcher(items: list[tuple[int, str]], share: float):
     name = "searcher", uuid.uuid4().hex
 
     def make() -> Searcher:
-        cache = worker_cache()
+        cache = worker_cache("decontamination")
         if name not in cache:
             for old in [k for k in cache if k[0] == "searcher"]:  # one block's at a time
                 del cache[old]

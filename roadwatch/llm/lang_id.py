@@ -39,7 +39,7 @@ class Model:
 
 def _letters() -> np.ndarray:
     """Code point to lower-case letter, or to a blank."""
-    cache = worker_cache()
+    cache = worker_cache("language")
     if "letters" not in cache:
         table = np.full(0x110000, 32, np.uint32)
         for code in range(0x110000):

@@ -71,7 +71,7 @@ def shingles(text: str | None) -> np.ndarray:
     Words are lower case without ASCII punctuation. A text of fewer than five
     words has itself as its only run, one without words has none.
     """
-    cache = worker_cache()
+    cache = worker_cache("shingles")
     known = cache.setdefault("word hashes", _Hashes())
     if len(known) > MOST_WORDS:
         known.clear()

@@ -27,8 +27,8 @@ from .simple8b import decode, encode
 ship(__name__)
 
 SEGMENT_IDS = 1 << 18
-GROUP_CHARS = 1 << 24  # characters that are tokenised together
-MOST_PIECES = 800_000  # pieces a worker remembers, besides those of the group at hand
+GROUP_CHARS = 1 << 22  # characters that are tokenised together
+MOST_PIECES = 500_000  # pieces a worker remembers, besides those of the group at hand
 
 SEGMENT_SCHEMA = (
     "part int, segment int, part_start long, n_ids long, doc_ids array<long>, "
@@ -175,6 +175,9 @@ class Encoder:
         rest = np.flatnonzero(unsafe).tolist()
         for i, coded in zip(rest, self.whole([texts[i] for i in rest])):
             out[i] = coded
+        # Other operators' tasks may run in this worker next.
+        del behind, split, names, at, lengths, ids
+        pa.default_memory_pool().release_unused()
         return out
 
 
@@ -186,7 +189,7 @@ def _ranges(firsts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def encoder(path: str) -> Encoder:
-    cache = worker_cache()
+    cache = worker_cache("token ids")
     if ("encoder", path) not in cache:
         cache["encoder", path] = Encoder(path)
     return cache["encoder", path]
