@@ -195,12 +195,13 @@ def encoder(path: str) -> Encoder:
     return cache["encoder", path]
 
 
-def groups_of_texts(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with about ``GROUP_CHARS`` characters."""
+def groups_of_texts(texts: list[str], most: int | None = None) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with about ``most`` characters, ``GROUP_CHARS`` if not given."""
+    most = most or GROUP_CHARS
     first, chars = 0, 0
     for i, text in enumerate(texts):
         chars += len(text)
-        if chars >= GROUP_CHARS:
+        if chars >= most:
             yield first, i + 1
             first, chars = i + 1, 0
     if first < len(texts):
@@ -320,7 +321,8 @@ def _with_ids(tokenizer_path: str, end_id: int, lengths_only: bool):
         tokens = encoder(tokenizer_path)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for low, high in groups_of_texts(texts):
+            # Where ids go on, other stages run beside: smaller groups hold less.
+            for low, high in groups_of_texts(texts, None if lengths_only else GROUP_CHARS // 4):
                 coded = tokens.encode(texts[low:high])
                 counts = np.array([len(c) // 4 + 1 for c in coded], np.int64)
                 columns = [batch.column(0).slice(low, high - low), pa.array(counts)]
