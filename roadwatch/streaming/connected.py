@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+import heapq
 import sys
 from collections import deque
 from collections.abc import Iterator, Mapping, Sequence
 
-import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.times import duration_micros, micros
-from .processors import _I, _L, _listed, _Processor, _schema, _unpacked, _value, keyed, packed
+from .processors import _I, _L, _Processor, _schema, _unpacked, keyed, packed
 from .run import with_event_time
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -58,6 +58,7 @@ class TwoInputs(_Processor):
         self.sides = ([f.name for f in left], [f.name for f in right])
         self._row = StructType([StructField("time_us", _L), StructField("side", _I), *fields])
         self.carried = [f.name for f in fields]
+        self.columns = [*self._row.fieldNames(), "absent"]
         self.output = StructType([*keys, *output])
 
     def on_left(self, time_us: int, row: dict) -> Iterator[tuple]:
@@ -71,69 +72,45 @@ class TwoInputs(_Processor):
 
     def wake(self, time_us: int) -> None:
         """Call ``on_time`` when time has reached this, before any row of that time or a later one."""
-        if time_us not in self._asked:
-            self._asked.append(time_us)
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", self._row)
-        self.asked = handle.getListState("asked", _schema(("at", _L)))
-        self.timer = handle.getValueState("timer", _schema(("at", _L)))
-        self._states = {name: handle.getListState(name, fields) for name, fields in self.lists.items()}
-
-    def _set_timer(self, at: int | None) -> None:
-        (current,) = _value(self.timer, (0,))
-        if current == (at or 0):
-            return
-        if current:
-            self.handle.deleteTimer(int(current))
-        if at is None:
-            self.timer.clear()
-        else:
-            self.handle.registerTimer(at)
-            self.timer.update((at,))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = _unpacked(pd.concat(list(rows)), ["time_us", "side"], self._row.fieldNames()[2:])
-        self.waiting.appendList(new)
-        first = max(min(r[0] for r in new) // 1000 + 1, timerValues.getCurrentWatermarkInMs() + 1)
-        (current,) = _value(self.timer, (0,))
-        self._set_timer(min(first, int(current)) if current else first)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.timer.clear()
-        passed = timerValues.getCurrentWatermarkInMs()
+        if time_us not in self._known:
+            self._known.add(time_us)
+            heapq.heappush(self._asked, time_us)
+
+    def on_rows(self, key, held, rows, now):
+        new = _unpacked(rows, 2)
+        held.setdefault("waiting", []).extend(new)
+        first = max(min(r[0] for r in new) // 1000 + 1, now + 1)
+        held["timer"] = min(first, held.get("timer", first))
+        return ()
+
+    def on_timer(self, key, held, now):
         names = self._row.fieldNames()
-        waiting = sorted(_listed(self.waiting), key=lambda r: (r[0], r[1], tuple((v is not None, v) for v in r[2:])))
-        due = deque(r for r in waiting if r[0] // 1000 + 1 <= passed)
+        waiting = sorted(held.pop("waiting", []),
+                         key=lambda r: (r[0], r[1], tuple((v is not None, v) for v in r[2:])))
+        due = deque(r for r in waiting if r[0] // 1000 + 1 <= now)
         later = waiting[len(due):]
-        self._asked = [r[0] for r in _listed(self.asked)]
-        self.held = {name: _listed(state) for name, state in self._states.items()}
-        out = []
+        self._asked = held.pop("asked", [])
+        self._known = set(self._asked)
+        self.held = {name: held.pop(name, []) for name in self.lists}
         while True:
-            at = min((t for t in self._asked if t // 1000 + 1 <= passed), default=None)
+            at = self._asked[0] if self._asked and self._asked[0] // 1000 + 1 <= now else None
             if at is not None and (not due or at <= due[0][0]):
-                self._asked.remove(at)
-                out += [(*key, *row) for row in self.on_time(at)]
+                self._known.remove(heapq.heappop(self._asked))
+                for row in self.on_time(at):
+                    yield (*key, *row)
             elif due:
                 values = dict(zip(names, due.popleft()))
                 time_us, side = values.pop("time_us"), values.pop("side")
                 row = {n: values[n] for n in self.sides[side]}
-                out += [(*key, *r) for r in (self.on_right if side else self.on_left)(time_us, row)]
+                for found in (self.on_right if side else self.on_left)(time_us, row):
+                    yield (*key, *found)
             else:
                 break
-        for state, rows in [(self.waiting, later), (self.asked, [(t,) for t in sorted(self._asked)]),
-                            *[(self._states[n], rows) for n, rows in self.held.items()]]:
-            if rows:
-                state.put(rows)
-            else:
-                state.clear()
+        left = {"waiting": later, "asked": sorted(self._asked), **self.held}
+        held.update({name: rows for name, rows in left.items() if rows})
         times = [r[0] for r in later] + self._asked
         if times:
-            self._set_timer(max(min(times) // 1000 + 1, passed + 1))
-        if out:
-            yield self._frame(out)
+            held["timer"] = max(min(times) // 1000 + 1, now + 1)
 
 
 def co_process(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str,

@@ -10,23 +10,19 @@ no state.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from ..functions.times import micros
 from ..operators.sequences import Line, Pattern
-from .processors import _I, _L, _listed, _Processor, _schema, _unpacked, _value, keyed, packed
+from .processors import _L, _Processor, _unpacked, keyed, packed
 from .run import with_event_time
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_OPEN = StructType([StructField("line", _I), StructField("next", _I), StructField("fresh", BooleanType()),
-                    StructField("held", StringType())])
-
 
 class Sequences(_Processor):
     """All matches of a pattern within ``within_us``; per match and step a list of its rows."""
@@ -37,40 +33,16 @@ class Sequences(_Processor):
                       for line in lines]
         self.within_us = within_us
         self.carry = [f.name for f in carry]
-        self._row = StructType([StructField("time_us", _L), StructField("order_no", order.dataType),
-                                StructField("fits", _L), *carry])
-        self._held = StructType([StructField("no", _L), StructField("time_us", _L), *carry])
+        self.columns = ["time_us", "order_no", "fits", *self.carry, "absent"]
         found = ArrayType(StructType([StructField("time_us", _L), *carry]))
         self.output = StructType([*keys, *[StructField(s, found) for s in steps]])
 
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", self._row)
-        self.held = handle.getListState("held", self._held)
-        self.open = handle.getListState("open", _OPEN)
-        self.clock = handle.getValueState("clock", _schema(("next_no", _L), ("timer", _L)))
-
-    def _clock(self) -> tuple[int, int]:
-        """The number of the next row, and the time of the timer, 0 without one."""
-        number, timer = _value(self.clock, (0, 0))
-        return int(number), int(timer)
-
-    def _wake_at(self, at: int) -> None:
-        number, current = self._clock()
-        if current == at:
-            return
-        if current:
-            self.handle.deleteTimer(current)
-        self.handle.registerTimer(at)
-        self.clock.update((number, at))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = _unpacked(pd.concat(list(rows)), ["time_us", "order_no", "fits"], self.carry)
-        self.waiting.appendList(new)
-        first = max(min(r[0] for r in new) // 1000 + 1, timerValues.getCurrentWatermarkInMs() + 1)
-        _, timer = self._clock()
-        self._wake_at(min(first, timer) if timer else first)
-        return iter(())
+    def on_rows(self, key, held, rows, now):
+        new = _unpacked(rows, 3)
+        held.setdefault("waiting", []).extend(new)
+        first = max(min(r[0] for r in new) // 1000 + 1, now + 1)
+        held["timer"] = min(first, held.get("timer", first))
+        return ()
 
     def _advance(self, partial, fits: int, number: int):
         """What becomes of a partial match at a row: the partial matches it leaves."""
@@ -91,15 +63,12 @@ class Sequences(_Processor):
             left.append((line, at, False, held))
         return left
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        number, _ = self._clock()
-        passed = timerValues.getCurrentWatermarkInMs()
-        waiting = sorted(_listed(self.waiting), key=lambda r: r[:2])
-        due = [r for r in waiting if r[0] // 1000 + 1 <= passed]
+    def on_timer(self, key, held, now):
+        number = held.pop("next_no", 0)
+        waiting = sorted(held.pop("waiting", []), key=lambda r: r[:2])
+        due = [r for r in waiting if r[0] // 1000 + 1 <= now]
         later = waiting[len(due):]
-        rows = {r[0]: r[1:] for r in _listed(self.held)}
-        partials = [(line, at, fresh, [int(n) for n in held.split(",")])
-                    for line, at, fresh, held in _listed(self.open)]
+        rows, partials = held.pop("rows", {}), held.pop("open", [])
         out = []
 
         def emit(line, held):
@@ -109,10 +78,10 @@ class Sequences(_Processor):
                 at += count
             out.append((*key, *result))
 
-        def too_old(partials, now):
-            """Those that still can end by ``now``; a negation that has held till the end is a match."""
+        def too_old(partials, time_us):
+            """Those that still can end by then; a negation that has held till the end is a match."""
             for line, at, fresh, held in partials:
-                if now - rows[held[0]][0] < self.within_us:
+                if time_us - rows[held[0]][0] < self.within_us:
                     yield line, at, fresh, held
                 elif self.lines[line][1][at][1] == "never":
                     emit(line, held)
@@ -127,34 +96,22 @@ class Sequences(_Processor):
                 if fits >> elements[0][0] & 1:
                     left.append((line, 1, True, [number]))
             partials = []
-            for line, at, fresh, held in left:
+            for line, at, fresh, taken in left:
                 if at == len(self.lines[line][1]):
-                    emit(line, held)
+                    emit(line, taken)
                 else:
-                    partials.append((line, at, fresh, held))
+                    partials.append((line, at, fresh, taken))
             number += 1
         # What comes later has a time behind the watermark.
-        partials = list(too_old(partials, passed * 1000))
-        used = {n for *_, held in partials for n in held}
-        self._keep(self.held, [(n, *rows[n]) for n in sorted(used)])
-        self._keep(self.open, [(line, at, fresh, ",".join(map(str, held))) for line, at, fresh, held in partials])
-        self._keep(self.waiting, later)
-        ends = [(rows[held[0]][0] + self.within_us) // 1000 + 1 for *_, held in partials]
+        partials = list(too_old(partials, now * 1000))
+        used = {n for *_, taken in partials for n in taken}
+        left = {"waiting": later, "open": partials, "rows": {n: rows[n] for n in sorted(used)}}
+        held.update({name: what for name, what in left.items() if what})
+        ends = [(rows[taken[0]][0] + self.within_us) // 1000 + 1 for *_, taken in partials]
         wake = min([r[0] // 1000 + 1 for r in later] + ends, default=None)
-        if wake is None:
-            self.clock.clear()
-        else:
-            self.clock.update((number, 0))
-            self._wake_at(max(wake, passed + 1))
-        if out:
-            yield self._frame(out)
-
-    @staticmethod
-    def _keep(state, rows) -> None:
-        if rows:
-            state.put(rows)
-        else:
-            state.clear()
+        if wake is not None:
+            held.update(next_no=number, timer=max(wake, now + 1))
+        return out
 
 
 def match(events: DataFrame, pattern: Pattern, keys: Sequence[str], time: str, order: str, delay: str,

@@ -1,16 +1,19 @@
 """Keyed state for what Spark's built-in streaming operators do not have.
 
-All work inside ``transformWithStateInPandas``: state lives in RocksDB per key,
-rows come and go as pandas frames, and state is read and written once per key
-and batch. Names and types of the columns are the caller's; a null value is
-nothing that came. Where state can live in a table, ``carried`` is the better
-place: it cuts hot keys.
+All work inside ``transformWithStateInPandas`` with state in RocksDB. Keys are cut into
+buckets by their hash, and the states of a bucket's keys are one value: a call and a few
+messages to the state store per key and batch cost a thousand times a row's work. So they
+are paid once per bucket and batch, and a batch reads and writes the buckets of its own
+keys. Processors say what becomes of one key's rows. Names and types of the columns are
+the caller's; a null value is nothing that came. Where state can live in a table,
+``carried`` is the better place: it cuts hot keys.
 """
 
 from __future__ import annotations
 
+import pickle
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -18,7 +21,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import (
-    BinaryType, BooleanType, IntegerType, LongType, NumericType, StringType, StructField, StructType)
+    BinaryType, BooleanType, DoubleType, FloatType, IntegerType, LongType, NumericType, StringType, StructField,
+    StructType)
 
 # Workers get the processors themselves, so they need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -31,12 +35,8 @@ def _schema(*fields) -> StructType:
 _L, _S, _I = LongType(), StringType(), IntegerType()
 
 
-def _value(state, default):
-    return state.get() if state.exists() else default
-
-
-def _listed(state) -> list[tuple]:
-    return [tuple(r) for r in state.get()] if state.exists() else []
+KEY_BUCKETS = 1024
+ROWS_AT_ONCE = 10_000
 
 
 def _plain(value):
@@ -46,8 +46,14 @@ def _plain(value):
     return value.item() if hasattr(value, "item") else value
 
 
+def _column(values: pd.Series) -> list:
+    if values.dtype.kind in "iub":
+        return values.tolist()
+    return [_plain(v) for v in values.tolist()]
+
+
 def _rows(frame: pd.DataFrame, names: Sequence[str]) -> list[tuple]:
-    return [tuple(map(_plain, r)) for r in frame[list(names)].itertuples(index=False, name=None)]
+    return list(zip(*[_column(frame[n]) for n in names]))
 
 
 def packed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -57,169 +63,225 @@ def packed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({"absent": absent, **{c: _filled(df, c) for c in columns}})
 
 
-def _unpacked(frame: pd.DataFrame, before: Sequence[str], columns: Sequence[str]) -> list[tuple]:
-    """The rows of a packed frame: the columns ``before``, which have no nulls, then the packed ones."""
-    rows = _rows(frame, [*before, *columns, "absent"])
-    n = len(before)
-    return [(*r[:n], *[None if gone == "1" else v for v, gone in zip(r[n:-1], r[-1])]) for r in rows]
+def _unpacked(rows: list[tuple], before: int) -> list[tuple]:
+    """The rows of a packed frame: ``before`` columns without nulls, then the packed ones, then ``absent``."""
+    return [(*r[:before], *[None if gone == "1" else v for v, gone in zip(r[before:-1], r[-1])]) for r in rows]
+
 
+def _in_order(rows: list[tuple]) -> list[tuple]:
+    return sorted(rows, key=lambda r: (r[0] is None, r[0]))
+
+
+class _Processor:
+    """What becomes of one key's rows.
+
+    ``held`` is what the key's state holds, any values by name; the key is forgotten when it is
+    empty. ``on_timer`` is called when the time of the stream has reached ``held["timer"]``, in
+    milliseconds, and finds it taken out. ``now`` is that time.
+    """
 
-class _Processor(StatefulProcessor):
+    #: The columns of the rows, besides the keys.
+    columns: list[str]
     output: StructType
 
+    def on_rows(self, key: tuple, held: dict, rows: list[tuple], now: int) -> Iterable[tuple]:
+        raise NotImplementedError
+
+    def on_timer(self, key: tuple, held: dict, now: int) -> Iterable[tuple]:
+        return ()
+
+
+class _Bucket(StatefulProcessor):
+    """A processor for all keys of a bucket. One timer stands at the earliest of the keys' timers."""
+
+    def __init__(self, processor: _Processor, keys: Sequence[str], time_mode: str):
+        self.processor, self.keys, self.time_mode = processor, list(keys), time_mode
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("keys", _schema(("held", BinaryType()), ("timer", _L)))
+
     def close(self) -> None:
         pass
 
-    def _frame(self, rows: list[tuple]) -> pd.DataFrame:
-        names = self.output.fieldNames()
-        return pd.DataFrame({n: pd.Series([r[i] for r in rows], dtype=object)
-                             for i, n in enumerate(names)})
+    def _now(self, timers) -> int:
+        if self.time_mode == "none":
+            return 0
+        return (timers.getCurrentWatermarkInMs() if self.time_mode == "eventTime"
+                else timers.getCurrentProcessingTimeInMs())
+
+    def _read(self) -> tuple[dict, int | None]:
+        found = self.state.get() if self.state.exists() else None
+        return (pickle.loads(found[0]), found[1]) if found else ({}, None)
+
+    def _write(self, held: dict, timer: int | None) -> None:
+        """Leave the keys' states; ``timer`` is the bucket's timer as it stands."""
+        earliest = min((h["timer"] for h in held.values() if "timer" in h), default=None)
+        if earliest != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if earliest is not None:
+                self.handle.registerTimer(earliest)
+        if held:
+            self.state.update((pickle.dumps(held, 5), earliest))
+        else:
+            self.state.clear()
+
+    def _frames(self, rows: list[tuple]) -> Iterator[pd.DataFrame]:
+        names = self.processor.output.fieldNames()
+        for at in range(0, len(rows), ROWS_AT_ONCE):
+            columns = zip(*rows[at:at + ROWS_AT_ONCE])
+            yield pd.DataFrame({n: pd.Series(c, dtype=object) for n, c in zip(names, columns)})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        (held, timer), now, came, out = self._read(), self._now(timerValues), {}, []
+        n = len(self.keys)
+        for frame in rows:
+            for row in _rows(frame, [*self.keys, *self.processor.columns]):
+                came.setdefault(row[:n], []).append(row[n:])
+        for one, new in came.items():
+            state = held.setdefault(one, {})
+            out += self.processor.on_rows(one, state, new, now)
+            if not state:
+                del held[one]
+        self._write(held, timer)
+        yield from self._frames(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        (held, _), now, out = self._read(), self._now(timerValues), []
+        for one in [k for k, h in held.items() if h.get("timer", now + 1) <= now]:
+            del held[one]["timer"]
+            out += self.processor.on_timer(one, held[one], now)
+            if not held[one]:
+                del held[one]
+        self._write(held, None)
+        yield from self._frames(out)
 
 
 class TextSoFar(_Processor):
-    """List state: all texts of the key up to each row, joined; nulls add nothing."""
+    """All texts of the key up to each row, joined; nulls add nothing. With ``ttl_ms`` each is forgotten
+    that long after it came."""
 
     def __init__(self, keys: Sequence[StructField], order: StructField, value: str, out: str = "joined",
                  ttl_ms: int | None = None):
-        self.order, self.value, self.ttl_ms = order.name, value, ttl_ms
+        self.columns, self.ttl_ms = [order.name, value], ttl_ms
         self.output = StructType([*keys, order, StructField(out, _S)])
 
-    def init(self, handle) -> None:
-        text = _schema(("v", _S))
-        self.texts = (handle.getListState("texts", text, ttlDurationMs=self.ttl_ms) if self.ttl_ms
-                      else handle.getListState("texts", text))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        joined = "".join(t[0] for t in _listed(self.texts))
-        new, out = [], []
-        frame = pd.concat(list(rows)).sort_values(self.order)
-        for order, value in _rows(frame, [self.order, self.value]):
+    def on_rows(self, key, held, rows, now):
+        if self.ttl_ms:
+            yield from self._expiring(key, held, rows, now)
+            return
+        joined = held.get("text", "")
+        for order, value in _in_order(rows):
             if value is not None:
                 joined += value
-                new.append((value,))
-            out.append((*key, order, joined))
-        if new:
-            self.texts.appendList(new)
-        yield self._frame(out)
+            yield (*key, order, joined)
+        if joined:
+            held["text"] = joined
+
+    def _expiring(self, key, held, rows, now):
+        texts = [t for t in held.get("texts", []) if t[0] > now]
+        joined = "".join(v for _, v in texts)
+        for order, value in _in_order(rows):
+            if value is not None:
+                joined += value
+                texts.append((now + self.ttl_ms, value))
+            yield (*key, order, joined)
+        held.clear()
+        if texts:
+            held.update(texts=texts, timer=texts[-1][0])
+
+    def on_timer(self, key, held, now):
+        held.clear()  # it stands where the last text goes
+        return ()
 
 
 class ThreeInARow(_Processor):
     """Three rows of a key in event-time order within ``within_us``, overlaps allowed.
 
-    Rows wait in list state until the watermark has passed them; one timer per
-    key stands at the earliest waiting row, or where the last rows can match
-    nothing any more. A key without rows that can still match keeps no state.
+    Rows wait until the watermark has passed them; a key's timer stands at its
+    earliest waiting row, or where the last rows can match nothing any more. A key
+    without rows that can still match keeps no state.
     """
 
     def __init__(self, keys: Sequence[StructField], time_us: str, carry: Sequence[StructField],
                  within_us: int):
         self.within_us = within_us
-        self._row = StructType([StructField(time_us, _L), *carry])
+        row = [StructField(time_us, _L), *carry]
+        self.columns = [f.name for f in row]
         self.output = StructType([*keys, *[
             StructField(f"{place}_{f.name}", f.dataType) for place in ("first", "second", "third")
-            for f in self._row.fields]])
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", self._row)
-        self.last_two = handle.getListState("last_two", self._row)
-        self.timer = handle.getValueState("timer", _schema(("at", _L)))
+            for f in row]])
 
     @staticmethod
     def _after_ms(time_us: int) -> int:
         return time_us // 1000 + 1
 
-    def _wake_at(self, at: int) -> None:
-        (current,) = _value(self.timer, (None,))
-        if current == at:
-            return
-        if current is not None:
-            self.handle.deleteTimer(current)
-        self.handle.registerTimer(at)
-        self.timer.update((at,))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = [r for r in _rows(pd.concat(list(rows)), self._row.fieldNames()) if r[0] is not None]
+    def on_rows(self, key, held, rows, now):
+        new = [(int(r[0]), *r[1:]) for r in rows if r[0] is not None]
         if new:
-            earliest = min(r[0] for r in new + _listed(self.waiting))
-            self.waiting.appendList(new)
-            self._wake_at(max(self._after_ms(earliest), timerValues.getCurrentWatermarkInMs() + 1))
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.timer.clear()
-        passed = timerValues.getCurrentWatermarkInMs()
-        waiting = sorted(_listed(self.waiting))
-        due = [r for r in waiting if self._after_ms(r[0]) <= passed]
-        later, run, out = waiting[len(due):], _listed(self.last_two), []
+            waiting = held.setdefault("waiting", [])
+            waiting += new
+            held["timer"] = max(self._after_ms(min(r[0] for r in waiting)), now + 1)
+        return ()
+
+    def on_timer(self, key, held, now):
+        waiting = sorted(held.pop("waiting", []))
+        due = [r for r in waiting if self._after_ms(r[0]) <= now]
+        later, run = waiting[len(due):], held.pop("last_two", [])
         for row in due:
             run.append(row)
             if len(run) == 3:
                 if row[0] - run[0][0] < self.within_us:
-                    out.append((*key, *run[0], *run[1], *run[2]))
+                    yield (*key, *run[0], *run[1], *run[2])
                 run.pop(0)
         # What comes later has a time behind the watermark.
-        run = [r for r in run if r[0] + self.within_us > passed * 1000]
+        run = [r for r in run if r[0] + self.within_us > now * 1000]
         if run:
-            self.last_two.put(run)
-        else:
-            self.last_two.clear()
+            held["last_two"] = run
+            held["timer"] = max((run[-1][0] + self.within_us) // 1000 + 1, now + 1)
         if later:
-            self.waiting.put(later)
-            self._wake_at(max(self._after_ms(later[0][0]), passed + 1))
-        else:
-            self.waiting.clear()
-            if run:
-                self._wake_at(max((run[-1][0] + self.within_us) // 1000 + 1, passed + 1))
-        if out:
-            yield self._frame(out)
+            held["waiting"] = later
+            held["timer"] = max(self._after_ms(later[0][0]), now + 1)
 
 
 class _OpenWindow(_Processor):
-    """A key's window that stays open until the watermark of the rows has passed its end.
+    """A key's window, the last column of the key, that stays open until the watermark of the rows has
+    passed its end.
 
     The stream's own watermark lags by the window's size besides the delay, so
     that Spark hands over every row of a window that is still open. It has
     reached the window's start when the rows' watermark has reached its end.
     """
 
-    def _closed(self, start_ms: int, timers) -> bool:
-        return timers.getCurrentWatermarkInMs() >= start_ms
+    def on_rows(self, key, held, rows, now):
+        if now >= key[-1]:
+            return
+        held["timer"] = key[-1]
+        yield from self.on_open(key, held, rows)
+
+    def on_open(self, key: tuple, held: dict, rows: list[tuple]) -> Iterable[tuple]:
+        raise NotImplementedError
 
 
 class MarkerTrigger(_OpenWindow):
     """Per key and window: fires with the count at each marker row and at the window's end."""
 
     def __init__(self, keys: Sequence[StructField], order: StructField, marker: str):
-        self.order, self.marker = order.name, marker
+        self.columns = [order.name, marker]
         self.output = StructType([*keys, StructField("window_start_ms", _L),
                                   StructField("fired_by", order.dataType), StructField("count", _L)])
 
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.count = handle.getValueState("count", _schema(("n", _L)))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if self._closed(key[-1], timerValues):
-            return
-        fresh = not self.count.exists()
-        (count,) = _value(self.count, (0,))
-        out = []
-        frame = pd.concat(list(rows)).sort_values(self.order)
-        for order, marker in _rows(frame, [self.order, self.marker]):
+    def on_open(self, key, held, rows):
+        count = held.get("count", 0)
+        for order, marker in _in_order(rows):
             count += 1
             if marker:
-                out.append((*key, order, count))
-        self.count.update((count,))
-        if fresh:
-            self.handle.registerTimer(int(key[-1]))
-        if out:
-            yield self._frame(out)
+                yield (*key, order, count)
+        held["count"] = count
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        (count,) = _value(self.count, (0,))
-        self.count.clear()
-        yield self._frame([(*key, None, count)])
+    def on_timer(self, key, held, now):
+        yield (*key, None, held.pop("count"))
 
 
 class EvictingTrigger(_OpenWindow):
@@ -232,14 +294,10 @@ class EvictingTrigger(_OpenWindow):
 
     def __init__(self, keys: Sequence[StructField], order: StructField, marker: str, time_us: str, value: str,
                  keep_us: int):
-        self.names, self.keep_us = [order.name, marker, time_us, value], keep_us
+        self.columns, self.keep_us = [order.name, marker, time_us, value], keep_us
         self.output = StructType([*keys, StructField("window_start_ms", _L), StructField("fired_by", order.dataType),
                                   StructField("count", _L), StructField("total", _L)])
 
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.kept = handle.getListState("kept", _schema(("time_us", _L), ("value", _L)))
-
     def _evicted(self, rows: list[tuple]) -> list[tuple]:
         newest = max(t for t, _ in rows)
         return [r for r in rows if r[0] > newest - self.keep_us]
@@ -248,27 +306,17 @@ class EvictingTrigger(_OpenWindow):
         values = [v for _, v in rows if v is not None]
         return (*key, by, len(rows), int(sum(values)) if values else None)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if self._closed(key[-1], timerValues):
-            return
-        held = _listed(self.kept)
-        fresh, out = not held, []
-        frame = pd.concat(list(rows)).sort_values(self.names[0])
-        for order, marker, time_us, value in _rows(frame, self.names):
-            held.append((int(time_us), value))
+    def on_open(self, key, held, rows):
+        kept = held.get("kept", [])
+        for order, marker, time_us, value in _in_order(rows):
+            kept.append((int(time_us), value))
             if marker:
-                held = self._evicted(held)
-                out.append(self._fired(key, order, held))
-        self.kept.put(self._evicted(held))
-        if fresh:
-            self.handle.registerTimer(int(key[-1]))
-        if out:
-            yield self._frame(out)
+                kept = self._evicted(kept)
+                yield self._fired(key, order, kept)
+        held["kept"] = self._evicted(kept)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = _listed(self.kept)
-        self.kept.clear()
-        yield self._frame([self._fired(key, None, held)])
+    def on_timer(self, key, held, now):
+        yield self._fired(key, None, held.pop("kept"))
 
 
 class TopOfWindow(_OpenWindow):
@@ -281,33 +329,18 @@ class TopOfWindow(_OpenWindow):
     def __init__(self, keys: Sequence[StructField], measure: StructField, order: StructField,
                  carry: Sequence[StructField], n: int):
         self.n = n
-        self._row = StructType([measure, order, *carry])
-        self.output = StructType([*keys, StructField("window_start_ms", _L), *self._row.fields,
-                                  StructField("rank", _I)])
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.best = handle.getListState("best", self._row)
-
-    def _top(self, rows: list[tuple]) -> list[tuple]:
-        return sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))[: self.n]
+        row = [measure, order, *carry]
+        self.columns = [f.name for f in row]
+        self.output = StructType([*keys, StructField("window_start_ms", _L), *row, StructField("rank", _I)])
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if self._closed(key[-1], timerValues):
-            return iter(())
-        fresh = not self.best.exists()
-        held = _listed(self.best)
-        for frame in rows:
-            held = self._top(held + _rows(frame, self._row.fieldNames()))
-        self.best.put(held)
-        if fresh:
-            self.handle.registerTimer(int(key[-1]))
-        return iter(())
+    def on_open(self, key, held, rows):
+        best = held.get("best", []) + rows
+        held["best"] = sorted(best, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))[: self.n]
+        return ()
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        best = _listed(self.best)
-        self.best.clear()
-        yield self._frame([(*key, *row, rank) for rank, row in enumerate(best, 1)])
+    def on_timer(self, key, held, now):
+        for rank, row in enumerate(held.pop("best"), 1):
+            yield (*key, *row, rank)
 
 
 def _filled(stream: DataFrame, key: str) -> Column:
@@ -321,18 +354,34 @@ def _filled(stream: DataFrame, key: str) -> Column:
     return F.coalesce(key, F.lit(empty).cast(kind))
 
 
+def _told(stream: DataFrame, key: str) -> tuple[Column, Column]:
+    """A key without nulls and NaN, which differs from itself, and which of them it was."""
+    kind, told = stream.schema[key].dataType, F.when(F.col(key).isNull(), "1")
+    if isinstance(kind, (FloatType, DoubleType)):
+        # A sum, since 0.0 and -0.0 are one key.
+        return ((F.nanvl(_filled(stream, key), F.lit(0).cast(kind)) + F.lit(0).cast(kind)).cast(kind),
+                told.when(F.isnan(key), "2").otherwise("0"))
+    return _filled(stream, key), told.otherwise("0")
+
+
 def keyed(stream: DataFrame, keys: list[str], processor: _Processor, time_mode: str = "none",
           output_mode: str = "append") -> DataFrame:
     """Apply a processor per key. ``time_mode``: none, processingTime or eventTime.
 
-    Null keys are one key. State behind a null grouping value is not told apart from that of
-    the key before it, so nulls go in under a stand-in and a first key column says which they are.
+    Null keys are one key, NaN is another: they go in under a stand-in, and a first key column
+    says which they are.
     """
-    nulls = F.concat(*[F.when(F.col(k).isNull(), "1").otherwise("0") for k in keys])
-    told = stream.withColumns({**{k: _filled(stream, k) for k in keys}, "nulls": nulls})
+    parts = {k: _told(stream, k) for k in keys}
+    told = stream.withColumns({**{k: filled for k, (filled, _) in parts.items()},
+                               "nulls": F.concat(*[which for _, which in parts.values()])})
+    bucket = F.pmod(F.xxhash64("nulls", *keys), F.lit(KEY_BUCKETS)).cast("int")
     processor.output = StructType([StructField("nulls", _S), *processor.output.fields])
-    found = told.groupBy("nulls", *keys).transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=processor.output,
+    found = told.withColumn("key_bucket", bucket).groupBy("key_bucket").transformWithStateInPandas(
+        statefulProcessor=_Bucket(processor, ["nulls", *keys], time_mode), outputStructType=processor.output,
         outputMode=output_mode, timeMode=time_mode)
-    return found.withColumns({k: F.when(F.substring("nulls", i, 1) == "0", F.col(k))
-                              for i, k in enumerate(keys, 1)}).drop("nulls")
+
+    def shown(key: str, place: int) -> Column:
+        which, value = F.substring("nulls", place, 1), F.when(F.substring("nulls", place, 1) == "0", F.col(key))
+        kind = stream.schema[key].dataType
+        return value.when(which == "2", F.lit("NaN").cast(kind)) if isinstance(kind, (FloatType, DoubleType)) else value
+    return found.withColumns({k: shown(k, i) for i, k in enumerate(keys, 1)}).drop("nulls")
