@@ -1,7 +1,7 @@
 """Row functions that need something opened once per partition.
 
 Prefer column expressions; this is for set-up that they cannot hold, such as a
-model or a client. Rows pass in Arrow batches.
+model or a client. Rows pass in Arrow batches, and from these in slices.
 """
 
 from __future__ import annotations
@@ -17,6 +17,9 @@ from pyspark.sql import DataFrame, functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+ROWS_AT_ONCE = 256  # a process function's copies of its rows are of so many
+
+
 def per_partition(df: DataFrame, schema: str, open_: Callable[[], object],
                   process: Callable[[object, pd.DataFrame], pd.DataFrame],
                   close: Callable[[object], None] | None = None) -> DataFrame:
@@ -25,7 +28,8 @@ def per_partition(df: DataFrame, schema: str, open_: Callable[[], object],
         resource = open_()
         try:
             for batch in batches:
-                yield process(resource, batch)
+                for at in range(0, len(batch), ROWS_AT_ONCE):
+                    yield process(resource, batch.iloc[at:at + ROWS_AT_ONCE].reset_index(drop=True))
         finally:
             if close:
                 close(resource)
@@ -50,11 +54,11 @@ def _accents() -> dict[int, str]:
 
 def _strip(table: object, batch: pd.DataFrame) -> pd.DataFrame:
     batch["plain"] = batch["text"].str.translate(table).str.normalize("NFC")
-    return batch
+    return batch[[c for c in batch.columns if c != "text"]]
 
 
 def without_accents(df: DataFrame, key: str, text: str) -> DataFrame:
     """Texts with bare letters, without marks. Spark has no function for it, and the letter table is the
     set-up that a partition shares."""
     rows = df.select(F.col(key).cast("long").alias(key), F.col(text).alias("text"))
-    return per_partition(rows, f"{key} long, text string, plain string", _accents, _strip).drop("text")
+    return per_partition(rows, f"{key} long, plain string", _accents, _strip)
