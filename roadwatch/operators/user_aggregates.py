@@ -51,6 +51,11 @@ class Aggregate:
             state = self.add(state, *values)
         return state
 
+    def add_groups(self, states: list, columns: list[pa.Array], cuts: list[int]) -> list:
+        """Many states, each with its rows: those from its cut to the next. Override where groups are small."""
+        return [self.add_all(state, [c.slice(low, high - low) for c in columns])
+                for state, low, high in zip(states, cuts, cuts[1:])]
+
     def merge(self, one, other):
         raise NotImplementedError
 
@@ -98,11 +103,12 @@ def _folding(aggregate: Aggregate, n_keys: int, schema: pa.Schema):
             keys, values = batch.columns[:n_keys], batch.columns[n_keys:]
             codes = _codes(keys) if keys else np.zeros(batch.num_rows, np.int64)
             order = np.argsort(codes, kind="stable")
-            cuts = np.flatnonzero(np.diff(codes[order])) + 1
-            for rows in np.split(order, cuts):
-                key = tuple(c[int(rows[0])].as_py() for c in keys)
-                state = states[key] if key in states else aggregate.create()
-                states[key] = aggregate.add_all(state, [v.take(pa.array(rows)) for v in values])
+            cuts = [0, *(np.flatnonzero(np.diff(codes[order])) + 1).tolist(), batch.num_rows]
+            firsts = pa.array(order[cuts[:-1]])
+            found = list(zip(*(c.take(firsts).to_pylist() for c in keys))) if keys else [()]
+            before = [states[key] if key in states else aggregate.create() for key in found]
+            placed = [v.take(pa.array(order)) for v in values]
+            states.update(zip(found, aggregate.add_groups(before, placed, cuts)))
             if len(states) > STATES_AT_ONCE:
                 yield from shown()
                 states = {}
@@ -218,23 +224,35 @@ class Quantiles(Aggregate):
     def create(self):
         return Counter()
 
-    def add_all(self, state, columns):
-        values = columns[0].drop_null().to_numpy(zero_copy_only=False).astype(float)
+    def _buckets(self, values: np.ndarray) -> np.ndarray:
         buckets = np.full(len(values), -(1 << 40), np.int64)
         above = values > 0
         buckets[above] = np.ceil(np.log(values[above]) / math.log(self.gamma)).astype(np.int64)
+        return buckets
+
+    def add_all(self, state, columns):
+        buckets = self._buckets(columns[0].drop_null().to_numpy(zero_copy_only=False).astype(float))
         state.update(dict(zip(*(x.tolist() for x in np.unique(buckets, return_counts=True)))))
         return state
 
+    def add_groups(self, states, columns, cuts):
+        present = columns[0].is_valid().to_numpy(zero_copy_only=False)
+        buckets = self._buckets(columns[0].drop_null().to_numpy(zero_copy_only=False).astype(float)).tolist()
+        places = np.concatenate([[0], np.cumsum(present)])[cuts].tolist()
+        for state, low, high in zip(states, places, places[1:]):
+            for bucket in buckets[low:high]:
+                state[bucket] += 1
+        return states
+
     def merge(self, one, other):
         one.update(other)
         return one
 
     def result(self, state):
-        n, found = sum(state.values()), []
+        n, found, buckets = sum(state.values()), [], sorted(state)
         for q in self.quantiles:
             rank, seen, answer = math.floor(q * (n - 1)), 0, None
-            for bucket in sorted(state):
+            for bucket in buckets:
                 seen += state[bucket]
                 if seen > rank:
                     answer = 0.0 if bucket < -(1 << 39) else 2 * self.gamma ** bucket / (self.gamma + 1)
