@@ -45,7 +45,8 @@ FROM (SELECT unnest(string_split(rtrim(text, ' '), ' ')) AS word FROM documents
       WHERE text = '' OR rtrim(text, ' ') <> '')
 GROUP BY word""")
 def stream_word_count(spark: SparkSession, folder: str) -> DataFrame:
-    words = tokenise(_replayed(spark, folder, "documents", "doc_id"), "text", " ")
+    documents = replayed(spark, table(spark, folder, "documents"), "doc_id", "documents", F.octet_length("text"))
+    words = tokenise(documents, "text", " ")
     return final_rows(to_table(aggs.word_count(words), "word-count", "update"), ["word"])
 
 
