@@ -8,6 +8,11 @@ batch wrote each bucket last, so a batch that runs again reads the same and writ
 the same; what no later batch can read is deleted. No key is held by one task or
 one Python list: the operators cut hot keys as they do on tables.
 
+Where rows are only ever replaced by newer ones (``Step.newest``), a batch does not
+write its buckets again: it adds a run with the rows of its own keys. Of each size
+``RUNS - 1`` runs of a bucket stand beside each other and the next takes them in, so
+a row is written again log(batches) times and a bucket has as many runs.
+
 ``buckets`` is fixed for a stream's life. A batch of m keys reads at most m
 buckets; choose so many that a bucket holds some ten thousand keys.
 """
@@ -17,15 +22,15 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.times import duration_micros, from_micros, micros
 from ..operators.joins import latest_per_key, lookup
-from ..operators.running import Agg, count_rows, highest, running_from, total
+from ..operators.running import KEYED_WIDTH, Agg, count_rows, highest, running_from
 from ..operators.sessions import intervals, merged_intervals
 from ..operators.windows import with_window
 from ..session import names_in, read_text, remove_folder, run_dir, write_text
@@ -33,6 +38,7 @@ from .run import Writer, finish, start
 
 BUCKETS = 16
 WHOLE = -1  # the bucket of a table that is not cut
+RUNS = 4  # runs of one size become one of the next
 
 
 class State:
@@ -44,12 +50,14 @@ class State:
     def _read(self, name: str, wanted: Callable[[int], bool]) -> DataFrame:
         table = self._record[name]
         schema = StructType.fromJson(json.loads(table["schema"]))
-        paths = [_bucket_path(self._folder, name, batch, int(bucket))
-                 for bucket, batch in sorted(table["buckets"].items()) if wanted(int(bucket))]
-        return self._spark.read.schema(schema).parquet(*paths) if paths else self._spark.createDataFrame([], schema)
+        return _read_runs(self._spark, self._folder, name, schema, {
+            bucket: runs for bucket, runs in table["buckets"].items() if wanted(int(bucket))})
 
     def __getitem__(self, name: str) -> DataFrame:
-        """What the table holds of the batch's buckets; all of a table without the key."""
+        """What the table holds of the batch's buckets; all of a table without the key.
+
+        Tables under ``Step.newest`` may hold older rows beside the newest.
+        """
         return self._read(name, lambda bucket: bucket == WHOLE or bucket in self._touched)
 
     def whole(self, name: str) -> DataFrame:
@@ -57,7 +65,7 @@ class State:
         return self._read(name, lambda bucket: True)
 
 
-Run = Callable[[DataFrame, State | None], tuple[DataFrame, Mapping[str, DataFrame]]]
+Run = Callable[[DataFrame, State | None], tuple]  # rows, state after by name, what to unpersist
 
 
 @dataclass(frozen=True)
@@ -66,11 +74,15 @@ class Step:
 
     For tables that are cut, the state after holds the keys of the batch's buckets and
     no others. ``close`` gives what is still open when the input has ended for good.
+    ``newest`` names cut tables whose rows never go, only get newer: the columns that tell
+    a row and the one that is higher in a newer row. The state after has just the new rows.
+    What ``run`` gives besides it has persisted, and the writer lets it go.
     """
 
     run: Run
     key: Sequence[str] = ()
     close: Callable[[State], DataFrame] | None = None
+    newest: Mapping[str, tuple[Sequence[str], str]] = field(default_factory=dict)
 
     def cuts(self, columns: Sequence[str]) -> bool:
         return bool(self.key) and set(self.key) <= set(columns)
@@ -80,6 +92,20 @@ def _bucket_path(folder: str, name: str, batch: int, bucket: int) -> str:
     return f"{folder}/state/{name}/{batch}/state_bucket={bucket}"
 
 
+def _read_runs(spark: SparkSession, folder: str, name: str, schema: StructType,
+               runs: Mapping[str, Sequence[tuple[int, int]]]) -> DataFrame:
+    paths = [_bucket_path(folder, name, batch, int(bucket)) for bucket in sorted(runs) for batch, _ in runs[bucket]]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def _taken_in(runs: Sequence[tuple[int, int]]) -> tuple[list, list, int]:
+    """Of a bucket's runs, as (batch, size): those that stay, those the next run takes in, and its size."""
+    stay, size = list(runs), 0
+    while len(stay) >= RUNS - 1 and all(s == size for _, s in stay[1 - RUNS:]):
+        stay, size = stay[:1 - RUNS], size + 1
+    return stay, list(runs[len(stay):]), size
+
+
 def _record_path(folder: str, batch_id: int) -> str:
     return f"{folder}/state/record-{batch_id}"
 
@@ -96,25 +122,34 @@ def carried_writer(step: Step, folder: str, buckets: int = BUCKETS) -> Writer:
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist()
+        persisted = []
         try:
             # At most as many numbers as there are buckets.
             touched = {r[0] for r in batch.select(bucket).distinct().collect()} if step.key else set()
             before = _read_record(spark, folder, batch_id - 1) if batch_id else {}
-            rows, after = step.run(batch, State(spark, folder, before, touched) if batch_id else None)
+            rows, after, *persisted = step.run(batch, State(spark, folder, before, touched) if batch_id else None)
             rows.write.mode("overwrite").parquet(f"{folder}/out/batch_id={batch_id}")
             record = {}
             for name, table in after.items():
                 cut = step.cuts(table.columns)
                 path = f"{folder}/state/{name}/{batch_id}"
+                held = before.get(name, {"buckets": {}})["buckets"]
+                runs = {str(b): _taken_in(held.get(str(b), [])) for b in touched} if name in step.newest else {}
+                if any(old for _, old, _ in runs.values()):
+                    older = _read_runs(spark, folder, name, table.schema, {b: old for b, (_, old, _) in runs.items()})
+                    table = latest_per_key(table.unionByName(older), *step.newest[name]).select(table.columns)
                 (table.withColumn("state_bucket", bucket if cut else F.lit(WHOLE)).repartition("state_bucket")
                  .write.mode("overwrite").partitionBy("state_bucket").parquet(path))
-                kept = {b: v for b, v in before.get(name, {"buckets": {}})["buckets"].items()
-                        if cut and int(b) not in touched}
-                written = {n.removeprefix("state_bucket="): batch_id for n in names_in(spark, path, "state_bucket=*")}
+                kept = {b: v for b, v in held.items() if cut and int(b) not in touched}
+                written = {}
+                for b in (n.removeprefix("state_bucket=") for n in names_in(spark, path, "state_bucket=*")):
+                    stay, _, size = runs.get(b, ([], [], 0))
+                    written[b] = [*stay, (batch_id, size)]
                 record[name] = {"schema": table.schema.json(), "buckets": kept | written}
             write_text(spark, _record_path(folder, batch_id), json.dumps(record))
         finally:
-            batch.unpersist()
+            for df in (batch, *persisted):
+                df.unpersist()
         if batch_id > 1:  # the batch before this one cannot run again
             _forget(spark, folder, batch_id - 2, before)
     return write
@@ -127,8 +162,8 @@ def _forget(spark: SparkSession, folder: str, batch_id: int, later: dict) -> Non
         return
     for name, table in record.items():
         held = later.get(name, {"buckets": {}})["buckets"]
-        for bucket, batch in table["buckets"].items():
-            if held.get(bucket) != batch:
+        for bucket, runs in table["buckets"].items():
+            for batch in {b for b, _ in runs} - {b for b, _ in held.get(bucket, [])}:
                 remove_folder(spark, _bucket_path(folder, name, batch, int(bucket)))
     remove_folder(spark, _record_path(folder, batch_id))
 
@@ -291,34 +326,78 @@ def state_kinds(key: str, order: str, kind: str, value: str) -> Step:
     last three values (list). A null value is none: it is left out of the sum,
     the average and the list.
     """
-    def step(batch: DataFrame, before: State | None) -> tuple[DataFrame, dict]:
-        rows, kinds = running_from(batch, [key, kind], order, {"of_kind": count_rows()},
-                                   before and before["kinds"])
-        has = F.col(value).isNotNull()
-        rows, sums = running_from(rows, [key], order, {
-            "__total": total(F.col(value).cast("long")), "__values": count_rows(has),
-            "__kinds": count_rows(F.col("of_kind") == 1)}, before and before["sums"])
-        # A value belongs to its own list and, as long as it is among the last three, to later ones.
-        held = rows.where(has).select(key, F.col("__values").alias("place"),
-                                      F.col(value).cast("long").alias("v"))
+    so_far = ["rows", "total", "values", "kinds", "recent"]  # of the key, up to a row
+    kept = "struct<rows:bigint,total:bigint,values:bigint,kinds:bigint,recent:array<bigint>>"
+
+    def last(values: Column, n: int) -> Column:
+        return F.slice(values, F.greatest(F.size(values) - (n - 1), F.lit(1)), n)
+
+    def folded(batch: DataFrame, known: DataFrame | None) -> DataFrame:
+        """The rows behind what is known of their keys: one shuffle, and windows inside a key."""
+        rows = batch.select(key, kind, order, F.col(value).cast("long").alias("__v"), F.lit(1).alias("__row"),
+                            F.lit(None).cast(kept).alias("__known"), F.lit(None).cast("long").alias("__of_kind"))
+        if known is not None:
+            rows = rows.unionByName(known.select(
+                key, kind, F.lit(0).alias("__row"), F.struct(*so_far).cast(kept).alias("__known"),
+                F.col("of_kind").alias("__of_kind")), allowMissingColumns=True)
+        rows = rows.repartition(key).withColumn("__has", F.col("__v").isNotNull())
+        of_kind = Window.partitionBy(key, kind).orderBy("__row", order).rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.withColumn("of_kind", F.coalesce(F.max("__of_kind").over(of_kind), F.lit(0))
+                               + F.sum("__row").over(of_kind))
+        valued = Window.partitionBy(key, "__has").orderBy("__row", order, "of_kind")
+        rows = rows.withColumn("__own", F.when(F.col("__has"), F.array_compact(F.array(
+            F.lag("__v", 2).over(valued), F.lag("__v", 1).over(valued), F.col("__v")))))
+        ordered = (Window.partitionBy(key).orderBy("__row", order, "of_kind")
+                   .rowsBetween(Window.unboundedPreceding, 0))
+        new = F.when((F.col("__row") == 1) & (F.col("of_kind") == 1), 1).otherwise(0)
+        rows = rows.select(
+            key, kind, order, "of_kind", "__row", F.max("__known").over(ordered).alias("__known"),
+            F.sum("__row").over(ordered).alias("__rows"), F.sum("__v").over(ordered).alias("__total"),
+            F.count("__v").over(ordered).alias("__values"), F.sum(new).over(ordered).alias("__kinds"),
+            F.last("__own", ignorenulls=True).over(ordered).alias("__own")).where("__row = 1")
+
+        def since(name: str) -> Column:
+            return F.coalesce(F.col(f"__known.{name}"), F.lit(0)) + F.col(f"__{name}")
+        none = F.array().cast("array<long>")
+        return rows.select(
+            key, kind, order, "of_kind", since("rows").alias("rows"),
+            F.coalesce(F.col("__known.total") + F.col("__total"), "__known.total", "__total").alias("total"),
+            since("values").alias("values"), since("kinds").alias("kinds"),
+            last(F.concat(F.coalesce("__known.recent", none), F.coalesce("__own", none)), 3).alias("recent"))
+
+    def newest(rows: DataFrame, recent: int) -> DataFrame:
+        """Of each kind of the rows' keys the last row, and what the key held at it."""
+        ended = rows.groupBy(key, kind).agg(F.max_by(F.struct("of_kind", *so_far), "rows").alias("__last"))
+        return ended.select(key, kind, "__last.*").withColumn("recent", last(F.col("recent"), recent))
+
+    def step(batch: DataFrame, before: State | None) -> tuple:
+        known = None
         if before:
-            held = held.unionByName(before["recent"])
-        copied = held.withColumn("of", F.explode(F.array(*[F.col("place") + i for i in range(3)])))
-        lists = copied.groupBy(key, "of").agg(F.array_join(F.transform(F.array_sort(F.collect_list(
-            F.struct("place", "v"))), lambda e: e["v"].cast("string")), ",").alias("last_three"))
-        lists = lists.select(F.col(key).alias("__of_key"), F.col("of").alias("__of"), "last_three")
-        listed = rows.join(lists, F.col(key).eqNullSafe(F.col("__of_key"))
-                           & (F.col("__values") == F.col("__of")), "left")
-        newest = sums.select(F.col(key).alias("__key"), F.col("__values").alias("__newest"))
-        recent = held.join(newest, F.col(key).eqNullSafe(F.col("__key"))).where(
-            F.col("place") > F.col("__newest") - 2).select(key, "place", "v")
-        return listed.select(
-            key, order, F.col("__total").alias("total"),
-            (F.col("__total") / F.when(F.col("__values") > 0, F.col("__values"))).alias("average"), "of_kind",
-            F.col("__kinds").cast("int").alias("kinds"),
-            F.coalesce("last_three", F.lit("")).alias("last_three"),
-        ), {"kinds": kinds, "sums": sums, "recent": recent}
-    return Step(step, [key])
+            mine = batch.select(F.col(key).alias("__key")).distinct()
+            state = before["so_far"]
+            known = state.join(mine, F.col(key).eqNullSafe(F.col("__key")), "left_semi")
+        # A task takes a key's rows as a whole, so a larger batch goes part by part along the order.
+        parts = math.ceil(batch.count() / KEYED_WIDTH)
+        ends = [] if parts < 2 else sorted({int(e) for e in batch.approxQuantile(
+            order, [i / parts for i in range(1, parts)], 0.1 / parts)})
+        part = F.lit(0)
+        for end in ends:
+            part = part + F.when(F.col(order) > end, 1).otherwise(0)
+        done = []
+        for i in range(len(ends) + 1):
+            done.append(folded(batch.where(part == i) if ends else batch, known).persist())
+            if ends:
+                then = newest(done[-1], 3)
+                known = then if known is None else known.unionByName(then)
+        rows, after = done[0], newest(done[0], 2)
+        for more in done[1:]:
+            rows, after = rows.unionByName(more), after.unionByName(newest(more, 2))
+        return rows.select(
+            key, order, "total", (F.col("total") / F.when(F.col("values") > 0, F.col("values"))).alias("average"),
+            "of_kind", F.col("kinds").cast("int").alias("kinds"),
+            F.array_join(F.transform("recent", lambda v: v.cast("string")), ",").alias("last_three"),
+        ), {"so_far": after}, *done
+    return Step(step, [key], newest={"so_far": ([key, kind], "rows")})
 
 
 def upserted_dimension(is_update: Column, keys: Sequence[str], order: str,

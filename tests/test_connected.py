@@ -4,6 +4,7 @@ import glob
 import os
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,6 +140,58 @@ def test_a_batch_reads_and_writes_its_own_buckets(spark, monkeypatch):
     assert not glob.glob(f"{folder}/state/counts/1/state_bucket=*")
 
 
+def kinds_model(batches):
+    """Rows are (arrival, key, kind, value); a later batch knows the last two values of a key."""
+    found, state = {}, {}
+    for batch in batches:
+        for held in state.values():
+            held["values"] = held["values"][-2:]
+        for arrival, key, kind, value in batch:
+            held = state.setdefault(key, {"total": None, "n": 0, "kinds": {}, "values": []})
+            held["kinds"][kind] = held["kinds"].get(kind, 0) + 1
+            if value is not None:
+                held["total"], held["n"] = (held["total"] or 0) + value, held["n"] + 1
+                held["values"] = [*held["values"], value][-3:]
+            found[arrival] = (held["total"], held["total"] / held["n"] if held["n"] else None, held["kinds"][kind],
+                              len(held["kinds"]), ",".join(map(str, held["values"])))
+    return found
+
+
+def kinds_written(spark, folder):
+    return {r["arrival"]: (r["total"], r["average"], r["of_kind"], r["kinds"], r["last_three"])
+            for r in spark.read.parquet(f"{folder}/out").collect()}
+
+
+KINDS_ROW = "arrival long, key long, kind string, n long"
+
+
+def test_state_is_not_written_again_with_every_batch(spark):
+    folder, wrote, batches = run_dir(spark, "runs"), [], []
+    write = carried_writer(carried.state_kinds("key", "arrival", "kind", "n"), folder, buckets=1)
+    for b in range(9):  # the first eight have keys of their own, the last one has all
+        keys = range(160) if b == 8 else range(20 * b, 20 * b + 20)
+        batches.append([(1000 * b + k, k, "ab"[b == 8], k) for k in keys])
+        for _ in range(1 + (b in (3, 4))):  # a batch that runs again does the same
+            write(spark.createDataFrame(batches[-1], KINDS_ROW), b)
+        wrote.append(sum(pq.read_metadata(f).num_rows
+                         for f in glob.glob(f"{folder}/state/*/{b}/*/*.parquet")))
+        assert len(glob.glob(f"{folder}/state/so_far/*/state_bucket=0")) <= 8
+    assert wrote == [20, 20, 20, 80, 20, 20, 20, 80, 160]
+    assert kinds_written(spark, folder) == kinds_model(batches)
+
+
+def test_a_large_batch_of_state_kinds_goes_part_by_part(spark, monkeypatch):
+    monkeypatch.setattr(carried, "KEYED_WIDTH", 20)
+    rng, folder = random.Random(5), run_dir(spark, "parts")
+    rows = [(i * 70_000, rng.choice([1, 1, 2, None]), rng.choice(["a", "b", "c", None]),
+             rng.choice([None, *range(9)])) for i in range(75)]
+    batches = [rows[:55], rows[55:60], rows[60:]]
+    write = carried_writer(carried.state_kinds("key", "arrival", "kind", "n"), folder, buckets=4)
+    for b, batch in enumerate(batches):
+        write(spark.createDataFrame(batch, KINDS_ROW), b)
+    assert kinds_written(spark, folder) == kinds_model(batches)
+
+
 def test_rules_that_change_while_the_stream_runs(spark):
     rows = [  # arrival, area, key, threshold of a rule
         (0, 1, 7, None), (1, 1, 7, None), (2, 1, None, 3), (3, 1, 7, None), (4, 1, 8, None), (5, 2, 9, None),
